@@ -1,0 +1,36 @@
+"""Join helpers: broadcast only behind a size check, with a shuffle path beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Runs ``limit(max_rows + 1).count()``: the scan stops once the bound is exceeded, so the check
+    costs at most ``max_rows + 1`` rows of work, never a full pass over a large input.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """Broadcast hint on ``df`` when its row count is proven to be at most ``max_rows``."""
+    if max_rows > 0 and has_at_most(df, max_rows):
+        return F.broadcast(df), True
+    return df, False
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, cond_builder, salt_buckets: int,
+                     salt_source: Column) -> DataFrame:
+    """Left outer join for a low-cardinality (hot) key when the right side is too large to broadcast.
+
+    Left rows get a salt in ``[0, salt_buckets)`` from ``salt_source`` (a stable row hash); right
+    rows are replicated once per salt value, so one hot key is spread over ``salt_buckets`` tasks.
+    ``cond_builder(l, r)`` returns the join condition without the salt.
+    """
+    salted_left = left.withColumn("__salt", F.pmod(salt_source, F.lit(salt_buckets)))
+    salted_right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    cond = cond_builder(salted_left, salted_right) & (salted_left["__salt"] == salted_right["__salt_r"])
+    return salted_left.join(salted_right, cond, "left").drop("__salt", "__salt_r")
