@@ -14,6 +14,7 @@ __all__ = [
     "nan_to_null", "climb_rate_ratio", "altitude_km", "altitude_km_from_geo_feet",
     "altitude_band_a", "altitude_band_b", "vertical_status", "vertical_status_order",
     "coerce_double", "epoch_seconds_ntz", "epoch_to_timestamp", "text_to_timestamp",
+    "text_to_timestamp_ntz", "epoch_to_timestamp_ntz",
     "iso_text", "hms_text", "window_key", "anomaly_label", "age_minutes", "is_present_key",
     "label_ordinal",
 ]
@@ -130,6 +131,16 @@ def text_to_timestamp(c) -> Column:
     return F.try_to_timestamp(_c(c))
 
 
+def text_to_timestamp_ntz(c) -> Column:
+    """ISO text -> TIMESTAMP_NTZ (no time-zone shift); unparsable text becomes null."""
+    return _c(c).try_cast("timestamp_ntz")
+
+
+def epoch_to_timestamp_ntz(c) -> Column:
+    """Epoch seconds -> TIMESTAMP_NTZ in UTC wall-clock, independent of the session time zone."""
+    return F.timestamp_add("SECOND", _c(c), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+
+
 def iso_text(c) -> Column:
     """Timestamp -> ISO-8601 text (microseconds kept)."""
     return F.date_format(_c(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

@@ -49,3 +49,68 @@ def q_enrich_coverage_distinct(spark, sf_dir):
 @register("latest_window")
 def q_latest_window(spark, sf_dir):
     return en.latest_window_frame(*_dims(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ profiles
+from flightlake.operators import profiles as pf  # noqa: E402
+
+
+def prepared(spark, sf_dir):
+    return pf.prepare(enriched(spark, sf_dir))
+
+
+@register("altitude_band_counts")
+def q_altitude_band_counts(spark, sf_dir):
+    return pf.altitude_band_counts(enriched(spark, sf_dir))
+
+
+@register("altitude_band_b_counts")
+def q_altitude_band_b_counts(spark, sf_dir):
+    return pf.altitude_band_b_counts(enriched(spark, sf_dir))
+
+
+@register("altitude_bands")
+def q_altitude_bands(spark, sf_dir):
+    return pf.altitude_bands(enriched(spark, sf_dir))
+
+
+@register("vertical_status")
+def q_vertical_status(spark, sf_dir):
+    return pf.vertical_status_counts(prepared(spark, sf_dir))
+
+
+@register("speed_histogram")
+def q_speed_histogram(spark, sf_dir):
+    return pf.speed_histogram(enriched(spark, sf_dir))
+
+
+@register("envelope_top4")
+def q_envelope_top4(spark, sf_dir):
+    return pf.envelope_top(prepared(spark, sf_dir), 4)
+
+
+@register("category_codes")
+def q_category_codes(spark, sf_dir):
+    return pf.category_codes(enriched(spark, sf_dir))
+
+
+@register("category_profile")
+def q_category_profile(spark, sf_dir):
+    return pf.category_profile(enriched(spark, sf_dir))
+
+
+@register("category_radar")
+def q_category_radar(spark, sf_dir):
+    return pf.category_radar(enriched(spark, sf_dir), 4)
+
+
+@register("position_sample")
+def q_position_sample(spark, sf_dir):
+    return pf.position_sample(enriched(spark, sf_dir), 0.3, 42)
+
+
+@register("prepared_frame")
+def q_prepared_frame(spark, sf_dir):
+    return prepared(spark, sf_dir).select(
+        "obs_id", "icao24", "latitude", "longitude", "geo_altitude", "velocity", "vertical_rate",
+        "Description", "WTC", "snapshot_time", "altitude_km", "alt_band")
