@@ -238,3 +238,84 @@ WHERE latitude IS NOT NULL AND NOT isnan(latitude) AND longitude IS NOT NULL AND
 SQL["prepared_frame"] = with_roles(PREPARED + """
 SELECT obs_id, icao24, latitude, longitude, geo_altitude, velocity, vertical_rate, Description, WTC, snapshot_time,
        altitude_km, alt_band FROM prepared""", enriched=True)
+
+
+# ------------------------------------------------------------------ anomalies, windows, ingest, catalog
+SQL["flagged_anomalies"] = with_roles("""
+, lagged AS (
+  SELECT obs_id, icao24, snapshot_ts, velocity, baro_altitude, vertical_rate,
+         CASE WHEN icao24 IS NOT NULL AND icao24 <> '' THEN
+           lag(snapshot_ts) OVER (PARTITION BY icao24 ORDER BY snapshot_ts, obs_id) END AS prev_ts,
+         CASE WHEN icao24 IS NOT NULL AND icao24 <> '' THEN
+           lag(velocity) OVER (PARTITION BY icao24 ORDER BY snapshot_ts, obs_id) END AS prev_v,
+         CASE WHEN icao24 IS NOT NULL AND icao24 <> '' THEN
+           lag(baro_altitude) OVER (PARTITION BY icao24 ORDER BY snapshot_ts, obs_id) END AS prev_a
+  FROM states
+), f AS (
+  SELECT obs_id, icao24, snapshot_ts, velocity, baro_altitude, vertical_rate,
+         CAST(snapshot_ts - prev_ts AS BIGINT) AS dt_seconds,
+         COALESCE(snapshot_ts - prev_ts > 0
+                  AND abs(velocity - prev_v) / CAST(snapshot_ts - prev_ts AS DOUBLE) > 15.0, false) AS sudden_velocity_anomaly,
+         COALESCE(abs(vertical_rate) > 50.0
+                  OR (CASE WHEN velocity > 0 AND baro_altitude > 0 THEN abs(vertical_rate) / NULLIF(velocity, 0) END) > 1.0,
+                  false) AS unrealistic_climb_anomaly,
+         COALESCE(snapshot_ts - prev_ts > 0
+                  AND abs(baro_altitude - prev_a) / CAST(snapshot_ts - prev_ts AS DOUBLE) > 100.0, false) AS altitude_jump_anomaly
+  FROM lagged
+)
+SELECT * FROM f WHERE sudden_velocity_anomaly OR unrealistic_climb_anomaly OR altitude_jump_anomaly""")
+
+SQL["peer_anomalies"] = with_roles("""
+, rows_ AS (SELECT obs_id, icao24, Description, velocity, baro_altitude FROM enriched WHERE Description IS NOT NULL),
+stats AS (SELECT Description, COUNT(*) AS peer_rows, avg(velocity) AS mu_v, stddev_samp(velocity) AS sd_v,
+                 avg(baro_altitude) AS mu_a, stddev_samp(baro_altitude) AS sd_a
+          FROM rows_ GROUP BY Description HAVING COUNT(*) >= 5),
+z AS (SELECT r.obs_id, r.icao24, r.Description, r.velocity, r.baro_altitude, s.peer_rows,
+             CASE WHEN s.sd_v > 0 THEN (r.velocity - s.mu_v) / s.sd_v END AS z_velocity,
+             CASE WHEN s.sd_a > 0 THEN (r.baro_altitude - s.mu_a) / s.sd_a END AS z_altitude
+      FROM rows_ r JOIN stats s USING (Description))
+SELECT obs_id, icao24, Description, velocity, baro_altitude, peer_rows,
+       round(z_velocity, 6) AS z_velocity, round(z_altitude, 6) AS z_altitude
+FROM z WHERE abs(z_velocity) > 3.0 OR abs(z_altitude) > 3.0""", enriched=True)
+
+SQL["window_summary"] = with_roles("""
+SELECT window_start, window_end, COUNT(*) AS n_obs,
+       COUNT(DISTINCT CASE WHEN icao24 <> '' THEN icao24 END) AS unique_aircraft
+FROM states GROUP BY window_start, window_end""")
+
+SQL["window_raw"] = with_roles("""
+SELECT *, strftime(make_timestamp(window_end * 1000000), 'processed/date=%Y/%m/%d/window_raw_%Y%m%dT%H%M%S.parquet')
+          AS window_file
+FROM states""")
+
+SQL["recent_only"] = with_roles("""
+, now_ AS (SELECT max(snapshot_ts) AS now_ts FROM states),
+aged AS (SELECT obs_id, icao24, snapshot_ts, CAST(now_ts - COALESCE(snapshot_ts, now_ts) AS DOUBLE) / 60.0 AS age
+         FROM states, now_)
+SELECT obs_id, icao24, snapshot_ts, round(age, 6) AS age_minutes FROM aged WHERE age < 9.0""")
+
+SQL["normalised_states"] = with_roles("""
+SELECT icao24, callsign, origin_country, time_position, last_contact, longitude, latitude, baro_altitude, on_ground,
+       velocity, true_track, vertical_rate, geo_altitude, squawk, spi, position_source, snapshot_ts, obs_id
+FROM states""")
+
+
+def _profile_sql() -> str:
+    tables = {
+        "states": ["obs_id", "icao24", "callsign", "origin_country", "time_position", "last_contact", "longitude",
+                   "latitude", "baro_altitude", "on_ground", "velocity", "true_track", "vertical_rate",
+                   "geo_altitude", "squawk", "spi", "position_source", "snapshot_ts", "date", "window_start",
+                   "window_end"],
+        "airframes": ["icao24", "registration", "model", "typecode", "icaoaircrafttype", "operator", "operatoricao"],
+        "models": ["Designator", "ModelFullName", "AircraftDescription", "Description", "WTC"],
+        "enriched_aircraft_states": None,
+    }
+    from flightlake.schemas import ENRICHED_COLUMNS
+    tables["enriched_aircraft_states"] = ENRICHED_COLUMNS
+    src = {"enriched_aircraft_states": "enriched"}
+    parts = [f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, {len(c)} AS column_count, "
+             f"'{','.join(c)}' AS columns FROM {src.get(t, t)}" for t, c in tables.items()]
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["table_profile"] = with_roles(_profile_sql(), enriched=True)

@@ -114,3 +114,61 @@ def q_prepared_frame(spark, sf_dir):
     return prepared(spark, sf_dir).select(
         "obs_id", "icao24", "latitude", "longitude", "geo_altitude", "velocity", "vertical_rate",
         "Description", "WTC", "snapshot_time", "altitude_km", "alt_band")
+
+
+# ------------------------------------------------------------------ anomalies, windows, ingest, catalog
+from flightlake.functions import scalar as fx  # noqa: E402
+from flightlake.operators import anomalies as an  # noqa: E402
+from flightlake.sources import catalog as cat  # noqa: E402
+from flightlake.sources import snapshots as snap  # noqa: E402
+
+
+@register("flagged_anomalies")
+def q_flagged_anomalies(spark, sf_dir):
+    return an.flagged_only(an.flag_anomalies(roles.states(spark, sf_dir)))
+
+
+@register("peer_anomalies")
+def q_peer_anomalies(spark, sf_dir):
+    return an.peer_anomalies(enriched(spark, sf_dir))
+
+
+@register("window_summary")
+def q_window_summary(spark, sf_dir):
+    from pyspark.sql import functions as F
+    st = roles.states(spark, sf_dir)
+    return st.groupBy("window_start", "window_end").agg(
+        F.count(F.lit(1)).alias("n_obs"),
+        F.countDistinct(F.when(fx.is_present_key("icao24"), F.col("icao24"))).alias("unique_aircraft"))
+
+
+@register("window_raw")
+def q_window_raw(spark, sf_dir):
+    st = roles.states(spark, sf_dir)
+    return st.withColumn("window_file", fx.window_key(fx.epoch_to_timestamp_ntz("window_end")))
+
+
+@register("recent_only")
+def q_recent_only(spark, sf_dir):
+    from pyspark.sql import functions as F
+    st = roles.states(spark, sf_dir)
+    now = st.agg(F.max("snapshot_ts")).first()[0]
+    age = fx.age_minutes("snapshot_ts", now)
+    return st.filter(age < F.lit(9.0)).select("obs_id", "icao24", "snapshot_ts",
+                                              F.round(age, 6).alias("age_minutes"))
+
+
+@register("normalised_states")
+def q_normalised_states(spark, sf_dir):
+    st = roles.states(spark, sf_dir)
+    dec = snap.decode_records(snap.encode_records(st))
+    return dec.select(*[c for c in dec.columns if c != "sensors"])
+
+
+@register("table_profile")
+def q_table_profile(spark, sf_dir):
+    views = {"states": roles.states(spark, sf_dir), "airframes": roles.airframes(spark, sf_dir),
+             "models": roles.models(spark, sf_dir), "enriched_aircraft_states": enriched(spark, sf_dir)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return cat.table_profile(spark, list(views)).drop("column_types")
