@@ -319,3 +319,47 @@ def _profile_sql() -> str:
 
 
 SQL["table_profile"] = with_roles(_profile_sql(), enriched=True)
+
+
+# ------------------------------------------------------------------ quantiles and density
+WTC_SUPPORTED = PREPARED + """
+, wtc_ok AS (SELECT WTC FROM prepared WHERE WTC IS NOT NULL GROUP BY WTC HAVING COUNT(*) >= 5),
+sup AS (SELECT * FROM prepared WHERE WTC IN (SELECT WTC FROM wtc_ok))"""
+
+SQL["wtc_speed_quartiles"] = with_roles(WTC_SUPPORTED + """
+SELECT WTC, CASE WTC WHEN 'Heavy' THEN 0 WHEN 'Medium' THEN 1 WHEN 'Light' THEN 2 END AS wtc_order, COUNT(*) AS n,
+       round(quantile_cont(velocity, 0.25), 6) AS q25, round(quantile_cont(velocity, 0.5), 6) AS q50,
+       round(quantile_cont(velocity, 0.75), 6) AS q75
+FROM sup GROUP BY WTC""", enriched=True)
+
+SQL["wtc_speed_density"] = with_roles(WTC_SUPPORTED + """
+, st AS (SELECT WTC, COUNT(*) AS n, stddev_samp(velocity) * pow(COUNT(*), -1.0 / 5.0) AS bw,
+                min(velocity) AS mn, max(velocity) AS mx
+         FROM sup GROUP BY WTC HAVING COUNT(*) >= 2 AND stddev_samp(velocity) > 0),
+grid AS (SELECT st.WTC, CAST(r.range AS INTEGER) AS point,
+                (mn - 2.0 * bw) + r.range * ((mx + 2.0 * bw) - (mn - 2.0 * bw)) / 99.0 AS x, n, bw
+         FROM st, range(100) r)
+SELECT g.WTC, g.point, round(g.x, 6) AS x,
+       round(SUM(exp(-0.5 * ((g.x - s.velocity) / g.bw) * ((g.x - s.velocity) / g.bw)))
+             / (g.n * g.bw * sqrt(2.0 * pi())), 12) AS density
+FROM grid g JOIN sup s ON s.WTC = g.WTC
+GROUP BY g.WTC, g.point, g.x, g.n, g.bw""", enriched=True)
+
+SQL["density_grid"] = with_roles(f"""
+, pts AS (SELECT longitude AS x, latitude AS y FROM enriched
+          WHERE latitude IS NOT NULL AND NOT isnan(latitude) AND longitude IS NOT NULL AND NOT isnan(longitude)
+            AND {STABLE_FRACTION.format(key='obs_id')} < 0.3),
+st AS (SELECT COUNT(*) AS n, var_samp(x) * pow(COUNT(*), -2.0 / 6.0) AS sxx, var_samp(y) * pow(COUNT(*), -2.0 / 6.0) AS syy,
+              covar_samp(x, y) * pow(COUNT(*), -2.0 / 6.0) AS sxy, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1
+       FROM pts),
+inv AS (SELECT *, sxx * syy - sxy * sxy AS det FROM st),
+w AS (SELECT x, y, CAST(COUNT(*) AS DOUBLE) AS w FROM pts GROUP BY x, y),
+grid AS (SELECT CAST(i.range AS INTEGER) AS ix, CAST(j.range AS INTEGER) AS iy,
+                x0 + i.range * (x1 - x0) / 199.0 AS gx, y0 + j.range * (y1 - y0) / 199.0 AS gy
+         FROM inv, range(200) i, range(200) j WHERE det > 0)
+SELECT ix, iy, round(gx, 6) AS x, round(gy, 6) AS y,
+       round(SUM(w.w * exp(-0.5 * ((syy / det) * (gx - w.x) * (gx - w.x) + (sxx / det) * (gy - w.y) * (gy - w.y)
+                                   - 2.0 * (sxy / det) * (gx - w.x) * (gy - w.y))))
+             / (n * 2.0 * pi() * sqrt(det)), 12) AS density
+FROM grid, w, inv
+GROUP BY ix, iy, gx, gy, n, det""", enriched=True)

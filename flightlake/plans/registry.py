@@ -172,3 +172,27 @@ def q_table_profile(spark, sf_dir):
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return cat.table_profile(spark, list(views)).drop("column_types")
+
+
+# ------------------------------------------------------------------ quantiles and density
+from flightlake.operators import density as dn  # noqa: E402
+from flightlake.operators import quantile as qt  # noqa: E402
+
+
+@register("wtc_speed_quartiles")
+def q_wtc_speed_quartiles(spark, sf_dir):
+    sup = pf.wtc_supported(prepared(spark, sf_dir))
+    res = qt.exact_quantiles(sup, "velocity", [0.25, 0.5, 0.75], group_cols=["WTC"])
+    rows = [(g[0], fx.WTC_ORDER.index(g[0]) if g[0] in fx.WTC_ORDER else None, n,
+             *[round(q, 6) for q in qs]) for g, (n, qs) in res.items()]
+    return spark.createDataFrame(rows, "WTC string, wtc_order int, n long, q25 double, q50 double, q75 double")
+
+
+@register("wtc_speed_density")
+def q_wtc_speed_density(spark, sf_dir):
+    return dn.kde_1d_by_group(pf.wtc_supported(prepared(spark, sf_dir)), "WTC", "velocity")
+
+
+@register("density_grid")
+def q_density_grid(spark, sf_dir):
+    return dn.kde_2d_grid(pf.position_sample(enriched(spark, sf_dir), 0.3, 42), "longitude", "latitude")
