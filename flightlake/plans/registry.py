@@ -196,3 +196,28 @@ def q_wtc_speed_density(spark, sf_dir):
 @register("density_grid")
 def q_density_grid(spark, sf_dir):
     return dn.kde_2d_grid(pf.position_sample(enriched(spark, sf_dir), 0.3, 42), "longitude", "latitude")
+
+
+# ------------------------------------------------------------------ isolation forest
+from flightlake.operators import iforest as isf  # noqa: E402
+
+
+def labelled_observations(spark, sf_dir):
+    return isf.fit_predict(roles.states(spark, sf_dir), keep=("callsign",))
+
+
+@register("iforest_scores")
+def q_iforest_scores(spark, sf_dir):
+    from pyspark.sql import functions as F
+    lab = labelled_observations(spark, sf_dir)
+    return lab.select("obs_id", F.round("score", 6).alias("score"), "anomaly")
+
+
+@register("iforest_anomalies")
+def q_iforest_anomalies(spark, sf_dir):
+    return isf.anomaly_report(labelled_observations(spark, sf_dir))
+
+
+@register("anomaly_map")
+def q_anomaly_map(spark, sf_dir):
+    return isf.anomaly_map(labelled_observations(spark, sf_dir))
