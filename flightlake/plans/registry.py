@@ -221,3 +221,34 @@ def q_iforest_anomalies(spark, sf_dir):
 @register("anomaly_map")
 def q_anomaly_map(spark, sf_dir):
     return isf.anomaly_map(labelled_observations(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ streaming windows
+from flightlake.session import shared_path  # noqa: E402
+from flightlake.streaming import windows as sw  # noqa: E402
+
+
+def run_window_stream(spark, sf_dir):
+    """Land the observations as JSON-lines snapshot files (one folder per day), stream them through
+    the window job with ``availableNow`` and return the written (raw, summary) tables."""
+    from pyspark.sql import functions as F
+    root = shared_path(spark, "window-stream")
+    st = roles.states(spark, sf_dir).withColumn(
+        "day", F.date_format(fx.epoch_to_timestamp_ntz("snapshot_ts"), "yyyy-MM-dd"))
+    snap.write_snapshots(st.select(*sw.RAW_COLUMNS, "day"), f"{root}/landed", partition_col="day")
+    source = snap.read_snapshots(spark, f"{root}/landed", stream=True)
+    q = sw.start_window_job(spark, source, f"{root}/out", f"{root}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return sw.read_window_outputs(spark, f"{root}/out")
+
+
+@register("stream_window_summary")
+def q_stream_window_summary(spark, sf_dir):
+    _, summary = run_window_stream(spark, sf_dir)
+    return summary.select("window_start", "window_end", "n_obs", "unique_aircraft")
+
+
+@register("stream_windows")
+def q_stream_windows(spark, sf_dir):
+    raw, _ = run_window_stream(spark, sf_dir)
+    return raw.select("obs_id", "icao24", "snapshot_ts", "velocity", "window_start", "window_end")
