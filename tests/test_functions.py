@@ -1,0 +1,80 @@
+import math
+
+from pyspark.sql import functions as F
+
+from flightlake.functions import scalar as fx
+
+
+def _eval(spark, values, expr_fn, dtype="double"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {dtype}")
+    return [r[0] for r in df.orderBy("i").select(expr_fn(F.col("v"))).collect()]
+
+
+def test_band_a_edges(spark):
+    vals = [-1.0, 0.0, 3000.0, 3000.1, 10000.0, 30000.0, 60000.0, 60001.0, None, float("nan")]
+    got = _eval(spark, vals, fx.altitude_band_a)
+    assert got == [None, None, "Low (0-3k)", "Climb (3-10k)", "Climb (3-10k)", "Cruise Low (10-30k)",
+                   "High (30k+)", None, None, None]
+
+
+def test_band_b_edges(spark):
+    got = _eval(spark, [0.0, 10000.0, 25000.0, 45000.0, 45001.0, -0.5], fx.altitude_band_b)
+    assert got == ["Low", "Low", "Mid", "High", None, None]
+
+
+def test_vertical_status(spark):
+    climb, level, desc = fx.vertical_status_labels(200)
+    got = _eval(spark, [200.0, 200.1, -200.0, -200.1, None, float("nan")], fx.vertical_status)
+    assert got == [level, climb, level, desc, level, level]
+
+
+def test_climb_ratio_guards(spark):
+    rows = [(0, 0.0, 100.0, 5.0), (1, -3.0, 100.0, 5.0), (2, None, 100.0, 5.0), (3, 10.0, 0.0, 5.0),
+            (4, 10.0, -1.0, 5.0), (5, 10.0, None, 5.0), (6, 10.0, 100.0, -5.0), (7, 10.0, 100.0, None)]
+    df = spark.createDataFrame(rows, "i int, velocity double, baro_altitude double, vertical_rate double")
+    got = [r[0] for r in df.orderBy("i").select(fx.climb_rate_ratio()).collect()]
+    assert got == [None, None, None, None, None, None, 0.5, None]
+
+
+def test_altitude_km(spark):
+    assert _eval(spark, [0.0, -5.0, None, 1500.0], fx.altitude_km) == [None, None, None, 1.5]
+
+
+def test_bad_text_becomes_null(spark):
+    df = spark.createDataFrame([("abc",), ("12.5",), ("2024-01-01T00:00:01",)], "s string")
+    out = df.select(fx.coerce_double("s").alias("d"), fx.text_to_timestamp_ntz("s").alias("t")).collect()
+    assert out[0]["d"] is None and out[0]["t"] is None
+    assert out[1]["d"] == 12.5
+    assert out[2]["t"].isoformat() == "2024-01-01T00:00:01"
+
+
+def test_epoch_roundtrip_is_zone_free(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(1704067207,)], "s long")
+        t = df.select(fx.epoch_to_timestamp_ntz("s").alias("t")).select(
+            "t", fx.epoch_seconds_ntz("t").alias("back")).first()
+        assert t["t"].isoformat() == "2024-01-01T00:00:07" and t["back"] == 1704067207
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_window_key_and_labels(spark):
+    df = spark.createDataFrame([(1704067380,)], "s long")
+    key = df.select(fx.window_key(fx.epoch_to_timestamp_ntz("s"))).first()[0]
+    assert key == "processed/date=2024/01/01/window_raw_20240101T000300.parquet"
+    assert _eval(spark, [1, -1, 0], fx.anomaly_label, "int") == ["Normal", "Anomaly", None]
+
+
+def test_age_and_recency(spark):
+    now = 10_000
+    rows = [(0, now - 539), (1, now - 540), (2, now + 30), (3, None)]
+    df = spark.createDataFrame(rows, "i int, snapshot_ts long")
+    kept = [r["i"] for r in df.filter(fx.age_minutes("snapshot_ts", now) < 9).orderBy("i").collect()]
+    assert kept == [0, 2, 3]
+    assert math.isclose(df.filter("i = 0").select(fx.age_minutes("snapshot_ts", now)).first()[0], 539 / 60)
+
+
+def test_present_key(spark):
+    df = spark.createDataFrame([("a",), ("",), (None,)], "k string")
+    assert [r[0] for r in df.select(fx.is_present_key("k")).collect()] == [True, False, False]
