@@ -87,7 +87,7 @@ def fit(df: DataFrame, features=FEATURES, n_trees: int = 100, max_samples: int =
     data = dropna_any(df.select(id_col, *features), list(features))
     n = data.count()
     if n == 0:
-        return IsolationForestModel(list(features), 0, pd.DataFrame(columns=NODE_SCHEMA.split(", ")))
+        return IsolationForestModel(list(features), 0, pd.DataFrame(columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")]))
     psi = int(min(max_samples, n))
     tau = min(1.0, (4.0 * psi + 64.0) / n)
     height = int(math.ceil(math.log2(max(psi, 2))))
