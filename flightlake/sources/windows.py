@@ -15,7 +15,7 @@ def scan_window_files(spark: SparkSession, root: str, schema=None) -> DataFrame:
 
     Spark's partition discovery turns ``date=YYYY`` into an integer ``date`` column (the year).
     """
-    r = spark.read.option("pathGlobFilter", WINDOW_FILE_GLOB).option("recursiveFileLookup", "false")
+    r = spark.read.option("pathGlobFilter", WINDOW_FILE_GLOB).option("basePath", root)
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(f"{root.rstrip('/')}/date=*/*/*")
