@@ -12,9 +12,12 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flightlake.session import shared_root
+
 ROUND_COORD = 6
 ROUND_DENSITY = 12
 BLOCK = 64
@@ -36,6 +39,14 @@ def kde_2d_grid(df: DataFrame, x_col: str, y_col: str, nx: int = 200, ny: int =
     spark = df.sparkSession
     pts = df.select(F.col(x_col).cast("double").alias("x"), F.col(y_col).cast("double").alias("y")).filter(
         F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
+    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _kde_2d(spark, pts, nx, ny)
+    finally:
+        pts.unpersist()
+
+
+def _kde_2d(spark, pts: DataFrame, nx: int, ny: int) -> DataFrame:
     st = pts.agg(F.count(F.lit(1)).alias("n"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"),
                  F.covar_samp("x", "y").alias("cxy"), F.min("x").alias("x0"), F.max("x").alias("x1"),
                  F.min("y").alias("y0"), F.max("y").alias("y1")).first()
@@ -73,12 +84,13 @@ def kde_2d_grid(df: DataFrame, x_col: str, y_col: str, nx: int = 200, ny: int =
 
     sums = weighted.mapInPandas(partial, "ix int, iy int, s double").groupBy("ix", "iy").agg(F.sum("s").alias("s"))
     norm = n * 2.0 * math.pi * math.sqrt(det)
+    shared_root(spark)
     return sums.select(
         "ix", "iy",
         F.round(F.lit(x0) + F.col("ix") * (F.lit(x1) - F.lit(x0)) / F.lit(float(nx - 1)), ROUND_COORD).alias("x"),
         F.round(F.lit(y0) + F.col("iy") * (F.lit(y1) - F.lit(y0)) / F.lit(float(ny - 1)), ROUND_COORD).alias("y"),
         F.round(F.col("s") / F.lit(norm), ROUND_DENSITY).alias("density"),
-    )
+    ).checkpoint(eager=True)  # nx * ny rows; lets the persisted input go
 
 
 def kde_2d_status(df: DataFrame, x_col: str, y_col: str) -> str:
@@ -99,6 +111,14 @@ def kde_1d_by_group(df: DataFrame, group_col: str, value_col: str, gridsize: int
     spark = df.sparkSession
     vals = df.select(F.col(group_col).alias("g"), F.col(value_col).cast("double").alias("v")).filter(
         F.col("g").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
+    vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _kde_1d(spark, vals, group_col, gridsize, cut)
+    finally:
+        vals.unpersist()
+
+
+def _kde_1d(spark, vals: DataFrame, group_col: str, gridsize: int, cut: float) -> DataFrame:
     stats = vals.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
                                   F.min("v").alias("mn"), F.max("v").alias("mx")).collect()
     groups = {}
@@ -137,5 +157,6 @@ def kde_1d_by_group(df: DataFrame, group_col: str, value_col: str, gridsize: int
     j = sums.join(F.broadcast(meta), "g")
     x = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / F.lit(float(gridsize - 1))
     dens = F.col("s") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2.0 * math.pi)))
+    shared_root(spark)
     return j.select(F.col("g").alias(group_col), "point", F.round(x, ROUND_COORD).alias("x"),
-                    F.round(dens, ROUND_DENSITY).alias("density"))
+                    F.round(dens, ROUND_DENSITY).alias("density")).checkpoint(eager=True)

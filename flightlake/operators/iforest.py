@@ -20,12 +20,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightlake.operators.profiles import dropna_any
 from flightlake.operators.quantile import exact_quantile
 from flightlake.schemas import FEATURES
+from flightlake.session import shared_root
 
 EULER_GAMMA = 0.5772156649
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, size long, depth int"
@@ -82,6 +84,33 @@ class IsolationForestModel:
         return trees
 
 
+def _key(seed: int, tree, id_col: str):
+    """Stable uniform value in [0, 1) from (seed, tree, row id)."""
+    return (F.pmod(F.xxhash64(F.lit(seed), tree, F.col(id_col)), F.lit(1 << 30)).cast("double")
+            / F.lit(float(1 << 30)))
+
+
+def _candidates(data: DataFrame, id_col: str, n: int, psi: int, n_trees: int, seed: int) -> DataFrame:
+    """Rows ``(…, tree, u)``: per-tree candidates with inclusion probability about ``(4 psi + 64) / n``.
+
+    Large tables (``n > n_trees * (4 psi + 64)``): one hash per row decides whether the row is a
+    candidate at all and for which tree (candidate sets of different trees are disjoint), so the
+    cost per row does not depend on the number of trees. Smaller tables: every tree draws its
+    candidates independently, from ``n_trees`` hash expressions evaluated in generated code.
+    """
+    per_tree = min(1.0, (4.0 * psi + 64.0) / n)
+    if per_tree * n_trees < 1.0:
+        p1 = per_tree * n_trees
+        u0 = _key(seed, F.lit(-1), id_col)
+        return (data.filter(u0 < F.lit(p1))
+                .withColumn("tree", F.least(F.floor(u0 / F.lit(p1) * F.lit(n_trees)).cast("int"), F.lit(n_trees - 1)))
+                .withColumn("u", _key(seed, F.col("tree"), id_col)))
+    members = F.array_compact(F.array(*[F.when(_key(seed, F.lit(t), id_col) < F.lit(per_tree), F.lit(t))
+                                        for t in range(n_trees)]))
+    return (data.select("*", F.explode(members).alias("tree"))
+            .withColumn("u", _key(seed, F.col("tree"), id_col)))
+
+
 def fit(df: DataFrame, features=FEATURES, n_trees: int = 100, max_samples: int = 256, seed: int = 42,
         id_col: str = "obs_id") -> IsolationForestModel:
     data = dropna_any(df.select(id_col, *features), list(features))
@@ -89,13 +118,8 @@ def fit(df: DataFrame, features=FEATURES, n_trees: int = 100, max_samples: int =
     if n == 0:
         return IsolationForestModel(list(features), 0, pd.DataFrame(columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")]))
     psi = int(min(max_samples, n))
-    tau = min(1.0, (4.0 * psi + 64.0) / n)
     height = int(math.ceil(math.log2(max(psi, 2))))
-    key = lambda t: (F.pmod(F.xxhash64(F.lit(seed), t, F.col(id_col)), F.lit(1 << 30)).cast("double")
-                     / F.lit(float(1 << 30)))
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: key(t) < F.lit(tau))
-    cand = data.select("*", F.explode(trees).alias("tree")).withColumn("u", key(F.col("tree")))
-    from pyspark.sql import Window
+    cand = _candidates(data, id_col, n, psi, n_trees, seed)
     w = Window.partitionBy("tree").orderBy("u", id_col)
     sample = cand.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= psi).drop("rn", "u")
     feats = list(features)
@@ -157,6 +181,7 @@ def fit_predict(df: DataFrame, features=FEATURES, contamination: float = 0.01, s
                 n_trees: int = 100, max_samples: int = 256, keep=()) -> DataFrame:
     """Fit on the complete rows of ``df``, score them and label them; the scored rows are written to
     the shared checkpoint folder (lineage cut) before the threshold is computed."""
+    shared_root(df.sparkSession)
     model = fit(df, features, n_trees, max_samples, seed)
     scored = score(df, model, keep=keep).checkpoint(eager=True)
     return label(scored, contamination)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from flightlake.plans.joins import has_at_most
 
 BUCKETS = 4096
-FINAL_MAX = 50_000
+FINAL_MAX = 100_000
 MAX_GROUPS = 10_000
 
 
