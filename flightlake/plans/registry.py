@@ -252,3 +252,21 @@ def q_stream_window_summary(spark, sf_dir):
 def q_stream_windows(spark, sf_dir):
     raw, _ = run_window_stream(spark, sf_dir)
     return raw.select("obs_id", "icao24", "snapshot_ts", "velocity", "window_start", "window_end")
+
+
+# ------------------------------------------------------------------ pipeline and table sample
+from flightlake.plans import pipeline as pl  # noqa: E402
+
+
+@register("pipeline_refresh")
+def q_pipeline_refresh(spark, sf_dir):
+    st, af, md = _dims(spark, sf_dir)
+    return pl.refresh(spark, st, af, md, shared_path(spark, "refresh"))
+
+
+@register("enriched_sample")
+def q_enriched_sample(spark, sf_dir):
+    """The analysis sample: first 10,000 enriched rows in a total order (obs_id, type name)."""
+    from pyspark.sql import functions as F
+    e = enriched(spark, sf_dir)
+    return e.orderBy(F.col("obs_id").asc(), F.col("ModelFullName").asc_nulls_first()).limit(10000)
