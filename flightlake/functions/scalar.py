@@ -14,7 +14,7 @@ __all__ = [
     "nan_to_null", "climb_rate_ratio", "altitude_km", "altitude_km_from_geo_feet",
     "altitude_band_a", "altitude_band_b", "vertical_status", "vertical_status_order",
     "coerce_double", "epoch_seconds_ntz", "epoch_to_timestamp", "text_to_timestamp",
-    "text_to_timestamp_ntz", "epoch_to_timestamp_ntz",
+    "text_to_timestamp_ntz", "epoch_to_timestamp_ntz", "epoch_millis_to_timestamp_ntz",
     "iso_text", "hms_text", "window_key", "anomaly_label", "age_minutes", "is_present_key",
     "label_ordinal",
 ]
@@ -121,6 +121,11 @@ def epoch_seconds_ntz(ts) -> Column:
     return F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), _c(ts))
 
 
+def epoch_millis_to_timestamp_ntz(c) -> Column:
+    """Epoch milliseconds (window bounds of the stream engine) -> TIMESTAMP_NTZ, UTC wall-clock."""
+    return F.timestamp_add("MILLISECOND", _c(c), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+
+
 def epoch_to_timestamp(c) -> Column:
     """Epoch seconds -> TIMESTAMP."""
     return F.timestamp_seconds(_c(c))

@@ -25,7 +25,7 @@ from flightlake.functions.scalar import (
     vertical_status,
     vertical_status_labels,
 )
-from flightlake.plans.joins import broadcast_if_bounded
+from flightlake.plans.joins import broadcast_if_bounded, has_at_most
 
 PREPARE_NUMERIC = ["latitude", "longitude", "geo_altitude", "velocity", "vertical_rate"]
 PREPARE_REQUIRED = ["geo_altitude", "velocity", "vertical_rate"]
@@ -45,6 +45,33 @@ def dropna_any(df: DataFrame, cols) -> DataFrame:
     return df.filter(cond)
 
 
+def require_columns(df: DataFrame, cols, operator: str) -> None:
+    """Plan-time guard: fail with a clear message when an input lacks a needed column."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"{operator}: input has no column(s) {missing}; available: {df.columns}")
+
+
+def dense_codes(labels: DataFrame, col: str, code_col: str, max_local_rows: int = CATEGORY_BROADCAST_MAX_ROWS,
+                partitions: int = 64) -> DataFrame:
+    """0-based dense rank of the distinct values of ``col`` in sorted order.
+
+    A label dimension of proven small size is ranked by one window; a larger one by a range-
+    partitioned sort: ranks inside each sorted partition plus the partition's offset (a table of one
+    count per partition), so no task ever holds more than its range.
+    """
+    distinct = labels.select(col).distinct()
+    if has_at_most(distinct, max_local_rows):
+        return distinct.withColumn(code_col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int"))
+    ranged = distinct.repartitionByRange(partitions, col).withColumn("__pid", F.spark_partition_id())
+    ranged = ranged.withColumn("__rn", F.row_number().over(Window.partitionBy("__pid").orderBy(col)))
+    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
+    offsets = counts.withColumn("__off", F.coalesce(
+        F.sum("__c").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (ranged.join(F.broadcast(offsets.select("__pid", "__off")), "__pid")
+            .select(col, (F.col("__off") + F.col("__rn") - 1).cast("int").alias(code_col)))
+
+
 def label_dimension(spark: SparkSession, name: str, labels) -> DataFrame:
     """Small fixed dimension ``(name, <name>_order)`` for explicit category orders."""
     return spark.createDataFrame([(lab, i) for i, lab in enumerate(labels)], f"{name} string, {name}_order int")
@@ -72,7 +99,7 @@ def prepare(df: DataFrame, max_rows: int | None = None, seed: int = 42) -> DataF
     if "alt_band" not in out.columns:
         out = out.withColumn("alt_band", altitude_band_b("geo_altitude"))
     if max_rows is not None:
-        out = out.orderBy(F.xxhash64(F.lit(seed), "obs_id"), "obs_id").limit(max_rows)
+        out = stable_head(out, max_rows, "obs_id", seed)
     return out
 
 
@@ -111,6 +138,7 @@ def altitude_bands(enriched: DataFrame) -> DataFrame:
 
 def vertical_status_counts(prepared: DataFrame, tolerance: float = 200) -> DataFrame:
     """Rows and distinct aircraft per vertical-movement status, in display order."""
+    require_columns(prepared, ["vertical_rate", "icao24"], "vertical_status_counts")
     st = prepared.select(vertical_status("vertical_rate", tolerance).alias("status"), "icao24")
     agg = st.groupBy("status").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -163,6 +191,7 @@ def top_categories(df: DataFrame, col: str, k: int = 4) -> DataFrame:
 
 def envelope_top(prepared: DataFrame, k: int = 4) -> DataFrame:
     """Velocity x geo altitude rows of the ``k`` most frequent aircraft descriptions."""
+    require_columns(prepared, ["Description", "velocity", "geo_altitude"], "envelope_top")
     top = F.broadcast(top_categories(prepared, "Description", k).select("Description"))
     return prepared.join(top, "Description", "left_semi").select("obs_id", "velocity", "geo_altitude", "Description")
 
@@ -171,9 +200,7 @@ def category_codes(enriched: DataFrame) -> DataFrame:
     """0-based code of each description in sorted order, attached to complete rows."""
     rows = dropna_any(enriched.select("obs_id", "velocity", "geo_altitude", "Description"),
                       ["velocity", "geo_altitude", "Description"])
-    labels = rows.select("Description").distinct()
-    codes = labels.withColumn("desc_code", (F.dense_rank().over(Window.orderBy("Description")) - 1).cast("int"))
-    codes, _ = broadcast_if_bounded(codes, CATEGORY_BROADCAST_MAX_ROWS)
+    codes, _ = broadcast_if_bounded(dense_codes(rows, "Description", "desc_code"), CATEGORY_BROADCAST_MAX_ROWS)
     return rows.join(codes, "Description", "inner").select("obs_id", "velocity", "geo_altitude", "Description",
                                                             "desc_code")
 
@@ -230,6 +257,24 @@ def stable_fraction(key_col: str, seed: int = 42):
     return x.cast("double") / F.lit(float(MINSTD_M))
 
 
+def stable_head(df: DataFrame, n: int, key_col: str = "obs_id", seed: int = 42) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows: those with the smallest stable hash of ``key_col`` (ties by key).
+
+    The n-th smallest hash is found with the distributed order statistic of ``operators.quantile``
+    (no single-task top-n), then a filter keeps the rows at or below it.
+    """
+    from flightlake.operators.quantile import kth_smallest
+    h = F.pmod(F.xxhash64(F.lit(seed), F.col(key_col)), F.lit(1 << 52)).cast("double")
+    keyed = df.withColumn("__h", h)
+    t = kth_smallest(keyed, "__h", n - 1)
+    if t is None:
+        return df
+    below = keyed.filter(F.col("__h") < F.lit(t))
+    at = keyed.filter(F.col("__h") == F.lit(t))
+    room = n - below.count()
+    return below.unionByName(at.orderBy(key_col).limit(room)).drop("__h")
+
+
 def hash_sample(df: DataFrame, fraction: float, key_col: str = "obs_id", seed: int = 42) -> DataFrame:
     """Keep rows whose stable fraction is below ``fraction`` (all copies of a key together)."""
     return df.filter(stable_fraction(key_col, seed) < F.lit(float(fraction)))
@@ -244,6 +289,7 @@ def position_sample(enriched: DataFrame, fraction: float = 0.3, seed: int = 42)
 
 def wtc_supported(prepared: DataFrame, min_rows: int = 5) -> DataFrame:
     """Rows whose wake category has at least ``min_rows`` rows, with the display order."""
+    require_columns(prepared, ["WTC"], "wtc_supported")
     counts = prepared.filter(F.col("WTC").isNotNull()).groupBy("WTC").agg(F.count(F.lit(1)).alias("n"))
     ok, _ = broadcast_if_bounded(counts.filter(F.col("n") >= min_rows).select("WTC"), CATEGORY_BROADCAST_MAX_ROWS)
     return (prepared.join(ok, "WTC", "left_semi")

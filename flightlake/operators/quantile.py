@@ -29,7 +29,7 @@ def _targets_frame(spark, group_cols, rows):
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), buckets: int = BUCKETS,
-                    final_max: int = FINAL_MAX) -> dict:
+                    final_max: int = FINAL_MAX, _exact_rank: int | None = None) -> dict:
     """Returns ``{group_tuple: (n, [q for q in probs])}`` (``()`` key without groups).
 
     Null and NaN values are ignored. Group columns are compared as text.
@@ -53,7 +53,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), buckets
         targets = {}  # (gkey, k) -> state dict
         for gkey, (n, mn, mx) in stats.items():
             for p in probs:
-                h = (n - 1) * float(p)
+                h = float(_exact_rank) if _exact_rank is not None else (n - 1) * float(p)
                 for k in {int(math.floor(h)), int(math.ceil(h))}:
                     targets.setdefault((gkey, k), {"lo": mn, "hi": mx, "below": 0, "cnt": n, "value": None})
         for t in targets.values():
@@ -102,7 +102,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), buckets
         for gkey, (n, _, _) in stats.items():
             qs = []
             for p in probs:
-                h = (n - 1) * float(p)
+                h = float(_exact_rank) if _exact_rank is not None else (n - 1) * float(p)
                 lo_k, hi_k = int(math.floor(h)), int(math.ceil(h))
                 a, b_ = targets[(gkey, lo_k)]["value"], targets[(gkey, hi_k)]["value"]
                 qs.append(a + (b_ - a) * (h - lo_k))
@@ -112,6 +112,18 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), buckets
         base.unpersist()
 
 
+def kth_smallest(df: DataFrame, value_col: str, k: int, buckets: int = BUCKETS, final_max: int = FINAL_MAX):
+    """The value of 0-based rank ``k`` (ascending) of ``value_col``; the greatest value when ``k`` is past
+    the end; None when empty."""
+    n = df.filter(F.col(value_col).isNotNull() & ~F.isnan(value_col)).count()
+    if n == 0:
+        return None
+    k = min(max(int(k), 0), n - 1)
+    p = 0.0 if n == 1 else k / (n - 1)
+    res = exact_quantiles(df, value_col, [p], buckets=buckets, final_max=final_max, _exact_rank=k)
+    return res[()][1][0]
+
+
 def exact_quantile(df: DataFrame, value_col: str, p: float, **kw) -> float | None:
     res = exact_quantiles(df, value_col, [p], **kw)
     return res[()][1][0] if () in res else None

@@ -13,8 +13,12 @@ share the watermark, so they close in the same micro-batch and each window is wr
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from flightlake.functions.scalar import age_minutes, epoch_to_timestamp_ntz, is_present_key
 
@@ -22,6 +26,7 @@ WINDOW = "3 minutes"
 GRACE = "10 seconds"
 MAX_AGE_MINUTES = 9.0
 BUCKETS = 16
+log = logging.getLogger("flightlake.streaming")
 RAW_COLUMNS = ["obs_id", "icao24", "callsign", "origin_country", "time_position", "last_contact", "longitude",
                "latitude", "baro_altitude", "on_ground", "velocity", "true_track", "vertical_rate", "geo_altitude",
                "squawk", "spi", "position_source", "snapshot_ts"]
@@ -68,12 +73,23 @@ def window_summary(rows: DataFrame) -> DataFrame:
         F.countDistinct(F.when(is_present_key("icao24"), F.col("icao24"))).alias("unique_aircraft"))
 
 
-def window_sink(out_root: str):
+def log_closed_windows(summary: DataFrame, epoch_id: int) -> None:
+    """Default per-batch callback: one log line with the totals of the windows closed in the batch."""
+    r = summary.agg(F.count(F.lit(1)).alias("windows"), F.sum("n_obs").alias("obs"),
+                    F.min("window_start").alias("first"), F.max("window_end").alias("last")).first()
+    if r["windows"]:
+        log.info("batch %s closed %s window(s) [%s, %s): %s observations", epoch_id, r["windows"], r["first"],
+                 r["last"], r["obs"])
+
+
+def window_sink(out_root: str, on_closed: Callable[[DataFrame, int], None] | None = log_closed_windows):
     """foreachBatch function writing raw rows and summaries of the windows closed in a batch.
 
     Each micro-batch writes under ``batch_id=<epoch>`` with overwrite: Spark replays a failed
     batch with the same epoch and the same rows, so a replay replaces its own output exactly
     (no duplicate, no loss). Inside a batch, rows are partitioned by the window's UTC date.
+    ``on_closed(summary, epoch_id)`` runs after both writes, on the written summary (e.g. a log
+    line, or a downstream refresh).
     """
     out_root = out_root.rstrip("/")
 
@@ -86,17 +102,47 @@ def window_sink(out_root: str):
              .parquet(f"{out_root}/summary/batch_id={epoch_id}"))
         finally:
             rows.unpersist()
+        if on_closed is not None:
+            on_closed(batch.sparkSession.read.parquet(f"{out_root}/summary/batch_id={epoch_id}"), epoch_id)
 
     return write
 
 
+class ProgressLogger(StreamingQueryListener):
+    """Logs a progress line each time another ``every_rows`` input records have been processed."""
+
+    def __init__(self, every_rows: int = 1000):
+        super().__init__()
+        self.every_rows = every_rows
+        self.total = 0
+        self.reported = 0
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.total += int(p.numInputRows or 0)
+        if self.total // self.every_rows > self.reported:
+            self.reported = self.total // self.every_rows
+            log.info("query %s: %s records processed (batch %s, watermark %s)", p.name or p.id, self.total,
+                     p.batchId, (p.eventTime or {}).get("watermark"))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def start_window_job(spark: SparkSession, source: DataFrame, out_root: str, checkpoint: str,
                      available_now: bool = True, max_age_minutes: float | None = None, now=None,
-                     buckets: int = BUCKETS, window: str = WINDOW, grace: str = GRACE):
+                     buckets: int = BUCKETS, window: str = WINDOW, grace: str = GRACE,
+                     on_closed: Callable[[DataFrame, int], None] | None = log_closed_windows):
     """Start the streaming window job; returns the ``StreamingQuery``."""
     obs = source if max_age_minutes is None else recent_only(source, max_age_minutes, now)
     agg = windowed_rows(obs, window, grace, buckets)
-    w = (agg.writeStream.outputMode("append").foreachBatch(window_sink(out_root))
+    w = (agg.writeStream.outputMode("append").foreachBatch(window_sink(out_root, on_closed))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

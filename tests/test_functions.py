@@ -78,3 +78,8 @@ def test_age_and_recency(spark):
 def test_present_key(spark):
     df = spark.createDataFrame([("a",), ("",), (None,)], "k string")
     assert [r[0] for r in df.select(fx.is_present_key("k")).collect()] == [True, False, False]
+
+
+def test_epoch_millis(spark):
+    df = spark.createDataFrame([(1704067380123,)], "ms long")
+    assert df.select(fx.epoch_millis_to_timestamp_ntz("ms")).first()[0].isoformat() == "2024-01-01T00:03:00.123000"

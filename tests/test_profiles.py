@@ -86,3 +86,26 @@ def test_wtc_min_support(spark):
     df = spark.createDataFrame(rows, "obs_id long, velocity double, WTC string")
     got = pf.wtc_supported(df).select("WTC", "wtc_order").distinct().collect()
     assert [(r.WTC, r.wtc_order) for r in got] == [("Heavy", 0)]
+
+
+def test_dense_codes_distributed_path(spark):
+    df = spark.createDataFrame([(f"k{i:04d}",) for i in range(300)] * 2, "Description string")
+    small = {r.Description: r.c for r in pf.dense_codes(df, "Description", "c").collect()}
+    big = {r.Description: r.c for r in pf.dense_codes(df, "Description", "c", max_local_rows=10,
+                                                        partitions=7).collect()}
+    assert small == big == {f"k{i:04d}": i for i in range(300)}
+
+
+def test_stable_head_exact_size(spark):
+    df = spark.range(5000).withColumnRenamed("id", "obs_id")
+    a = pf.stable_head(df, 123)
+    assert a.count() == 123
+    assert {r.obs_id for r in a.collect()} == {r.obs_id for r in pf.stable_head(df.repartition(9), 123).collect()}
+    assert pf.stable_head(df, 10_000).count() == 5000
+
+
+def test_missing_column_guard(spark):
+    import pytest
+    df = frame(spark, [(0, 1.0, 1.0, "a")]).drop("Description")
+    with pytest.raises(ValueError, match="Description"):
+        pf.envelope_top(df)

@@ -61,3 +61,22 @@ def test_recency_filter_in_stream(spark, tmpdir_path):
     q.awaitTermination()
     _, summary = sw.read_window_outputs(spark, f"{tmpdir_path}/out")
     assert sorted((r.window_start - base, r.n_obs) for r in summary.collect()) == [(540, 2)]
+
+
+def test_callback_and_progress_listener(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    base = 1_704_067_200
+    drop(src, "a.json", [base + s for s in [1, 2, 3, 200, 400]])
+    seen = []
+    listener = sw.ProgressLogger(every_rows=2)
+    spark.streams.addListener(listener)
+    try:
+        source = snapshots.read_snapshots(spark, src, stream=True)
+        q = sw.start_window_job(spark, source, f"{tmpdir_path}/out", f"{tmpdir_path}/ckpt", available_now=True,
+                                on_closed=lambda summary, epoch: seen.extend(
+                                    (r.window_start - base, r.n_obs) for r in summary.collect()))
+        q.awaitTermination()
+    finally:
+        spark.streams.removeListener(listener)
+    assert sorted(seen) == [(0, 3), (180, 1)]
