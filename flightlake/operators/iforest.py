@@ -96,7 +96,7 @@ def _candidates(data: DataFrame, id_col: str, n: int, psi: int, n_trees: int, se
     Large tables (``n > n_trees * (4 psi + 64)``): one hash per row decides whether the row is a
     candidate at all and for which tree (candidate sets of different trees are disjoint), so the
     cost per row does not depend on the number of trees. Smaller tables: every tree draws its
-    candidates independently, from ``n_trees`` hash expressions evaluated in generated code.
+    candidates independently (rows x trees generated and filtered inside generated code).
     """
     per_tree = min(1.0, (4.0 * psi + 64.0) / n)
     if per_tree * n_trees < 1.0:
@@ -105,9 +105,8 @@ def _candidates(data: DataFrame, id_col: str, n: int, psi: int, n_trees: int, se
         return (data.filter(u0 < F.lit(p1))
                 .withColumn("tree", F.least(F.floor(u0 / F.lit(p1) * F.lit(n_trees)).cast("int"), F.lit(n_trees - 1)))
                 .withColumn("u", _key(seed, F.col("tree"), id_col)))
-    members = F.array_compact(F.array(*[F.when(_key(seed, F.lit(t), id_col) < F.lit(per_tree), F.lit(t))
-                                        for t in range(n_trees)]))
-    return (data.select("*", F.explode(members).alias("tree"))
+    return (data.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
+            .filter(_key(seed, F.col("tree"), id_col) < F.lit(per_tree))
             .withColumn("u", _key(seed, F.col("tree"), id_col)))
 
 
@@ -143,6 +142,9 @@ def score(df: DataFrame, model: IsolationForestModel, id_col: str = "obs_id", ke
     spark = df.sparkSession
     feats = model.features
     data = dropna_any(df.select(id_col, *keep, *feats), feats)
+    par = spark.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < par:  # few input splits (small files): spread the Python work
+        data = data.repartition(par)
     btrees = spark.sparkContext.broadcast(model.arrays())
     cpsi = float(c_factor([model.psi])[0]) if model.psi > 1 else 1.0
     out_schema = T.StructType(list(data.schema.fields) + [T.StructField("score", T.DoubleType())])
