@@ -190,12 +190,14 @@ def fit_predict(df: DataFrame, features=FEATURES, contamination: float = 0.01, s
 
 
 def anomaly_report(labelled: DataFrame) -> DataFrame:
-    """Anomalous rows with their callsign, plus the found / total counts of the run."""
-    counts = labelled.agg(F.sum((F.col("anomaly") == -1).cast("long")).alias("n_found"),
-                          F.count(F.lit(1)).alias("n_total"))
+    """Anomalous rows with their callsign, plus the found / total counts of the run (two scalars
+    from one aggregate)."""
+    c = labelled.agg(F.sum((F.col("anomaly") == -1).cast("long")).alias("n_found"),
+                     F.count(F.lit(1)).alias("n_total")).first()
     return (labelled.filter(F.col("anomaly") == -1)
-            .join(F.broadcast(counts.withColumn("__k", F.lit(1))), F.lit(1) == F.col("__k"), "inner")
-            .select("obs_id", "callsign", F.round("score", 6).alias("score"), "anomaly", "n_found", "n_total"))
+            .select("obs_id", "callsign", F.round("score", 6).alias("score"), "anomaly",
+                    F.lit(int(c["n_found"] or 0)).cast("long").alias("n_found"),
+                    F.lit(int(c["n_total"])).cast("long").alias("n_total")))
 
 
 def anomaly_map(labelled: DataFrame) -> DataFrame:

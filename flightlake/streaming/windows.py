@@ -6,8 +6,9 @@ raw rows and a per-window summary (observations, unique aircraft), each written
 micro-batch's epoch id, so a replayed micro-batch rewrites its own output instead of duplicating it.
 
 The reference keys every record to one constant key, so one worker holds every window. Here the
-group key adds ``bucket = pmod(xxhash64(obs_id, icao24, snapshot_ts), buckets)``: a window (even one
-holding a third of all rows) is spread over ``buckets`` state partitions. All buckets of a window
+group key adds ``bucket = pmod(xxhash64(obs_id, icao24, snapshot_ts), buckets)`` (default: the
+session's shuffle partitions): a window, even one holding a third of all rows, is spread over that
+many state partitions. All buckets of a window
 share the watermark, so they close in the same micro-batch and each window is written whole.
 """
 
@@ -25,7 +26,7 @@ from flightlake.functions.scalar import age_minutes, epoch_to_timestamp_ntz, is_
 WINDOW = "3 minutes"
 GRACE = "10 seconds"
 MAX_AGE_MINUTES = 9.0
-BUCKETS = 16
+BUCKETS = None  # default: spark.sql.shuffle.partitions, so one window spreads over every state partition
 log = logging.getLogger("flightlake.streaming")
 RAW_COLUMNS = ["obs_id", "icao24", "callsign", "origin_country", "time_position", "last_contact", "longitude",
                "latitude", "baro_altitude", "on_ground", "velocity", "true_track", "vertical_rate", "geo_altitude",
@@ -40,7 +41,7 @@ def recent_only(obs: DataFrame, max_age_minutes: float = MAX_AGE_MINUTES, now=No
     return obs.filter(age_minutes("snapshot_ts", now) < F.lit(float(max_age_minutes)))
 
 
-def windowed_rows(obs: DataFrame, window: str = WINDOW, grace: str = GRACE, buckets: int = BUCKETS,
+def windowed_rows(obs: DataFrame, window: str = WINDOW, grace: str = GRACE, buckets: int | None = BUCKETS,
                   event_time: str | None = None) -> DataFrame:
     """Streaming aggregate: one row per (window, bucket) with the list of its observations.
 
@@ -48,6 +49,8 @@ def windowed_rows(obs: DataFrame, window: str = WINDOW, grace: str = GRACE, buck
     stamp ``snapshot_ts`` as a timestamp.
     """
     cols = [c for c in RAW_COLUMNS if c in obs.columns]
+    if buckets is None:
+        buckets = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     et = F.col(event_time) if event_time else F.timestamp_seconds("snapshot_ts")
     s = obs.withColumn("__event_time", et).withWatermark("__event_time", grace)
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in ("obs_id", "icao24", "snapshot_ts") if c in cols]),
@@ -137,7 +140,7 @@ class ProgressLogger(StreamingQueryListener):
 
 def start_window_job(spark: SparkSession, source: DataFrame, out_root: str, checkpoint: str,
                      available_now: bool = True, max_age_minutes: float | None = None, now=None,
-                     buckets: int = BUCKETS, window: str = WINDOW, grace: str = GRACE,
+                     buckets: int | None = BUCKETS, window: str = WINDOW, grace: str = GRACE,
                      on_closed: Callable[[DataFrame, int], None] | None = log_closed_windows):
     """Start the streaming window job; returns the ``StreamingQuery``."""
     obs = source if max_age_minutes is None else recent_only(source, max_age_minutes, now)

@@ -1,0 +1,14 @@
+from flightlake.plans import pipeline, roles
+from flightlake.session import shared_path
+from conftest import SF001
+
+
+def test_refresh_writes_every_output(spark):
+    st, af, md = roles.states(spark, SF001), roles.airframes(spark, SF001), roles.models(spark, SF001)
+    out = {r.output: r.rows for r in pipeline.refresh(spark, st, af, md, shared_path(spark, "t-refresh")).collect()}
+    assert out["enriched_aircraft_states"] > st.count()
+    assert out["latest_window"] >= 1 and out["window_anomaly_scores"] >= 1
+    assert out["altitude_band_counts"] == 4 and out["speed_histogram"] == 30
+    assert out["position_density"] == 40000
+    assert set(out) >= {"coverage", "window_anomalies", "anomaly_map", "envelope_rows", "vertical_status",
+                        "category_profile", "category_radar", "flagged_anomalies", "statistical_anomalies"}
