@@ -29,16 +29,22 @@ def _partitions(spark, n_points: int) -> int:
     return int(max(1, min(4 * par, math.ceil(n_points / POINTS_PER_TASK))))
 
 
-def kde_2d_grid(df: DataFrame, x_col: str, y_col: str, nx: int = 200, ny: int = 200) -> DataFrame:
+def kde_2d_grid(df: DataFrame, x_col: str, y_col: str, nx: int = 200, ny: int = 200,
+                bin_size: float | None = None) -> DataFrame:
     """Density of (x, y) on an ``nx`` x ``ny`` grid spanning the data range (ends included).
 
-    Returns ``(ix, iy, x, y, density)``; empty when there are no points, or when the covariance is
-    singular (constant or collinear coordinates) - then ``reason`` explains why via the schema-
-    compatible empty result of ``kde_2d_status``.
+    Returns ``(ix, iy, x, y, density)``; empty when there are no points or when the covariance is
+    singular (constant or collinear coordinates); ``kde_2d_status`` gives the reason. ``bin_size``
+    (off by default) switches to an approximate mode for very large samples.
     """
     spark = df.sparkSession
     pts = df.select(F.col(x_col).cast("double").alias("x"), F.col(y_col).cast("double").alias("y")).filter(
         F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
+    if bin_size:
+        # approximate mode for very large samples: snap points to a fine lattice, so the kernel work
+        # is bounded by the number of occupied lattice cells (error at most bin_size / 2 per axis)
+        pts = pts.select(*[(F.round(F.col(c) / F.lit(float(bin_size))) * F.lit(float(bin_size))).alias(c)
+                           for c in ("x", "y")])
     pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _kde_2d(spark, pts, nx, ny)

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark import StorageLevel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -181,11 +182,20 @@ def label(scored: DataFrame, contamination: float = 0.01) -> DataFrame:
 
 def fit_predict(df: DataFrame, features=FEATURES, contamination: float = 0.01, seed: int = 42,
                 n_trees: int = 100, max_samples: int = 256, keep=()) -> DataFrame:
-    """Fit on the complete rows of ``df``, score them and label them; the scored rows are written to
-    the shared checkpoint folder (lineage cut) before the threshold is computed."""
-    shared_root(df.sparkSession)
-    model = fit(df, features, n_trees, max_samples, seed)
-    scored = score(df, model, keep=keep).checkpoint(eager=True)
+    """Fit on the complete rows of ``df``, score them and label them.
+
+    The feature projection is persisted once (count, subsampling and scoring all read it, so the
+    upstream joins run once); the scored rows are checkpointed to the shared folder (lineage cut)
+    before the threshold pass.
+    """
+    spark = df.sparkSession
+    shared_root(spark)
+    data = dropna_any(df.select("obs_id", *keep, *features), list(features)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = fit(data, features, n_trees, max_samples, seed)
+        scored = score(data, model, keep=keep).checkpoint(eager=True)
+    finally:
+        data.unpersist()
     return label(scored, contamination)
 
 

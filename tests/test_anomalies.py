@@ -42,3 +42,14 @@ def test_peer_anomalies(spark):
                                      "baro_altitude double")
     out = an.peer_anomalies(df).collect()
     assert [r.obs_id for r in out] == [99] and out[0].z_altitude is None
+
+
+def test_hot_aircraft_third_of_rows(spark):
+    rnd = random.Random(11)
+    rows = [(i, "hot" if i % 3 == 0 else f"a{i % 17}", rnd.randrange(0, 20000), float(rnd.random()))
+            for i in range(1500)]
+    df = spark.createDataFrame(rows, "obs_id long, icao24 string, snapshot_ts long, velocity double")
+    got = an.previous_reading(df, "icao24", "snapshot_ts", "obs_id", ["velocity"], chunk_seconds=600)
+    w = Window.partitionBy("icao24").orderBy("snapshot_ts", "obs_id")
+    ref = {r.obs_id: r.pv for r in df.select("obs_id", F.lag("velocity").over(w).alias("pv")).collect()}
+    assert {r.obs_id: r.prev_velocity for r in got.collect()} == ref

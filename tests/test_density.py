@@ -56,3 +56,13 @@ def test_kde1_matches_numpy(spark):
     # integrates to about one
     heavy = sorted((r.x, r.density) for r in got if r.WTC == "Heavy")
     assert abs(np.trapezoid([d for _, d in heavy], [x for x, _ in heavy]) - 1) < 0.05
+
+
+def test_kde2_binned_close_to_exact(spark):
+    rng = np.random.default_rng(9)
+    pts = [(float(a), float(b)) for a, b in rng.normal(0, 5, (400, 2))]
+    df = spark.createDataFrame(pts, "lon double, lat double")
+    exact = {(r.ix, r.iy): r.density for r in dn.kde_2d_grid(df, "lon", "lat", 10, 10).collect()}
+    approx = {(r.ix, r.iy): r.density for r in dn.kde_2d_grid(df, "lon", "lat", 10, 10, bin_size=0.01).collect()}
+    peak = max(exact.values())
+    assert max(abs(exact[k] - approx[k]) for k in exact) < 0.01 * peak
