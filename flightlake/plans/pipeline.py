@@ -53,3 +53,30 @@ def refresh(spark: SparkSession, states: DataFrame, airframes: DataFrame, models
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def newest_window_rows(raw: DataFrame) -> DataFrame:
+    """Rows of the newest closed window written by the streaming window job (greatest
+    ``window_end``, found by a one-row aggregate and matched by equality)."""
+    latest = raw.agg(F.max("window_end").alias("__latest"))
+    return raw.join(F.broadcast(latest), raw["window_end"] == F.col("__latest"), "left_semi")
+
+
+def refresh_from_windows(spark: SparkSession, window_out_root: str, airframes: DataFrame, models: DataFrame,
+                         out_root: str) -> DataFrame:
+    """Load stage fed by the stream: newest closed window -> enrich -> anomalies for that window.
+
+    Returns one row per written output: ``(output, rows)``.
+    """
+    from flightlake.streaming.windows import read_window_outputs
+    raw, _ = read_window_outputs(spark, window_out_root)
+    window = newest_window_rows(raw).withColumn("date", F.year(F.col("time_position")))
+    out_root = out_root.rstrip("/")
+    enriched_path, scores_path = f"{out_root}/enriched_aircraft_states", f"{out_root}/window_anomaly_scores"
+    write_table(en.enrich(window, airframes, models), enriched_path)
+    write_table(isf.fit_predict(window, keep=("callsign",)), scores_path)
+    write_table(isf.anomaly_report(spark.read.parquet(scores_path)), f"{out_root}/window_anomalies")
+    parts = [spark.read.parquet(f"{out_root}/{n}").agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(n).alias("output"), "rows") for n in ("enriched_aircraft_states", "window_anomaly_scores",
+                                                    "window_anomalies")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

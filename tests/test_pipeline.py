@@ -12,3 +12,24 @@ def test_refresh_writes_every_output(spark):
     assert out["position_density"] == 40000
     assert set(out) >= {"coverage", "window_anomalies", "anomaly_map", "envelope_rows", "vertical_status",
                         "category_profile", "category_radar", "flagged_anomalies", "statistical_anomalies"}
+
+
+def test_refresh_from_stream_output(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    from flightlake.functions import scalar as fx
+    from flightlake.sources import snapshots
+    from flightlake.streaming import windows as sw
+    st = roles.states(spark, SF001)
+    st = st.withColumn("day", F.date_format(fx.epoch_to_timestamp_ntz("snapshot_ts"), "yyyy-MM-dd"))
+    snapshots.write_snapshots(st.select(*sw.RAW_COLUMNS, "day"), f"{tmpdir_path}/landed", partition_col="day")
+    q = sw.start_window_job(spark, snapshots.read_snapshots(spark, f"{tmpdir_path}/landed", stream=True),
+                            f"{tmpdir_path}/win", f"{tmpdir_path}/ckpt", available_now=True)
+    q.awaitTermination()
+    raw, _ = sw.read_window_outputs(spark, f"{tmpdir_path}/win")
+    newest = raw.agg(F.max("window_end")).first()[0]
+    n_newest = raw.filter(F.col("window_end") == newest).count()
+    out = {r.output: r.rows for r in pipeline.refresh_from_windows(
+        spark, f"{tmpdir_path}/win", roles.airframes(spark, SF001), roles.models(spark, SF001),
+        f"{tmpdir_path}/refresh").collect()}
+    assert out["enriched_aircraft_states"] >= n_newest >= 1
