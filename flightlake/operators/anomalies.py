@@ -39,12 +39,12 @@ def previous_reading(df: DataFrame, key: str, ts: str, tiebreak: str, cols: list
     for c in tracked:
         d = d.withColumn(f"__lag_{c}", F.lag(c).over(w))
     d = d.withColumn("__first", F.row_number().over(w) == 1)
-    last = (d.groupBy(key, "__chunk")
-            .agg(F.max(F.struct(F.col(ts).alias("__o1"), F.col(tiebreak).alias("__o2"),
-                                *[F.col(c).alias(f"__v_{c}") for c in tracked])).alias("__last")))
-    wc = Window.partitionBy(key).orderBy("__chunk")
+    d = d.withColumn("__last", F.lead(F.lit(1)).over(w).isNull())  # same window: no extra shuffle
+    last = d.filter("__last").select(key, "__chunk", F.struct(*[F.col(c).alias(f"__v_{c}") for c in tracked])
+                                     .alias("__last"))
+    wc = Window.partitionBy(key).orderBy("__chunk")  # one row per (key, chunk)
     prev_chunk = last.select(key, "__chunk", F.lag("__last").over(wc).alias("__prev_last"))
-    d = d.join(prev_chunk, [key, "__chunk"], "left")
+    d = d.drop("__last").join(prev_chunk, [key, "__chunk"], "left")
     present = is_present_key(key)
     for c in tracked:
         v = F.when(F.col("__first"), F.col(f"__prev_last.__v_{c}")).otherwise(F.col(f"__lag_{c}"))

@@ -114,8 +114,7 @@ def coverage_distinct(states: DataFrame, airframes: DataFrame, models: DataFrame
     j = join_airframes(obs, af, airframe_columns=["icao24", "has_af", "typecode", "icaoaircrafttype"])
     lookup = type_lookup(airframes, models, type_columns=[])
     j = join_types(j, lookup, salt_source=F.xxhash64("obs_id"))
-    per_obs = j.groupBy("obs_id").agg(
-        F.first("icao24").alias("icao24"),
+    per_obs = j.groupBy("obs_id", "icao24").agg(  # icao24 depends on obs_id; keeps a hash aggregate
         F.max(F.col("has_af").cast("int")).alias("has_af"),
         F.max(F.col("Designator").isNotNull().cast("int")).alias("has_type"),
     )

@@ -110,8 +110,10 @@ def band_counts(df: DataFrame, band_col_expr, labels, name: str = "alt_band") ->
     spark = df.sparkSession
     counts = (df.select(band_col_expr.alias(name)).filter(F.col(name).isNotNull())
               .groupBy(name).agg(F.count(F.lit(1)).alias("n")))
-    dim = F.broadcast(label_dimension(spark, name, labels))
-    return (dim.join(counts, name, "left")
+    # counts has at most len(labels) rows (grouped on a label), so it is the broadcast side of a
+    # right outer join that keeps every label of the dimension
+    dim = label_dimension(spark, name, labels)
+    return (F.broadcast(counts).join(dim, name, "right")
             .select(name, f"{name}_order", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
             .orderBy(F.desc("n"), f"{name}_order"))
 
@@ -169,7 +171,8 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     b = F.least(F.floor((F.col("v") - F.lit(lo)) / width * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
     counts = vals.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     dim = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (F.broadcast(dim).join(counts, "bin", "left").select(
+    # at most ``bins`` count rows: broadcast them, keep every bin of the dimension
+    return (F.broadcast(counts).join(dim, "bin", "right").select(
         "bin",
         F.round(F.lit(lo) + F.col("bin") * (F.lit(hi) - F.lit(lo)) / F.lit(float(bins)), ROUND).alias("bin_lo"),
         F.round(F.lit(lo) + (F.col("bin") + 1) * (F.lit(hi) - F.lit(lo)) / F.lit(float(bins)), ROUND).alias("bin_hi"),
