@@ -8,6 +8,9 @@ reference) or from ``foreachBatch`` after windows close.
 
 from __future__ import annotations
 
+import logging
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,8 @@ from flightlake.operators import iforest as isf
 from flightlake.operators import profiles as pf
 from flightlake.sources.windows import write_table
 
+log = logging.getLogger("flightlake.pipeline")
+
 
 def refresh(spark: SparkSession, states: DataFrame, airframes: DataFrame, models: DataFrame,
             out_root: str) -> DataFrame:
@@ -25,13 +30,15 @@ def refresh(spark: SparkSession, states: DataFrame, airframes: DataFrame, models
     out_root = out_root.rstrip("/")
     written = {}
 
-    def put(name: str, df: DataFrame) -> DataFrame:
+    def put(name: str, df: DataFrame, spread: bool = False) -> DataFrame:
         path = f"{out_root}/{name}"
-        write_table(df, path)
+        t0 = time.time()
+        write_table(df, path, spread=spread)
+        log.info("refresh: wrote %s in %.2f s", name, time.time() - t0)
         written[name] = path
         return spark.read.parquet(path)
 
-    enriched = put("enriched_aircraft_states", en.enrich(states, airframes, models))
+    enriched = put("enriched_aircraft_states", en.enrich(states, airframes, models), spread=True)
     put("coverage", en.coverage_distinct(states, airframes, models))
     latest = put("latest_window", en.latest_window_frame(states, airframes, models))
     labelled = put("window_anomaly_scores", isf.fit_predict(latest, keep=("callsign",)))

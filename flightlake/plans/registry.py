@@ -8,9 +8,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from flightlake.functions import scalar as fx
+from flightlake.operators import anomalies as an
+from flightlake.operators import density as dn
 from flightlake.operators import enrich as en
+from flightlake.operators import iforest as isf
+from flightlake.operators import profiles as pf
+from flightlake.operators import quantile as qt
+from flightlake.plans import pipeline as pl
 from flightlake.plans import roles
+from flightlake.session import shared_path
+from flightlake.sources import catalog as cat
+from flightlake.sources import snapshots as snap
+from flightlake.streaming import windows as sw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -52,7 +64,6 @@ def q_latest_window(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ profiles
-from flightlake.operators import profiles as pf  # noqa: E402
 
 
 def prepared(spark, sf_dir):
@@ -117,10 +128,6 @@ def q_prepared_frame(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ anomalies, windows, ingest, catalog
-from flightlake.functions import scalar as fx  # noqa: E402
-from flightlake.operators import anomalies as an  # noqa: E402
-from flightlake.sources import catalog as cat  # noqa: E402
-from flightlake.sources import snapshots as snap  # noqa: E402
 
 
 @register("flagged_anomalies")
@@ -135,7 +142,6 @@ def q_peer_anomalies(spark, sf_dir):
 
 @register("window_summary")
 def q_window_summary(spark, sf_dir):
-    from pyspark.sql import functions as F
     st = roles.states(spark, sf_dir)
     return st.groupBy("window_start", "window_end").agg(
         F.count(F.lit(1)).alias("n_obs"),
@@ -150,7 +156,6 @@ def q_window_raw(spark, sf_dir):
 
 @register("recent_only")
 def q_recent_only(spark, sf_dir):
-    from pyspark.sql import functions as F
     st = roles.states(spark, sf_dir)
     now = st.agg(F.max("snapshot_ts")).first()[0]
     age = fx.age_minutes("snapshot_ts", now)
@@ -175,8 +180,6 @@ def q_table_profile(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ quantiles and density
-from flightlake.operators import density as dn  # noqa: E402
-from flightlake.operators import quantile as qt  # noqa: E402
 
 
 @register("wtc_speed_quartiles")
@@ -199,7 +202,6 @@ def q_density_grid(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ isolation forest
-from flightlake.operators import iforest as isf  # noqa: E402
 
 
 def labelled_observations(spark, sf_dir):
@@ -208,7 +210,6 @@ def labelled_observations(spark, sf_dir):
 
 @register("iforest_scores")
 def q_iforest_scores(spark, sf_dir):
-    from pyspark.sql import functions as F
     lab = labelled_observations(spark, sf_dir)
     return lab.select("obs_id", F.round("score", 6).alias("score"), "anomaly")
 
@@ -224,14 +225,11 @@ def q_anomaly_map(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ streaming windows
-from flightlake.session import shared_path  # noqa: E402
-from flightlake.streaming import windows as sw  # noqa: E402
 
 
 def run_window_stream(spark, sf_dir):
     """Land the observations as JSON-lines snapshot files (one folder per day), stream them through
     the window job with ``availableNow`` and return the written (raw, summary) tables."""
-    from pyspark.sql import functions as F
     root = shared_path(spark, "window-stream")
     st = roles.states(spark, sf_dir).withColumn(
         "day", F.date_format(fx.epoch_to_timestamp_ntz("snapshot_ts"), "yyyy-MM-dd"))
@@ -255,7 +253,6 @@ def q_stream_windows(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ pipeline and table sample
-from flightlake.plans import pipeline as pl  # noqa: E402
 
 
 @register("pipeline_refresh")
@@ -267,6 +264,5 @@ def q_pipeline_refresh(spark, sf_dir):
 @register("enriched_sample")
 def q_enriched_sample(spark, sf_dir):
     """The analysis sample: first 10,000 enriched rows in a total order (obs_id, type name)."""
-    from pyspark.sql import functions as F
     e = enriched(spark, sf_dir)
     return e.orderBy(F.col("obs_id").asc(), F.col("ModelFullName").asc_nulls_first()).limit(10000)

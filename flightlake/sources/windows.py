@@ -40,8 +40,14 @@ def read_models_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(AIRCRAFT_TYPE).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def write_table(df: DataFrame, path: str, partition_cols=None) -> None:
-    """Replace-table sink: overwrite a Parquet table (optionally partitioned)."""
+def write_table(df: DataFrame, path: str, partition_cols=None, spread: bool = False) -> None:
+    """Replace-table sink: overwrite a Parquet table (optionally partitioned).
+
+    ``spread``: for a large table computed from fewer partitions than the cluster's parallelism
+    (small input files), write it from every core instead of one task.
+    """
+    if spread and df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism:
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     w = df.write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
