@@ -4,7 +4,7 @@ Sub-packages:
   sources    readers and writers (JSON snapshots, window Parquet, CSV dimensions, catalog)
   functions  column expressions (ratios, bands, status, coercion, time formats)
   operators  DataFrame -> DataFrame analytics (enrichment, profiles, anomalies, density, forest)
-  plans      join helpers, role views over the driver tables, pipeline, query registry
+  plans      join helpers, role views over the driver tables, refresh job, query registry
   streaming  Structured Streaming windows and the window-file sink
 """
 

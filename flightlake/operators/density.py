@@ -124,9 +124,16 @@ def kde_1d_by_group(df: DataFrame, group_col: str, value_col: str, gridsize: int
         vals.unpersist()
 
 
+MAX_GROUPS = 10_000
+
+
 def _kde_1d(spark, vals: DataFrame, group_col: str, gridsize: int, cut: float) -> DataFrame:
-    stats = vals.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
-                                  F.min("v").alias("mn"), F.max("v").alias("mx")).collect()
+    from flightlake.plans.joins import has_at_most
+    stats_df = vals.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
+                                     F.min("v").alias("mn"), F.max("v").alias("mx"))
+    if not has_at_most(stats_df, MAX_GROUPS):
+        raise ValueError(f"kde_1d_by_group: more than {MAX_GROUPS} groups")
+    stats = stats_df.collect()
     groups = {}
     for r in stats:
         if r["n"] >= 2 and r["sd"] and r["sd"] > 0:

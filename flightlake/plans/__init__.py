@@ -1 +1 @@
-"""Plans: role views over the driver tables, join helpers, pipeline and the query registry."""
+"""Plans: role views over the driver tables, join helpers, refresh job and the query registry."""

@@ -21,7 +21,7 @@ from flightlake.operators import iforest as isf
 from flightlake.operators import profiles as pf
 from flightlake.sources.windows import write_table
 
-log = logging.getLogger("flightlake.pipeline")
+log = logging.getLogger("flightlake.refresh")
 
 
 def refresh(spark: SparkSession, states: DataFrame, airframes: DataFrame, models: DataFrame,

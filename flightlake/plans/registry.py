@@ -17,7 +17,7 @@ from flightlake.operators import enrich as en
 from flightlake.operators import iforest as isf
 from flightlake.operators import profiles as pf
 from flightlake.operators import quantile as qt
-from flightlake.plans import pipeline as pl
+from flightlake.plans import refresh as rf
 from flightlake.plans import roles
 from flightlake.session import shared_path
 from flightlake.sources import catalog as cat
@@ -252,13 +252,13 @@ def q_stream_windows(spark, sf_dir):
     return raw.select("obs_id", "icao24", "snapshot_ts", "velocity", "window_start", "window_end")
 
 
-# ------------------------------------------------------------------ pipeline and table sample
+# ------------------------------------------------------------------ refresh job and table sample
 
 
-@register("pipeline_refresh")
-def q_pipeline_refresh(spark, sf_dir):
+@register("full_refresh")
+def q_full_refresh(spark, sf_dir):
     st, af, md = _dims(spark, sf_dir)
-    return pl.refresh(spark, st, af, md, shared_path(spark, "refresh"))
+    return rf.refresh(spark, st, af, md, shared_path(spark, "refresh"))
 
 
 @register("enriched_sample")

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from conftest import SF001
 
 # queries whose construction runs Spark jobs and writes files (checked by other tests)
-EAGER = {"stream_window_summary", "stream_windows", "pipeline_refresh"}
+EAGER = {"stream_window_summary", "stream_windows", "full_refresh"}
 QUERIES = {k: v for k, v in entry.queries().items() if k not in EAGER}
 
 

@@ -1,11 +1,11 @@
-from flightlake.plans import pipeline, roles
+from flightlake.plans import refresh, roles
 from flightlake.session import shared_path
 from conftest import SF001
 
 
 def test_refresh_writes_every_output(spark):
     st, af, md = roles.states(spark, SF001), roles.airframes(spark, SF001), roles.models(spark, SF001)
-    out = {r.output: r.rows for r in pipeline.refresh(spark, st, af, md, shared_path(spark, "t-refresh")).collect()}
+    out = {r.output: r.rows for r in refresh.refresh(spark, st, af, md, shared_path(spark, "t-refresh")).collect()}
     assert out["enriched_aircraft_states"] > st.count()
     assert out["latest_window"] >= 1 and out["window_anomaly_scores"] >= 1
     assert out["altitude_band_counts"] == 4 and out["speed_histogram"] == 30
@@ -29,7 +29,18 @@ def test_refresh_from_stream_output(spark, tmpdir_path):
     raw, _ = sw.read_window_outputs(spark, f"{tmpdir_path}/win")
     newest = raw.agg(F.max("window_end")).first()[0]
     n_newest = raw.filter(F.col("window_end") == newest).count()
-    out = {r.output: r.rows for r in pipeline.refresh_from_windows(
+    out = {r.output: r.rows for r in refresh.refresh_from_windows(
         spark, f"{tmpdir_path}/win", roles.airframes(spark, SF001), roles.models(spark, SF001),
         f"{tmpdir_path}/refresh").collect()}
     assert out["enriched_aircraft_states"] >= n_newest >= 1
+
+
+def test_cli_inspect(tmpdir_path, capsys):
+    import subprocess
+    import sys
+    import os
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "flightlake", "inspect", "--table",
+                          f"events={SF001}/events.parquet"], cwd=repo, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "events\trows=1000" in out.stdout
