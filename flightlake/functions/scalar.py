@@ -32,6 +32,13 @@ LEVEL_TOLERANCE = 200
 WTC_ORDER = ["Heavy", "Medium", "Light"]
 # Feet -> km factor used by the fallback altitude column.
 FEET_TO_KM = 0.0003048
+# Labels of the forest's output: 1 is normal, -1 is an anomaly.
+NORMAL_LABEL = "Normal"
+ANOMALY_LABEL = "Anomaly"
+# Window file key, built from the window end: prefix/date=YYYY/MM/DD/window_raw_YYYYMMDDTHHMMSS.parquet
+WINDOW_FILE_PREFIX = "processed"
+WINDOW_FILE_DATE_FORMAT = "yyyy/MM/dd"
+WINDOW_FILE_STAMP_FORMAT = "yyyyMMdd'T'HHmmss"
 # ---- end of fixed values ----
 
 
@@ -155,17 +162,17 @@ def hms_text(c) -> Column:
     return F.date_format(_c(c), "HH:mm:ss")
 
 
-def window_key(window_end, prefix: str = "processed") -> Column:
+def window_key(window_end, prefix: str = WINDOW_FILE_PREFIX) -> Column:
     """Object key of a window file, built from the window end: date=YYYY/MM/DD/window_raw_YYYYMMDDTHHMMSS.parquet."""
     we = _c(window_end)
     return F.format_string("%s/date=%s/window_raw_%s.parquet", F.lit(prefix),
-                           F.date_format(we, "yyyy/MM/dd"), F.date_format(we, "yyyyMMdd'T'HHmmss"))
+                           F.date_format(we, WINDOW_FILE_DATE_FORMAT), F.date_format(we, WINDOW_FILE_STAMP_FORMAT))
 
 
 def anomaly_label(label="anomaly") -> Column:
     """1 -> Normal, -1 -> Anomaly."""
     c = _c(label)
-    return F.when(c == -1, F.lit("Anomaly")).when(c == 1, F.lit("Normal"))
+    return F.when(c == -1, F.lit(ANOMALY_LABEL)).when(c == 1, F.lit(NORMAL_LABEL))
 
 
 def age_minutes(snapshot_ts="snapshot_ts", now: Column | int | None = None) -> Column:

@@ -30,6 +30,12 @@ from flightlake.operators.quantile import exact_quantile
 from flightlake.schemas import FEATURES
 from flightlake.session import shared_root
 
+# ---- fixed values (the reference's model settings and the library defaults it relies on) ----
+N_TREES = 100
+MAX_SAMPLES = 256
+CONTAMINATION = 0.01
+SEED = 42
+# ---- end of fixed values ----
 EULER_GAMMA = 0.5772156649
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, size long, depth int"
 
@@ -111,7 +117,7 @@ def _candidates(data: DataFrame, id_col: str, n: int, psi: int, n_trees: int, se
             .withColumn("u", _key(seed, F.col("tree"), id_col)))
 
 
-def fit(df: DataFrame, features=FEATURES, n_trees: int = 100, max_samples: int = 256, seed: int = 42,
+def fit(df: DataFrame, features=FEATURES, n_trees: int = N_TREES, max_samples: int = MAX_SAMPLES, seed: int = SEED,
         id_col: str = "obs_id") -> IsolationForestModel:
     data = dropna_any(df.select(id_col, *features), list(features))
     n = data.count()
@@ -171,7 +177,7 @@ def score(df: DataFrame, model: IsolationForestModel, id_col: str = "obs_id", ke
     return data.mapInPandas(apply, out_schema)
 
 
-def label(scored: DataFrame, contamination: float = 0.01) -> DataFrame:
+def label(scored: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
     """Adds ``anomaly``: -1 when -score is strictly below the contamination quantile, else 1."""
     neg = scored.select((-F.col("score")).alias("neg_score"))
     offset = exact_quantile(neg, "neg_score", contamination)
@@ -180,8 +186,8 @@ def label(scored: DataFrame, contamination: float = 0.01) -> DataFrame:
     return scored.withColumn("anomaly", F.when(-F.col("score") < F.lit(offset), F.lit(-1)).otherwise(F.lit(1)))
 
 
-def fit_predict(df: DataFrame, features=FEATURES, contamination: float = 0.01, seed: int = 42,
-                n_trees: int = 100, max_samples: int = 256, keep=()) -> DataFrame:
+def fit_predict(df: DataFrame, features=FEATURES, contamination: float = CONTAMINATION, seed: int = SEED,
+                n_trees: int = N_TREES, max_samples: int = MAX_SAMPLES, keep=()) -> DataFrame:
     """Fit on the complete rows of ``df``, score them and label them.
 
     The feature projection is persisted once (count, subsampling and scoring all read it, so the

@@ -27,7 +27,7 @@ OBSERVATION = T.StructType([
     T.StructField("obs_id", T.LongType()),
 ])
 
-# Raw API field names and the observation names they are landed under (fixed values).
+# ---- fixed values: raw API field names and the observation names they are landed under ----
 API_RENAMES = {
     "icao24": "icao24",
     "callsign": "callsign",
@@ -47,6 +47,7 @@ API_RENAMES = {
     "spi": "spi",
     "position_source": "position_source",
 }
+# ---- end of fixed values ----
 
 AIRFRAME = T.StructType([
     T.StructField(name, T.StringType())

@@ -23,9 +23,11 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from flightlake.functions.scalar import age_minutes, epoch_to_timestamp_ntz, is_present_key
 
-WINDOW = "3 minutes"
-GRACE = "10 seconds"
-MAX_AGE_MINUTES = 9.0
+# ---- fixed values (must equal the reference's stream settings) ----
+WINDOW = "3 minutes"      # tumbling window length
+GRACE = "10 seconds"      # lateness allowed after a window's end
+MAX_AGE_MINUTES = 9.0     # records this old or older are dropped before windowing
+# ---- end of fixed values ----
 BUCKETS = None  # default: spark.sql.shuffle.partitions, so one window spreads over every state partition
 log = logging.getLogger("flightlake.streaming")
 RAW_COLUMNS = ["obs_id", "icao24", "callsign", "origin_country", "time_position", "last_contact", "longitude",
