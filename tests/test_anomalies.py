@@ -53,3 +53,18 @@ def test_hot_aircraft_third_of_rows(spark):
     w = Window.partitionBy("icao24").orderBy("snapshot_ts", "obs_id")
     ref = {r.obs_id: r.pv for r in df.select("obs_id", F.lag("velocity").over(w).alias("pv")).collect()}
     assert {r.obs_id: r.prev_velocity for r in got.collect()} == ref
+
+
+def test_hot_aircraft_is_spread_over_tasks(spark):
+    # one aircraft holds a third of all rows, over ten hours of readings
+    rows = [(i, "hot" if i % 3 == 0 else f"a{i % 50}", (i * 7) % 36000, 1.0) for i in range(6000)]
+    df = spark.createDataFrame(rows, "obs_id long, icao24 string, snapshot_ts long, velocity double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = an.previous_reading(df, "icao24", "snapshot_ts", "obs_id", ["velocity"], chunk_seconds=3600)
+        per_task = (got.filter(F.col("icao24") == "hot").groupBy(F.spark_partition_id().alias("p")).count()
+                    .collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(per_task) >= 4  # the hot aircraft's ten hourly chunks land in several tasks
+    assert max(r["count"] for r in per_task) < 2000

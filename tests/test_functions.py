@@ -63,6 +63,7 @@ def test_window_key_and_labels(spark):
     df = spark.createDataFrame([(1704067380,)], "s long")
     key = df.select(fx.window_key(fx.epoch_to_timestamp_ntz("s"))).first()[0]
     assert key == "processed/date=2024/01/01/window_raw_20240101T000300.parquet"
+    assert df.select(fx.hms_text(fx.epoch_to_timestamp_ntz("s"))).first()[0] == "00:03:00"
     assert _eval(spark, [1, -1, 0], fx.anomaly_label, "int") == ["Normal", "Anomaly", None]
 
 
