@@ -59,3 +59,29 @@ def shared_root(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder (one per call)."""
     return f"{shared_root(spark)}/flightlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, executor_cores: int = 1000 * 8, partition_bytes: int = 128 << 20) -> dict:
+    """Settings for a cluster run sized from the bytes the jobs read.
+
+    * shuffle partitions: enough that each holds about ``partition_bytes`` of the input (and at least
+      two per core); AQE then coalesces small ones at runtime, so over-provisioning is cheap while
+      under-provisioning spills;
+    * scan splits of 256 MB, AQE advisory size ``partition_bytes``;
+    * skew join: a partition five times the median and above 256 MB is split;
+    * streaming state in RocksDB (spills to local disk instead of holding all state on the heap).
+    """
+    shuffle = max(2 * executor_cores, -(-int(input_bytes) // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -84,3 +84,10 @@ def test_present_key(spark):
 def test_epoch_millis(spark):
     df = spark.createDataFrame([(1704067380123,)], "ms long")
     assert df.select(fx.epoch_millis_to_timestamp_ntz("ms")).first()[0].isoformat() == "2024-01-01T00:03:00.123000"
+
+
+def test_cluster_conf_sizes_shuffle_from_input():
+    from flightlake.session import cluster_conf
+    c = cluster_conf(100 * (1 << 40))  # 100 TiB
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (128 << 20)
+    assert int(cluster_conf(1 << 30, executor_cores=8)["spark.sql.shuffle.partitions"]) == 16
