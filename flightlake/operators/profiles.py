@@ -20,6 +20,7 @@ from flightlake.functions.scalar import (
     altitude_km_from_geo_feet,
     coerce_double,
     epoch_to_timestamp_ntz,
+    hms_text,
     is_present_key,
     label_ordinal,
     vertical_status,
@@ -150,6 +151,16 @@ def vertical_status_counts(prepared: DataFrame, tolerance: float = 200) -> DataF
             .select("status", "status_order", "n_rows", "n_aircraft").orderBy("status_order"))
 
 
+def snapshot_time_label(prepared: DataFrame) -> str:
+    """HH:MM:SS (UTC) of the earliest poll in the frame, or 'N/A' when there is none (the chart title
+    of the vertical-movement distribution; the earliest poll makes it deterministic)."""
+    first = prepared.agg(F.min("snapshot_ts").alias("t")).first()["t"]
+    if first is None:
+        return "N/A"
+    return prepared.sparkSession.range(1).select(
+        hms_text(epoch_to_timestamp_ntz(F.lit(int(first))))).first()[0]
+
+
 # ---------------------------------------------------------------- histogram (A16)
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:

@@ -109,3 +109,9 @@ def test_missing_column_guard(spark):
     df = frame(spark, [(0, 1.0, 1.0, "a")]).drop("Description")
     with pytest.raises(ValueError, match="Description"):
         pf.envelope_top(df)
+
+
+def test_snapshot_time_label(spark):
+    df = spark.createDataFrame([(1704067387,), (1704067207,)], "snapshot_ts long")
+    assert pf.snapshot_time_label(df) == "00:00:07"
+    assert pf.snapshot_time_label(df.filter(F.lit(False))) == "N/A"
