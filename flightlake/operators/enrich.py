@@ -76,14 +76,17 @@ def join_types(with_airframe: DataFrame, lookup: DataFrame,
     return out.drop("__lk_tc", "__lk_it")
 
 
-def enrich(states: DataFrame, airframes: DataFrame, models: DataFrame, **kw) -> DataFrame:
-    """Enriched observations: 17 observation columns, 5 airframe, 4 type, 2 derived."""
+def enrich(states: DataFrame, airframes: DataFrame, models: DataFrame,
+           airframe_broadcast_max_rows: int = AIRFRAME_BROADCAST_MAX_ROWS,
+           lookup_broadcast_max_rows: int = LOOKUP_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Enriched observations: 17 observation columns, 5 airframe, 4 type, 2 derived.
+
+    The two bounds decide when a dimension side may be broadcast (0 forces the shuffle paths).
+    """
     obs = states.select(*ENRICHED_OBSERVATION_COLUMNS)
-    j1 = join_airframes(obs, airframes, broadcast_max_rows=kw.get("airframe_broadcast_max_rows",
-                                                                   AIRFRAME_BROADCAST_MAX_ROWS))
+    j1 = join_airframes(obs, airframes, broadcast_max_rows=airframe_broadcast_max_rows)
     lookup = type_lookup(airframes, models)
-    j2 = join_types(j1, lookup, broadcast_max_rows=kw.get("lookup_broadcast_max_rows", LOOKUP_BROADCAST_MAX_ROWS),
-                    salt_source=F.xxhash64("obs_id"))
+    j2 = join_types(j1, lookup, broadcast_max_rows=lookup_broadcast_max_rows, salt_source=F.xxhash64("obs_id"))
     return j2.select(
         *[c for c in ENRICHED_COLUMNS if c not in ("climb_rate_ratio", "altitude_km")],
         climb_rate_ratio().alias("climb_rate_ratio"),
