@@ -144,8 +144,16 @@ def text_to_timestamp(c) -> Column:
 
 
 def text_to_timestamp_ntz(c) -> Column:
-    """ISO text -> TIMESTAMP_NTZ (no time-zone shift); unparsable text becomes null."""
-    return _c(c).try_cast("timestamp_ntz")
+    """ISO text -> TIMESTAMP_NTZ holding the UTC wall-clock; unparsable text becomes null.
+
+    Text with an explicit offset (``+02:00``, ``Z``) is read as an instant and shifted to UTC;
+    text without one is taken as UTC wall-clock. Neither path depends on the session time zone.
+    """
+    c = _c(c)
+    has_offset = c.rlike(r"(Z|[+-][0-9]{2}:?[0-9]{2})$")
+    instant_utc = F.timestamp_add("MICROSECOND", F.unix_micros(c.try_cast("timestamp")),
+                                  F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return F.when(has_offset, instant_utc).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def epoch_to_timestamp_ntz(c) -> Column:

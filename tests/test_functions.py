@@ -91,3 +91,15 @@ def test_cluster_conf_sizes_shuffle_from_input():
     c = cluster_conf(100 * (1 << 40))  # 100 TiB
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (128 << 20)
     assert int(cluster_conf(1 << 30, executor_cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_iso_text_with_offsets_is_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-01-01T00:00:07.179575+00:00",), ("2024-01-01T02:00:07+02:00",),
+                                    ("2024-01-01T00:00:07Z",), ("2024-01-01T00:00:07",), ("nope",)], "s string")
+        got = [r[0] for r in df.select(fx.text_to_timestamp_ntz("s")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [g.isoformat() if g else None for g in got] == [
+        "2024-01-01T00:00:07.179575", "2024-01-01T00:00:07", "2024-01-01T00:00:07", "2024-01-01T00:00:07", None]
