@@ -1,7 +1,7 @@
 """Command line: the stream job, the refresh fed by its output, and catalog inspection.
 
   python -m flightlake stream  --source DIR --out DIR --checkpoint DIR [--once] [--max-age-minutes 9]
-  python -m flightlake refresh --windows DIR --airframes CSV --models CSV --out DIR
+  python -m flightlake refresh (--windows DIR | --window-files DIR) --airframes CSV --models CSV --out DIR
   python -m flightlake inspect --table NAME=PATH [--table ...] [--preview 10]
 """
 
@@ -22,7 +22,9 @@ def main(argv=None) -> int:
     s.add_argument("--once", action="store_true", help="process what is there and stop (availableNow)")
     s.add_argument("--max-age-minutes", type=float, default=9.0)
     r = sub.add_parser("refresh", help="newest closed window -> enrichment -> anomalies")
-    r.add_argument("--windows", required=True)
+    src = r.add_mutually_exclusive_group(required=True)
+    src.add_argument("--windows", help="output folder of the stream command")
+    src.add_argument("--window-files", help="root of date=YYYY/MM/DD/window_raw_*.parquet files")
     r.add_argument("--airframes", required=True)
     r.add_argument("--models", required=True)
     r.add_argument("--out", required=True)
@@ -45,8 +47,11 @@ def main(argv=None) -> int:
     elif args.cmd == "refresh":
         from flightlake.plans import refresh as rf
         from flightlake.sources import windows
-        out = rf.refresh_from_windows(spark, args.windows, windows.read_airframes_csv(spark, args.airframes),
-                                            windows.read_models_csv(spark, args.models), args.out)
+        af, md = windows.read_airframes_csv(spark, args.airframes), windows.read_models_csv(spark, args.models)
+        if args.windows:
+            out = rf.refresh_from_windows(spark, args.windows, af, md, args.out)
+        else:
+            out = rf.refresh_from_window_files(spark, args.window_files, af, md, args.out)
         for row in out.collect():
             print(f"{row.output}\t{row.rows}")
     else:

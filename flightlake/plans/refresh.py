@@ -69,21 +69,37 @@ def newest_window_rows(raw: DataFrame) -> DataFrame:
     return raw.join(F.broadcast(latest), raw["window_end"] == F.col("__latest"), "left_semi")
 
 
+def refresh_window(spark: SparkSession, window: DataFrame, airframes: DataFrame, models: DataFrame,
+                   out_root: str) -> DataFrame:
+    """Enrichment and anomalies for one window's observations; one row per written output."""
+    out_root = out_root.rstrip("/")
+    names = ("enriched_aircraft_states", "window_anomaly_scores", "window_anomalies")
+    write_table(en.enrich(window, airframes, models), f"{out_root}/{names[0]}")
+    write_table(isf.fit_predict(window, keep=("callsign",)), f"{out_root}/{names[1]}")
+    write_table(isf.anomaly_report(spark.read.parquet(f"{out_root}/{names[1]}")), f"{out_root}/{names[2]}")
+    parts = [spark.read.parquet(f"{out_root}/{n}").agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(n).alias("output"), "rows") for n in names]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def refresh_from_windows(spark: SparkSession, window_out_root: str, airframes: DataFrame, models: DataFrame,
                          out_root: str) -> DataFrame:
-    """Load stage fed by the stream: newest closed window -> enrich -> anomalies for that window.
-
-    Returns one row per written output: ``(output, rows)``.
-    """
+    """Load stage fed by the stream: newest closed window written by the window job -> enrichment
+    and anomalies for that window. Returns one row per written output: ``(output, rows)``."""
     from flightlake.streaming.windows import read_window_outputs
     raw, _ = read_window_outputs(spark, window_out_root)
     window = newest_window_rows(raw).withColumn("date", F.year(F.col("time_position")))
-    out_root = out_root.rstrip("/")
-    enriched_path, scores_path = f"{out_root}/enriched_aircraft_states", f"{out_root}/window_anomaly_scores"
-    write_table(en.enrich(window, airframes, models), enriched_path)
-    write_table(isf.fit_predict(window, keep=("callsign",)), scores_path)
-    write_table(isf.anomaly_report(spark.read.parquet(scores_path)), f"{out_root}/window_anomalies")
-    parts = [spark.read.parquet(f"{out_root}/{n}").agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit(n).alias("output"), "rows") for n in ("enriched_aircraft_states", "window_anomaly_scores",
-                                                    "window_anomalies")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return refresh_window(spark, window, airframes, models, out_root)
+
+
+def refresh_from_window_files(spark: SparkSession, files_root: str, airframes: DataFrame, models: DataFrame,
+                              out_root: str) -> DataFrame:
+    """Load stage over window files in the ``date=YYYY/MM/DD/window_raw_*.parquet`` layout: the
+    file with the greatest path is the newest window; it is loaded (keeping ``date``), normalised
+    and refreshed like a stream-written window."""
+    from flightlake.sources import windows as wf
+    latest = wf.latest_window_file(spark, files_root).first()["file_path"]
+    if latest is None:
+        raise ValueError(f"no window files under {files_root}")
+    window = wf.observations_from_window_files(wf.load_window_file(spark, files_root, latest))
+    return refresh_window(spark, window, airframes, models, out_root)

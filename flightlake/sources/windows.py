@@ -32,6 +32,44 @@ def load_window_file(spark: SparkSession, root: str, path: str) -> DataFrame:
     return spark.read.option("basePath", root).parquet(path)
 
 
+def observations_from_window_files(df: DataFrame) -> DataFrame:
+    """Window-file rows (as written by a pandas writer: ISO text times, naive window bounds) in the
+    shape of the ``states`` view: typed times, NaN -> null, window bounds as epoch seconds, a stable
+    ``obs_id`` when the files carry none."""
+    from flightlake.functions.scalar import epoch_seconds_ntz, nan_to_null, text_to_timestamp_ntz
+    from flightlake.schemas import OBSERVATION
+    out = df
+    dtypes = dict(out.dtypes)
+    # conform to the observation schema: absent fields become typed nulls, all-null ("void") or
+    # differently typed columns are cast; time fields may arrive as ISO text or as timestamps
+    for f in OBSERVATION.fields:
+        if f.name == "obs_id":
+            continue
+        if f.name in ("time_position", "last_contact"):
+            if f.name not in dtypes or dtypes[f.name] == "void":
+                out = out.withColumn(f.name, F.lit(None).cast("timestamp_ntz"))
+            elif dtypes[f.name] == "string":
+                out = out.withColumn(f.name, text_to_timestamp_ntz(f.name))
+            else:
+                out = out.withColumn(f.name, F.col(f.name).cast("timestamp_ntz"))
+        elif f.name not in dtypes:
+            out = out.withColumn(f.name, F.lit(None).cast(f.dataType))
+        elif dtypes[f.name] != f.dataType.simpleString():
+            out = out.withColumn(f.name, F.col(f.name).try_cast(f.dataType))
+    dtypes = dict(out.dtypes)
+    for c, t in dtypes.items():
+        if t in ("double", "float"):
+            out = out.withColumn(c, nan_to_null(c))
+    for c in ("window_start", "window_end"):
+        if c in dtypes and dtypes[c].startswith("timestamp"):
+            out = out.withColumn(c, epoch_seconds_ntz(F.col(c).cast("timestamp_ntz")))
+    if "obs_id" not in dtypes:
+        out = out.withColumn("obs_id", F.xxhash64(*[F.col(c) for c in ("icao24", "snapshot_ts", "time_position",
+                                                                          "last_contact", "longitude", "latitude")
+                                                     if c in dtypes]))
+    return out
+
+
 def read_airframes_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(AIRFRAME).option("header", True).option("mode", "PERMISSIVE").csv(path)
 

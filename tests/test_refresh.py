@@ -44,3 +44,38 @@ def test_cli_inspect(tmpdir_path, capsys):
                           f"events={SF001}/events.parquet"], cwd=repo, capture_output=True, text=True, timeout=300)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "events\trows=1000" in out.stdout
+
+
+def test_cli_refresh_from_window_files(tmpdir_path):
+    import datetime as dt
+    import os
+    import subprocess
+    import sys
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    root = os.path.join(tmpdir_path, "processed")
+    for day, stamp, n in (("2025/12/31", "20251231T235700", 3), ("2026/01/01", "20260101T000300", 40)):
+        os.makedirs(os.path.join(root, f"date={day}"))
+        end = dt.datetime.strptime(stamp, "%Y%m%dT%H%M%S")
+        cols = {"icao24": [f"k{i % 7}" for i in range(n)], "callsign": [f"C{i}" for i in range(n)],
+                "time_position": [end.isoformat()] * n, "last_contact": [end.isoformat()] * n,
+                "latitude": [float(i) for i in range(n)], "longitude": [float(-i) for i in range(n)],
+                "baro_altitude": [1000.0 + i for i in range(n)], "geo_altitude": [1000.0 + i for i in range(n)],
+                "velocity": [100.0 + i for i in range(n)], "vertical_rate": [float(i % 5) for i in range(n)],
+                "snapshot_ts": [int(end.timestamp())] * n,
+                "window_start": pa.array([end - dt.timedelta(minutes=3)] * n, pa.timestamp("us")),
+                "window_end": pa.array([end] * n, pa.timestamp("us"))}
+        pq.write_table(pa.table(cols), os.path.join(root, f"date={day}", f"window_raw_{stamp}.parquet"))
+    with open(os.path.join(tmpdir_path, "af.csv"), "w") as fh:
+        fh.write("icao24,registration,model,typecode,icaoaircrafttype,operator,operatoricao\\nk1,R,M,T1,,O,OI\\n")
+    with open(os.path.join(tmpdir_path, "md.csv"), "w") as fh:
+        fh.write("Designator,ModelFullName,AircraftDescription,Description,WTC\\nT1,Type One,L,D1,M\\n")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "flightlake", "refresh", "--window-files", root,
+                          "--airframes", os.path.join(tmpdir_path, "af.csv"),
+                          "--models", os.path.join(tmpdir_path, "md.csv"), "--out", os.path.join(tmpdir_path, "o")],
+                         cwd=repo, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-3000:]
+    got = dict(line.split("\t") for line in out.stdout.strip().splitlines())
+    assert got["enriched_aircraft_states"] == "40" and got["window_anomaly_scores"] == "40"

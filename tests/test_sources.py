@@ -71,3 +71,40 @@ def test_catalog(spark):
     assert prof.row_count == 150 and prof.column_count == 7
     assert "airframes_t" in catalog.list_tables(spark)
     assert catalog.preview(spark, "airframes_t", 3).count() == 3
+
+
+def test_pandas_written_window_files(spark, tmpdir_path):
+    import datetime as dt
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from flightlake.operators import enrich as en
+    root = os.path.join(tmpdir_path, "processed")
+    path = os.path.join(root, "date=2026/01/01")
+    os.makedirs(path)
+    start, end = dt.datetime(2026, 1, 1, 0, 0), dt.datetime(2026, 1, 1, 0, 3)
+    table = pa.table({
+        "icao24": ["a", "b"], "callsign": ["X1", None], "origin_country": ["c", "c"],
+        "time_position": ["2026-01-01T00:01:00+00:00", None], "last_contact": ["2026-01-01T00:01:00+00:00", None],
+        "longitude": [1.0, float("nan")], "latitude": [2.0, 3.0], "baro_altitude": [1000.0, 2000.0],
+        "on_ground": [False, False], "velocity": [100.0, 0.0], "true_track": [1.0, 2.0],
+        "vertical_rate": [5.0, -5.0], "geo_altitude": [1100.0, 2100.0], "squawk": ["0042", None],
+        "spi": [False, False], "position_source": [0, 0], "snapshot_ts": [1767225660, 1767225660],
+        "window_start": pa.array([start, start], pa.timestamp("us")),
+        "window_end": pa.array([end, end], pa.timestamp("us")),
+    })
+    pq.write_table(table, os.path.join(path, "window_raw_20260101T000300.parquet"))
+    obs = windows.observations_from_window_files(
+        windows.load_window_file(spark, root, windows.latest_window_file(spark, root).first()["file_path"]))
+    rows = {r.icao24: r for r in obs.collect()}
+    assert rows["a"].time_position.isoformat() == "2026-01-01T00:01:00" and rows["b"].longitude is None
+    assert rows["a"].window_end == 1767225780 and rows["a"].date == 2026 and rows["a"].obs_id != rows["b"].obs_id
+    af = spark.createDataFrame([("a", "R", "M", "T1", None, "O", "OI")],
+                               "icao24 string, registration string, model string, typecode string, "
+                               "icaoaircrafttype string, operator string, operatoricao string")
+    md = spark.createDataFrame([("T1", "Type One", "L", "D1", "Medium")],
+                               "Designator string, ModelFullName string, AircraftDescription string, "
+                               "Description string, WTC string")
+    e = {r.icao24: r for r in en.enrich(obs, af, md).collect()}
+    assert e["a"].Description == "D1" and e["b"].Description is None and e["a"].climb_rate_ratio == 0.05
