@@ -20,7 +20,7 @@ from flightlake.plans.joins import has_at_most
 
 BUCKETS = 4096
 FINAL_MAX = 100_000
-MAX_GROUPS = 10_000
+MAX_GROUPS = 10_000  # above this many groups the sort-based path is used
 
 
 def _targets_frame(spark, group_cols, rows):
@@ -32,7 +32,8 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), buckets
                     final_max: int = FINAL_MAX, _exact_rank: int | None = None) -> dict:
     """Returns ``{group_tuple: (n, [q for q in probs])}`` (``()`` key without groups).
 
-    Null and NaN values are ignored. Group columns are compared as text.
+    Null and NaN values are ignored. Group columns are compared as text. Up to ``MAX_GROUPS``
+    groups use histogram refinement; more groups use one range-partitioned sort.
     """
     user_groups = list(group_cols)
     # without groups, one constant group key keeps every step an equi-join
@@ -47,7 +48,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), buckets
         stats_df = base.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
                                                  F.max("v").alias("mx"))
         if not has_at_most(stats_df, MAX_GROUPS):
-            raise ValueError(f"exact_quantiles: more than {MAX_GROUPS} groups")
+            rows = _quantiles_by_sort(base, group_cols, stats_df, probs).collect()
+            return {tuple(r[g] for g in user_groups) if user_groups else (): (r["n"], list(r["qs"]))
+                    for r in rows}
         stats = {tuple(r[g] for g in group_cols): (r["n"], r["mn"], r["mx"]) for r in stats_df.collect()}
         # one target per (group, needed rank)
         targets = {}  # (gkey, k) -> state dict
@@ -112,6 +115,51 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), buckets
         base.unpersist()
 
 
+def _quantiles_by_sort(base: DataFrame, group_cols, stats_df: DataFrame, probs) -> DataFrame:
+    """Exact quantiles for many groups: ``(groups…, n, qs)``.
+
+    Rows are range-partitioned and sorted on (group, value), so a large group spans many tasks. Each
+    row's rank inside its group is its position within the partition (a monotonically increasing
+    id, frozen by a checkpoint) plus the number of the group's rows in earlier partitions (a small
+    per-(partition, group) summary). Only the rows at the needed ranks are kept and interpolated.
+    """
+    from pyspark.sql import Window
+    from flightlake.session import shared_root
+
+    spark = base.sparkSession
+    shared_root(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (base.repartitionByRange(parts, *group_cols, "v").sortWithinPartitions(*group_cols, "v")
+              .withColumn("__pid", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    summ = ranged.groupBy("__pid", *group_cols).agg(F.count(F.lit(1)).alias("__c"), F.min("__id").alias("__id0"))
+    w = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0)))
+    ranked = ranged.join(summ.select("__pid", *group_cols, "__off", "__id0"), ["__pid", *group_cols]).select(
+        *group_cols, "v", (F.col("__off") + F.col("__id") - F.col("__id0")).alias("__rank"))
+    # needed ranks per group: floor and ceil of (n - 1) * p for every p
+    hs = F.array(*[(F.col("n") - 1).cast("double") * F.lit(float(p)) for p in probs])
+    need = stats_df.select(*group_cols, "n", hs.alias("hs"))
+    wanted = need.select(*group_cols, F.explode(F.array_union(
+        F.transform("hs", lambda h: F.floor(h)), F.transform("hs", lambda h: F.ceil(h)))).alias("__rank"))
+    hits = ranked.join(wanted, [*group_cols, "__rank"], "left_semi")
+    by_group = hits.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "v"))).alias("m"))
+    j = need.join(by_group, group_cols)
+    qs = F.transform("hs", lambda h: F.element_at("m", F.floor(h)) + (
+        F.element_at("m", F.ceil(h)) - F.element_at("m", F.floor(h))) * (h - F.floor(h)))
+    return j.select(*group_cols, "n", qs.alias("qs"))
+
+
+def exact_quantiles_frame(df: DataFrame, value_col: str, probs, group_cols) -> DataFrame:
+    """Exact per-group quantiles as a DataFrame ``(groups…, n, qs)`` (sort-based path; nothing is
+    gathered on the driver, suited to any number of groups)."""
+    group_cols = list(group_cols)
+    base = df.select(*group_cols, F.col(value_col).cast("double").alias("v")).filter(
+        F.col("v").isNotNull() & ~F.isnan("v"))
+    stats_df = base.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"))
+    return _quantiles_by_sort(base, group_cols, stats_df, probs)
+
+
 def kth_smallest(df: DataFrame, value_col: str, k: int, buckets: int = BUCKETS, final_max: int = FINAL_MAX):
     """The value of 0-based rank ``k`` (ascending) of ``value_col``; the greatest value when ``k`` is past
     the end; None when empty."""

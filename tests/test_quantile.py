@@ -26,3 +26,27 @@ def test_global_single_and_ties(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "v double")
     assert exact_quantile(df, "v", 0.5) is None
+
+
+def test_many_groups_sort_path(spark, monkeypatch):
+    from flightlake.operators import quantile as qmod
+    rng = np.random.default_rng(3)
+    groups = [f"g{i % 40}" if i % 3 else "hot" for i in range(3000)]
+    vals = rng.normal(0, 10, 3000).round(2)
+    df = spark.createDataFrame([(g, float(v)) for g, v in zip(groups, vals)], "g string, v double")
+    monkeypatch.setattr(qmod, "MAX_GROUPS", 5)
+    probs = [0.01, 0.25, 0.5, 0.99]
+    res = qmod.exact_quantiles(df, "v", probs, group_cols=["g"])
+    arr = np.array(groups)
+    assert len(res) == 41
+    for g, (n, qs) in res.items():
+        sel = vals[arr == g[0]]
+        assert n == len(sel)
+        assert np.allclose(qs, np.percentile(sel, [p * 100 for p in probs]), atol=1e-9)
+
+
+def test_quantiles_frame(spark):
+    from flightlake.operators.quantile import exact_quantiles_frame
+    df = spark.createDataFrame([("a", float(i)) for i in range(11)] + [("b", 5.0)], "g string, v double")
+    got = {r.g: (r.n, list(r.qs)) for r in exact_quantiles_frame(df, "v", [0.5, 0.95], ["g"]).collect()}
+    assert got == {"a": (11, [5.0, 9.5]), "b": (1, [5.0, 5.0])}
