@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from flightlake.session import shared_root
 
+MAX_BROADCAST_GROUPS = 100_000
 ROUND_COORD = 6
 ROUND_DENSITY = 12
 BLOCK = 64
@@ -113,63 +114,31 @@ def kde_2d_status(df: DataFrame, x_col: str, y_col: str) -> str:
 
 def kde_1d_by_group(df: DataFrame, group_col: str, value_col: str, gridsize: int = 100, cut: float = 2.0) -> DataFrame:
     """Per group: Gaussian KDE of ``value_col`` (Scott factor n^(-1/5)) on ``gridsize`` points from
-    ``min - cut*bw`` to ``max + cut*bw``. Groups with fewer than 2 rows or zero spread are skipped."""
-    spark = df.sparkSession
+    ``min - cut*bw`` to ``max + cut*bw``. Groups with fewer than 2 rows or zero spread are skipped.
+
+    Built-in expressions only: repeated values are combined into weights, each (group, value, weight)
+    row is expanded to the group's grid points inside generated code, and kernel values are summed
+    per (group, point) with map-side partial sums. Per-group bandwidths come from one aggregate
+    joined back (broadcast when its size is proven small), so any number of groups works.
+    """
+    from flightlake.plans.joins import broadcast_if_bounded
     vals = df.select(F.col(group_col).alias("g"), F.col(value_col).cast("double").alias("v")).filter(
         F.col("g").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
-    vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _kde_1d(spark, vals, group_col, gridsize, cut)
-    finally:
-        vals.unpersist()
-
-
-MAX_GROUPS = 10_000
-
-
-def _kde_1d(spark, vals: DataFrame, group_col: str, gridsize: int, cut: float) -> DataFrame:
-    from flightlake.plans.joins import has_at_most
-    stats_df = vals.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
-                                     F.min("v").alias("mn"), F.max("v").alias("mx"))
-    if not has_at_most(stats_df, MAX_GROUPS):
-        raise ValueError(f"kde_1d_by_group: more than {MAX_GROUPS} groups")
-    stats = stats_df.collect()
-    groups = {}
-    for r in stats:
-        if r["n"] >= 2 and r["sd"] and r["sd"] > 0:
-            bw = r["sd"] * r["n"] ** (-1.0 / 5.0)
-            lo, hi = r["mn"] - cut * bw, r["mx"] + cut * bw
-            grid = np.array([lo + i * (hi - lo) / (gridsize - 1) for i in range(gridsize)])
-            groups[r["g"]] = (r["n"], bw, grid)
-    schema = f"{group_col} string, point int, x double, density double"
-    if not groups:
-        return spark.createDataFrame([], schema)
-    bgroups = spark.sparkContext.broadcast(groups)
-    weighted = (vals.filter(F.col("g").isin(list(groups))).groupBy("g", "v")
-                .agg(F.count(F.lit(1)).cast("double").alias("w")))
-    weighted = weighted.repartition(_partitions(spark, sum(v[0] for v in groups.values())))
-
-    def partial(batches):
-        gs = bgroups.value
-        acc = {g: np.zeros(gridsize) for g in gs}
-        for pdf in batches:
-            for g, part in pdf.groupby("g"):
-                _, bw, grid = gs[g]
-                v, w = part["v"].to_numpy(), part["w"].to_numpy()
-                for s in range(0, len(v), 1024):
-                    z = (grid[None, :] - v[s:s + 1024, None]) / bw
-                    acc[g] += w[s:s + 1024] @ np.exp(-0.5 * z * z)
-        rows = [(g, i, float(val)) for g, arr in acc.items() for i, val in enumerate(arr)]
-        yield pd.DataFrame(rows, columns=["g", "point", "s"]).astype({"point": "int32"})
-
-    sums = weighted.mapInPandas(partial, "g string, point int, s double").groupBy("g", "point").agg(
-        F.sum("s").alias("s"))
-    meta = spark.createDataFrame(
-        [(g, float(n), float(bw), float(grid[0]), float(grid[-1])) for g, (n, bw, grid) in groups.items()],
-        "g string, n double, bw double, lo double, hi double")
-    j = sums.join(F.broadcast(meta), "g")
+    stats = (vals.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
+                                   F.min("v").alias("mn"), F.max("v").alias("mx"))
+             .filter((F.col("n") >= 2) & (F.col("sd") > 0))
+             .withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-1.0 / 5.0)))
+             .select("g", F.col("n").cast("double").alias("n"), "bw",
+                     (F.col("mn") - F.lit(cut) * F.col("bw")).alias("lo"),
+                     (F.col("mx") + F.lit(cut) * F.col("bw")).alias("hi")))
+    stats, _ = broadcast_if_bounded(stats, MAX_BROADCAST_GROUPS)
+    weighted = vals.groupBy("g", "v").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    e = weighted.join(stats, "g").select(
+        "g", "v", "w", "n", "bw", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
     x = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / F.lit(float(gridsize - 1))
+    z = (x - F.col("v")) / F.col("bw")
+    sums = e.groupBy("g", "point", "n", "bw", x.alias("x")).agg(
+        F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
     dens = F.col("s") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2.0 * math.pi)))
-    shared_root(spark)
-    return j.select(F.col("g").alias(group_col), "point", F.round(x, ROUND_COORD).alias("x"),
-                    F.round(dens, ROUND_DENSITY).alias("density")).checkpoint(eager=True)
+    return sums.select(F.col("g").alias(group_col), F.col("point").cast("int").alias("point"),
+                       F.round("x", ROUND_COORD).alias("x"), F.round(dens, ROUND_DENSITY).alias("density"))
