@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightlake.functions.scalar import iso_text, nan_to_null, text_to_timestamp_ntz
 from flightlake.schemas import API_RENAMES, OBSERVATION
 
 TEXT_TIME_FIELDS = ["time_position", "last_contact"]
+CORRUPT = "_corrupt_record"
 TOPIC = "aircraft_states_raw"
 
 
@@ -75,10 +77,12 @@ def read_snapshots(spark: SparkSession, path: str, stream: bool = False, max_fil
     """Landed JSON-lines snapshots (batch or streaming file source) with the explicit schema.
 
     A record without ``snapshot_ts`` takes its file's modification time when
-    ``stamp_missing_from_file_time`` is set.
+    ``stamp_missing_from_file_time`` is set. Malformed lines do not fail the job: their text is kept
+    in ``_corrupt_record`` (all other fields null).
     """
     reader = spark.readStream if stream else spark.read
-    reader = reader.schema(OBSERVATION).option("mode", "PERMISSIVE")
+    schema = T.StructType(list(OBSERVATION.fields) + [T.StructField(CORRUPT, T.StringType())])
+    reader = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     df = reader.json(path)

@@ -108,3 +108,13 @@ def test_pandas_written_window_files(spark, tmpdir_path):
                                "Description string, WTC string")
     e = {r.icao24: r for r in en.enrich(obs, af, md).collect()}
     assert e["a"].Description == "D1" and e["b"].Description is None and e["a"].climb_rate_ratio == 0.05
+
+
+def test_malformed_lines_kept_in_corrupt_column(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "landed")
+    os.makedirs(p)
+    with open(os.path.join(p, "a.json"), "w") as fh:
+        fh.write('{"icao24":"a","snapshot_ts":10}\n{"icao24": broken\n')
+    rows = snapshots.read_snapshots(spark, p).cache()
+    bad = rows.filter(F.col("_corrupt_record").isNotNull()).collect()
+    assert rows.count() == 2 and len(bad) == 1 and bad[0].icao24 is None
