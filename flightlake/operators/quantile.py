@@ -20,7 +20,8 @@ from flightlake.plans.joins import has_at_most
 
 BUCKETS = 4096
 FINAL_MAX = 100_000
-MAX_GROUPS = 10_000  # above this many groups the sort-based path is used
+MAX_GROUPS = 1_000  # above this many groups the sort-based path is used
+MAX_SUMMARY_ROWS = 200_000  # bucket summaries one refinement pass may return to the driver
 
 
 def _targets_frame(spark, group_cols, rows):
@@ -33,7 +34,8 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), buckets
     """Returns ``{group_tuple: (n, [q for q in probs])}`` (``()`` key without groups).
 
     Null and NaN values are ignored. Group columns are compared as text. Up to ``MAX_GROUPS``
-    groups use histogram refinement; more groups use one range-partitioned sort.
+    groups use histogram refinement (each pass returns at most ``MAX_SUMMARY_ROWS`` bucket summaries);
+    more groups use one range-partitioned sort.
     """
     user_groups = list(group_cols)
     # without groups, one constant group key keeps every step an equi-join
@@ -71,8 +73,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), buckets
             tf = F.broadcast(_targets_frame(spark, group_cols, rows))
             j = base.join(tf, group_cols, "inner")
             j = j.filter((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-            b = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(buckets)))
-                        .cast("int"), F.lit(buckets - 1))
+            nb = max(16, min(buckets, MAX_SUMMARY_ROWS // len(open_)))  # bounds what reaches the driver
+            b = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(nb)))
+                        .cast("int"), F.lit(nb - 1))
             summ = (j.groupBy("tid", b.alias("bucket"))
                     .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmn"), F.max("v").alias("bmx"))
                     .collect())
