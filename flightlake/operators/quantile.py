@@ -22,6 +22,7 @@ BUCKETS = 4096
 FINAL_MAX = 100_000
 MAX_GROUPS = 1_000  # above this many groups the sort-based path is used
 MAX_SUMMARY_ROWS = 200_000  # bucket summaries one refinement pass may return to the driver
+MAX_FINAL_VALUES = 1_000_000  # values the last step may fetch, over all targets together
 
 
 def _targets_frame(spark, group_cols, rows):
@@ -64,9 +65,11 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), buckets
         for t in targets.values():
             if t["lo"] == t["hi"]:
                 t["value"] = t["lo"]
+        # refine until every open target's interval holds at most ``fmax`` rows (total bounded)
+        fmax = max(1, min(final_max, MAX_FINAL_VALUES // max(1, len(targets))))
         ids = {key: i for i, key in enumerate(targets)}
         while True:
-            open_ = [key for key, t in targets.items() if t["value"] is None and t["cnt"] > final_max]
+            open_ = [key for key, t in targets.items() if t["value"] is None and t["cnt"] > fmax]
             if not open_:
                 break
             rows = [(*key[0], ids[key], targets[key]["lo"], targets[key]["hi"]) for key in open_]
