@@ -93,8 +93,8 @@ def read_snapshots(spark: SparkSession, path: str, stream: bool = False, max_fil
 
 
 def write_snapshots(obs: DataFrame, path: str, partition_col: str | None = None) -> None:
-    """Land observations as JSON lines (the file form of the record sink)."""
-    enc = obs.select(*[c for c in obs.columns])
+    """Land observations as JSON lines (the file form of the record sink): times as ISO text."""
+    enc = obs
     for c in TEXT_TIME_FIELDS:
         if c in enc.columns:
             enc = enc.withColumn(c, iso_text(c))
