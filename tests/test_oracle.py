@@ -31,3 +31,13 @@ def test_query_matches_oracle(spark, con, name):
         assert res["spark_rows"] > 0
         return
     assert res["ok"], res
+
+
+@pytest.mark.parametrize("name", ["window_raw", "prepared_frame", "normalised_states", "recent_only"])
+def test_time_zone_independent(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        res = compare(spark, con, SF01, name, QUERIES[name], SQL[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert res["ok"] and res["exact"], res
