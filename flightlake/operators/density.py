@@ -31,12 +31,13 @@ def _partitions(spark, n_points: int) -> int:
 
 
 def kde_2d_grid(df: DataFrame, x_col: str, y_col: str, nx: int = 200, ny: int = 200,
-                bin_size: float | None = None) -> DataFrame:
+                bin_size: float | None = None, bounds: tuple | None = None) -> DataFrame:
     """Density of (x, y) on an ``nx`` x ``ny`` grid spanning the data range (ends included).
 
     Returns ``(ix, iy, x, y, density)``; empty when there are no points or when the covariance is
     singular (constant or collinear coordinates); ``kde_2d_status`` gives the reason. ``bin_size``
-    (off by default) switches to an approximate mode for very large samples.
+    (off by default) switches to an approximate mode for very large samples. ``bounds`` =
+    ``(x0, x1, y0, y1)`` fixes the grid extent (e.g. a map view) instead of the data range.
     """
     spark = df.sparkSession
     pts = df.select(F.col(x_col).cast("double").alias("x"), F.col(y_col).cast("double").alias("y")).filter(
@@ -48,12 +49,12 @@ def kde_2d_grid(df: DataFrame, x_col: str, y_col: str, nx: int = 200, ny: int =
                            for c in ("x", "y")])
     pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _kde_2d(spark, pts, nx, ny)
+        return _kde_2d(spark, pts, nx, ny, bounds)
     finally:
         pts.unpersist()
 
 
-def _kde_2d(spark, pts: DataFrame, nx: int, ny: int) -> DataFrame:
+def _kde_2d(spark, pts: DataFrame, nx: int, ny: int, bounds=None) -> DataFrame:
     st = pts.agg(F.count(F.lit(1)).alias("n"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"),
                  F.covar_samp("x", "y").alias("cxy"), F.min("x").alias("x0"), F.max("x").alias("x1"),
                  F.min("y").alias("y0"), F.max("y").alias("y1")).first()
@@ -66,7 +67,7 @@ def _kde_2d(spark, pts: DataFrame, nx: int, ny: int) -> DataFrame:
     det = sxx * syy - sxy * sxy
     if not (det > 0):
         return spark.createDataFrame([], schema)
-    x0, x1, y0, y1 = st["x0"], st["x1"], st["y0"], st["y1"]
+    x0, x1, y0, y1 = bounds if bounds is not None else (st["x0"], st["x1"], st["y0"], st["y1"])
     gx = np.array([x0 + i * (x1 - x0) / (nx - 1) for i in range(nx)])
     gy = np.array([y0 + j * (y1 - y0) / (ny - 1) for j in range(ny)])
     weighted = pts.groupBy("x", "y").agg(F.count(F.lit(1)).cast("double").alias("w"))

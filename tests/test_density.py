@@ -66,3 +66,12 @@ def test_kde2_binned_close_to_exact(spark):
     approx = {(r.ix, r.iy): r.density for r in dn.kde_2d_grid(df, "lon", "lat", 10, 10, bin_size=0.01).collect()}
     peak = max(exact.values())
     assert max(abs(exact[k] - approx[k]) for k in exact) < 0.01 * peak
+
+
+def test_kde2_integrates_to_one_on_wide_grid(spark):
+    rng = np.random.default_rng(5)
+    pts = rng.multivariate_normal([0, 0], [[4, 1.5], [1.5, 2]], 300)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in pts], "lon double, lat double")
+    res = dn.kde_2d_grid(df, "lon", "lat", 80, 80, bounds=(-15.0, 15.0, -12.0, 12.0)).collect()
+    cell = (30.0 / 79) * (24.0 / 79)
+    assert abs(sum(r.density for r in res) * cell - 1.0) < 0.01
