@@ -82,13 +82,27 @@ def refresh_window(spark: SparkSession, window: DataFrame, airframes: DataFrame,
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def newest_window_from_outputs(spark: SparkSession, window_out_root: str) -> DataFrame:
+    """Rows of the newest closed window written by the window job, read with pruning.
+
+    The newest window comes from the small per-window summary table (one row per window); the raw
+    rows are then read with a partition filter on ``window_date`` and a pushed-down equality on
+    ``window_end``, so only that day's files (and matching row groups) are scanned, not the history.
+    """
+    from flightlake.streaming.windows import read_window_outputs
+    raw, summary = read_window_outputs(spark, window_out_root)
+    latest = summary.agg(F.max(F.struct("window_end", "window_date")).alias("m")).first()["m"]
+    if latest is None:
+        return raw.limit(0)
+    return raw.filter((F.col("window_date") == F.lit(latest["window_date"]))
+                      & (F.col("window_end") == F.lit(latest["window_end"])))
+
+
 def refresh_from_windows(spark: SparkSession, window_out_root: str, airframes: DataFrame, models: DataFrame,
                          out_root: str) -> DataFrame:
     """Load stage fed by the stream: newest closed window written by the window job -> enrichment
     and anomalies for that window. Returns one row per written output: ``(output, rows)``."""
-    from flightlake.streaming.windows import read_window_outputs
-    raw, _ = read_window_outputs(spark, window_out_root)
-    window = newest_window_rows(raw).withColumn("date", F.year(F.col("time_position")))
+    window = newest_window_from_outputs(spark, window_out_root).withColumn("date", F.year(F.col("time_position")))
     return refresh_window(spark, window, airframes, models, out_root)
 
 

@@ -29,6 +29,10 @@ def test_refresh_from_stream_output(spark, tmpdir_path):
     raw, _ = sw.read_window_outputs(spark, f"{tmpdir_path}/win")
     newest = raw.agg(F.max("window_end")).first()[0]
     n_newest = raw.filter(F.col("window_end") == newest).count()
+    newest = refresh.newest_window_from_outputs(spark, f"{tmpdir_path}/win")
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(window_date" in plan and "EqualTo(window_end" in plan
+    assert newest.count() == n_newest
     out = {r.output: r.rows for r in refresh.refresh_from_windows(
         spark, f"{tmpdir_path}/win", roles.airframes(spark, SF001), roles.models(spark, SF001),
         f"{tmpdir_path}/refresh").collect()}
