@@ -109,10 +109,10 @@ def refresh_from_windows(spark: SparkSession, window_out_root: str, airframes: D
 def refresh_from_window_files(spark: SparkSession, files_root: str, airframes: DataFrame, models: DataFrame,
                               out_root: str) -> DataFrame:
     """Load stage over window files in the ``date=YYYY/MM/DD/window_raw_*.parquet`` layout: the
-    file with the greatest path is the newest window; it is loaded (keeping ``date``), normalised
-    and refreshed like a stream-written window."""
+    file with the greatest path is the newest window (found by a directory walk of the newest day);
+    it is loaded (keeping ``date``), normalised and refreshed like a stream-written window."""
     from flightlake.sources import windows as wf
-    latest = wf.latest_window_file(spark, files_root).first()["file_path"]
+    latest = wf.latest_window_path(spark, files_root)
     if latest is None:
         raise ValueError(f"no window files under {files_root}")
     window = wf.observations_from_window_files(wf.load_window_file(spark, files_root, latest))

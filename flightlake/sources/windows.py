@@ -27,6 +27,43 @@ def latest_window_file(spark: SparkSession, root: str) -> DataFrame:
     return files.agg(F.max("file_path").alias("file_path"))
 
 
+def _list(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, is_directory) of the entries of ``path`` (Hadoop FileSystem listing; object stores too)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [(st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(p)]
+
+
+def latest_window_path(spark: SparkSession, root: str) -> str | None:
+    """Greatest window-file path under ``root`` without touching every file.
+
+    The layout has fixed-width components (``date=YYYY/MM/DD/window_raw_YYYYMMDDTHHMMSS.parquet``),
+    so the lexicographically greatest full path is found by descending into the greatest directory
+    at each level (backing off to the next one when a branch holds no window file): a few listings
+    of the newest day instead of reading the metadata of the whole history.
+    """
+    import fnmatch
+    root = root.rstrip("/")
+
+    def walk(path: str, depth: int) -> str | None:
+        entries = _list(spark, path)
+        if depth == 3:
+            files = sorted((n for n, is_dir in entries if not is_dir and fnmatch.fnmatch(n, WINDOW_FILE_GLOB)),
+                           reverse=True)
+            return f"{path}/{files[0]}" if files else None
+        dirs = sorted((n for n, is_dir in entries if is_dir and (depth > 0 or n.startswith("date="))), reverse=True)
+        for d in dirs:
+            found = walk(f"{path}/{d}", depth + 1)
+            if found:
+                return found
+        return None
+
+    return walk(root, 0)
+
+
 def load_window_file(spark: SparkSession, root: str, path: str) -> DataFrame:
     """Load one window file, keeping the ``date`` partition column (basePath set to the root)."""
     return spark.read.option("basePath", root).parquet(path)

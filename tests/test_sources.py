@@ -50,6 +50,11 @@ def test_window_files_latest_path(spark, tmpdir_path):
         os.link(os.path.join(tmpdir_path, "tmp", key, src), os.path.join(root, key))
     latest = windows.latest_window_file(spark, root).first()["file_path"]
     assert latest.endswith("date=2026/01/01/window_raw_20260101T000300.parquet")
+    walked = windows.latest_window_path(spark, root)
+    assert walked.endswith("date=2026/01/01/window_raw_20260101T000300.parquet")
+    os.makedirs(os.path.join(root, "date=2027/01/01"))  # a newer branch without window files
+    assert windows.latest_window_path(spark, root) == walked
+    assert windows.latest_window_path(spark, os.path.join(tmpdir_path, "missing")) is None
     allrows = windows.scan_window_files(spark, root)
     assert allrows.count() == 6 and "date" in allrows.columns
     one = windows.load_window_file(spark, root, latest)
