@@ -83,3 +83,25 @@ def test_cli_refresh_from_window_files(tmpdir_path):
     assert out.returncode == 0, out.stderr[-3000:]
     got = dict(line.split("\t") for line in out.stdout.strip().splitlines())
     assert got["enriched_aircraft_states"] == "40" and got["window_anomaly_scores"] == "40"
+
+
+def test_cli_stream_once(tmpdir_path):
+    import json
+    import os
+    import subprocess
+    import sys
+
+    import pyarrow.parquet as pq
+    src = os.path.join(tmpdir_path, "landed")
+    os.makedirs(src)
+    base = 1_704_067_200
+    with open(os.path.join(src, "a.json"), "w") as fh:
+        for i, s in enumerate([1, 2, 3, 200, 400]):
+            fh.write(json.dumps({"icao24": "a", "snapshot_ts": base + s, "obs_id": i}) + "\n")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "flightlake", "stream", "--source", src,
+                          "--out", os.path.join(tmpdir_path, "win"), "--checkpoint", os.path.join(tmpdir_path, "ck"),
+                          "--once", "--max-age-minutes", "1e9"], cwd=repo, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-3000:]
+    summary = pq.read_table(os.path.join(tmpdir_path, "win", "summary")).to_pandas()
+    assert sorted(zip(summary.window_start - base, summary.n_obs)) == [(0, 3), (180, 1)]
