@@ -31,6 +31,7 @@ from flightlake.plans.joins import broadcast_if_bounded, has_at_most
 PREPARE_NUMERIC = ["latitude", "longitude", "geo_altitude", "velocity", "vertical_rate"]
 PREPARE_REQUIRED = ["geo_altitude", "velocity", "vertical_rate"]
 CATEGORY_BROADCAST_MAX_ROWS = 100_000
+IN_LIST_MAX = 1_000  # qualifying categories applied as a literal IN-list up to this many
 ROUND = 6
 
 
@@ -305,6 +306,13 @@ def wtc_supported(prepared: DataFrame, min_rows: int = 5) -> DataFrame:
     """Rows whose wake category has at least ``min_rows`` rows, with the display order."""
     require_columns(prepared, ["WTC"], "wtc_supported")
     counts = prepared.filter(F.col("WTC").isNotNull()).groupBy("WTC").agg(F.count(F.lit(1)).alias("n"))
-    ok, _ = broadcast_if_bounded(counts.filter(F.col("n") >= min_rows).select("WTC"), CATEGORY_BROADCAST_MAX_ROWS)
-    return (prepared.join(ok, "WTC", "left_semi")
+    ok = counts.filter(F.col("n") >= min_rows).select("WTC")
+    # one job fetches the qualifying categories when there are few (an IN-list filter, no join);
+    # a large category set stays distributed and is applied by a semi join
+    few = ok.limit(IN_LIST_MAX + 1).collect()
+    if len(few) <= IN_LIST_MAX:
+        kept = prepared.filter(F.col("WTC").isin([r["WTC"] for r in few]))
+    else:
+        kept = prepared.join(broadcast_if_bounded(ok, CATEGORY_BROADCAST_MAX_ROWS)[0], "WTC", "left_semi")
+    return (kept
             .withColumn("wtc_order", label_ordinal("WTC", WTC_ORDER)))
