@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from flightlake.llm.packing import op6_best_fit_packing
 from flightlake.llm.quality import OP7_SQL, op7_quality_rules
 
 QUERIES = {
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
 }
 
