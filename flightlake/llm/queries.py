@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from flightlake.llm.langid import op2_language_id
 from flightlake.llm.packing import op6_best_fit_packing
 from flightlake.llm.quality import OP7_SQL, op7_quality_rules
 from flightlake.llm.simhash import op4_simhash_near_dedup
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
