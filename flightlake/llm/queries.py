@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from flightlake.llm.decontam import OP9_SQL, op9_benchmark_decontamination
 from flightlake.llm.langid import op2_language_id
 from flightlake.llm.packing import op6_best_fit_packing
 from flightlake.llm.quality import OP7_SQL, op7_quality_rules
 from flightlake.llm.simhash import op4_simhash_near_dedup
 
 QUERIES = {
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op2_language_id": op2_language_id,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
@@ -15,5 +17,6 @@ QUERIES = {
 }
 
 SQL = {
+    "op9_benchmark_decontamination": OP9_SQL,
     "op7_quality_rules": OP7_SQL,
 }
