@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from flightlake.llm.decontam import OP9_SQL, op9_benchmark_decontamination
 from flightlake.llm.langid import op2_language_id
+from flightlake.llm.license_scan import OP1_SQL, op1_license_scans
 from flightlake.llm.packing import op6_best_fit_packing
 from flightlake.llm.quality import OP7_SQL, op7_quality_rules
 from flightlake.llm.secret_scan import op3_secret_scans
 from flightlake.llm.simhash import op4_simhash_near_dedup
 
 QUERIES = {
-    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op1_license_scans": op1_license_scans,
     "op2_language_id": op2_language_id,
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 SQL = {
+    "op1_license_scans": OP1_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
     "op7_quality_rules": OP7_SQL,
 }
