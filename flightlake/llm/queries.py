@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from flightlake.llm.brown_lm import op10_brown_lm_scoring
 from flightlake.llm.decontam import OP9_SQL, op9_benchmark_decontamination
 from flightlake.llm.langid import op2_language_id
 from flightlake.llm.license_scan import OP1_SQL, op1_license_scans
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_brown_lm_scoring": op10_brown_lm_scoring,
 }
 
 SQL = {
