@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from flightlake.llm.brown_lm import op10_brown_lm_scoring
 from flightlake.llm.decontam import OP9_SQL, op9_benchmark_decontamination
+from flightlake.llm.html_tree import op5_html_extraction
 from flightlake.llm.langid import op2_language_id
 from flightlake.llm.license_scan import OP1_SQL, op1_license_scans
 from flightlake.llm.packing import op6_best_fit_packing
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_secret_scans": op3_secret_scans,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_html_extraction": op5_html_extraction,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
