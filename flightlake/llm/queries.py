@@ -8,6 +8,7 @@ from flightlake.llm.html_tree import op5_html_extraction
 from flightlake.llm.langid import op2_language_id
 from flightlake.llm.license_scan import OP1_SQL, op1_license_scans
 from flightlake.llm.packing import op6_best_fit_packing
+from flightlake.llm.pii import op8_pii_surrogates
 from flightlake.llm.quality import OP7_SQL, op7_quality_rules
 from flightlake.llm.secret_scan import op3_secret_scans
 from flightlake.llm.simhash import op4_simhash_near_dedup
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_html_extraction": op5_html_extraction,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_brown_lm_scoring": op10_brown_lm_scoring,
 }
