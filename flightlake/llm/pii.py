@@ -39,13 +39,14 @@ GIVEN = {
     ("cyrillic", "male"): "Иван Дмитрий Сергей Алексей Николай Михаил Андрей Владимир Павел Борис".split(),
     ("cyrillic", "female"): "Анна Мария Елена Ольга Наталья Татьяна Ирина Светлана Екатерина Юлия".split(),
 }
-TITLES = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora|Sr|Sra)\.?[ \t]+"
+TITLE_WORDS = "Mr Mrs Ms Dr Prof Herr Frau Monsieur Madame Señor Señora Sr Sra".split()
 # Alphabets whose letters stand for one another.
 LETTERS = ("aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "0123456789",
            "аеиоуы", "бвгджзклмнпрстфхцчш", "АЕИОУ", "БВГДЖЗКЛМНПРСТФХЦЧШ")
 RESERVED = ("example.com", "example.net", "example.org")
 
 _ALPHABET = {c: letters for letters in LETTERS for c in letters}
+TITLES = rf"(?:{'|'.join(TITLE_WORDS)})\.?[ \t]+"
 _GIVEN = {name: group for group, names in GIVEN.items() for name in names}
 
 _EMAIL = re.compile(r"(?<![\w.+%-])[\w+%-](?:[\w.+%-]*[\w+%-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
@@ -61,7 +62,9 @@ _CAPITALISED = r"[A-ZÀ-ÖØ-ÞА-ЯЁ](?:['’][A-ZÀ-ÖØ-ÞА-ЯЁ])?[a-zß-
 _NAME = re.compile(rf"(?<!\w)(?P<title>{TITLES})?(?P<given>{_CAPITALISED})[ \t]+(?P<family>{_CAPITALISED})(?!\w)")
 _TITLED = re.compile(rf"(?<!\w){TITLES}(?P<family>{_CAPITALISED})(?!\w)")
 _DIGIT = re.compile(r"[0-9]")
-_CAPITAL_PAIR = re.compile(r"[A-ZÀ-ÖØ-ÞА-ЯЁ]\S*[ \t]+[A-ZÀ-ÖØ-ÞА-ЯЁ]")
+_CAPITAL_WORD = re.compile("[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+")
+#: One of these words stands in every text that names somebody; most texts are done after looking for them.
+_HINTS = {*_GIVEN, *TITLE_WORDS}
 
 
 class Permutation:
@@ -235,7 +238,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
         for m in _PHONE.finditer(text):
             if 7 <= sum(c.isdigit() for c in m[0]) <= 15:
                 add(*m.span(), "phone")
-    if _CAPITAL_PAIR.search(text):
+    if not _HINTS.isdisjoint(_CAPITAL_WORD.findall(text)):
         at = 0
         while m := _NAME.search(text, at):
             if m["given"] in _GIVEN:
