@@ -69,21 +69,20 @@ def _words(text: str) -> Column:
     return pieces(ascii_lower(F.coalesce(F.col(text), F.lit(""))), NOT_WORD)
 
 
-def contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-) -> DataFrame:
-    """One row per document row: doc_id, n_words, n_hit (words inside an occurrence of an item's window), n_items,
-    items_sha256 (of the sorted, comma-joined ids of the items found) and contaminated.
+def _same_row(a: str, b: str) -> Column:
+    return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.print") == F.col(f"{b}.print"))
 
-    Null texts have no words. Null item ids are found but not listed. Repeated document rows are each reported;
-    repeated items count once. With an empty benchmark nothing is contaminated. A document's list of items is as
-    long as the benchmark at most.
-    """
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text without nulls, and ``print``, which tells apart rows that share an id."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows.withColumn("print", F.xxhash64("text"))
+
+
+def hit_spans(rows: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, print, n_hit, n_items, items) of the rows that hold a window of an item; see :func:`contamination`."""
     c = F.col
-    rows = docs.select(c(id_col).alias("doc_id"), F.coalesce(c(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("print", F.xxhash64("text"))  # tells apart rows that share an id
-    items = benchmark.select(c(item_col).cast("string").alias("item_id"), _words(item_text_col).alias("words"))
+    items = benchmark.select(c(item_col).cast("string").alias("item_id"), _words(text_col).alias("words"))
     items = items.filter(F.size("words") > 0)
     lengths = [r[0] for r in items.select(F.least(F.size("words"), F.lit(window)).alias("n")).distinct().collect()]
 
@@ -104,11 +103,10 @@ def contamination(
     hits = kept.join(item_prints, "hash", "left_semi").groupBy("doc_id", "print").agg(F.collect_set("hash").alias("hits"))
 
     # Extension: the windows around each hit, word for word.
-    same_row = lambda a, b: c(f"{a}.doc_id").eqNullSafe(c(f"{b}.doc_id")) & (c(f"{a}.print") == c(f"{b}.print"))
-    hit_rows = rows.alias("d").join(hits.alias("h"), same_row("d", "h")).select("d.doc_id", "d.print", _words("d.text").alias("words"), "hits")
+    hit_rows = rows.alias("d").join(hits.alias("h"), _same_row("d", "h")).select("d.doc_id", "d.print", _words("d.text").alias("words"), "hits")
     around = F.concat(no_window, *[_windows(c("words"), _starts(c("words"), c("hits"), n), n) for n in lengths])
     windows = hit_rows.select("doc_id", "print", F.explode(around).alias("w")).select("doc_id", "print", "w.*")
-    spans = (
+    return (
         windows.join(item_windows, "words")
         .groupBy("doc_id", "print")
         .agg(F.collect_set(F.struct("at", "length")).alias("spans"), F.collect_set("item_id").alias("items"))
@@ -116,8 +114,23 @@ def contamination(
                 F.concat_ws(",", F.sort_array("items")).alias("items"))
     )
 
+
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """One row per document row: doc_id, n_words, n_hit (words inside an occurrence of an item's window), n_items,
+    items_sha256 (of the sorted, comma-joined ids of the items found) and contaminated.
+
+    Null texts have no words. Null item ids are found but not listed. Repeated document rows are each reported;
+    repeated items count once. With an empty benchmark nothing is contaminated. A document's list of items is as
+    long as the benchmark at most.
+    """
+    c = F.col
+    rows = _rows(docs, id_col, text_col)
+    spans = hit_spans(rows, benchmark, window, item_col, item_text_col)
     counted = rows.select("doc_id", "print", F.size(pieces(c("text"), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).alias("n_words"))
-    return counted.alias("d").join(spans.alias("s"), same_row("d", "s"), "left").select(
+    return counted.alias("d").join(spans.alias("s"), _same_row("d", "s"), "left").select(
         "d.doc_id", c("n_words").cast("bigint").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
@@ -126,6 +139,17 @@ def contamination(
     )
 
 
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no window of an item."""
+    spans = hit_spans(_rows(docs, id_col, text_col), benchmark, window, item_col, item_text_col)
+    hit = spans.select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"))
+    here = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__print"))
+    return docs.join(hit, here, "left_anti")
+
+
 def op9_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -16,7 +16,7 @@ from hashlib import blake2b
 from math import prod
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flightlake.llm.packing import slices
 from flightlake.llm.text import table
@@ -310,8 +310,8 @@ def collisions(df: DataFrame, key: bytes = DEMO_KEY, text_col: str = "text") ->
     return pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("entities")).filter("entities > 1")
 
 
-def pseudonymise(df: DataFrame, key: bytes = DEMO_KEY, carry: tuple[str, ...] = ("doc_id",), text_col: str = "text", check: bool = True) -> DataFrame:
-    """The carried columns of every row, its text with surrogates, n_entities, and entities (kind:start:end in the
+def pseudonymise(df: DataFrame, key: bytes = DEMO_KEY, carry: dict[str, Column] | None = None, text_col: str = "text", check: bool = True) -> DataFrame:
+    """The carried columns (doc_id if not named) of every row, its text with surrogates, n_entities, and entities (kind:start:end in the
     new text, comma-joined).
 
     Null texts stay null; texts without entities stay as they are, to the character. Repeated rows get the same
@@ -322,7 +322,8 @@ def pseudonymise(df: DataFrame, key: bytes = DEMO_KEY, carry: tuple[str, ...] =
 
     if check and not collisions(df, key, text_col).isEmpty():
         raise ValueError("two entities share a surrogate under this key; choose another key")
-    source = df.select(*carry, F.col(text_col).cast("string").alias("__text"))
+    carry = {"doc_id": F.col("doc_id")} if carry is None else carry
+    source = df.select(*[c.alias(k) for k, c in carry.items()], F.col(text_col).cast("string").alias("__text"))
     out = StructType(source.schema.fields[:-1] + StructType.fromDDL("text string, n_entities bigint, entities string").fields)
     return source.mapInArrow(_replaced(key, to_arrow_schema(out)), out)
 

@@ -35,7 +35,8 @@ def fingerprint(words: list[bytes], shingle: int = SHINGLE) -> int:
     if not words:
         return 0
     n = max(1, len(words) - shingle + 1)
-    joined = map(b" ".join, zip(*(words[i : i + n] for i in range(shingle)), strict=True)) if len(words) >= shingle else [b" ".join(words)]
+    width = min(shingle, len(words))
+    joined = map(b" ".join, zip(*(words[i : i + n] for i in range(width)), strict=True))
     hashes = np.fromiter((xxh64_intdigest(s, SEED) for s in joined), np.uint64, n)
     votes = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * votes > n, bitorder="little").view(np.uint64)[0])
@@ -44,24 +45,26 @@ def fingerprint(words: list[bytes], shingle: int = SHINGLE) -> int:
 def _fingerprints(shingle: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            *kept, texts = batch.columns
+            texts = texts.cast(pa.binary()).to_pylist()
             found = np.fromiter(
                 (fingerprint(t.lower().split(), shingle) for _, part in slices(texts) for t in part),
                 np.uint64, len(texts),
             )
-            yield pa.record_batch([batch.column(0).cast(schema.types[0]), pa.array(found.view(np.int64))], schema)
+            cols = [*kept, pa.array(found.view(np.int64))]
+            yield pa.record_batch([x.cast(t) for x, t in zip(cols, schema.types, strict=True)], schema)
 
     return run
 
 
-def fingerprints(df: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ``fp``, the signed 64-bit fingerprint, of every row. Null and empty texts have fingerprint 0."""
+def fingerprints(df: DataFrame, carry: dict[str, Column], shingle: int = SHINGLE, text_col: str = "text") -> DataFrame:
+    """The carried columns and ``fp``, the signed 64-bit fingerprint, of every row. Null and empty texts have 0."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    source = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ddl = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, fp bigint"
-    return source.mapInArrow(_fingerprints(shingle, to_arrow_schema(StructType.fromDDL(ddl))), ddl)
+    source = df.select(*[c.alias(k) for k, c in carry.items()], F.col(text_col).cast("string").alias("__text"))
+    out = StructType(source.schema.fields[:-1]).add("fp", "long")
+    return source.mapInArrow(_fingerprints(shingle, to_arrow_schema(out)), out)
 
 
 def _quarter(i: int) -> Column:
@@ -190,6 +193,13 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+def fingerprint_groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, root) for every distinct ``fp``: fingerprints that links connect share their root, one of them."""
+    distinct = landed(prints.select("fp").distinct(), "distinct")
+    linked = components(near_links(distinct, radius))
+    return distinct.join(linked, distinct.fp == linked.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(
     df: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -199,16 +209,33 @@ def simhash_groups(
     own included; rows with equal fingerprints are linked. Null ids take part but never name a component (null
     if no other member has an id). Repeated rows stay repeated. An empty table gives no rows.
     """
-    prints = landed(fingerprints(df, shingle, id_col, text_col), "fingerprints")
-    classes = landed(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = components(near_links(classes, radius))
-    labelled = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    names = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_print = labelled.join(names, "root").select("fp", "component_id")
+    prints = landed(fingerprints(df, {"doc_id": F.col(id_col)}, shingle, text_col), "fingerprints")
+    groups = fingerprint_groups(prints, radius).join(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "fp")
+    groups = landed(groups, "groups")
+    names = groups.groupBy("root").agg(F.min("first").alias("component_id"))
+    by_print = groups.join(names, "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def keep_one(
+    df: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns: the one with the smallest id.
+
+    Ids that are null come last; among rows with the same id the text's hash decides, and of rows that agree in
+    both any one stays.
+    """
+    own = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(id_col).isNull().cast("string"),
+                      F.hex(F.xxhash64(F.col(text_col)))).alias("__row")
+    order = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), own.alias("row"))
+    prints = landed(fingerprints(df, {"rank": order}, shingle, text_col), "fingerprints")
+    firsts = prints.groupBy("fp").agg(F.min("rank").alias("rank"))
+    stay = fingerprint_groups(prints, radius).join(firsts, "fp").groupBy("root").agg(F.min("rank").alias("rank"))
+    kept = df.withColumn("__row", own).join(stay.select(F.col("rank.row").alias("__row")), "__row", "left_semi")
+    return kept.dropDuplicates(["__row"]).select(*df.columns)
+
+
 def op4_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
