@@ -135,7 +135,8 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
             rest[old, :] -= out
             rest[:, old] -= into
             rest[old, old] -= self_
-            rows, cols = rest.sum(axis=1), rest.sum(axis=0)
+            # What stands before and after the word counts for its neighbours' classes wherever it goes.
+            rows, cols = rest.sum(axis=1) + into, rest.sum(axis=0) + out
             mine_out, mine_in = out.sum() + self_, into.sum() + self_
             gain = (_xlogx(rest + out) - _xlogx(rest)).sum(axis=1) + (_xlogx(rest + into[:, None]) - _xlogx(rest)).sum(axis=0)
             d = np.diag(rest)
