@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -32,11 +33,24 @@ SLICE_BYTES = 4 << 20
 _SCHEMA = "uid bigint, doc_id {id}, piece int, start bigint, length int, ids_crc32 bigint"
 
 
+#: A chunk of letters (of the Latin-1 range) and the ASCII marks behind them, if any.
+_WORD = re.compile(r"([a-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> str:
+    """What byte-level vocabularies write for each byte: printable ones as they are, the rest from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return "".join(chr(b if b in shown else next(rest)) for b in range(256))
+
+
 class ChunkTokenizer:
     """Ids of whole texts as little-endian bytes.
 
     The vocabulary drops white space and no merge or pattern spans it, so a text's ids are those of its chunks
-    between ASCII white space, one after another. Ids of chunks seen before are looked up.
+    between ASCII white space, one after another. Ids of chunks seen before are looked up. A new chunk of letters
+    and marks is two words of the vocabulary's own splitting; its letters go straight to the merges. Any other new
+    chunk goes through the whole tokenizer.
     """
 
     def __init__(self, definition: str):
@@ -44,22 +58,48 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(definition)
+        self._model = self._tokenizer.model
+        self._letters = _byte_letters()
         self._new: dict[bytes, bytes] = {}
         self._old: dict[bytes, bytes] = {}
 
+    def _known(self, chunk: bytes) -> bytes | None:
+        return self._new.get(chunk) or self._old.get(chunk)
+
+    def _whole(self, chunk: bytes) -> bytes:
+        ids = self._tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
+        return b"".join([i.to_bytes(4, "little") for i in ids])
+
+    def _word(self, word: str) -> bytes:
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self._letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self._model.tokenize(shown)])
+
+    def _fresh(self, chunk: bytes) -> bytes:
+        m = _WORD.fullmatch(chunk.decode())
+        if not m:
+            return self._whole(chunk)
+        word, marks = m[1].lower(), m[2].encode()
+        key = word.encode()
+        ids = self._known(key)
+        if ids is None:
+            ids = self._new[key] = self._word(word)
+        if marks:
+            tail = self._known(marks)
+            if tail is None:
+                tail = self._new[marks] = self._whole(marks)
+            ids += tail
+        return ids
+
     def _learn(self, chunks: set[bytes]) -> None:
         if len(self._new) > REMEMBERED:
             self._old, self._new = self._new, {}
-        missing = chunks - self._new.keys()
-        for c in missing & self._old.keys():
-            self._new[c] = self._old[c]
-        fresh = list(missing - self._old.keys())
-        found = self._tokenizer.encode_batch_fast([c.decode() for c in fresh], add_special_tokens=False)
-        for c, e in zip(fresh, found, strict=True):
-            self._new[c] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+        old, new = self._old, self._new
+        for c in chunks - new.keys():
+            new[c] = old[c] if c in old else self._fresh(c)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        chunks = [t.split() for t in texts]
+        # Case is dropped anyway, but special tokens are told by theirs.
+        chunks = [(t if b"<|" in t else t.lower()).split() for t in texts]
         self._learn(set(chain.from_iterable(chunks)))
         ids = self._new
         return [b"".join([ids[c] for c in words]) for words in chunks]
