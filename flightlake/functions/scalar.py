@@ -55,13 +55,13 @@ def nan_to_null(c) -> Column:
 def climb_rate_ratio(vertical_rate="vertical_rate", velocity="velocity", baro_altitude="baro_altitude") -> Column:
     """|vertical_rate| / velocity when velocity > 0 and baro_altitude > 0, else null."""
     vr, v, a = _c(vertical_rate), _c(velocity), _c(baro_altitude)
-    return F.when((v > 0) & (a > 0), F.abs(vr) / F.nullif(v, F.lit(0.0)))
+    return F.when((v > 0) & (a > 0), F.abs(vr) / v)
 
 
 def altitude_km(baro_altitude="baro_altitude") -> Column:
     """Barometric altitude in km when present and positive, else null."""
     a = _c(baro_altitude)
-    return F.when(a.isNotNull() & (a > 0), a / F.lit(1000.0))
+    return F.when(a > 0, a / F.lit(1000.0))
 
 
 def altitude_km_from_geo_feet(geo_altitude="geo_altitude") -> Column:

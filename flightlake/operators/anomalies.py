@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.functions.scalar import climb_rate_ratio, is_present_key
-from flightlake.plans.joins import broadcast_if_bounded
 
 # Rule parameters (SI units): velocity change rate m/s^2, altitude change rate m/s, vertical rate m/s.
 MAX_ACCELERATION = 15.0
@@ -25,7 +24,6 @@ MAX_CLIMB_RATIO = 1.0
 CHUNK_SECONDS = 3600
 PEER_MIN_ROWS = 5
 PEER_Z = 3.0
-PEER_BROADCAST_MAX_ROWS = 100_000
 ROUND = 6
 
 
@@ -34,18 +32,20 @@ def previous_reading(df: DataFrame, key: str, ts: str, tiebreak: str, cols: list
     """Adds ``prev_<c>`` for ``c`` in ``cols + [ts]``: the previous row of the same key ordered by
     ``(ts, tiebreak)``. Rows whose key is null or empty have no previous reading."""
     tracked = cols + [ts]
-    d = df.withColumn("__chunk", F.floor(F.col(ts) / F.lit(chunk_seconds)))
+    present = is_present_key(key)
+    # rows without a key get no answer: any spread will do, and it keeps them from one task
+    d = df.withColumn("__chunk", F.when(present, F.floor(F.col(ts) / F.lit(chunk_seconds)))
+                      .otherwise(F.xxhash64(tiebreak)))
     w = Window.partitionBy(key, "__chunk").orderBy(ts, tiebreak)
     for c in tracked:
         d = d.withColumn(f"__lag_{c}", F.lag(c).over(w))
     d = d.withColumn("__first", F.row_number().over(w) == 1)
     d = d.withColumn("__last", F.lead(F.lit(1)).over(w).isNull())  # same window: no extra shuffle
-    last = d.filter("__last").select(key, "__chunk", F.struct(*[F.col(c).alias(f"__v_{c}") for c in tracked])
+    last = d.filter(F.col("__last") & present).select(key, "__chunk", F.struct(*[F.col(c).alias(f"__v_{c}") for c in tracked])
                                      .alias("__last"))
     wc = Window.partitionBy(key).orderBy("__chunk")  # one row per (key, chunk)
     prev_chunk = last.select(key, "__chunk", F.lag("__last").over(wc).alias("__prev_last"))
     d = d.drop("__last").join(prev_chunk, [key, "__chunk"], "left")
-    present = is_present_key(key)
     for c in tracked:
         v = F.when(F.col("__first"), F.col(f"__prev_last.__v_{c}")).otherwise(F.col(f"__lag_{c}"))
         d = d.withColumn(f"prev_{c}", F.when(present, v))
@@ -84,7 +84,7 @@ def peer_anomalies(enriched: DataFrame, min_rows: int = PEER_MIN_ROWS, z: float
     from the mean of their description (groups of at least ``min_rows`` rows).
 
     Group statistics are a partial (map-side) aggregate; the small per-description table is joined
-    back (broadcast when its size is proven small), never a window over a whole description.
+    back, never a window over a whole description.
     """
     rows = enriched.filter(F.col("Description").isNotNull()).select(
         "obs_id", "icao24", "Description", "velocity", "baro_altitude")
@@ -93,7 +93,6 @@ def peer_anomalies(enriched: DataFrame, min_rows: int = PEER_MIN_ROWS, z: float
         F.avg("velocity").alias("mu_v"), F.stddev_samp("velocity").alias("sd_v"),
         F.avg("baro_altitude").alias("mu_a"), F.stddev_samp("baro_altitude").alias("sd_a"),
     ).filter(F.col("peer_rows") >= min_rows)
-    stats, _ = broadcast_if_bounded(stats, PEER_BROADCAST_MAX_ROWS)
     j = rows.join(stats, "Description", "inner")
     zv = F.when(F.col("sd_v") > 0, (F.col("velocity") - F.col("mu_v")) / F.col("sd_v"))
     za = F.when(F.col("sd_a") > 0, (F.col("baro_altitude") - F.col("mu_a")) / F.col("sd_a"))

@@ -1,7 +1,6 @@
 """Gaussian kernel density on a fixed grid (Scott bandwidth), computed as distributed partial sums.
 
-Exact duplicate points are first combined into weights (a map-side aggregate; the density is the
-same). Each task adds the kernel of its points to every grid cell and emits one partial value per
+Each task adds the kernel of its points to every grid cell and emits one partial value per
 cell; cells are then summed. The grid has ``nx * ny`` cells, a parameter, so what each task holds
 and emits does not grow with the data. The sample covariance (ddof 1) is one aggregate.
 """
@@ -12,49 +11,25 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.session import shared_root
-
-MAX_BROADCAST_GROUPS = 100_000
 ROUND_COORD = 6
 ROUND_DENSITY = 12
 BLOCK = 64
-POINTS_PER_TASK = 2_000
-
-
-def _partitions(spark, n_points: int) -> int:
-    par = spark.sparkContext.defaultParallelism
-    return int(max(1, min(4 * par, math.ceil(n_points / POINTS_PER_TASK))))
 
 
 def kde_2d_grid(df: DataFrame, x_col: str, y_col: str, nx: int = 200, ny: int = 200,
-                bin_size: float | None = None, bounds: tuple | None = None) -> DataFrame:
+                bounds: tuple | None = None) -> DataFrame:
     """Density of (x, y) on an ``nx`` x ``ny`` grid spanning the data range (ends included).
 
-    Returns ``(ix, iy, x, y, density)``; empty when there are no points or when the covariance is
-    singular (constant or collinear coordinates); ``kde_2d_status`` gives the reason. ``bin_size``
-    (off by default) switches to an approximate mode for very large samples. ``bounds`` =
-    ``(x0, x1, y0, y1)`` fixes the grid extent (e.g. a map view) instead of the data range.
+    Returns ``(ix, iy, x, y, density)``; empty when there are fewer than two points or when the
+    covariance is singular (constant or collinear coordinates). ``bounds`` = ``(x0, x1, y0, y1)`` fixes
+    the grid extent (e.g. a map view) instead of the data range. One job takes the moments, one the sums.
     """
     spark = df.sparkSession
     pts = df.select(F.col(x_col).cast("double").alias("x"), F.col(y_col).cast("double").alias("y")).filter(
         F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
-    if bin_size:
-        # approximate mode for very large samples: snap points to a fine lattice, so the kernel work
-        # is bounded by the number of occupied lattice cells (error at most bin_size / 2 per axis)
-        pts = pts.select(*[(F.round(F.col(c) / F.lit(float(bin_size))) * F.lit(float(bin_size))).alias(c)
-                           for c in ("x", "y")])
-    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _kde_2d(spark, pts, nx, ny, bounds)
-    finally:
-        pts.unpersist()
-
-
-def _kde_2d(spark, pts: DataFrame, nx: int, ny: int, bounds=None) -> DataFrame:
     st = pts.agg(F.count(F.lit(1)).alias("n"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"),
                  F.covar_samp("x", "y").alias("cxy"), F.min("x").alias("x0"), F.max("x").alias("x1"),
                  F.min("y").alias("y0"), F.max("y").alias("y1")).first()
@@ -70,9 +45,6 @@ def _kde_2d(spark, pts: DataFrame, nx: int, ny: int, bounds=None) -> DataFrame:
     x0, x1, y0, y1 = bounds if bounds is not None else (st["x0"], st["x1"], st["y0"], st["y1"])
     gx = np.array([x0 + i * (x1 - x0) / (nx - 1) for i in range(nx)])
     gy = np.array([y0 + j * (y1 - y0) / (ny - 1) for j in range(ny)])
-    weighted = pts.groupBy("x", "y").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    n_distinct = weighted.count()
-    weighted = weighted.repartition(_partitions(spark, n_distinct))
     a, b, c = syy / det, -sxy / det, sxx / det  # inverse covariance entries
     bgx, bgy = spark.sparkContext.broadcast(gx), spark.sparkContext.broadcast(gy)
 
@@ -80,7 +52,9 @@ def _kde_2d(spark, pts: DataFrame, nx: int, ny: int, bounds=None) -> DataFrame:
         gxv, gyv = bgx.value, bgy.value
         acc = np.zeros((len(gxv), len(gyv)))
         for pdf in batches:
-            x, y, w = pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy()
+            # repeated points become weights; the density is the same
+            xy, w = np.unique(pdf[["x", "y"]].to_numpy(), axis=0, return_counts=True)
+            x, y, w = xy[:, 0], xy[:, 1], w.astype(float)
             for s in range(0, len(x), BLOCK):
                 dx = gxv[None, :] - x[s:s + BLOCK, None]
                 dy = gyv[None, :] - y[s:s + BLOCK, None]
@@ -90,27 +64,16 @@ def _kde_2d(spark, pts: DataFrame, nx: int, ny: int, bounds=None) -> DataFrame:
         yield pd.DataFrame({"ix": ix.ravel().astype("int32"), "iy": iy.ravel().astype("int32"),
                             "s": acc.ravel()})
 
-    sums = weighted.mapInPandas(partial, "ix int, iy int, s double").groupBy("ix", "iy").agg(F.sum("s").alias("s"))
+    # points are two numbers each: dealing them out evenly costs little beside the kernel work
+    spread = pts.repartition(spark.sparkContext.defaultParallelism)
+    sums = spread.mapInPandas(partial, "ix int, iy int, s double").groupBy("ix", "iy").agg(F.sum("s").alias("s"))
     norm = n * 2.0 * math.pi * math.sqrt(det)
-    shared_root(spark)
     return sums.select(
         "ix", "iy",
         F.round(F.lit(x0) + F.col("ix") * (F.lit(x1) - F.lit(x0)) / F.lit(float(nx - 1)), ROUND_COORD).alias("x"),
         F.round(F.lit(y0) + F.col("iy") * (F.lit(y1) - F.lit(y0)) / F.lit(float(ny - 1)), ROUND_COORD).alias("y"),
         F.round(F.col("s") / F.lit(norm), ROUND_DENSITY).alias("density"),
-    ).checkpoint(eager=True)  # nx * ny rows; lets the persisted input go
-
-
-def kde_2d_status(df: DataFrame, x_col: str, y_col: str) -> str:
-    """Why a 2-D density is empty ('ok' when it is not)."""
-    st = df.agg(F.count(x_col).alias("n"), F.var_samp(x_col).alias("vx"), F.var_samp(y_col).alias("vy"),
-                F.covar_samp(x_col, y_col).alias("cxy")).first()
-    if not st["n"]:
-        return "no points"
-    if st["n"] < 2:
-        return "fewer than two points"
-    det = st["vx"] * st["vy"] - st["cxy"] ** 2
-    return "ok" if det > 0 else "singular covariance (constant or collinear coordinates)"
+    )
 
 
 def kde_1d_by_group(df: DataFrame, group_col: str, value_col: str, gridsize: int = 100, cut: float = 2.0) -> DataFrame:
@@ -120,9 +83,8 @@ def kde_1d_by_group(df: DataFrame, group_col: str, value_col: str, gridsize: int
     Built-in expressions only: repeated values are combined into weights, each (group, value, weight)
     row is expanded to the group's grid points inside generated code, and kernel values are summed
     per (group, point) with map-side partial sums. Per-group bandwidths come from one aggregate
-    joined back (broadcast when its size is proven small), so any number of groups works.
+    joined back, so any number of groups works.
     """
-    from flightlake.plans.joins import broadcast_if_bounded
     vals = df.select(F.col(group_col).alias("g"), F.col(value_col).cast("double").alias("v")).filter(
         F.col("g").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
     stats = (vals.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
@@ -132,7 +94,6 @@ def kde_1d_by_group(df: DataFrame, group_col: str, value_col: str, gridsize: int
              .select("g", F.col("n").cast("double").alias("n"), "bw",
                      (F.col("mn") - F.lit(cut) * F.col("bw")).alias("lo"),
                      (F.col("mx") + F.lit(cut) * F.col("bw")).alias("hi")))
-    stats, _ = broadcast_if_bounded(stats, MAX_BROADCAST_GROUPS)
     weighted = vals.groupBy("g", "v").agg(F.count(F.lit(1)).cast("double").alias("w"))
     e = weighted.join(stats, "g").select(
         "g", "v", "w", "n", "bw", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))

@@ -1,21 +1,23 @@
 """Enrichment (observations + airframes + aircraft types), coverage report, latest-window frame.
 
 The aircraft-type join matches ``typecode = Designator OR icaoaircrafttype = Designator``. Written
-directly, that disjunction can only run as a nested-loop join. Instead the distinct
-``(typecode, icaoaircrafttype)`` pairs of the airframe dimension are expanded to their (distinct,
-non-null) designators and equi-joined to the type table once; observations then join that
-pair-level lookup on null-safe equality of the pair. Result rows equal the OR join's: a type row
-reachable through both arms appears once, a null arm is skipped, an unmatched observation survives
-once with nulls, several type rows per designator multiply the observation.
+directly, that disjunction can only run as a nested-loop join. Instead the type rows of each
+designator are gathered into one list (as long as the dimension has rows for it), the list is
+looked up by each of the two codes with an equi-join, and the lists are put together and unfolded.
+Result rows equal the OR join's: a type row reachable through both codes appears once, a null code
+is skipped, an unmatched observation survives once with nulls, several type rows per designator
+multiply the observation.
+
+No function here runs a job, and every dimension side is a scan or an aggregate of one, so Spark can
+tell its size and broadcasts it when that is small; a large airframe table costs one shuffle on its key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.functions.scalar import altitude_km, climb_rate_ratio, is_present_key
-from flightlake.plans.joins import broadcast_if_bounded, salted_left_join
 from flightlake.schemas import (
     ENRICHED_AIRFRAME_COLUMNS,
     ENRICHED_COLUMNS,
@@ -23,119 +25,96 @@ from flightlake.schemas import (
     ENRICHED_TYPE_COLUMNS,
 )
 
-AIRFRAME_JOIN_COLUMNS = ["icao24", "typecode"] + ENRICHED_AIRFRAME_COLUMNS
-# Row bounds under which a dimension side is broadcast (checked, see plans.joins).
-LOOKUP_BROADCAST_MAX_ROWS = 1_000_000
-AIRFRAME_BROADCAST_MAX_ROWS = 500_000
-# Salt fan-out for the pair join when the lookup is too large to broadcast.
-PAIR_JOIN_SALT = 64
-
-
-def type_lookup(airframes: DataFrame, models: DataFrame, type_columns=None) -> DataFrame:
-    """Pair-level lookup: one row per (typecode, icaoaircrafttype, matching type row)."""
-    type_columns = list(type_columns or ENRICHED_TYPE_COLUMNS)
-    pairs = airframes.select("typecode", "icaoaircrafttype").distinct()
-    arms = pairs.select(
-        "typecode", "icaoaircrafttype",
-        F.explode(F.array_distinct(F.filter(F.array("typecode", "icaoaircrafttype"),
-                                            lambda x: x.isNotNull()))).alias("Designator"),
-    )
-    return arms.join(models.select("Designator", *type_columns), "Designator", "inner")
-
-
-def join_airframes(observations: DataFrame, airframes: DataFrame,
-                   airframe_columns=None, broadcast_max_rows: int = AIRFRAME_BROADCAST_MAX_ROWS) -> DataFrame:
-    """observations LEFT JOIN airframes ON icao24 (duplicates on both sides kept)."""
-    cols = list(airframe_columns or AIRFRAME_JOIN_COLUMNS)
-    if "icao24" not in cols:
-        cols = ["icao24"] + cols
-    af, _ = broadcast_if_bounded(airframes.select(*cols), broadcast_max_rows)
-    return observations.join(af, "icao24", "left")
 
+def with_types(rows: DataFrame, models: DataFrame, type_columns) -> DataFrame:
+    """``rows`` (with both codes) LEFT JOIN type rows matching either code; a null ``Designator`` tells
+    that none did."""
+    types = (models.filter(F.col("Designator").isNotNull()).groupBy("Designator")
+             .agg(F.collect_list(F.struct("Designator", *type_columns)).alias("__types")))
+    first = types.select(F.col("Designator").alias("__d1"), F.col("__types").alias("__t1"))
+    second = types.select(F.col("Designator").alias("__d2"), F.col("__types").alias("__t2"))
+    j = (rows.join(first, F.col("typecode") == F.col("__d1"), "left")
+         .join(second, F.col("icaoaircrafttype") == F.col("__d2"), "left"))
+    none = F.array().cast(types.schema["__types"].dataType)
+    more = F.when(F.col("typecode").eqNullSafe(F.col("icaoaircrafttype")), none).otherwise(F.coalesce("__t2", none))
+    return j.select(*rows.columns, F.explode_outer(F.concat(F.coalesce("__t1", none), more)).alias("__type")).select(
+        *rows.columns, "__type.*")
 
-def join_types(with_airframe: DataFrame, lookup: DataFrame,
-               broadcast_max_rows: int = LOOKUP_BROADCAST_MAX_ROWS, salt_buckets: int = PAIR_JOIN_SALT,
-               salt_source=None) -> DataFrame:
-    """Left join of airframe-enriched rows to the pair lookup (null-safe on both pair columns).
-
-    The pair key has few distinct values, so a hash shuffle on it would be badly skewed. The lookup
-    is broadcast when its size is proven small; otherwise the join is salted.
-    """
-    lk = lookup.withColumnRenamed("typecode", "__lk_tc").withColumnRenamed("icaoaircrafttype", "__lk_it")
 
-    def cond(left, right):
-        return (left["typecode"].eqNullSafe(right["__lk_tc"])
-                & left["icaoaircrafttype"].eqNullSafe(right["__lk_it"]))
+def spread_absent(key: str, row_id: str, parts: int) -> Column:
+    """Part of an absent (null or empty) key's row; 0 for every present key."""
+    return F.when(is_present_key(key), F.lit(0)).otherwise(F.pmod(F.xxhash64(row_id), F.lit(parts)).cast("int"))
 
-    lk_b, small = broadcast_if_bounded(lk, broadcast_max_rows)
-    if small:
-        out = with_airframe.join(lk_b, cond(with_airframe, lk_b), "left")
-    else:
-        salt = salt_source if salt_source is not None else F.xxhash64(*with_airframe.columns)
-        out = salted_left_join(with_airframe, lk, cond, salt_buckets, salt)
-    return out.drop("__lk_tc", "__lk_it")
 
+def join_by_aircraft(observations: DataFrame, dim: DataFrame, row_id: str = "obs_id") -> DataFrame:
+    """observations LEFT JOIN dim ON icao24 (duplicates on both sides kept).
 
-def enrich(states: DataFrame, airframes: DataFrame, models: DataFrame,
-           airframe_broadcast_max_rows: int = AIRFRAME_BROADCAST_MAX_ROWS,
-           lookup_broadcast_max_rows: int = LOOKUP_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Enriched observations: 17 observation columns, 5 airframe, 4 type, 2 derived.
-
-    The two bounds decide when a dimension side may be broadcast (0 forces the shuffle paths).
+    Observations without a key may be a large share of all rows. They are dealt over as many parts as
+    there are shuffle partitions; a dimension row whose own key is empty stands in each part.
     """
-    obs = states.select(*ENRICHED_OBSERVATION_COLUMNS)
-    j1 = join_airframes(obs, airframes, broadcast_max_rows=airframe_broadcast_max_rows)
-    lookup = type_lookup(airframes, models)
-    j2 = join_types(j1, lookup, broadcast_max_rows=lookup_broadcast_max_rows, salt_source=F.xxhash64("obs_id"))
-    return j2.select(
+    parts = int(observations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = observations.withColumn("__part", spread_absent("icao24", row_id, parts))
+    last = F.when(is_present_key("icao24"), F.lit(0)).otherwise(F.lit(parts - 1))
+    right = dim.filter(F.col("icao24").isNotNull()).withColumn("__part", F.explode(F.sequence(F.lit(0), last)))
+    return left.join(right, ["icao24", "__part"], "left").drop("__part")
+
+
+def enrich(states: DataFrame, airframes: DataFrame, models: DataFrame) -> DataFrame:
+    """Enriched observations: 17 observation columns, 5 airframe, 4 type, 2 derived."""
+    dim = airframes.select("icao24", "typecode", *ENRICHED_AIRFRAME_COLUMNS)
+    joined = with_types(join_by_aircraft(states.select(*ENRICHED_OBSERVATION_COLUMNS), dim), models, ENRICHED_TYPE_COLUMNS)
+    return joined.select(
         *[c for c in ENRICHED_COLUMNS if c not in ("climb_rate_ratio", "altitude_km")],
         climb_rate_ratio().alias("climb_rate_ratio"),
         altitude_km().alias("altitude_km"),
     )
 
 
-def coverage_parity(enriched: DataFrame, airframes: DataFrame, models: DataFrame) -> DataFrame:
-    """Coverage as the reference computes it: the enriched rows joined to both dimensions again
-    (so already multiplied rows multiply once more), then counts and percentages."""
-    af = airframes.select(F.col("icao24").alias("af_icao24"), "typecode", "icaoaircrafttype")
-    j = enriched.select("obs_id", "icao24").join(af, F.col("icao24") == F.col("af_icao24"), "left")
-    lookup = type_lookup(airframes, models, type_columns=[])
-    j = join_types(j, lookup, salt_source=F.xxhash64("obs_id"))
-    agg = j.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.countDistinct("icao24").alias("unique_aircraft"),
-        F.count("af_icao24").alias("rows_with_airframe_data"),
-        F.count("Designator").alias("rows_with_model_data"),
+def _per_key(states: DataFrame, airframes: DataFrame, models: DataFrame) -> DataFrame:
+    """Per ``icao24``: observations ``n``, rows ``m`` that enrichment makes of one of them, how many of
+    these have an airframe (``m_airframe``) and a type (``m_type``). Only counts are shuffled."""
+    n = states.groupBy("icao24").agg(F.count(F.lit(1)).alias("n"))
+    known = airframes.select("icao24", "typecode", "icaoaircrafttype").filter(F.col("icao24").isNotNull())
+    dim = (with_types(known, models, []).groupBy("icao24")
+           .agg(F.count(F.lit(1)).alias("m_airframe"), F.count("Designator").alias("m_type")))
+    j = n.join(dim, "icao24", "left")
+    return j.select("icao24", "n", F.coalesce("m_airframe", F.lit(1)).alias("m"),
+                    F.coalesce("m_airframe", F.lit(0)).alias("m_airframe"), F.coalesce("m_type", F.lit(0)).alias("m_type"))
+
+
+def coverage_parity(states: DataFrame, airframes: DataFrame, models: DataFrame) -> DataFrame:
+    """Coverage of the enriched rows joined to both dimensions again (so already multiplied rows
+    multiply once more), then percentages. Computed from each key's multiplicity: no join of rows."""
+    k = _per_key(states, airframes, models)
+    agg = k.agg(
+        F.coalesce(F.sum(F.col("n") * F.col("m") * F.col("m")), F.lit(0)).alias("n_rows"),
+        F.count("icao24").alias("n_aircraft"),
+        F.coalesce(F.sum(F.col("n") * F.col("m") * F.col("m_airframe")), F.lit(0)).alias("n_with_airframe"),
+        F.coalesce(F.sum(F.col("n") * F.col("m") * F.col("m_type")), F.lit(0)).alias("n_with_type"),
     )
     return _with_percentages(agg)
 
 
 def coverage_distinct(states: DataFrame, airframes: DataFrame, models: DataFrame) -> DataFrame:
-    """Corrected coverage on un-multiplied observations [ours]: each observation counted once."""
-    obs = states.select("obs_id", "icao24")
-    af = airframes.select("icao24", F.lit(True).alias("has_af"), "typecode", "icaoaircrafttype")
-    j = join_airframes(obs, af, airframe_columns=["icao24", "has_af", "typecode", "icaoaircrafttype"])
-    lookup = type_lookup(airframes, models, type_columns=[])
-    j = join_types(j, lookup, salt_source=F.xxhash64("obs_id"))
-    per_obs = j.groupBy("obs_id", "icao24").agg(  # icao24 depends on obs_id; keeps a hash aggregate
-        F.max(F.col("has_af").cast("int")).alias("has_af"),
-        F.max(F.col("Designator").isNotNull().cast("int")).alias("has_type"),
-    )
-    agg = per_obs.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.countDistinct(F.when(is_present_key("icao24"), F.col("icao24"))).alias("unique_aircraft"),
-        F.sum(F.coalesce("has_af", F.lit(0))).cast("long").alias("rows_with_airframe_data"),
-        F.sum("has_type").cast("long").alias("rows_with_model_data"),
+    """Corrected coverage on un-multiplied observations [ours]: each observation row counted once.
+    Having an airframe or a type is a property of the key, so the fact table is only counted by key."""
+    k = _per_key(states, airframes, models)
+    having = lambda c: F.coalesce(F.sum(F.when(F.col(c) > 0, F.col("n"))), F.lit(0))
+    agg = k.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.count(F.when(is_present_key("icao24"), F.lit(1))).alias("n_aircraft"),
+        having("m_airframe").alias("n_with_airframe"),
+        having("m_type").alias("n_with_type"),
     )
     return _with_percentages(agg)
 
 
 def _with_percentages(agg: DataFrame) -> DataFrame:
-    total = F.nullif(F.col("total_rows"), F.lit(0)).cast("double")
+    total = F.nullif(F.col("n_rows"), F.lit(0)).cast("double")
     return agg.select(
         "*",
-        F.round(F.col("rows_with_airframe_data").cast("double") / total * 100.0, 6).alias("pct_with_airframe_data"),
-        F.round(F.col("rows_with_model_data").cast("double") / total * 100.0, 6).alias("pct_with_model_data"),
+        F.round(F.col("n_with_airframe").cast("double") / total * 100.0, 6).alias("pct_with_airframe"),
+        F.round(F.col("n_with_type").cast("double") / total * 100.0, 6).alias("pct_with_type"),
     )
 
 
@@ -147,12 +126,16 @@ def latest_window_end(states: DataFrame) -> DataFrame:
 def latest_window_frame(states: DataFrame, airframes: DataFrame, models: DataFrame) -> DataFrame:
     """All observations of the newest window, each with its aircraft-type ``Description``.
 
-    The newest window is found by a global max (one row, broadcast) and matched by equi-join, so
-    on a window-partitioned dataset the filter also prunes partitions dynamically.
+    The newest window end is a scalar subquery, so the comparison is a plain filter: on a table
+    partitioned or clustered by ``window_end`` it prunes files.
     """
-    latest = F.broadcast(latest_window_end(states))
-    cur = states.join(latest, states["window_end"] == latest["latest_window_end"], "left_semi")
-    j1 = join_airframes(cur, airframes, airframe_columns=["icao24", "typecode", "icaoaircrafttype"])
-    lookup = type_lookup(airframes, models, type_columns=["Description"])
-    j2 = join_types(j1, lookup, salt_source=F.xxhash64("obs_id"))
-    return j2.select(*states.columns, "Description")
+    current = states.filter(F.col("window_end") == latest_window_end(states).scalar())
+    dim = airframes.select("icao24", "typecode", "icaoaircrafttype")
+    return with_types(join_by_aircraft(current, dim), models, ["Description"]).select(*states.columns, "Description")
+
+
+def first_enriched(states: DataFrame, airframes: DataFrame, models: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` enriched rows by (obs_id, type name). Every observation survives enrichment, so
+    these come from the first ``n`` observations, and only those are joined."""
+    first = states.orderBy("obs_id").limit(n)
+    return enrich(first, airframes, models).orderBy(F.col("obs_id").asc(), F.col("ModelFullName").asc_nulls_first()).limit(n)

@@ -26,12 +26,10 @@ from flightlake.functions.scalar import (
     vertical_status,
     vertical_status_labels,
 )
-from flightlake.plans.joins import broadcast_if_bounded, has_at_most
+from flightlake.operators.ranks import with_sum_before
 
 PREPARE_NUMERIC = ["latitude", "longitude", "geo_altitude", "velocity", "vertical_rate"]
 PREPARE_REQUIRED = ["geo_altitude", "velocity", "vertical_rate"]
-CATEGORY_BROADCAST_MAX_ROWS = 100_000
-IN_LIST_MAX = 1_000  # qualifying categories applied as a literal IN-list up to this many
 ROUND = 6
 
 
@@ -54,24 +52,10 @@ def require_columns(df: DataFrame, cols, operator: str) -> None:
         raise ValueError(f"{operator}: input has no column(s) {missing}; available: {df.columns}")
 
 
-def dense_codes(labels: DataFrame, col: str, code_col: str, max_local_rows: int = CATEGORY_BROADCAST_MAX_ROWS,
-                partitions: int = 64) -> DataFrame:
-    """0-based dense rank of the distinct values of ``col`` in sorted order.
-
-    A label dimension of proven small size is ranked by one window; a larger one by a range-
-    partitioned sort: ranks inside each sorted partition plus the partition's offset (a table of one
-    count per partition), so no task ever holds more than its range.
-    """
-    distinct = labels.select(col).distinct()
-    if has_at_most(distinct, max_local_rows):
-        return distinct.withColumn(code_col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int"))
-    ranged = distinct.repartitionByRange(partitions, col).withColumn("__pid", F.spark_partition_id())
-    ranged = ranged.withColumn("__rn", F.row_number().over(Window.partitionBy("__pid").orderBy(col)))
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
-    offsets = counts.withColumn("__off", F.coalesce(
-        F.sum("__c").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (ranged.join(F.broadcast(offsets.select("__pid", "__off")), "__pid")
-            .select(col, (F.col("__off") + F.col("__rn") - 1).cast("int").alias(code_col)))
+def dense_codes(labels: DataFrame, col: str, code_col: str) -> DataFrame:
+    """0-based dense rank of the distinct values of ``col`` in sorted order."""
+    distinct = labels.select(col).distinct().withColumn("__one", F.lit(1).cast("long"))
+    return with_sum_before(distinct, [], [col], "__one").select(col, F.col("before").cast("int").alias(code_col))
 
 
 def label_dimension(spark: SparkSession, name: str, labels) -> DataFrame:
@@ -215,8 +199,7 @@ def category_codes(enriched: DataFrame) -> DataFrame:
     """0-based code of each description in sorted order, attached to complete rows."""
     rows = dropna_any(enriched.select("obs_id", "velocity", "geo_altitude", "Description"),
                       ["velocity", "geo_altitude", "Description"])
-    codes, _ = broadcast_if_bounded(dense_codes(rows, "Description", "desc_code"), CATEGORY_BROADCAST_MAX_ROWS)
-    return rows.join(codes, "Description", "inner").select("obs_id", "velocity", "geo_altitude", "Description",
+    return rows.join(dense_codes(rows, "Description", "desc_code"), "Description", "inner").select("obs_id", "velocity", "geo_altitude", "Description",
                                                             "desc_code")
 
 
@@ -256,38 +239,17 @@ def category_radar(enriched: DataFrame, k: int = 4) -> DataFrame:
 
 # ---------------------------------------------------------------- sampling (L8, L9)
 
-MINSTD_M = 2147483647
-MINSTD_A = 48271
-
-
 def stable_fraction(key_col: str, seed: int = 42):
-    """Deterministic pseudo-random value in [0, 1) from an integer key: two Lehmer (MINSTD) steps.
-
-    Plain integer arithmetic (no engine-specific hash), so an independent SQL engine gives the same
-    value, and a row keeps its value under any partitioning.
-    """
-    x = F.pmod(F.col(key_col) + F.lit(seed), F.lit(MINSTD_M))
-    x = F.pmod(x * F.lit(MINSTD_A), F.lit(MINSTD_M))
-    x = F.pmod(x * F.lit(MINSTD_A), F.lit(MINSTD_M))
-    return x.cast("double") / F.lit(float(MINSTD_M))
+    """Deterministic pseudo-random value in [0, 1) of a key: the leading 48 bits of the md5 of
+    ``seed:key``. Any engine with md5 gives the same value, and a row keeps it under any partitioning."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key_col).cast("string")))
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
 def stable_head(df: DataFrame, n: int, key_col: str = "obs_id", seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows: those with the smallest stable hash of ``key_col`` (ties by key).
-
-    The n-th smallest hash is found with the distributed order statistic of ``operators.quantile``
-    (no single-task top-n), then a filter keeps the rows at or below it.
-    """
-    from flightlake.operators.quantile import kth_smallest
-    h = F.pmod(F.xxhash64(F.lit(seed), F.col(key_col)), F.lit(1 << 52)).cast("double")
-    keyed = df.withColumn("__h", h)
-    t = kth_smallest(keyed, "__h", n - 1)
-    if t is None:
-        return df
-    below = keyed.filter(F.col("__h") < F.lit(t))
-    at = keyed.filter(F.col("__h") == F.lit(t))
-    room = n - below.count()
-    return below.unionByName(at.orderBy(key_col).limit(room)).drop("__h")
+    """Exactly ``min(n, rows)`` rows: those that come first by their stable fraction (ties by key; of
+    equal rows as many as there is room for)."""
+    return df.orderBy(stable_fraction(key_col, seed), key_col).limit(n)
 
 
 def hash_sample(df: DataFrame, fraction: float, key_col: str = "obs_id", seed: int = 42) -> DataFrame:
@@ -305,14 +267,6 @@ def position_sample(enriched: DataFrame, fraction: float = 0.3, seed: int = 42)
 def wtc_supported(prepared: DataFrame, min_rows: int = 5) -> DataFrame:
     """Rows whose wake category has at least ``min_rows`` rows, with the display order."""
     require_columns(prepared, ["WTC"], "wtc_supported")
-    counts = prepared.filter(F.col("WTC").isNotNull()).groupBy("WTC").agg(F.count(F.lit(1)).alias("n"))
-    ok = counts.filter(F.col("n") >= min_rows).select("WTC")
-    # one job fetches the qualifying categories when there are few (an IN-list filter, no join);
-    # a large category set stays distributed and is applied by a semi join
-    few = ok.limit(IN_LIST_MAX + 1).collect()
-    if len(few) <= IN_LIST_MAX:
-        kept = prepared.filter(F.col("WTC").isin([r["WTC"] for r in few]))
-    else:
-        kept = prepared.join(broadcast_if_bounded(ok, CATEGORY_BROADCAST_MAX_ROWS)[0], "WTC", "left_semi")
-    return (kept
-            .withColumn("wtc_order", label_ordinal("WTC", WTC_ORDER)))
+    ok = (prepared.filter(F.col("WTC").isNotNull()).groupBy("WTC").agg(F.count(F.lit(1)).alias("n"))
+          .filter(F.col("n") >= min_rows).select("WTC"))
+    return prepared.join(ok, "WTC", "left_semi").withColumn("wtc_order", label_ordinal("WTC", WTC_ORDER))

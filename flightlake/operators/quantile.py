@@ -1,183 +1,55 @@
-"""Exact quantiles (linear interpolation, as NumPy's default) without gathering a group anywhere.
+"""Exact quantiles (linear interpolation, as NumPy's default) for any number of groups of any size.
 
-Spark's exact ``percentile`` aggregate keeps every distinct value of a group in one buffer, which a
-group holding a third of all rows cannot afford; ``percentile_approx`` is not exact. Here each
-needed order statistic is found by histogram refinement: every pass is a partial (map-side)
-aggregate ``(target, bucket) -> count, min, max`` over the rows still in the target's value
-interval, and only those bucket summaries reach the driver. Once an interval holds few rows
-(``final_max``) its values are fetched and the rank is read off directly.
+Equal values are first combined into one row with a weight, so a value that a third of all rows share
+costs one row. The weights of the values before (``ranks.with_sum_before``) tell which ranks a value
+covers, and the values at the needed ranks are picked by a partial aggregate. Nothing is gathered in
+one task or on the driver.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.plans.joins import has_at_most
-
-BUCKETS = 4096
-FINAL_MAX = 100_000
-MAX_GROUPS = 1_000  # above this many groups the sort-based path is used
-MAX_SUMMARY_ROWS = 200_000  # bucket summaries one refinement pass may return to the driver
-MAX_FINAL_VALUES = 1_000_000  # values the last step may fetch, over all targets together
-
-
-def _targets_frame(spark, group_cols, rows):
-    schema = ", ".join([f"`{g}` string" for g in group_cols] + ["tid int", "lo double", "hi double"])
-    return spark.createDataFrame(rows, schema)
-
-
-def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), buckets: int = BUCKETS,
-                    final_max: int = FINAL_MAX, _exact_rank: int | None = None) -> dict:
-    """Returns ``{group_tuple: (n, [q for q in probs])}`` (``()`` key without groups).
-
-    Null and NaN values are ignored. Group columns are compared as text. Up to ``MAX_GROUPS``
-    groups use histogram refinement (each pass returns at most ``MAX_SUMMARY_ROWS`` bucket summaries);
-    more groups use one range-partitioned sort.
-    """
-    user_groups = list(group_cols)
-    # without groups, one constant group key keeps every step an equi-join
-    group_cols = user_groups or ["__all"]
-    spark = df.sparkSession
-    g_exprs = ([F.col(g).cast("string").alias(g) for g in user_groups] if user_groups
-               else [F.lit("").alias("__all")])
-    base = df.select(*g_exprs, F.col(value_col).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v"))
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats_df = base.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
-                                                 F.max("v").alias("mx"))
-        if not has_at_most(stats_df, MAX_GROUPS):
-            rows = _quantiles_by_sort(base, group_cols, stats_df, probs).collect()
-            return {tuple(r[g] for g in user_groups) if user_groups else (): (r["n"], list(r["qs"]))
-                    for r in rows}
-        stats = {tuple(r[g] for g in group_cols): (r["n"], r["mn"], r["mx"]) for r in stats_df.collect()}
-        # one target per (group, needed rank)
-        targets = {}  # (gkey, k) -> state dict
-        for gkey, (n, mn, mx) in stats.items():
-            for p in probs:
-                h = float(_exact_rank) if _exact_rank is not None else (n - 1) * float(p)
-                for k in {int(math.floor(h)), int(math.ceil(h))}:
-                    targets.setdefault((gkey, k), {"lo": mn, "hi": mx, "below": 0, "cnt": n, "value": None})
-        for t in targets.values():
-            if t["lo"] == t["hi"]:
-                t["value"] = t["lo"]
-        # refine until every open target's interval holds at most ``fmax`` rows (total bounded)
-        fmax = max(1, min(final_max, MAX_FINAL_VALUES // max(1, len(targets))))
-        ids = {key: i for i, key in enumerate(targets)}
-        while True:
-            open_ = [key for key, t in targets.items() if t["value"] is None and t["cnt"] > fmax]
-            if not open_:
-                break
-            rows = [(*key[0], ids[key], targets[key]["lo"], targets[key]["hi"]) for key in open_]
-            tf = F.broadcast(_targets_frame(spark, group_cols, rows))
-            j = base.join(tf, group_cols, "inner")
-            j = j.filter((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-            nb = max(16, min(buckets, MAX_SUMMARY_ROWS // len(open_)))  # bounds what reaches the driver
-            b = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(nb)))
-                        .cast("int"), F.lit(nb - 1))
-            summ = (j.groupBy("tid", b.alias("bucket"))
-                    .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmn"), F.max("v").alias("bmx"))
-                    .collect())
-            by_tid = {}
-            for r in summ:
-                by_tid.setdefault(r["tid"], []).append((r["bucket"], r["c"], r["bmn"], r["bmx"]))
-            for key in open_:
-                t = targets[key]
-                k = key[1]
-                cum = t["below"]
-                for _, c, bmn, bmx in sorted(by_tid.get(ids[key], [])):
-                    if cum + c > k:
-                        t.update(lo=bmn, hi=bmx, below=cum, cnt=c)
-                        if bmn == bmx:
-                            t["value"] = bmn
-                        break
-                    cum += c
-        rest = [key for key, t in targets.items() if t["value"] is None]
-        if rest:
-            rows = [(*key[0], ids[key], targets[key]["lo"], targets[key]["hi"]) for key in rest]
-            tf = F.broadcast(_targets_frame(spark, group_cols, rows))
-            j = base.join(tf, group_cols, "inner")
-            vals = (j.filter((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                    .groupBy("tid").agg(F.sort_array(F.collect_list("v")).alias("vs")).collect())
-            by_tid = {r["tid"]: r["vs"] for r in vals}
-            for key in rest:
-                t = targets[key]
-                t["value"] = by_tid[ids[key]][key[1] - t["below"]]
-        out = {}
-        for gkey, (n, _, _) in stats.items():
-            qs = []
-            for p in probs:
-                h = float(_exact_rank) if _exact_rank is not None else (n - 1) * float(p)
-                lo_k, hi_k = int(math.floor(h)), int(math.ceil(h))
-                a, b_ = targets[(gkey, lo_k)]["value"], targets[(gkey, hi_k)]["value"]
-                qs.append(a + (b_ - a) * (h - lo_k))
-            out[gkey if user_groups else ()] = (n, qs)
-        return out
-    finally:
-        base.unpersist()
+from flightlake.operators.ranks import with_sum_before
 
 
-def _quantiles_by_sort(base: DataFrame, group_cols, stats_df: DataFrame, probs) -> DataFrame:
-    """Exact quantiles for many groups: ``(groups…, n, qs)``.
+def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=()) -> DataFrame:
+    """``(groups..., n, qs)``: the number of values and the quantiles of each group.
 
-    Rows are range-partitioned and sorted on (group, value), so a large group spans many tasks. Each
-    row's rank inside its group is its position within the partition (a monotonically increasing
-    id, frozen by a checkpoint) plus the number of the group's rows in earlier partitions (a small
-    per-(partition, group) summary). Only the rows at the needed ranks are kept and interpolated.
+    Null and NaN values are ignored; infinities are values like any other. A null group is a group.
+    Without group columns there is one row, or none if there is no value.
     """
-    from pyspark.sql import Window
-    from flightlake.session import shared_root
-
-    spark = base.sparkSession
-    shared_root(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (base.repartitionByRange(parts, *group_cols, "v").sortWithinPartitions(*group_cols, "v")
-              .withColumn("__pid", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    summ = ranged.groupBy("__pid", *group_cols).agg(F.count(F.lit(1)).alias("__c"), F.min("__id").alias("__id0"))
-    w = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-    ranked = ranged.join(summ.select("__pid", *group_cols, "__off", "__id0"), ["__pid", *group_cols]).select(
-        *group_cols, "v", (F.col("__off") + F.col("__id") - F.col("__id0")).alias("__rank"))
-    # needed ranks per group: floor and ceil of (n - 1) * p for every p
-    hs = F.array(*[(F.col("n") - 1).cast("double") * F.lit(float(p)) for p in probs])
-    need = stats_df.select(*group_cols, "n", hs.alias("hs"))
-    wanted = need.select(*group_cols, F.explode(F.array_union(
-        F.transform("hs", lambda h: F.floor(h)), F.transform("hs", lambda h: F.ceil(h)))).alias("__rank"))
-    hits = ranked.join(wanted, [*group_cols, "__rank"], "left_semi")
-    by_group = hits.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "v"))).alias("m"))
-    j = need.join(by_group, group_cols)
-    qs = F.transform("hs", lambda h: F.element_at("m", F.floor(h)) + (
-        F.element_at("m", F.ceil(h)) - F.element_at("m", F.floor(h))) * (h - F.floor(h)))
-    return j.select(*group_cols, "n", qs.alias("qs"))
-
-
-def exact_quantiles_frame(df: DataFrame, value_col: str, probs, group_cols) -> DataFrame:
-    """Exact per-group quantiles as a DataFrame ``(groups…, n, qs)`` (sort-based path; nothing is
-    gathered on the driver, suited to any number of groups)."""
-    group_cols = list(group_cols)
-    base = df.select(*group_cols, F.col(value_col).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v"))
-    stats_df = base.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"))
-    return _quantiles_by_sort(base, group_cols, stats_df, probs)
-
-
-def kth_smallest(df: DataFrame, value_col: str, k: int, buckets: int = BUCKETS, final_max: int = FINAL_MAX):
-    """The value of 0-based rank ``k`` (ascending) of ``value_col``; the greatest value when ``k`` is past
-    the end; None when empty."""
-    n = df.filter(F.col(value_col).isNotNull() & ~F.isnan(value_col)).count()
-    if n == 0:
-        return None
-    k = min(max(int(k), 0), n - 1)
-    p = 0.0 if n == 1 else k / (n - 1)
-    res = exact_quantiles(df, value_col, [p], buckets=buckets, final_max=final_max, _exact_rank=k)
-    return res[()][1][0]
-
-
-def exact_quantile(df: DataFrame, value_col: str, p: float, **kw) -> float | None:
-    res = exact_quantiles(df, value_col, [p], **kw)
-    return res[()][1][0] if () in res else None
+    groups = list(group_cols)
+    values = df.select(*groups, F.col(value_col).cast("double").alias("__v")).filter(
+        F.col("__v").isNotNull() & ~F.isnan("__v"))
+    weighted = values.groupBy(*groups, "__v").agg(F.count(F.lit(1)).alias("__w"))
+    keys = groups or ["__all"]
+    if not groups:
+        weighted = weighted.withColumn("__all", F.lit(0))
+    ranked = with_sum_before(weighted, keys, ["__v"], "__w")
+    totals = ranked.groupBy(*[F.col(k).alias(f"__t_{k}") for k in keys]).agg(F.sum("__w").alias("n"))
+    same = None
+    for k in keys:
+        eq = F.col(k).eqNullSafe(F.col(f"__t_{k}"))
+        same = eq if same is None else same & eq
+    j = ranked.join(totals, same)
+    picks = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1).cast("double") * F.lit(float(p))
+        for name, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            covered = (F.col("before") <= rank) & (rank < F.col("before") + F.col("__w"))
+            picks.append(F.max(F.when(covered, F.col("__v"))).alias(f"__{name}{i}"))
+    found = j.groupBy(*keys, "n").agg(*picks)
+    qs = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        qs.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (h - F.floor(h))))
+    return found.select(*groups, "n", F.array(*qs).alias("qs"))
+
+
+def exact_quantile(df: DataFrame, value_col: str, p: float) -> float | None:
+    """The quantile of all rows; None when there is no value."""
+    row = exact_quantiles(df, value_col, [p]).first()
+    return None if row is None else row["qs"][0]

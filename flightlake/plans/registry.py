@@ -49,8 +49,7 @@ def q_enrich(spark, sf_dir):
 
 @register("enrich_coverage")
 def q_enrich_coverage(spark, sf_dir):
-    _, af, md = _dims(spark, sf_dir)
-    return en.coverage_parity(enriched(spark, sf_dir), af, md)
+    return en.coverage_parity(*_dims(spark, sf_dir))
 
 
 @register("enrich_coverage_distinct")
@@ -185,10 +184,9 @@ def q_table_profile(spark, sf_dir):
 @register("wtc_speed_quartiles")
 def q_wtc_speed_quartiles(spark, sf_dir):
     sup = pf.wtc_supported(prepared(spark, sf_dir))
-    res = qt.exact_quantiles(sup, "velocity", [0.25, 0.5, 0.75], group_cols=["WTC"])
-    rows = [(g[0], fx.WTC_ORDER.index(g[0]) if g[0] in fx.WTC_ORDER else None, n,
-             *[round(q, 6) for q in qs]) for g, (n, qs) in res.items()]
-    return spark.createDataFrame(rows, "WTC string, wtc_order int, n long, q25 double, q50 double, q75 double")
+    q = qt.exact_quantiles(sup, "velocity", [0.25, 0.5, 0.75], group_cols=["WTC"])
+    qs = [F.round(F.col("qs")[i], 6).alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
+    return q.select("WTC", fx.label_ordinal("WTC", fx.WTC_ORDER).alias("wtc_order"), "n", *qs)
 
 
 @register("wtc_speed_density")
@@ -264,5 +262,4 @@ def q_full_refresh(spark, sf_dir):
 @register("enriched_sample")
 def q_enriched_sample(spark, sf_dir):
     """The analysis sample: first 10,000 enriched rows in a total order (obs_id, type name)."""
-    e = enriched(spark, sf_dir)
-    return e.orderBy(F.col("obs_id").asc(), F.col("ModelFullName").asc_nulls_first()).limit(10000)
+    return en.first_enriched(*_dims(spark, sf_dir), 10000)

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from flightlake.operators import enrich as en
@@ -81,28 +83,49 @@ def test_rewrite_equals_or_join_random(spark):
     assert names(en.enrich(o, a, m)) == names(direct_or_join(o, a, m))
 
 
-def test_salted_path_equals_broadcast_path(spark):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_absent_keys_and_join_strategies(spark, threshold):
+    """Shuffled and broadcast joins give the rows of the direct join, empty and null keys included."""
     rnd = random.Random(3)
-    o = obs(spark, [str(rnd.randrange(10)) for _ in range(200)])
-    a = af(spark, [(str(i), rnd.choice(["A", "B", None]), rnd.choice(["A", "C"])) for i in range(10)])
+    o = obs(spark, [rnd.choice(["", None, "1", "2", "3", "9"]) for _ in range(200)])
+    a = af(spark, [(k, rnd.choice(["A", "B", None]), rnd.choice(["A", "C"])) for k in ["1", "2", "2", "3", "", "", None]])
     m = md(spark, [("A", "a1"), ("A", "a2"), ("B", "b1"), ("C", "c1")])
-    fast = names(en.enrich(o, a, m))
-    salted = names(en.enrich(o, a, m, lookup_broadcast_max_rows=0, airframe_broadcast_max_rows=0))
-    assert fast == salted
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        assert names(en.enrich(o, a, m)) == names(direct_or_join(o, a, m))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_coverage_counts(spark):
     o = obs(spark, ["a", "b", "zz", ""])
     a = af(spark, [("a", "X", None), ("b", "NOPE", None)])
     m = md(spark, [("X", "x1"), ("X", "x2")])
-    e = en.enrich(o, a, m)
-    par = en.coverage_parity(e, a, m).first()
+    par = en.coverage_parity(o, a, m).first()
     # enriched: a twice (x1, x2), b, zz, '' -> 5 rows; joined again: a rows multiply by 2 -> 7
-    assert par["total_rows"] == 7 and par["rows_with_airframe_data"] == 5 and par["rows_with_model_data"] == 4
+    assert par["n_rows"] == 7 and par["n_with_airframe"] == 5 and par["n_with_type"] == 4
     cor = en.coverage_distinct(o, a, m).first()
-    assert (cor["total_rows"], cor["unique_aircraft"], cor["rows_with_airframe_data"],
-            cor["rows_with_model_data"]) == (4, 3, 2, 1)
-    assert cor["pct_with_model_data"] == 25.0
+    assert (cor["n_rows"], cor["n_aircraft"], cor["n_with_airframe"], cor["n_with_type"]) == (4, 3, 2, 1)
+    assert cor["pct_with_type"] == 25.0
+
+
+def test_coverage_equals_rejoined_rows(spark):
+    rnd = random.Random(11)
+    o = obs(spark, [rnd.choice(["1", "2", "3", "4", "", None]) for _ in range(120)])
+    a = af(spark, [(rnd.choice(["1", "2", "3", None]), rnd.choice(["A", "B", None]), rnd.choice(["A", "C"])) for _ in range(9)])
+    m = md(spark, [("A", "a1"), ("A", "a2"), ("B", "b1")])
+    again = direct_or_join(direct_or_join(o, a, m).select("obs_id", "icao24"), a, m)
+    par = en.coverage_parity(o, a, m).first()
+    assert par["n_rows"] == again.count() and par["n_with_type"] == again.filter("ModelFullName IS NOT NULL").count()
+
+
+def test_first_rows_are_those_of_the_whole(spark):
+    o = obs(spark, [str(i % 4) for i in range(50)])
+    a = af(spark, [("1", "A", None), ("2", "A", "B")])
+    m = md(spark, [("A", "a1"), ("A", "a2"), ("B", "b1")])
+    whole = en.enrich(o, a, m).orderBy("obs_id", F.col("ModelFullName").asc_nulls_first()).limit(17)
+    assert names(en.first_enriched(o, a, m, 17)) == names(whole)
 
 
 def test_empty_input(spark):

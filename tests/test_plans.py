@@ -7,10 +7,14 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF001
+from flightlake.plans.registry import QUERIES as REGISTERED
 
-# queries whose construction runs Spark jobs and writes files (checked by other tests)
+# queries whose construction runs streams or writes whole result sets (checked by other tests)
 EAGER = {"stream_window_summary", "stream_windows", "full_refresh"}
-QUERIES = {k: v for k, v in entry.queries().items() if k not in EAGER}
+QUERIES = {k: v for k, v in entry.queries().items() if k not in EAGER and k in REGISTERED}
+# queries that fit a model or materialise a ranking, or whose result depends on collected scalars
+FITTED = {"iforest_scores", "iforest_anomalies", "anomaly_map", "category_codes", "wtc_speed_quartiles", "density_grid",
+          "speed_histogram", "recent_only", "table_profile"}
 
 
 def plan_text(df):
@@ -27,6 +31,34 @@ def test_plan_shape(spark, name):
             assert "props" not in schema  # the JSON column is never needed
 
 
-def test_enrich_plan_broadcasts_dimensions(spark):
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - FITTED))
+def test_no_job_while_a_frame_is_built(spark, name):
+    sc = spark.sparkContext
+    sc.setJobGroup(f"building {name}", "")
+    try:
+        QUERIES[name](spark, SF001)
+        # schema inference of a Parquet file is a job of its own kind: one task, no stage reads rows
+        assert len(sc.statusTracker().getJobIdsForGroup(f"building {name}")) <= len(FILES)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+FILES = ("events", "customer", "supplier")
+
+
+@pytest.mark.parametrize("name", ["enrich", "enrich_coverage", "enrich_coverage_distinct", "altitude_bands", "position_sample",
+                                  "category_profile", "density_grid"])
+def test_one_scan_of_events(spark, name):
+    plan = plan_text(QUERIES[name](spark, SF001))
+    assert len(re.findall(r"FileScan parquet[^\n]*events", plan)) == 1
+
+
+def test_enrich_joins_events_once(spark):
     plan = plan_text(QUERIES["enrich"](spark, SF001))
-    assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 3
+
+
+def test_coverage_shuffles_keys_only(spark):
+    plan = plan_text(QUERIES["enrich_coverage"](spark, SF001))
+    scan = plan.index("events")
+    assert "partial_count(1)" in plan[:scan]
