@@ -1,13 +1,13 @@
 """Isolation Forest (Liu, Ting, Zhou, ICDM 2008) fitted and applied with Spark.
 
-* Subsampling: each row gets, per tree, a stable pseudo-random key from (seed, tree, obs_id). Rows
-  whose key falls under a threshold of about ``4 * psi / n`` are candidates of that tree, and each
-  tree keeps its ``psi`` smallest keys. No pass materialises rows x trees; each tree's group holds
-  about ``4 * psi`` rows whatever the table size.
-* Fit: one ``applyInPandas`` call per tree builds the tree from its subsample (rows sorted by
-  ``obs_id``, NumPy generator seeded by (seed, tree)), so the result does not depend on partitioning.
-* Score: the forest (at most ``trees * (2 * psi - 1)`` nodes) is broadcast and every partition is
-  scored vectorised in ``mapInPandas``.
+* Subsampling, one path at every size: a row enters the draw when the hash of its id falls under
+  ``q = min(1, trees * p)`` and enters a tree when its hash for that tree falls under ``p / q``, so it is
+  a candidate of each tree with chance ``p``, about ``(4 * psi + 64) / n``. Each tree keeps the ``psi``
+  candidates with the smallest hashes. A tree's group holds about ``4 * psi`` rows whatever the table size.
+* Fit: one ``applyInPandas`` call per tree. Hashes, split features and split points come from md5, so the
+  forest depends on seed and rows alone, not on partitioning, and SQL can grow the same one.
+* Score: the forest (a fixed number of nodes) is broadcast and every partition is scored vectorised in
+  ``mapInPandas``.
 * Label: -1 when ``-score`` is strictly below the ``contamination`` quantile of ``-score`` (exact,
   linear interpolation), else 1.
 """
@@ -16,11 +16,11 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +37,10 @@ CONTAMINATION = 0.01
 SEED = 42
 # ---- end of fixed values ----
 EULER_GAMMA = 0.5772156649
-NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, size long, depth int"
+HASH_BITS = 60
+#: Mean path lengths are rounded to this many digits, so that the order of summation decides no tie.
+PATH_DIGITS = 9
+NODE_SCHEMA = "tree int, node int, feature int, threshold double, size long, depth int"
 
 
 def c_factor(m) -> np.ndarray:
@@ -50,31 +53,29 @@ def c_factor(m) -> np.ndarray:
     return out
 
 
-def _build_tree(x: np.ndarray, rng: np.random.Generator, height_limit: int):
-    """Flat arrays of one isolation tree: feature (-1 = leaf), threshold, left, right, size, depth."""
-    feat, thr, left, right, size, depth = [], [], [], [], [], []
-    stack = [(np.arange(len(x)), 0, -1, 0)]  # rows, depth, parent, side
-    while stack:
-        rows, d, parent, side = stack.pop()
-        node = len(feat)
-        if parent >= 0:
-            (left if side == 0 else right)[parent] = node
-        feat.append(-1); thr.append(0.0); left.append(-1); right.append(-1)
-        size.append(len(rows)); depth.append(d)
-        if d >= height_limit or len(rows) <= 1:
-            continue
+def draw(seed: int, tree: int, node: int, what: str) -> float:
+    """Uniform number in [0, 1) for a node's split: the leading 48 bits of an md5."""
+    return int(md5(f"{seed}:{tree}:{node}:{what}".encode()).hexdigest()[:12], 16) / float(1 << 48)
+
+
+def grow(x: np.ndarray, tree: int, seed: int, height_limit: int) -> list[tuple]:
+    """Nodes (node, feature, threshold, size, depth) of one tree; node 1 is the root, 2k and 2k + 1 the
+    children of k, and a feature of -1 marks a leaf."""
+    nodes, open_ = [], [(1, 0, np.arange(len(x)))]
+    while open_:
+        node, depth, rows = open_.pop()
         sub = x[rows]
         lo, hi = sub.min(axis=0), sub.max(axis=0)
         cand = np.flatnonzero(hi > lo)
-        if len(cand) == 0:
+        if depth >= height_limit or len(rows) <= 1 or len(cand) == 0:
+            nodes.append((node, -1, 0.0, len(rows), depth))
             continue
-        q = int(cand[rng.integers(len(cand))])
-        p = float(rng.uniform(lo[q], hi[q]))
-        go_left = sub[:, q] < p
-        feat[node], thr[node] = q, p
-        stack.append((rows[~go_left], d + 1, node, 1))
-        stack.append((rows[go_left], d + 1, node, 0))
-    return feat, thr, left, right, size, depth
+        q = int(cand[int(math.floor(draw(seed, tree, node, "feature") * len(cand)))])
+        p = float(lo[q] + draw(seed, tree, node, "point") * (hi[q] - lo[q]))
+        nodes.append((node, q, p, len(rows), depth))
+        left = sub[:, q] < p
+        open_ += [(2 * node, depth + 1, rows[left]), (2 * node + 1, depth + 1, rows[~left])]
+    return nodes
 
 
 @dataclass
@@ -83,38 +84,41 @@ class IsolationForestModel:
     psi: int
     nodes: pd.DataFrame  # NODE_SCHEMA rows for every tree
 
-    def arrays(self):
-        trees = []
-        for _, t in self.nodes.sort_values(["tree", "node"]).groupby("tree"):
-            trees.append((t["feature"].to_numpy(), t["threshold"].to_numpy(), t["left"].to_numpy(),
-                          t["right"].to_numpy(), t["size"].to_numpy(), t["depth"].to_numpy()))
-        return trees
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Feature, threshold and path length by (tree, node)."""
+        t, k = self.nodes["tree"].to_numpy(), self.nodes["node"].to_numpy()
+        shape = (int(t.max()) + 1, int(k.max()) + 1) if len(t) else (0, 2)
+        feature, threshold, path = np.full(shape, -1), np.zeros(shape), np.zeros(shape)
+        feature[t, k], threshold[t, k] = self.nodes["feature"], self.nodes["threshold"]
+        path[t, k] = self.nodes["depth"] + c_factor(self.nodes["size"])
+        return feature, threshold, path
+
+
+def _hash(seed: int, tree: Column, id_col: str) -> Column:
+    """A whole number below 2**60 from (seed, tree, row id)."""
+    text = F.concat_ws(":", F.lit(str(seed)), tree.cast("string"), F.col(id_col).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
+
 
+def _below(rate: float) -> int:
+    return int(math.floor(rate * float(1 << HASH_BITS)))
 
-def _key(seed: int, tree, id_col: str):
-    """Stable uniform value in [0, 1) from (seed, tree, row id)."""
-    return (F.pmod(F.xxhash64(F.lit(seed), tree, F.col(id_col)), F.lit(1 << 30)).cast("double")
-            / F.lit(float(1 << 30)))
 
+def rates(n: int, psi: int, n_trees: int) -> tuple[float, float]:
+    """Share of rows in the draw, and of those the share that enters one tree."""
+    p = min(1.0, (4.0 * psi + 64.0) / n)
+    q = min(1.0, n_trees * p)
+    return q, p / q
 
-def _candidates(data: DataFrame, id_col: str, n: int, psi: int, n_trees: int, seed: int) -> DataFrame:
-    """Rows ``(…, tree, u)``: per-tree candidates with inclusion probability about ``(4 psi + 64) / n``.
 
-    Large tables (``n > n_trees * (4 psi + 64)``): one hash per row decides whether the row is a
-    candidate at all and for which tree (candidate sets of different trees are disjoint), so the
-    cost per row does not depend on the number of trees. Smaller tables: every tree draws its
-    candidates independently (rows x trees generated and filtered inside generated code).
-    """
-    per_tree = min(1.0, (4.0 * psi + 64.0) / n)
-    if per_tree * n_trees < 1.0:
-        p1 = per_tree * n_trees
-        u0 = _key(seed, F.lit(-1), id_col)
-        return (data.filter(u0 < F.lit(p1))
-                .withColumn("tree", F.least(F.floor(u0 / F.lit(p1) * F.lit(n_trees)).cast("int"), F.lit(n_trees - 1)))
-                .withColumn("u", _key(seed, F.col("tree"), id_col)))
-    return (data.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-            .filter(_key(seed, F.col("tree"), id_col) < F.lit(per_tree))
-            .withColumn("u", _key(seed, F.col("tree"), id_col)))
+def sample(data: DataFrame, n: int, psi: int, n_trees: int, seed: int = SEED, id_col: str = "obs_id") -> DataFrame:
+    """``psi`` rows for each ``tree`` (all rows, if there are no more)."""
+    q, per_tree = rates(n, psi, n_trees)
+    drawn = data.filter(_hash(seed, F.lit("row"), id_col) < F.lit(_below(q)))
+    cand = drawn.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
+    cand = cand.withColumn("__h", _hash(seed, F.col("tree"), id_col)).filter(F.col("__h") < F.lit(_below(per_tree)))
+    w = Window.partitionBy("tree").orderBy("__h", id_col)
+    return cand.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= psi).drop("__rn", "__h")
 
 
 def fit(df: DataFrame, features=FEATURES, n_trees: int = N_TREES, max_samples: int = MAX_SAMPLES, seed: int = SEED,
@@ -125,62 +129,52 @@ def fit(df: DataFrame, features=FEATURES, n_trees: int = N_TREES, max_samples: i
         return IsolationForestModel(list(features), 0, pd.DataFrame(columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")]))
     psi = int(min(max_samples, n))
     height = int(math.ceil(math.log2(max(psi, 2))))
-    cand = _candidates(data, id_col, n, psi, n_trees, seed)
-    w = Window.partitionBy("tree").orderBy("u", id_col)
-    sample = cand.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= psi).drop("rn", "u")
     feats = list(features)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(id_col)
         tree = int(pdf["tree"].iloc[0])
-        rng = np.random.default_rng([seed, tree])
-        f, t, l, r, s, d = _build_tree(pdf[feats].to_numpy(dtype=float), rng, height)
-        return pd.DataFrame({"tree": tree, "node": np.arange(len(f), dtype="int32"), "feature": f, "threshold": t,
-                             "left": l, "right": r, "size": s, "depth": d}).astype(
-            {"tree": "int32", "feature": "int32", "left": "int32", "right": "int32", "size": "int64",
-             "depth": "int32"})
-
-    nodes = sample.groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
+        node, feature, threshold, size, depth = zip(*grow(pdf[feats].to_numpy(dtype=float), tree, seed, height))
+        return pd.DataFrame({"tree": tree, "node": node, "feature": feature, "threshold": threshold, "size": size,
+                             "depth": depth})
+
+    nodes = sample(data, n, psi, n_trees, seed, id_col).groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
+    roots = nodes[nodes["node"] == 1]
+    if len(roots) != n_trees or (roots["size"] != psi).any():
+        raise RuntimeError(f"{len(roots)} of {n_trees} trees grew, on {roots['size'].min()} to {roots['size'].max()} "
+                           f"of {psi} rows; row ids must be unique")
     return IsolationForestModel(feats, psi, nodes)
 
 
 def score(df: DataFrame, model: IsolationForestModel, id_col: str = "obs_id", keep=()) -> DataFrame:
     """Adds ``score`` = 2^(-E[h(x)] / c(psi)) (higher = more anomalous) to complete rows."""
-    spark = df.sparkSession
     feats = model.features
-    data = dropna_any(df.select(id_col, *keep, *feats), feats)
-    par = spark.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() < par:  # few input splits (small files): spread the Python work
-        data = data.repartition(par)
-    btrees = spark.sparkContext.broadcast(model.arrays())
+    data = dropna_any(df.select(id_col, *keep, *[f for f in feats if f not in keep]), feats)
+    forest = df.sparkSession.sparkContext.broadcast(model.arrays())
     cpsi = float(c_factor([model.psi])[0]) if model.psi > 1 else 1.0
     out_schema = T.StructType(list(data.schema.fields) + [T.StructField("score", T.DoubleType())])
 
     def apply(batches):
-        trees = btrees.value
+        feature, threshold, path = forest.value
         for pdf in batches:
             x = pdf[feats].to_numpy(dtype=float)
             total = np.zeros(len(x))
-            for feat, thr, left, right, size, depth in trees:
-                node = np.zeros(len(x), dtype=np.int64)
-                active = feat[node] >= 0
-                while active.any():
-                    idx = np.flatnonzero(active)
-                    nd = node[idx]
-                    go_left = x[idx, feat[nd]] < thr[nd]
-                    node[idx] = np.where(go_left, left[nd], right[nd])
-                    active[idx] = feat[node[idx]] >= 0
-                total += depth[node] + c_factor(size[node])
-            mean_h = total / max(len(trees), 1)
-            yield pdf.assign(score=np.power(2.0, -mean_h / cpsi))
+            for f, t, h in zip(feature, threshold, path):
+                node = np.ones(len(x), dtype=np.int64)
+                idx = np.flatnonzero(f[node] >= 0)
+                while len(idx):
+                    k = node[idx]
+                    node[idx] = 2 * k + (x[idx, f[k]] >= t[k])
+                    idx = idx[f[node[idx]] >= 0]
+                total += h[node]
+            mean = np.round(total / max(len(feature), 1), PATH_DIGITS)
+            yield pdf.assign(score=np.power(2.0, -mean / cpsi))
 
     return data.mapInPandas(apply, out_schema)
 
 
 def label(scored: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
     """Adds ``anomaly``: -1 when -score is strictly below the contamination quantile, else 1."""
-    neg = scored.select((-F.col("score")).alias("neg_score"))
-    offset = exact_quantile(neg, "neg_score", contamination)
+    offset = exact_quantile(scored.select((-F.col("score")).alias("neg_score")), "neg_score", contamination)
     if offset is None:
         return scored.withColumn("anomaly", F.lit(1))
     return scored.withColumn("anomaly", F.when(-F.col("score") < F.lit(offset), F.lit(-1)).otherwise(F.lit(1)))
@@ -188,21 +182,11 @@ def label(scored: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
 
 def fit_predict(df: DataFrame, features=FEATURES, contamination: float = CONTAMINATION, seed: int = SEED,
                 n_trees: int = N_TREES, max_samples: int = MAX_SAMPLES, keep=()) -> DataFrame:
-    """Fit on the complete rows of ``df``, score them and label them.
-
-    The feature projection is persisted once (count, subsampling and scoring all read it, so the
-    upstream joins run once); the scored rows are checkpointed to the shared folder (lineage cut)
-    before the threshold pass.
-    """
-    spark = df.sparkSession
-    shared_root(spark)
-    data = dropna_any(df.select("obs_id", *keep, *features), list(features)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = fit(data, features, n_trees, max_samples, seed)
-        scored = score(data, model, keep=keep).checkpoint(eager=True)
-    finally:
-        data.unpersist()
-    return label(scored, contamination)
+    """Fit on the complete rows of ``df``, score them and label them. The scored rows are checkpointed to
+    the shared folder (lineage cut) before the threshold pass."""
+    shared_root(df.sparkSession)
+    model = fit(df, features, n_trees, max_samples, seed)
+    return label(score(df, model, keep=keep).checkpoint(eager=True), contamination)
 
 
 def anomaly_report(labelled: DataFrame) -> DataFrame:

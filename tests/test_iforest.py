@@ -39,27 +39,63 @@ def test_scores_match_python_traversal(spark):
     df = data(spark, n=300, extreme=2, seed=4)
     model = isf.fit(df, FEATS, n_trees=10, max_samples=64)
     got = {r.obs_id: r.score for r in isf.score(df, model).collect()}
-    trees = model.arrays()
+    trees = [{n.node: n for n in t.itertuples()} for _, t in model.nodes.groupby("tree")]
     cpsi = isf.c_factor([model.psi])[0]
     for r in df.limit(20).collect():
         x = [r[f] for f in FEATS]
         hs = []
-        for feat, thr, left, right, size, depth in trees:
-            node = 0
-            while feat[node] >= 0:
-                node = left[node] if x[feat[node]] < thr[node] else right[node]
-            hs.append(depth[node] + isf.c_factor([size[node]])[0])
-        assert abs(got[r.obs_id] - 2 ** (-np.mean(hs) / cpsi)) < 1e-12
+        for nodes in trees:
+            k = 1
+            while nodes[k].feature >= 0:
+                k = 2 * k + (x[nodes[k].feature] >= nodes[k].threshold)
+            hs.append(nodes[k].depth + isf.c_factor([nodes[k].size])[0])
+        assert abs(got[r.obs_id] - 2 ** (-np.mean(hs) / cpsi)) < 1e-9
 
 
 def test_subsample_size_and_depth(spark):
     df = data(spark, n=2000, extreme=0)
     model = isf.fit(df, FEATS, n_trees=20, max_samples=256)
-    roots = model.nodes[model.nodes.node == 0]
+    roots = model.nodes[model.nodes.node == 1]
     assert len(roots) == 20 and (roots["size"] == 256).all()
     assert model.nodes["depth"].max() <= 8
 
 
+def test_children_share_out_their_parents_rows(spark):
+    nodes = isf.fit(data(spark), FEATS, n_trees=5, max_samples=64).nodes
+    size = {(n.tree, n.node): n.size for n in nodes.itertuples()}
+    for n in nodes.itertuples():
+        if n.feature >= 0:
+            assert size[n.tree, 2 * n.node] + size[n.tree, 2 * n.node + 1] == n.size
+        else:
+            assert (n.tree, 2 * n.node) not in size
+
+
+def test_sampling_is_one_path_at_every_size(spark):
+    """Rows so many that not every row enters the draw: trees stay full, uniform and independent."""
+    n, psi, trees = 20_000, 8, 10
+    q, per_tree = isf.rates(n, psi, trees)
+    assert q < 1 and abs(q * per_tree - (4 * psi + 64) / n) < 1e-12
+    df = spark.range(n).selectExpr("id AS obs_id", *[f"CAST(id % 97 AS DOUBLE) AS {f}" for f in FEATS])
+    rows = isf.sample(df, n, psi, trees).select("tree", "obs_id").collect()
+    by_tree = {t: {r.obs_id for r in rows if r.tree == t} for t in range(trees)}
+    assert all(len(ids) == psi for ids in by_tree.values())
+    # drawn with replacement between trees, as independent draws are: over seeds, trees do share rows
+    shared = 0
+    for seed in range(8):
+        rows = isf.sample(df, 1000, psi, trees, seed).select("tree", "obs_id").collect()
+        shared += len(rows) - len({r.obs_id for r in rows})
+    assert shared > 0
+    model = isf.fit(df, FEATS, n_trees=trees, max_samples=psi)
+    assert model.nodes["tree"].nunique() == trees
+
+
+def test_missing_rows_of_a_tree_are_an_error(spark, monkeypatch):
+    import pytest
+    monkeypatch.setattr(isf, "rates", lambda n, psi, n_trees: (0.05, 1.0))
+    with pytest.raises(RuntimeError, match="trees grew"):
+        isf.fit(data(spark, n=400), FEATS, n_trees=5, max_samples=128)
+
+
 def test_empty_input(spark):
     df = data(spark).filter(F.lit(False))
     out = isf.fit_predict(df, FEATS, keep=("callsign",))
