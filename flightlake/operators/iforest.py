@@ -86,11 +86,11 @@ class IsolationForestModel:
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Feature, threshold and path length by (tree, node)."""
-        t, k = self.nodes["tree"].to_numpy(), self.nodes["node"].to_numpy()
+        t, k = (self.nodes[c].to_numpy(dtype=int) for c in ("tree", "node"))
         shape = (int(t.max()) + 1, int(k.max()) + 1) if len(t) else (0, 2)
         feature, threshold, path = np.full(shape, -1), np.zeros(shape), np.zeros(shape)
         feature[t, k], threshold[t, k] = self.nodes["feature"], self.nodes["threshold"]
-        path[t, k] = self.nodes["depth"] + c_factor(self.nodes["size"])
+        path[t, k] = self.nodes["depth"].to_numpy(dtype=float) + c_factor(self.nodes["size"])
         return feature, threshold, path
 
 
