@@ -14,6 +14,8 @@ import sys
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="flightlake")
+    ap.add_argument("--master", help="Spark master; left to spark-submit if not given")
+    ap.add_argument("--input-bytes", type=int, help="size of the input: sets partitions for it on a cluster")
     sub = ap.add_subparsers(dest="cmd", required=True)
     s = sub.add_parser("stream", help="window job over landed JSON snapshots")
     s.add_argument("--source", required=True)
@@ -34,16 +36,23 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
-    from flightlake.session import build_session
-    spark = build_session()
+    from flightlake.session import build_session, cluster_conf
+    spark = build_session(args.master)
+    if args.input_bytes:
+        cores = spark.sparkContext.defaultParallelism
+        for key, value in cluster_conf(args.input_bytes, cores).items():
+            if spark.conf.isModifiable(key):
+                spark.conf.set(key, value)
     if args.cmd == "stream":
         from flightlake.sources import snapshots
         from flightlake.streaming import windows as sw
         spark.streams.addListener(sw.ProgressLogger(1000))
         src = snapshots.read_snapshots(spark, args.source, stream=True)
+        rejects = sw.start_rejects_job(src, f"{args.out}/rejects", f"{args.checkpoint}-rejects", available_now=args.once)
         q = sw.start_window_job(spark, src, args.out, args.checkpoint, available_now=args.once,
                                 max_age_minutes=args.max_age_minutes)
         q.awaitTermination()
+        rejects.awaitTermination()
     elif args.cmd == "refresh":
         from flightlake.plans import refresh as rf
         from flightlake.sources import windows

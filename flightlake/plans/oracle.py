@@ -317,8 +317,11 @@ def _profile_sql() -> str:
     from flightlake.schemas import ENRICHED_COLUMNS
     tables["enriched_aircraft_states"] = ENRICHED_COLUMNS
     src = {"enriched_aircraft_states": "enriched"}
+    kind = ("replace(replace(replace(lower(typeof(min({c}))), 'varchar', 'string'), 'integer', 'int'), "
+            "'timestamp', 'timestamp_ntz')")
+    typed = lambda cols: " || ',' || ".join(f"'{c}:' || {kind.format(c=c)}" for c in cols)
     parts = [f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, {len(c)} AS column_count, "
-             f"'{','.join(c)}' AS columns FROM {src.get(t, t)}" for t, c in tables.items()]
+             f"'{','.join(c)}' AS columns, {typed(c)} AS column_types FROM {src.get(t, t)}" for t, c in tables.items()]
     return "\nUNION ALL\n".join(parts)
 
 
@@ -388,8 +391,8 @@ SELECT * FROM enriched ORDER BY obs_id ASC, ModelFullName ASC NULLS FIRST LIMIT
 
 
 # ------------------------------------------------------------------ isolation forest
-def _forest_sql(n_trees: int = 100, psi: int = 256, seed: int = 42) -> str:
-    """The forest grown and applied in SQL, one pair of CTEs for each level."""
+def _forest_sql(source: str = "states", n_trees: int = 100, psi: int = 256, seed: int = 42) -> str:
+    """The forest grown on and applied to ``source`` in SQL, one pair of CTEs for each level."""
     feats = ["latitude", "longitude", "baro_altitude", "velocity", "vertical_rate"]
     hashed = lambda what: f"CAST('0x' || md5('{seed}:' || {what} || ':' || CAST(obs_id AS VARCHAR))[1:15] AS BIGINT)"
     drawn = lambda what: (f"CAST('0x' || md5('{seed}:' || CAST(tree AS VARCHAR) || ':' || CAST(node AS VARCHAR) || ':{what}')[1:12]"
@@ -397,7 +400,7 @@ def _forest_sql(n_trees: int = 100, psi: int = 256, seed: int = 42) -> str:
     height = (psi - 1).bit_length()
     sql = f"""
 , complete AS MATERIALIZED (
-  SELECT obs_id, callsign, latitude, longitude, [{", ".join(feats)}] AS x FROM states
+  SELECT row_number() OVER () AS k, obs_id, callsign, latitude, longitude, [{", ".join(feats)}] AS x FROM {source}
   WHERE {" AND ".join(f"{f} IS NOT NULL AND NOT isnan({f})" for f in feats)}
 ), size AS (
   SELECT count(*) AS n, least({psi}, count(*)) AS psi FROM complete
@@ -432,24 +435,24 @@ def _forest_sql(n_trees: int = 100, psi: int = 256, seed: int = 42) -> str:
   SELECT tree, 2 * node + CASE WHEN x[f] < threshold THEN 0 ELSE 1 END AS node, x
   FROM at_{d} JOIN node_{d} USING (tree, node) WHERE f IS NOT NULL
 )"""
-    sql += f""", falls_0 AS (SELECT obs_id, x, tree, 1 AS node FROM complete, range({n_trees}) AS trees(tree))"""
+    sql += f""", falls_0 AS (SELECT k, x, tree, 1 AS node FROM complete, range({n_trees}) AS trees(tree))"""
     for d in range(height):
         sql += f""", falls_{d + 1} AS (
-  SELECT obs_id, x, tree, 2 * node + CASE WHEN x[f] < threshold THEN 0 ELSE 1 END AS node
+  SELECT k, x, tree, 2 * node + CASE WHEN x[f] < threshold THEN 0 ELSE 1 END AS node
   FROM falls_{d} JOIN node_{d} USING (tree, node) WHERE f IS NOT NULL
 )"""
-    ends = "\n  UNION ALL\n".join(f"  SELECT obs_id, depth, members FROM falls_{d} JOIN node_{d} USING (tree, node) WHERE f IS NULL"
+    ends = "\n  UNION ALL\n".join(f"  SELECT k, depth, members FROM falls_{d} JOIN node_{d} USING (tree, node) WHERE f IS NULL"
                                   for d in range(height + 1))
     mean_path = "2.0 * (ln({m} - 1.0) + 0.5772156649) - 2.0 * ({m} - 1.0) / {m}"
     sql += f""", ends AS (
 {ends}
 ), path AS (
-  SELECT obs_id, round(sum(depth + CASE WHEN members > 2 THEN {mean_path.format(m="members")} WHEN members = 2 THEN 1.0 ELSE 0.0 END)
+  SELECT k, round(sum(depth + CASE WHEN members > 2 THEN {mean_path.format(m="members")} WHEN members = 2 THEN 1.0 ELSE 0.0 END)
                        / {n_trees}, 9) AS h
-  FROM ends GROUP BY obs_id
+  FROM ends GROUP BY k
 ), scored AS (
   SELECT complete.*, pow(2.0, -h / CASE WHEN psi > 2 THEN {mean_path.format(m="psi")} ELSE 1.0 END) AS s
-  FROM complete JOIN path USING (obs_id), size
+  FROM complete JOIN path USING (k), size
 ), labelled AS MATERIALIZED (
   SELECT *, CASE WHEN -s < (SELECT quantile_cont(-s, 0.01) FROM scored) THEN -1 ELSE 1 END AS anomaly FROM scored
 )"""
@@ -466,3 +469,81 @@ FROM labelled WHERE anomaly = -1""")
 
 SQL["anomaly_map"] = with_roles(_forest_sql() + """
 SELECT obs_id, latitude, longitude, CASE anomaly WHEN -1 THEN 'Anomaly' ELSE 'Normal' END AS is_anomaly FROM labelled""")
+
+
+# ------------------------------------------------------------------ files, messages, batched streams, refresh
+SQL["prepared_sample"] = with_roles(f"""
+SELECT obs_id, geo_altitude, velocity, {BAND_B} AS alt_band FROM states
+WHERE geo_altitude IS NOT NULL AND velocity IS NOT NULL AND vertical_rate IS NOT NULL
+ORDER BY {STABLE_FRACTION.format(key="obs_id")}, obs_id LIMIT 5000""")
+
+SQL["csv_enrich"] = SQL["enrich"]
+
+SQL["api_snapshots"] = with_roles("""
+SELECT CASE WHEN squawk <> '0007' THEN origin_country END AS origin_country, squawk = '0007' AS malformed, count(*) AS n,
+       count(CASE WHEN squawk <> '0007' THEN velocity END) AS n_velocity,
+       round(sum(CASE WHEN squawk <> '0007' THEN baro_altitude END), 3) AS sum_altitude,
+       max(CASE WHEN squawk <> '0007' THEN 1700000000 END)::BIGINT AS stamp, 1704067200::BIGINT AS broker_seconds
+FROM states GROUP BY 1, 2""")
+
+SQL["window_files"] = with_roles("""
+SELECT obs_id, icao24, velocity, time_position, window_start, window_end, date,
+       (SELECT count(*) FROM states WHERE window_end >= (SELECT max(window_end) - 180 FROM states)) AS rows_in_all_files
+FROM states WHERE window_end = (SELECT max(window_end) FROM states)""")
+
+# A late row is dropped if its window ends at or before the watermark of the batch before its own, which is
+# the greatest time of the batches before that one, less the grace.
+SQL["stream_batches"] = with_roles("""
+, span AS (SELECT min(snapshot_ts) AS lo, max(snapshot_ts) AS hi FROM states),
+landed AS (
+  SELECT states.*, least((snapshot_ts - lo) * 6 // (hi - lo + 1) + CASE WHEN obs_id % 50 = 0 THEN 1 ELSE 0 END, 6) AS part
+  FROM states, span WHERE CAST(hi - snapshot_ts AS DOUBLE) / 60.0 < CAST(hi - lo AS DOUBLE) * 0.8::DOUBLE / 60.0
+), marks AS (
+  SELECT range AS part, (SELECT max(snapshot_ts) - 10 FROM landed WHERE landed.part <= range - 2) AS mark FROM range(7)
+), kept AS (
+  SELECT landed.* FROM landed JOIN marks USING (part)
+  WHERE (mark IS NULL OR window_end > mark) AND window_end <= (SELECT hi - 10 FROM span)
+)
+SELECT 'raw' AS output, count(*) AS n FROM kept
+UNION ALL SELECT 'windows', count(DISTINCT window_end) FROM kept
+UNION ALL SELECT 'observations', count(*) FROM kept
+UNION ALL SELECT 'rejects', 7""")
+
+
+def _outputs(counts: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{name}' AS output, (SELECT count(*) FROM ({sql}) AS counted) AS rows" for name, sql in counts.items())
+
+
+_NEWEST_CLOSED = f"""
+, newest AS (
+  SELECT * FROM states WHERE window_end = (SELECT max(window_end) FROM states WHERE {CLOSED})
+)"""
+
+SQL["window_refresh"] = _outputs({
+    "enriched_aircraft_states": with_roles(_NEWEST_CLOSED + "SELECT enriched.* FROM enriched JOIN newest USING (obs_id)", enriched=True),
+    "window_anomaly_scores": with_roles(_NEWEST_CLOSED + _forest_sql("newest") + " SELECT * FROM labelled"),
+    "window_anomalies": with_roles(_NEWEST_CLOSED + _forest_sql("newest") + " SELECT * FROM labelled WHERE anomaly = -1"),
+})
+
+_LATEST = ", latest AS (" + SQL["latest_window"] + ")"
+
+SQL["full_refresh"] = _outputs({
+    "enriched_aircraft_states": SQL["enrich"],
+    "coverage": SQL["enrich_coverage_distinct"],
+    "latest_window": SQL["latest_window"],
+    "window_anomaly_scores": with_roles(_LATEST + _forest_sql("latest") + " SELECT * FROM labelled"),
+    "window_anomalies": with_roles(_LATEST + _forest_sql("latest") + " SELECT * FROM labelled WHERE anomaly = -1"),
+    "anomaly_map": with_roles(_LATEST + _forest_sql("latest") + " SELECT * FROM labelled"),
+    "envelope_rows": with_roles(_LATEST + """
+, complete AS (SELECT * FROM latest WHERE geo_altitude IS NOT NULL AND velocity IS NOT NULL AND vertical_rate IS NOT NULL)
+SELECT * FROM complete WHERE Description IN (
+  SELECT Description FROM complete WHERE Description IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 4)"""),
+    "altitude_band_counts": SQL["altitude_band_counts"],
+    "vertical_status": SQL["vertical_status"],
+    "speed_histogram": SQL["speed_histogram"],
+    "category_profile": SQL["category_profile"],
+    "category_radar": SQL["category_radar"],
+    "flagged_anomalies": SQL["flagged_anomalies"],
+    "statistical_anomalies": SQL["peer_anomalies"],
+    "position_density": SQL["density_grid"],
+})

@@ -62,13 +62,6 @@ def refresh(spark: SparkSession, states: DataFrame, airframes: DataFrame, models
     return out
 
 
-def newest_window_rows(raw: DataFrame) -> DataFrame:
-    """Rows of the newest closed window written by the streaming window job (greatest
-    ``window_end``, found by a one-row aggregate and matched by equality)."""
-    latest = raw.agg(F.max("window_end").alias("__latest"))
-    return raw.join(F.broadcast(latest), raw["window_end"] == F.col("__latest"), "left_semi")
-
-
 def refresh_window(spark: SparkSession, window: DataFrame, airframes: DataFrame, models: DataFrame,
                    out_root: str) -> DataFrame:
     """Enrichment and anomalies for one window's observations; one row per written output."""
@@ -92,7 +85,7 @@ def newest_window_from_outputs(spark: SparkSession, window_out_root: str) -> Dat
     from flightlake.streaming.windows import read_window_outputs
     raw, summary = read_window_outputs(spark, window_out_root)
     latest = summary.agg(F.max(F.struct("window_end", "window_date")).alias("m")).first()["m"]
-    if latest is None:
+    if latest is None:  # no window has closed yet
         return raw.limit(0)
     return raw.filter((F.col("window_date") == F.lit(latest["window_date"]))
                       & (F.col("window_end") == F.lit(latest["window_end"])))

@@ -19,9 +19,11 @@ from flightlake.operators import profiles as pf
 from flightlake.operators import quantile as qt
 from flightlake.plans import refresh as rf
 from flightlake.plans import roles
+from flightlake.schemas import API_RENAMES
 from flightlake.session import shared_path
 from flightlake.sources import catalog as cat
 from flightlake.sources import snapshots as snap
+from flightlake.sources import windows as wf
 from flightlake.streaming import windows as sw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,7 +61,7 @@ def q_enrich_coverage_distinct(spark, sf_dir):
 
 @register("latest_window")
 def q_latest_window(spark, sf_dir):
-    return en.latest_window_frame(*_dims(spark, sf_dir))
+    return en.latest_window_frame(roles.recent_states(spark, sf_dir), roles.airframes(spark, sf_dir), roles.models(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ profiles
@@ -155,9 +157,8 @@ def q_window_raw(spark, sf_dir):
 
 @register("recent_only")
 def q_recent_only(spark, sf_dir):
-    st = roles.states(spark, sf_dir)
-    now = st.agg(F.max("snapshot_ts")).first()[0]
-    age = fx.age_minutes("snapshot_ts", now)
+    st = roles.recent_states(spark, sf_dir, 9 * 60)
+    age = fx.age_minutes("snapshot_ts", st.agg(F.max("snapshot_ts")).scalar())
     return st.filter(age < F.lit(9.0)).select("obs_id", "icao24", "snapshot_ts",
                                               F.round(age, 6).alias("age_minutes"))
 
@@ -166,16 +167,61 @@ def q_recent_only(spark, sf_dir):
 def q_normalised_states(spark, sf_dir):
     st = roles.states(spark, sf_dir)
     dec = snap.decode_records(snap.encode_records(st))
-    return dec.select(*[c for c in dec.columns if c != "sensors"])
+    return snap.accepted(dec).drop("sensors")
 
 
 @register("table_profile")
 def q_table_profile(spark, sf_dir):
-    views = {"states": roles.states(spark, sf_dir), "airframes": roles.airframes(spark, sf_dir),
-             "models": roles.models(spark, sf_dir), "enriched_aircraft_states": enriched(spark, sf_dir)}
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return cat.table_profile(spark, list(views)).drop("column_types")
+    st, af, md = _dims(spark, sf_dir)
+    return cat.frame_profile({"states": st, "airframes": af, "models": md, "enriched_aircraft_states": en.enrich(st, af, md)})
+
+
+@register("prepared_sample")
+def q_prepared_sample(spark, sf_dir):
+    """Frame preparation with its row limit: a seeded sample of fixed size."""
+    return pf.prepare(roles.states(spark, sf_dir), max_rows=5000).select("obs_id", "geo_altitude", "velocity", "alt_band")
+
+
+@register("csv_enrich")
+def q_csv_enrich(spark, sf_dir):
+    """Both dimensions landed as CSV with other column orders and a further column, read by header name."""
+    st, af, md = _dims(spark, sf_dir)
+    root = shared_path(spark, "csv")
+    af.select("operatoricao", "typecode", F.lit('a "quoted", field').alias("note"), "operator", "icao24", "model",
+              "icaoaircrafttype", "registration").write.option("header", True).option("escape", '"').csv(f"{root}/airframes")
+    md.select("WTC", "Description", F.lit("x").alias("more"), "Designator", "AircraftDescription",
+              "ModelFullName").write.option("header", True).csv(f"{root}/models")
+    return en.enrich(st, wf.read_airframes_csv(spark, f"{root}/airframes"), wf.read_models_csv(spark, f"{root}/models"))
+
+
+@register("api_snapshots")
+def q_api_snapshots(spark, sf_dir):
+    """Rows under the polling API's field names: renamed, stamped, published as messages and decoded, with the
+    broker's time kept. Some messages are cut short; they are kept as text."""
+    st = roles.states(spark, sf_dir)
+    names = {v: k for k, v in API_RENAMES.items()}
+    api = st.select(*[F.col(c).alias(names[c]) for c in st.columns if c in names], "obs_id")
+    polled = snap.from_api_frame(api, snapshot_ts=1_700_000_000).withColumn("spi", F.coalesce("spi", F.lit(False)))
+    text = snap.encode_records(polled.select(*[c for c in polled.columns if c != "sensors"]))
+    cut = F.get_json_object("value", "$.squawk") == "0007"
+    sent = text.select(F.when(cut, F.expr("left(value, 20)")).otherwise(F.col("value")).alias("value"),
+                       F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"))
+    got = snap.decode_messages(sent)
+    return got.groupBy("origin_country", F.col(snap.CORRUPT).isNotNull().alias("malformed")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("velocity").alias("n_velocity"), F.round(F.sum("baro_altitude"), 3).alias("sum_altitude"),
+        F.max("snapshot_ts").alias("stamp"), F.max(F.unix_seconds("broker_time")).alias("broker_seconds"))
+
+
+@register("window_files")
+def q_window_files(spark, sf_dir):
+    """The two newest windows written as window files; the newest file found by name and loaded."""
+    root = shared_path(spark, "window-files")
+    st = roles.recent_states(spark, sf_dir, 2 * roles.WINDOW_SECONDS)
+    for r in st.select("window_end").distinct().orderBy(F.desc("window_end")).limit(2).collect():
+        wf.write_window(st.filter(F.col("window_end") == r["window_end"]).drop("date"), root, r["window_end"])
+    newest = wf.observations_from_window_files(wf.load_window_file(spark, root, wf.latest_window_path(spark, root)))
+    return newest.select("obs_id", "icao24", "velocity", "time_position", "window_start", "window_end", "date",
+                         F.lit(wf.scan_window_files(spark, root).count()).cast("long").alias("rows_in_all_files"))
 
 
 # ------------------------------------------------------------------ quantiles and density
@@ -225,9 +271,9 @@ def q_anomaly_map(spark, sf_dir):
 # ------------------------------------------------------------------ streaming windows
 
 
-def run_window_stream(spark, sf_dir):
+def run_window_job(spark, sf_dir):
     """Land the observations as JSON-lines snapshot files (one folder per day), stream them through
-    the window job with ``availableNow`` and return the written (raw, summary) tables."""
+    the window job with ``availableNow`` and return the folder that holds its output."""
     root = shared_path(spark, "window-stream")
     st = roles.states(spark, sf_dir).withColumn(
         "day", F.date_format(fx.epoch_to_timestamp_ntz("snapshot_ts"), "yyyy-MM-dd"))
@@ -235,7 +281,12 @@ def run_window_stream(spark, sf_dir):
     source = snap.read_snapshots(spark, f"{root}/landed", stream=True)
     q = sw.start_window_job(spark, source, f"{root}/out", f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
-    return sw.read_window_outputs(spark, f"{root}/out")
+    return root
+
+
+def run_window_stream(spark, sf_dir):
+    """The (raw, summary) tables that the window job writes."""
+    return sw.read_window_outputs(spark, f"{run_window_job(spark, sf_dir)}/out")
 
 
 @register("stream_window_summary")
@@ -250,6 +301,48 @@ def q_stream_windows(spark, sf_dir):
     return raw.select("obs_id", "icao24", "snapshot_ts", "velocity", "window_start", "window_end")
 
 
+STREAM_BATCHES = 6
+
+
+def run_batched_stream(spark, sf_dir):
+    """The window job over several micro-batches. The time range is cut into equal parts, one landed file each;
+    every 50th observation is landed one part too late, and each file holds a malformed line. The recency filter
+    drops the oldest fifth of the range. Returns the written (raw, summary) tables and the rejects."""
+    root = shared_path(spark, "batched-stream")
+    st = roles.states(spark, sf_dir)
+    lo, hi = st.agg(F.min("snapshot_ts"), F.max("snapshot_ts")).first()
+    part = F.floor((F.col("snapshot_ts") - F.lit(lo)) * F.lit(STREAM_BATCHES) / F.lit(hi - lo + 1))
+    late = F.when(F.col("obs_id") % 50 == 0, 1).otherwise(0)
+    rows = st.withColumn("part", F.least(part + late, F.lit(STREAM_BATCHES)).cast("int")).select("part", *sw.RAW_COLUMNS)
+    for p in range(STREAM_BATCHES + 1):
+        text = snap.encode_records(rows.filter(F.col("part") == p).drop("part"))
+        bad = text.sparkSession.range(1).select(F.lit('{"icao24": cut').alias("value"))
+        text.unionByName(bad).coalesce(1).write.mode("append").text(f"{root}/landed")
+    source = lambda: snap.read_snapshots(spark, f"{root}/landed", stream=True, max_files_per_trigger=1)
+    jobs = [sw.start_window_job(spark, source(), f"{root}/out", f"{root}/checkpoint", max_age_minutes=(hi - lo) * 0.8 / 60.0, now=hi),
+            sw.start_rejects_job(source(), f"{root}/rejects", f"{root}/checkpoint-rejects")]
+    for job in jobs:
+        job.awaitTermination()
+    return *sw.read_window_outputs(spark, f"{root}/out"), spark.read.parquet(f"{root}/rejects")
+
+
+@register("stream_batches")
+def q_stream_batches(spark, sf_dir):
+    raw, summary, rejects = run_batched_stream(spark, sf_dir)
+    totals = rejects.agg(F.count(F.lit(1)).alias("n_rejected"))
+    one = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("output"), "n")
+    obs = summary.agg(F.sum("n_obs").alias("n")).select(F.lit("observations").alias("output"), "n")
+    return one(raw, "raw").unionByName(one(summary, "windows")).unionByName(obs).unionByName(
+        totals.select(F.lit("rejects").alias("output"), F.col("n_rejected").alias("n")))
+
+
+@register("window_refresh")
+def q_window_refresh(spark, sf_dir):
+    """Refresh of the newest closed window that the stream has written."""
+    root, (_, af, md) = run_window_job(spark, sf_dir), _dims(spark, sf_dir)
+    return rf.refresh_from_windows(spark, f"{root}/out", af, md, shared_path(spark, "window-refresh"))
+
+
 # ------------------------------------------------------------------ refresh job and table sample
 
 

@@ -13,7 +13,7 @@ The same derivations are written as SQL for the DuckDB oracle in ``flightlake.pl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.functions.scalar import epoch_seconds_ntz
@@ -25,10 +25,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _mod(c: str, m: int) -> Column:
-    return F.col(c) % F.lit(m)
-
-
 def states_from_events(events: DataFrame, window_seconds: int = WINDOW_SECONDS) -> DataFrame:
     eid = F.col("event_id")
     snap = epoch_seconds_ntz("ts")
@@ -89,6 +85,14 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states_from_events(read_table(spark, sf_dir, "events"))
 
 
+def recent_states(spark: SparkSession, sf_dir: str, seconds: int = WINDOW_SECONDS) -> DataFrame:
+    """Observations of the last ``seconds`` and more: a filter on the raw time column by a scalar subquery,
+    which reaches the scan, for queries that look at the newest window or the recent past only."""
+    events = read_table(spark, sf_dir, "events")
+    since = events.select((F.max("ts") - F.expr(f"INTERVAL {int(seconds) + 1} SECONDS")).alias("since"))
+    return states_from_events(events.filter(F.col("ts") >= since.scalar()))
+
+
 def airframes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airframes_from_customer(read_table(spark, sf_dir, "customer"))
 

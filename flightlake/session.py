@@ -7,6 +7,7 @@ tests, the benchmark and command-line use.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -15,41 +16,51 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "flightlake") -> SparkSession:
-    """Session with AQE on, UTC, Arrow enabled and the UI off (non-interactive runs)."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus)
+    """Session with AQE on, UTC, Arrow enabled and the UI off.
+
+    Master, partitions and memory stay as the deployment (``spark-submit``) sets them unless they are
+    given here; a local master gets one shuffle partition per core and a large driver heap.
+    """
     builder = (
-        SparkSession.builder.master(master).appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(parts))
+        SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
+    if master:
+        builder = builder.master(master)
+    if master and master.startswith("local"):
+        cores = re.sub(r"\D", "", master) or os.environ.get("BENCH_CPUS", "8")
+        builder = builder.config("spark.sql.shuffle.partitions", cores).config("spark.driver.memory", "16g")
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    shared_root(spark)
     return spark
 
 
+def local_master() -> str:
+    """The master of tests and benchmarks."""
+    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The cluster-shared folder named by ``spark.checkpoint.dir``.
+    """The cluster-shared folder named by ``spark.checkpoint.dir``, used as is.
 
-    On a cluster this is set by the deployment (a distributed file system path) and is used as is.
-    Only when it is unset (local tests) a fresh temporary folder is created and registered.
+    Only a local master may do without: it gets a fresh temporary folder. Anywhere else other machines
+    could not see that folder, so a missing setting is an error.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="flightlake-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

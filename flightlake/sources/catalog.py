@@ -12,12 +12,10 @@ def list_tables(spark: SparkSession) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables())
 
 
-def table_profile(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
-    """One row per table: name, row count, column count, column names with types."""
-    names = names or list_tables(spark)
+def frame_profile(frames: dict[str, DataFrame]) -> DataFrame:
+    """One row per frame: name, row count, column count, column names, and names with types."""
     parts = []
-    for name in names:
-        df = spark.table(name)
+    for name, df in frames.items():
         cols = ",".join(df.columns)
         types = ",".join(f"{c}:{t}" for c, t in df.dtypes)
         parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -26,5 +24,10 @@ def table_profile(spark: SparkSession, names: list[str] | None = None) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
+def table_profile(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
+    """:func:`frame_profile` of catalog tables (all of them if none is named)."""
+    return frame_profile({name: spark.table(name) for name in names or list_tables(spark)})
+
+
 def preview(spark: SparkSession, name: str, limit: int = 10) -> DataFrame:
     return spark.table(name).limit(limit)

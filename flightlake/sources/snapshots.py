@@ -8,7 +8,7 @@ required on the cluster).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,20 +65,43 @@ def normalise(records: DataFrame) -> DataFrame:
     return out
 
 
-def decode_records(values: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON text -> observation columns (PERMISSIVE: malformed text gives nulls, no job failure)."""
-    parsed = values.select(F.from_json(F.col(value_col).cast("string"), OBSERVATION,
-                                       {"mode": "PERMISSIVE"}).alias("r"))
-    return normalise(parsed.select("r.*"))
+def decode_records(values: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """JSON text -> observation columns, plus ``_corrupt_record``: the text of a record that is no JSON
+    object of this shape (its other fields null). ``keep`` names further columns to carry, such as the
+    broker's time of a message."""
+    schema = T.StructType(list(OBSERVATION.fields) + [T.StructField(CORRUPT, T.StringType())])
+    text = F.col(value_col).cast("string")
+    parsed = values.select(*keep, text.alias("__text"), F.from_json(
+        text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+    # text that is no object at all parses to null
+    bad = F.when(F.col("r").isNull(), F.col("__text")).otherwise(F.col(f"r.{CORRUPT}"))
+    return normalise(parsed.select(*keep, *[F.col(f"r.{f.name}") for f in OBSERVATION.fields], bad.alias(CORRUPT)))
+
+
+def accepted(records: DataFrame) -> DataFrame:
+    """Records that can be windowed: well-formed and stamped. Without this a bad line's stand-in time
+    would move the watermark past good records."""
+    return records.filter(F.col(CORRUPT).isNull() & F.col("snapshot_ts").isNotNull()).drop(CORRUPT)
+
+
+def rejected(records: DataFrame) -> DataFrame:
+    """The others, with the reason: for a rejects output."""
+    return records.filter(F.col(CORRUPT).isNotNull() | F.col("snapshot_ts").isNull()).withColumn(
+        "reason", F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed")).otherwise(F.lit("no stamp")))
 
 
-def read_snapshots(spark: SparkSession, path: str, stream: bool = False, max_files_per_trigger: int | None = None,
-                   stamp_missing_from_file_time: bool = True) -> DataFrame:
+def file_stamp() -> Column:
+    """Epoch seconds of a poll from its file's name, ``..._<epoch>.json``; null if the name has none."""
+    return F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{9,11})\.[^/]*$", 1).try_cast("long")
+
+
+def read_snapshots(spark: SparkSession, path: str, stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """Landed JSON-lines snapshots (batch or streaming file source) with the explicit schema.
 
-    A record without ``snapshot_ts`` takes its file's modification time when
-    ``stamp_missing_from_file_time`` is set. Malformed lines do not fail the job: their text is kept
-    in ``_corrupt_record`` (all other fields null).
+    A record without ``snapshot_ts`` takes the poll time that its file is named for, if it is
+    (``..._<epoch>.json``). Malformed lines do not fail the job: their text is kept in
+    ``_corrupt_record``, all other fields null, the stamp included. :func:`accepted` and
+    :func:`rejected` part the two kinds.
     """
     reader = spark.readStream if stream else spark.read
     schema = T.StructType(list(OBSERVATION.fields) + [T.StructField(CORRUPT, T.StringType())])
@@ -86,10 +109,8 @@ def read_snapshots(spark: SparkSession, path: str, stream: bool = False, max_fil
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     df = reader.json(path)
-    if stamp_missing_from_file_time:
-        df = df.withColumn("snapshot_ts", F.coalesce(
-            F.col("snapshot_ts"), F.unix_seconds(F.col("_metadata.file_modification_time"))))
-    return normalise(df)
+    stamp = F.when(F.col(CORRUPT).isNull(), F.coalesce(F.col("snapshot_ts"), file_stamp()))
+    return normalise(df.withColumn("snapshot_ts", stamp))
 
 
 def write_snapshots(obs: DataFrame, path: str, partition_col: str | None = None) -> None:
@@ -104,14 +125,17 @@ def write_snapshots(obs: DataFrame, path: str, partition_col: str | None = None)
     w.json(path)
 
 
+def decode_messages(messages: DataFrame) -> DataFrame:
+    """Broker messages (``value``, ``timestamp``) -> observation columns, ``_corrupt_record`` and
+    ``broker_time``."""
+    return decode_records(messages.select("value", F.col("timestamp").alias("broker_time")), keep=("broker_time",))
+
+
 def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str = TOPIC,
                starting_offsets: str = "earliest") -> DataFrame:
     """Streaming Kafka source of observation records (needs the spark-sql-kafka connector)."""
-    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
-           .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
-    dec = raw.select(F.from_json(F.col("value").cast("string"), OBSERVATION).alias("r"),
-                     F.col("timestamp").alias("broker_time"))
-    return normalise(dec.select("r.*", "broker_time"))
+    return decode_messages(spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+                           .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
 
 
 def kafka_sink(encoded: DataFrame, bootstrap_servers: str, checkpoint: str, topic: str = TOPIC):

@@ -2,39 +2,54 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightlake.schemas import AIRCRAFT_TYPE, AIRFRAME
 
 WINDOW_FILE_GLOB = "window_raw_*.parquet"
 
 
+def _path(spark: SparkSession, path: str):
+    """(Hadoop FileSystem, Path): works on object stores too."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def _list(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of ``path``."""
+    fs, p = _path(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def write_window(rows: DataFrame, root: str, window_end: int) -> str:
+    """Write one window's rows under ``date=YYYY/MM/DD/window_raw_YYYYMMDDTHHMMSS.parquet`` (named for its
+    end; a folder of part files, so that a large window is written by many tasks). Replaces the window."""
+    end = dt.datetime.fromtimestamp(int(window_end), dt.timezone.utc)
+    path = f"{root.rstrip('/')}/date={end:%Y/%m/%d}/window_raw_{end:%Y%m%dT%H%M%S}.parquet"
+    rows.write.mode("overwrite").parquet(path)
+    return path
+
+
 def scan_window_files(spark: SparkSession, root: str, schema=None) -> DataFrame:
-    """All window files under ``root`` (``date=YYYY/MM/DD/window_raw_*.parquet`` layout).
+    """All window files under ``root`` (``date=YYYY/MM/DD/window_raw_*.parquet`` layout; single files and
+    folders of part files alike).
 
     Spark's partition discovery turns ``date=YYYY`` into an integer ``date`` column (the year).
     """
-    r = spark.read.option("pathGlobFilter", WINDOW_FILE_GLOB).option("basePath", root)
+    r = spark.read.option("basePath", root)
     if schema is not None:
         r = r.schema(schema)
-    return r.parquet(f"{root.rstrip('/')}/date=*/*/*")
-
-
-def latest_window_file(spark: SparkSession, root: str) -> DataFrame:
-    """One row: the lexicographically greatest window-file path (file metadata only)."""
-    files = scan_window_files(spark, root).select(F.col("_metadata.file_path").alias("file_path"))
-    return files.agg(F.max("file_path").alias("file_path"))
-
-
-def _list(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
-    """(name, is_directory) of the entries of ``path`` (Hadoop FileSystem listing; object stores too)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return [(st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(p)]
+    return r.parquet(f"{root.rstrip('/')}/date=*/*/*/{WINDOW_FILE_GLOB}")
 
 
 def latest_window_path(spark: SparkSession, root: str) -> str | None:
@@ -45,23 +60,17 @@ def latest_window_path(spark: SparkSession, root: str) -> str | None:
     at each level (backing off to the next one when a branch holds no window file): a few listings
     of the newest day instead of reading the metadata of the whole history.
     """
-    import fnmatch
-    root = root.rstrip("/")
+    pattern = ("date=*", "*", "*", WINDOW_FILE_GLOB)
 
     def walk(path: str, depth: int) -> str | None:
-        entries = _list(spark, path)
-        if depth == 3:
-            files = sorted((n for n, is_dir in entries if not is_dir and fnmatch.fnmatch(n, WINDOW_FILE_GLOB)),
-                           reverse=True)
-            return f"{path}/{files[0]}" if files else None
-        dirs = sorted((n for n, is_dir in entries if is_dir and (depth > 0 or n.startswith("date="))), reverse=True)
-        for d in dirs:
-            found = walk(f"{path}/{d}", depth + 1)
+        for name in sorted((n for n in _list(spark, path) if fnmatch.fnmatch(n, pattern[depth])), reverse=True):
+            here = f"{path}/{name}"
+            found = here if depth == len(pattern) - 1 else walk(here, depth + 1)
             if found:
                 return found
         return None
 
-    return walk(root, 0)
+    return walk(root.rstrip("/"), 0)
 
 
 def load_window_file(spark: SparkSession, root: str, path: str) -> DataFrame:
@@ -107,22 +116,34 @@ def observations_from_window_files(df: DataFrame) -> DataFrame:
     return out
 
 
+def read_csv_columns(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` from CSV files with a header, found by name: their order and further
+    columns do not matter, a missing one is an error. Read as text and cast; quoted fields may hold
+    separators, line ends and doubled quotes. An empty field is null."""
+    raw = (spark.read.option("header", True).option("inferSchema", False).option("quote", '"').option("escape", '"')
+           .option("multiLine", True).option("ignoreLeadingWhiteSpace", False).csv(path))
+    found = {c.strip().lstrip("\ufeff").lower(): c for c in raw.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in found]
+    if missing:
+        raise ValueError(f"{path}: no column {missing}; the header has {raw.columns}")
+    return raw.select(*[F.col(f"`{found[f.name.lower()]}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_airframes_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AIRFRAME).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return read_csv_columns(spark, path, AIRFRAME)
 
 
 def read_models_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AIRCRAFT_TYPE).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return read_csv_columns(spark, path, AIRCRAFT_TYPE)
 
 
 def write_table(df: DataFrame, path: str, partition_cols=None, spread: bool = False) -> None:
     """Replace-table sink: overwrite a Parquet table (optionally partitioned).
 
-    ``spread``: for a large table computed from fewer partitions than the cluster's parallelism
-    (small input files), write it from every core instead of one task.
+    ``spread``: let Spark even out the written files by size (a rebalance at run time).
     """
-    if spread and df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism:
-        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    if spread:
+        df = df.hint("rebalance")
     w = df.write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)

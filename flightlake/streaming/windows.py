@@ -21,7 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from pyspark.sql import types as T
+
 from flightlake.functions.scalar import age_minutes, epoch_to_timestamp_ntz, is_present_key
+from flightlake.schemas import OBSERVATION
+from flightlake.sources import snapshots
+from flightlake.sources.windows import path_exists, write_window
 
 # ---- fixed values (must equal the reference's stream settings) ----
 WINDOW = "3 minutes"      # tumbling window length
@@ -87,28 +92,34 @@ def log_closed_windows(summary: DataFrame, epoch_id: int) -> None:
                  r["last"], r["obs"])
 
 
-def window_sink(out_root: str, on_closed: Callable[[DataFrame, int], None] | None = log_closed_windows):
+def window_sink(out_root: str, on_closed: Callable[[DataFrame, int], None] | None = log_closed_windows,
+                files_root: str | None = None):
     """foreachBatch function writing raw rows and summaries of the windows closed in a batch.
 
     Each micro-batch writes under ``batch_id=<epoch>`` with overwrite: Spark replays a failed
     batch with the same epoch and the same rows, so a replay replaces its own output exactly
-    (no duplicate, no loss). Inside a batch, rows are partitioned by the window's UTC date.
+    (no duplicate, no loss). Inside a batch, rows are partitioned by the window's UTC date and sorted by
+    its end, so a reader of one window skips the row groups of the others. The summary is made from the written rows.
     ``on_closed(summary, epoch_id)`` runs after both writes, on the written summary (e.g. a log
-    line, or a downstream refresh).
+    line, or a downstream refresh). With ``files_root`` each closed window is also written there in the
+    window-file layout; a live stream closes a window or two in a batch.
     """
     out_root = out_root.rstrip("/")
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        rows = closed_window_rows(batch).persist()
-        try:
-            (rows.write.mode("overwrite").partitionBy("window_date")
-             .parquet(f"{out_root}/raw/batch_id={epoch_id}"))
-            (window_summary(rows).write.mode("overwrite")
-             .parquet(f"{out_root}/summary/batch_id={epoch_id}"))
-        finally:
-            rows.unpersist()
+        spark = batch.sparkSession
+        raw_path, summary_path = f"{out_root}/raw/batch_id={epoch_id}", f"{out_root}/summary/batch_id={epoch_id}"
+        rows = closed_window_rows(batch).sortWithinPartitions("window_date", "window_end")
+        rows.write.mode("overwrite").partitionBy("window_date").parquet(raw_path)
+        rows = spark.read.schema(RAW_SCHEMA).parquet(raw_path)
+        window_summary(rows).write.mode("overwrite").parquet(summary_path)
+        summary = spark.read.schema(SUMMARY_SCHEMA).parquet(summary_path)
+        if files_root is not None:
+            for r in summary.select("window_date", "window_end").orderBy("window_end").collect():
+                here = (F.col("window_date") == r["window_date"]) & (F.col("window_end") == r["window_end"])
+                write_window(rows.filter(here).drop("window_date"), files_root, r["window_end"])
         if on_closed is not None:
-            on_closed(batch.sparkSession.read.parquet(f"{out_root}/summary/batch_id={epoch_id}"), epoch_id)
+            on_closed(summary, epoch_id)
 
     return write
 
@@ -143,17 +154,42 @@ class ProgressLogger(StreamingQueryListener):
 def start_window_job(spark: SparkSession, source: DataFrame, out_root: str, checkpoint: str,
                      available_now: bool = True, max_age_minutes: float | None = None, now=None,
                      buckets: int | None = BUCKETS, window: str = WINDOW, grace: str = GRACE,
-                     on_closed: Callable[[DataFrame, int], None] | None = log_closed_windows):
-    """Start the streaming window job; returns the ``StreamingQuery``."""
-    obs = source if max_age_minutes is None else recent_only(source, max_age_minutes, now)
-    agg = windowed_rows(obs, window, grace, buckets)
-    w = (agg.writeStream.outputMode("append").foreachBatch(window_sink(out_root, on_closed))
+                     on_closed: Callable[[DataFrame, int], None] | None = log_closed_windows,
+                     files_root: str | None = None, event_time: str | None = None):
+    """Start the streaming window job; returns the ``StreamingQuery``. Malformed and unstamped records are
+    left out before event time is read; :func:`start_rejects_job` keeps them."""
+    obs = snapshots.accepted(source) if snapshots.CORRUPT in source.columns else source
+    obs = obs if max_age_minutes is None else recent_only(obs, max_age_minutes, now)
+    agg = windowed_rows(obs, window, grace, buckets, event_time)
+    w = (agg.writeStream.outputMode("append").foreachBatch(window_sink(out_root, on_closed, files_root))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def start_rejects_job(source: DataFrame, out_path: str, checkpoint: str, available_now: bool = True):
+    """Append the records that the window job leaves out, with the reason, to a Parquet table."""
+    w = (snapshots.rejected(source).writeStream.outputMode("append").format("parquet").option("path", out_path)
+         .option("checkpointLocation", checkpoint))
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
+
+
+_OBSERVED = {f.name: f.dataType for f in OBSERVATION.fields} | {n: T.TimestampNTZType() for n in ("time_position", "last_contact")}
+RAW_SCHEMA = T.StructType([T.StructField("window_start", T.LongType()),
+                           T.StructField("window_end", T.LongType()),
+                           *[T.StructField(n, _OBSERVED[n]) for n in RAW_COLUMNS],
+                           T.StructField("window_date", T.StringType())])
+SUMMARY_SCHEMA = T.StructType([T.StructField("window_date", T.StringType()),
+                               *[T.StructField(n, T.LongType()) for n in ("window_start", "window_end", "n_obs", "unique_aircraft")]])
+
+
 def read_window_outputs(spark: SparkSession, out_root: str) -> tuple[DataFrame, DataFrame]:
-    """(raw rows, summaries) written by the window job."""
+    """(raw rows, summaries) written by the window job; empty tables before any window has closed."""
     out_root = out_root.rstrip("/")
-    return spark.read.parquet(f"{out_root}/raw"), spark.read.parquet(f"{out_root}/summary")
+
+    def read(name: str, schema: T.StructType) -> DataFrame:
+        schema = T.StructType([*schema.fields, T.StructField("batch_id", T.IntegerType())])
+        path = f"{out_root}/{name}"
+        return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+    return read("raw", RAW_SCHEMA), read("summary", SUMMARY_SCHEMA)

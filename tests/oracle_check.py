@@ -79,9 +79,9 @@ def compare(spark, con, sf_dir, name, fn, sql):
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    from flightlake.session import build_session
+    from flightlake.session import build_session, local_master
     import __spark_entry__ as entry
-    spark = build_session()
+    spark = build_session(local_master())
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0

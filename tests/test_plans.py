@@ -10,11 +10,11 @@ from conftest import SF001
 from flightlake.plans.registry import QUERIES as REGISTERED
 
 # queries whose construction runs streams or writes whole result sets (checked by other tests)
-EAGER = {"stream_window_summary", "stream_windows", "full_refresh"}
+EAGER = {"stream_window_summary", "stream_windows", "stream_batches", "window_refresh", "full_refresh", "csv_enrich", "window_files"}
 QUERIES = {k: v for k, v in entry.queries().items() if k not in EAGER and k in REGISTERED}
 # queries that fit a model or materialise a ranking, or whose result depends on collected scalars
 FITTED = {"iforest_scores", "iforest_anomalies", "anomaly_map", "category_codes", "wtc_speed_quartiles", "density_grid",
-          "speed_histogram", "recent_only", "table_profile"}
+          "speed_histogram", "table_profile"}
 
 
 def plan_text(df):
@@ -62,3 +62,14 @@ def test_coverage_shuffles_keys_only(spark):
     plan = plan_text(QUERIES["enrich_coverage"](spark, SF001))
     scan = plan.index("events")
     assert "partial_count(1)" in plan[:scan]
+
+
+@pytest.mark.parametrize("name", ["latest_window", "recent_only"])
+def test_time_filter_reaches_the_scan(spark, name):
+    plan = plan_text(QUERIES[name](spark, SF001))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,", plan)
+
+
+def test_sample_takes_observations_before_joining(spark):
+    plan = plan_text(QUERIES["enriched_sample"](spark, SF001))
+    assert plan.count("TakeOrderedAndProject") == 2

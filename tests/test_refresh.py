@@ -72,9 +72,9 @@ def test_cli_refresh_from_window_files(tmpdir_path):
                 "window_end": pa.array([end] * n, pa.timestamp("us"))}
         pq.write_table(pa.table(cols), os.path.join(root, f"date={day}", f"window_raw_{stamp}.parquet"))
     with open(os.path.join(tmpdir_path, "af.csv"), "w") as fh:
-        fh.write("icao24,registration,model,typecode,icaoaircrafttype,operator,operatoricao\\nk1,R,M,T1,,O,OI\\n")
+        fh.write("icao24,registration,model,typecode,icaoaircrafttype,operator,operatoricao\nk1,R,M,T1,,O,OI\n")
     with open(os.path.join(tmpdir_path, "md.csv"), "w") as fh:
-        fh.write("Designator,ModelFullName,AircraftDescription,Description,WTC\\nT1,Type One,L,D1,M\\n")
+        fh.write("Designator,ModelFullName,AircraftDescription,Description,WTC\nT1,Type One,L,D1,M\n")
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "-m", "flightlake", "refresh", "--window-files", root,
                           "--airframes", os.path.join(tmpdir_path, "af.csv"),

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from flightlake.sources import catalog, snapshots, windows
@@ -10,17 +11,29 @@ from conftest import SF001
 def test_json_roundtrip_matches_states(spark):
     st = roles.states(spark, SF001)
     back = snapshots.decode_records(snapshots.encode_records(st))
+    assert back.filter(F.col(snapshots.CORRUPT).isNotNull()).count() == 0
+    back = snapshots.accepted(back)
     cols = [c for c in back.columns if c != "sensors"]
     assert back.select(*cols).exceptAll(st.select(*cols)).count() == 0
     assert back.count() == st.count()
 
 
 def test_bad_records_do_not_fail(spark):
-    vals = spark.createDataFrame([('{"icao24":"a","velocity":"abc","time_position":"nope"}',), ("not json",)],
+    vals = spark.createDataFrame([('{"icao24":"a","velocity":"abc","time_position":"nope"}',), ("not json",), ('{"icao24": cut',)],
                                  "value string")
     out = snapshots.decode_records(vals).collect()
     assert out[0].icao24 == "a" and out[0].velocity is None and out[0].time_position is None
-    assert out[1].icao24 is None
+    assert [r.icao24 for r in out[1:]] == [None, None]
+    assert [r[snapshots.CORRUPT] for r in out[1:]] == ["not json", '{"icao24": cut']
+
+
+def test_messages_keep_the_brokers_time_and_bad_text(spark):
+    msgs = spark.sql("SELECT * FROM VALUES (CAST('{\"icao24\":\"a\",\"snapshot_ts\":5}' AS BINARY), TIMESTAMP'2024-01-01 00:00:07'), "
+                     "(CAST('oops' AS BINARY), TIMESTAMP'2024-01-01 00:00:09') AS t(value, timestamp)")
+    got = snapshots.decode_messages(msgs)
+    rows = sorted(got.collect(), key=lambda r: r.broker_time)
+    assert (rows[0].icao24, rows[0].snapshot_ts) == ("a", 5) and rows[1][snapshots.CORRUPT] == "oops"
+    assert snapshots.accepted(got).count() == 1 and [r.reason for r in snapshots.rejected(got).collect()] == ["malformed"]
 
 
 def test_api_frame_renames_and_nan(spark):
@@ -32,10 +45,14 @@ def test_api_frame_renames_and_nan(spark):
 def test_landed_files_and_missing_stamp(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "landed")
     os.makedirs(p)
-    with open(os.path.join(p, "a.json"), "w") as fh:
-        fh.write('{"icao24":"a","snapshot_ts":10}\n{"icao24":"b"}\n')
-    rows = {r.icao24: r.snapshot_ts for r in snapshots.read_snapshots(spark, p).collect()}
-    assert rows["a"] == 10 and rows["b"] > 1_000_000_000
+    for name in ("a.json", "poll_1700000000.json"):
+        with open(os.path.join(p, name), "w") as fh:
+            fh.write('{"icao24":"a","snapshot_ts":10}\n{"icao24":"b"}\nbroken\n')
+    got = snapshots.read_snapshots(spark, p)
+    # the poll time in the file's name stands in; never the time at which a file was written
+    assert sorted(r.snapshot_ts or 0 for r in got.collect()) == [0, 0, 0, 10, 10, 1_700_000_000]
+    assert sorted(r.snapshot_ts for r in snapshots.accepted(got).collect()) == [10, 10, 1_700_000_000]
+    assert sorted(r.reason for r in snapshots.rejected(got).collect()) == ["malformed", "malformed", "no stamp"]
 
 
 def test_window_files_latest_path(spark, tmpdir_path):
@@ -48,9 +65,7 @@ def test_window_files_latest_path(spark, tmpdir_path):
         src = [f for f in os.listdir(os.path.join(tmpdir_path, "tmp", key)) if f.endswith(".parquet")][0]
         os.makedirs(os.path.dirname(os.path.join(root, key)), exist_ok=True)
         os.link(os.path.join(tmpdir_path, "tmp", key, src), os.path.join(root, key))
-    latest = windows.latest_window_file(spark, root).first()["file_path"]
-    assert latest.endswith("date=2026/01/01/window_raw_20260101T000300.parquet")
-    walked = windows.latest_window_path(spark, root)
+    latest = walked = windows.latest_window_path(spark, root)
     assert walked.endswith("date=2026/01/01/window_raw_20260101T000300.parquet")
     os.makedirs(os.path.join(root, "date=2027/01/01"))  # a newer branch without window files
     assert windows.latest_window_path(spark, root) == walked
@@ -61,13 +76,40 @@ def test_window_files_latest_path(spark, tmpdir_path):
     assert one.count() == 2 and one.select(F.max("date")).first()[0] == 2026
 
 
-def test_csv_dimensions(spark, tmpdir_path):
+def test_csv_dimensions_by_header_name(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "af.csv")
     with open(p, "w") as fh:
-        fh.write("icao24,registration,model,typecode,icaoaircrafttype,operator,operatoricao\n"
-                 "00abc1,N1,M,B738,L2J,Op,OPI\n")
-    r = windows.read_airframes_csv(spark, p).first()
-    assert r.icao24 == "00abc1" and r.typecode == "B738"
+        fh.write("ICAO24,registration,manufacturer,model,typecode,operatoricao,operator,icaoaircrafttype\n"
+                 '00abc1,N1,"Boeing, ""Co""\nInc",M,B738,OPI,,L2J\n')
+    rows = windows.read_airframes_csv(spark, p).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.icao24, r.registration, r.model, r.typecode, r.icaoaircrafttype, r.operator, r.operatoricao) == (
+        "00abc1", "N1", "M", "B738", "L2J", None, "OPI")
+    m = os.path.join(tmpdir_path, "md.csv")
+    with open(m, "w") as fh:
+        fh.write("AircraftDescription,Description,Designator,EngineCount,ModelFullName,WTC\nLandPlane,L2J,B738,2,737-800,M\n")
+    t = windows.read_models_csv(spark, m).first()
+    assert (t.Designator, t.ModelFullName, t.AircraftDescription, t.Description, t.WTC) == ("B738", "737-800", "LandPlane", "L2J", "M")
+
+
+def test_csv_with_a_missing_column_fails(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "af.csv")
+    with open(p, "w") as fh:
+        fh.write("icao24,model\na,M\n")
+    with pytest.raises(ValueError, match="registration"):
+        windows.read_airframes_csv(spark, p)
+
+
+def test_written_window_files_are_found_and_loaded(spark, tmpdir_path):
+    st = roles.states(spark, SF001).filter(F.col("window_end") >= roles.states(spark, SF001).agg(F.max("window_end") - 180 * 200).scalar())
+    ends = [r.window_end for r in st.select("window_end").distinct().orderBy("window_end").collect()]
+    for end in ends:
+        windows.write_window(st.filter(F.col("window_end") == end).drop("date"), tmpdir_path, end)
+    windows.write_window(st.filter(F.col("window_end") == ends[0]).drop("date"), tmpdir_path, ends[0])  # replaces itself
+    assert windows.scan_window_files(spark, tmpdir_path).count() == st.count()
+    newest = windows.load_window_file(spark, tmpdir_path, windows.latest_window_path(spark, tmpdir_path))
+    assert {r.window_end for r in newest.collect()} == {ends[-1]}
 
 
 def test_catalog(spark):
@@ -101,7 +143,7 @@ def test_pandas_written_window_files(spark, tmpdir_path):
     })
     pq.write_table(table, os.path.join(path, "window_raw_20260101T000300.parquet"))
     obs = windows.observations_from_window_files(
-        windows.load_window_file(spark, root, windows.latest_window_file(spark, root).first()["file_path"]))
+        windows.load_window_file(spark, root, windows.latest_window_path(spark, root)))
     rows = {r.icao24: r for r in obs.collect()}
     assert rows["a"].time_position.isoformat() == "2026-01-01T00:01:00" and rows["b"].longitude is None
     assert rows["a"].window_end == 1767225780 and rows["a"].date == 2026 and rows["a"].obs_id != rows["b"].obs_id

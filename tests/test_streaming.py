@@ -80,3 +80,62 @@ def test_callback_and_progress_listener(spark, tmpdir_path):
     finally:
         spark.streams.removeListener(listener)
     assert sorted(seen) == [(0, 3), (180, 1)]
+
+
+def test_bad_lines_do_not_move_the_watermark(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    base = 1_704_067_200
+    for i, stamps in enumerate([[10, 100], [185], [170], [700]]):
+        drop(src, f"f{i}.json", [base + s for s in stamps])
+        with open(os.path.join(src, f"f{i}.json"), "a") as fh:
+            fh.write('{"icao24": broken\n{"icao24": "unstamped"}\n')
+        os.utime(os.path.join(src, f"f{i}.json"), (1_000_000 + i, 1_000_000 + i))
+    raw, summary = run(spark, src, tmpdir_path, max_files=1)
+    assert {r.window_start - base: r.n_obs for r in summary.collect()} == {0: 3, 180: 1}
+    q = sw.start_rejects_job(snapshots.read_snapshots(spark, src, stream=True), f"{tmpdir_path}/rejects", f"{tmpdir_path}/ck2")
+    q.awaitTermination()
+    kept = spark.read.parquet(f"{tmpdir_path}/rejects").groupBy("reason").count().collect()
+    assert {r.reason: r["count"] for r in kept} == {"malformed": 4, "no stamp": 4}
+
+
+def test_nothing_closed_yet_reads_as_empty(spark, tmpdir_path):
+    from flightlake.plans import refresh, roles
+    from conftest import SF001
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    drop(src, "a.json", [1_704_067_200 + 5])
+    raw, summary = run(spark, src, tmpdir_path)
+    assert raw.count() == 0 and summary.count() == 0
+    raw, summary = sw.read_window_outputs(spark, f"{tmpdir_path}/never-run")
+    assert raw.count() == 0 and summary.count() == 0
+    out = refresh.refresh_from_windows(spark, f"{tmpdir_path}/out", roles.airframes(spark, SF001), roles.models(spark, SF001),
+                                       f"{tmpdir_path}/refresh")
+    assert {r.rows for r in out.collect()} == {0}
+
+
+def test_closed_windows_as_window_files(spark, tmpdir_path):
+    from flightlake.sources import windows as wf
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    base = 1_704_067_200
+    drop(src, "a.json", [base + s for s in [1, 2, 3, 200, 400]])
+    q = sw.start_window_job(spark, snapshots.read_snapshots(spark, src, stream=True), f"{tmpdir_path}/out", f"{tmpdir_path}/ck",
+                            files_root=f"{tmpdir_path}/files")
+    q.awaitTermination()
+    assert wf.latest_window_path(spark, f"{tmpdir_path}/files").endswith("date=2024/01/01/window_raw_20240101T000600.parquet")
+    assert wf.scan_window_files(spark, f"{tmpdir_path}/files").count() == 4
+
+
+def test_broker_time_as_event_time(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    with open(os.path.join(src, "m.json"), "w") as fh:
+        for i, second in enumerate([5, 6, 200, 600]):
+            value = json.dumps({"icao24": "a", "snapshot_ts": 1, "obs_id": i})
+            fh.write(json.dumps({"value": value, "timestamp": f"2024-01-01T00:{second // 60:02d}:{second % 60:02d}"}) + "\n")
+    messages = spark.readStream.schema("value string, timestamp timestamp").json(src)
+    q = sw.start_window_job(spark, snapshots.decode_messages(messages), f"{tmpdir_path}/out", f"{tmpdir_path}/ck", event_time="broker_time")
+    q.awaitTermination()
+    _, summary = sw.read_window_outputs(spark, f"{tmpdir_path}/out")
+    assert sorted((r.window_start - 1_704_067_200, r.n_obs) for r in summary.collect()) == [(0, 2), (180, 1)]
