@@ -41,7 +41,7 @@ RULES = (
     Rule("word_length", "mean_word_length", low=2.0, high=16.0),
     Rule("symbols", "symbol_ratio", high=0.10),
     Rule("stop_words", "stop_ratio", low=0.02),
-    Rule("duplicate_lines", "dup_line_ratio", high=0.30),
+    Rule("duplicate_lines", "dup_line_ratio", high=0.40),
 )
 
 
@@ -198,6 +198,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
         AND word_chars / greatest(n_words, 1) BETWEEN 2 AND 16
         AND n_symbols / greatest(word_chars, 1) <= 0.10
         AND n_stop / greatest(n_words, 1) >= 0.02
-        AND n_dup_lines / greatest(n_lines, 1) <= 0.30) AS kept
+        AND n_dup_lines / greatest(n_lines, 1) <= 0.40) AS kept
 FROM m
 """
