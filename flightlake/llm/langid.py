@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flightlake.llm.packing import slices
@@ -74,14 +75,19 @@ def _tables(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndar
 
     def deeper(contexts: np.ndarray, of_gram: np.ndarray, shorter: np.ndarray) -> np.ndarray:
         """Bits (context, symbol, language), given those of each context without its first byte."""
-        count = np.zeros((len(contexts), a, many), np.float32)
         here = np.searchsorted(contexts, of_gram)
         known = (here < len(contexts)) & (contexts[np.minimum(here, len(contexts) - 1)] == of_gram)
-        np.add.at(count, (here[known], c[3][known], lang[known]), n[known])
-        total, kinds = count.sum(axis=1, keepdims=True), (count > 0).sum(axis=1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            escape = np.where(total > 0, np.log2(total + kinds) - np.log2(np.maximum(kinds, 1)), 0)
-            return np.where(count > 0, np.log2(total + kinds) - np.log2(count), shorter + escape).astype(np.float32)
+        bits = shorter  # changed in place, one language at a time: the arrays are large
+        for l in range(many):
+            mine = known & (lang == l)
+            count = np.zeros((len(contexts), a), np.float32)
+            np.add.at(count, (here[mine], c[3][mine]), n[mine])
+            total, kinds = count.sum(axis=1, keepdims=True), (count > 0).sum(axis=1, keepdims=True)
+            whole = np.log2(np.maximum(total + kinds, 1))
+            bits[:, :, l] += np.where(total > 0, whole - np.log2(np.maximum(kinds, 1)), 0)
+            seen = count > 0
+            bits[:, :, l][seen] = (whole - np.log2(np.where(seen, count, 1)))[seen]
+        return bits
 
     root = deeper(np.zeros(1, np.int64), np.zeros(len(gram), np.int64), np.full((1, a, many), np.log2(256), np.float32))
     tables, suffix = [root], np.zeros(a, np.int64)  # suffix: state of each context of the length before
@@ -122,7 +128,7 @@ def train(
     sample = rows.join(F.broadcast(share), "lang").filter(drawn).select("lang", "text")
     counts = sample.mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     found = counts.orderBy("lang", "gram").toArrow()
-    lang = np.searchsorted(np.array(languages, dtype=object), np.array(found["lang"].to_pylist(), dtype=object))
+    lang = pc.index_in(found["lang"], pa.array(languages)).to_numpy()
     return _tables(languages, lang, found["gram"].to_numpy(), found["n"].to_numpy(), max_contexts)
 
 
