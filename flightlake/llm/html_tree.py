@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from flightlake.llm.storage import landed
 from flightlake.llm.text import table
 
 #: Share of the content in a path's importance; the rest is the presentation of the element around it.
@@ -270,7 +271,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     from pyspark.sql.types import StructType
 
     c = F.col
-    low = low_paths(style_tree(pages, url_col, html_col))
+    # Written out, the low paths have a size that Spark knows when it plans the join: a small table is broadcast,
+    # so that pages stay where they are; a large one costs a shuffle by host.
+    low = landed(low_paths(style_tree(pages, url_col, html_col)), "low-paths")
     source = pages.select(c(id_col).alias("page_id"), c(url_col).cast("string").alias("url"), c(html_col).cast("string").alias("html"))
     joined = source.withColumn("host", _host(c("url"))).join(low, "host", "left").select("page_id", "url", "html", "low")
     ddl = f"page_id {source.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars bigint"
