@@ -227,6 +227,7 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         "host", "path", "pages", part((scale - c("spread") / c("pages")) / scale).alias("presentation"),
         F.when(c("repeated").isNotNull(), part(1 - c("repeated") / scale)).alias("content"),
     )
+    nodes = landed(nodes, "style-tree")  # read twice below: without it the pages would be parsed twice
     around = nodes.select("host", c("path").alias("parent"), c("presentation").alias("around"))
     nodes = nodes.withColumn("parent", F.regexp_replace("path", r"/[^/]*$", ""))
     importance = (1 - CONTENT_SHARE) * F.coalesce("around", F.lit(0.0)) + CONTENT_SHARE * F.coalesce("content", c("presentation"))
