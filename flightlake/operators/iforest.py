@@ -95,13 +95,16 @@ class IsolationForestModel:
 
 
 def _hash(seed: int, tree: Column, id_col: str) -> Column:
-    """A whole number below 2**60 from (seed, tree, row id)."""
+    """60 bits from (seed, tree, row id) as hex digits: these sort and compare like the number."""
     text = F.concat_ws(":", F.lit(str(seed)), tree.cast("string"), F.col(id_col).cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
+    return F.substring(F.md5(text), 1, HASH_BITS // 4)
 
 
-def _below(rate: float) -> int:
-    return int(math.floor(rate * float(1 << HASH_BITS)))
+def _below(hashed: Column, rate: float) -> Column:
+    """Whether a hash falls into the lowest ``rate`` of all."""
+    if rate >= 1.0:
+        return F.lit(True)
+    return hashed < F.lit(f"{int(math.floor(rate * float(1 << HASH_BITS))):0{HASH_BITS // 4}x}")
 
 
 def rates(n: int, psi: int, n_trees: int) -> tuple[float, float]:
@@ -111,12 +114,17 @@ def rates(n: int, psi: int, n_trees: int) -> tuple[float, float]:
     return q, p / q
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt out evenly: hashing or scoring one against every tree costs far more than moving its few numbers."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def sample(data: DataFrame, n: int, psi: int, n_trees: int, seed: int = SEED, id_col: str = "obs_id") -> DataFrame:
     """``psi`` rows for each ``tree`` (all rows, if there are no more)."""
     q, per_tree = rates(n, psi, n_trees)
-    drawn = data.filter(_hash(seed, F.lit("row"), id_col) < F.lit(_below(q)))
+    drawn = _dealt(data.filter(_below(_hash(seed, F.lit("row"), id_col), q)))
     cand = drawn.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-    cand = cand.withColumn("__h", _hash(seed, F.col("tree"), id_col)).filter(F.col("__h") < F.lit(_below(per_tree)))
+    cand = cand.withColumn("__h", _hash(seed, F.col("tree"), id_col)).filter(_below(F.col("__h"), per_tree))
     w = Window.partitionBy("tree").orderBy("__h", id_col)
     return cand.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= psi).drop("__rn", "__h")
 
@@ -169,7 +177,7 @@ def score(df: DataFrame, model: IsolationForestModel, id_col: str = "obs_id", ke
             mean = np.round(total / max(len(feature), 1), PATH_DIGITS)
             yield pdf.assign(score=np.power(2.0, -mean / cpsi))
 
-    return data.mapInPandas(apply, out_schema)
+    return _dealt(data).mapInPandas(apply, out_schema)
 
 
 def label(scored: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
