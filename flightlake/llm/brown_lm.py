@@ -1,12 +1,13 @@
 """Scoring texts with Brown class-based bigrams.
 
 The most frequent words are put into classes by the exchange algorithm, which moves one word at a time to the
-class that raises the likelihood of the class bigrams most. A token's probability is that of its class after the
-class before, times that of the word in its class. All other words form one class of their own, in which a word
-counts as often as the corpus has it.
+class that raises the likelihood of the class bigrams most. Every other training word then joins the class that
+suits the classes beside it best, and the transitions are counted again with all words in classes. A token's
+probability is that of its class after the class before, times that of the word in its class. Words that training
+never saw form a class of their own, which stands where words seen once stand.
 
 Corpus counts cover every training document. Tasks look up the most frequent words in a table of bounded size;
-the others, whose number has no bound, meet their counts in a join.
+the others, whose number has no bound, meet their classes and counts in a join.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from flightlake.llm.packing import slices
 from flightlake.llm.storage import landed
 from flightlake.llm.text import bucket, table
 
-#: Words put into classes, and their classes.
+#: Words put into classes by exchange, and their classes.
 CLASS_WORDS, CLASSES = 2000, 48
 #: Most frequent words that every task holds with their counts.
 HELD_WORDS = 150_000
@@ -33,6 +34,8 @@ PRIOR = 5.0
 SWEEPS = 8
 #: Distinct words that a counting task holds before it passes them on.
 FLUSH = 400_000
+#: In a path of classes, one byte a token: the mark of a word seen once, and a word whose class is not known yet.
+ONCE, OPEN = 128, 255
 
 
 def _words(text: bytes) -> list[bytes]:
@@ -76,6 +79,8 @@ class Model:
     kinds: int
     documents: int
     other_total: int  # tokens, kinds and one unseen kind of the class of other words
+    between: np.ndarray  # counts of neighbouring classes
+    weight: np.ndarray  # tokens of the class words in each class
 
     @property
     def base_total(self) -> int:
@@ -156,6 +161,13 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return cls
 
 
+def _transitions(between: np.ndarray) -> np.ndarray:
+    """log10 P(class | class before), smoothed with the class's own frequency."""
+    size = between.sum(axis=0)
+    share = (size + 1) / (size.sum() + len(between))
+    return np.log10((between + PRIOR * share) / (between.sum(axis=1, keepdims=True) + PRIOR))
+
+
 def train(df: DataFrame, counts: DataFrame, text_col: str = "text", class_words: int = CLASS_WORDS,
           classes: int = CLASSES, held_words: int = HELD_WORDS) -> Model:
     """The model of all rows of ``df``, whose word counts are ``counts``.
@@ -181,14 +193,12 @@ def train(df: DataFrame, counts: DataFrame, text_col: str = "text", class_words:
     one = np.zeros((n + 2, k))
     one[np.arange(n + 2), cls] = 1
     between = one.T @ pairs @ one
-    size = between.sum(axis=0)
-    share = (size + 1) / (size.sum() + k)
-    transition = np.log10((between + PRIOR * share) / (between.sum(axis=1, keepdims=True) + PRIOR))
+    transition = _transitions(between)
     weight = one[:n].T @ n_held[:n] if n else np.zeros(k)
     emission = np.log10(n_held[:n] / np.maximum(weight[cls[:n]], 1))
     other = total - int(n_held[:n].sum()) + (kinds - n) + 1
     tokens, ends = total + documents, int(documents > 0)
-    return Model(held, n_held, cls, transition, emission, tokens, kinds + ends, documents, other)
+    return Model(held, n_held, cls, transition, emission, tokens, kinds + ends, documents, other, between, weight)
 
 
 def _score(shared, schema: pa.Schema):
@@ -258,13 +268,278 @@ def score(df: DataFrame, model: Model, counts: DataFrame, carry: dict[str, Colum
     )
 
 
+def _neighbour_classes(shared):
+    """(word, code, n) of the words outside the core: code h counts the class h after the word, k + g the class g
+    before it, and 2k the word after itself, which the other two leave out."""
+    schema = pa.schema([("word", pa.string()), ("code", pa.int32()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        core, cls = shared.value
+        n, k = len(core), int(cls.max()) + 1
+        width = 2 * k + 1
+        place = {w: i for i, w in enumerate(core)}
+        local: dict[bytes, int] = {}
+        codes, times = [], []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            seen, at = np.unique(np.concatenate(codes), return_inverse=True)
+            return seen, np.bincount(at, weights=np.concatenate(times)).astype(np.int64)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            (seen, count), words = merged(), pa.array(list(local), pa.binary()).cast(pa.string())
+            for i in range(0, len(seen), FLUSH):
+                part = seen[i : i + FLUSH]
+                cols = [words.take(pa.array(part // width)), pa.array((part % width).astype(np.int32)), pa.array(count[i : i + FLUSH])]
+                yield pa.record_batch(cols, schema)
+
+        for batch in batches:
+            for _, part in slices(batch.column(0).cast(pa.binary()).to_pylist()):
+                ids = [n + 1]
+                for t in part:
+                    for w in _words(t):
+                        i = place.get(w, -1)
+                        ids.append(i if i >= 0 else n + 2 + local.setdefault(w, len(local)))
+                    ids.append(n + 1)
+                ids = np.array(ids, np.int64)
+                around = cls[np.where(ids < n + 2, ids, n)]
+                at = np.nonzero(ids >= n + 2)[0]
+                word = (ids[at] - n - 2) * width
+                after = word + np.where(ids[at + 1] == ids[at], 2 * k, around[at + 1])
+                before = (word + k + around[at - 1])[ids[at - 1] != ids[at]]
+                seen, count = np.unique(np.concatenate([after, before]), return_counts=True)
+                codes.append(seen)
+                times.append(count)
+                if sum(map(len, codes)) > 4 * FLUSH:
+                    codes, times = ([x] for x in merged())
+                if len(local) > FLUSH or sum(map(len, codes)) > 2 * FLUSH and len(codes) == 1:
+                    yield from flush()
+                    local, codes, times = {}, [], []
+        if codes:
+            yield from flush()
+
+    return run
+
+
+def best_classes(out: np.ndarray, into: np.ndarray, self_: np.ndarray, between: np.ndarray) -> np.ndarray:
+    """For each word in the class of other words, the class that raises the likelihood most when this word alone
+    moves there, priced as in ``exchange``. Ties keep the lower class.
+
+    ``out`` and ``into`` have a row for each word: its counts by the class after and before it.
+    """
+    o = len(between) - 2  # also the number of classes to choose from
+    gain = np.zeros((len(out), o))
+    for side, m in ((out, between), (into, between.T)):
+        for h in (*range(o), o + 1):
+            w = np.nonzero(side[:, h])[0]
+            gain[w] += _xlogx(m[:o, h] + side[w, h, None]) - _xlogx(m[:o, h])
+    # The class of other words loses the word, whichever class it joins.
+    for left, mine in ((between[:o, o] - into[:, :o], out), (between[o, :o] - out[:, :o], into)):
+        gain += _xlogx(left + mine[:, [o]]) - _xlogx(left)
+    d, a, b = np.diag(between)[:o], out[:, :o], into[:, :o]
+    gain += _xlogx(d + a + b + self_[:, None]) + _xlogx(d) - _xlogx(d + a) - _xlogx(d + b)
+    for total, mine in ((between.sum(axis=1)[:o], out), (between.sum(axis=0)[:o], into)):
+        gain -= _xlogx(total + (mine.sum(axis=1) + self_)[:, None]) - _xlogx(total)
+    return gain.argmax(axis=1)
+
+
+def _classified(shared):
+    schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("cls", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        between = shared.value
+        k = len(between)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 4096):
+                part = batch.slice(i, 4096)
+                codes, times = part.column(1), part.column(2)
+                count = np.zeros((part.num_rows, 2 * k + 1))
+                row = np.repeat(np.arange(part.num_rows), codes.value_lengths().to_numpy())
+                count[row, codes.flatten().to_numpy()] = times.flatten().to_numpy()
+                out, into, self_ = count[:, :k], count[:, k : 2 * k], count[:, 2 * k]
+                n = (out.sum(axis=1) + self_).astype(np.int64)
+                yield pa.record_batch([part.column(0).cast(pa.string()), pa.array(n), pa.array(best_classes(out, into, self_, between).astype(np.int32))], schema)
+
+    return run
+
+
+def word_classes(texts: DataFrame, core: Model) -> DataFrame:
+    """(word, n, cls) of every word of the one text column that has no class in ``core``: its count and best class."""
+    spark = texts.sparkSession
+    words = spark.sparkContext.broadcast((core.held[: len(core.cls) - 2], core.cls))
+    found = texts.mapInArrow(_neighbour_classes(words), "word string, code int, n bigint")
+    # Dealt by word at once, both groupings below need no further exchange; a task sends few rows for each word.
+    found = found.repartition("word").groupBy("word", "code").agg(F.sum("n").alias("n"))
+    pair = F.collect_list(F.struct("code", "n")).alias("pairs")
+    found = found.groupBy("word").agg(pair).select("word", F.col("pairs.code").alias("codes"), F.col("pairs.n").alias("times"))
+    between = spark.sparkContext.broadcast(core.between)
+    return found.mapInArrow(_classified(between), "word string, n bigint, cls int")
+
+
+def _paths(shared, schema: pa.Schema):
+    """Paths of held words, besides the distinct words that are not held and which of them stands at each open place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count, cls, weight, end = shared.value
+        place = {w: i for i, w in enumerate(held)}
+        log_count = np.append(np.log10(count + 1.0), 0.0)  # the last one is for words not held
+        emission = np.append(np.log10(count / weight[cls]), 0.0)
+        mark = np.append(cls + ONCE * (count == 1), OPEN).astype(np.uint8)
+        uid = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
+            at = 0
+            for _, part in slices(batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()):
+                rows = []
+                for t in part:
+                    words = _words(t)
+                    ids = np.array([place.get(w, -1) for w in words], np.int64)
+                    open_: dict[bytes, int] = {}
+                    slots = [open_.setdefault(words[i], len(open_)) for i in np.nonzero(ids < 0)[0]]
+                    path = bytes([end]) + mark[ids].tobytes() + bytes([end])
+                    rows.append((uid, int((ids >= 0).sum()), float(log_count[ids].sum()), float(emission[ids].sum()), path, list(open_), slots))
+                    uid += 1
+                new = list(zip(*rows, strict=True))
+                new[5] = pa.array(new[5], pa.list_(pa.binary())).cast(schema.types[-2])
+                cols = [*(c.slice(at, len(part)) for c in kept), *new]
+                at += len(part)
+                yield pa.record_batch([(c if isinstance(c, pa.Array) else pa.array(c, f.type)).cast(f.type) for c, f in zip(cols, schema, strict=True)], schema)
+
+    return run
+
+
+def _filled(shared, schema: pa.Schema):
+    """The paths with the classes that open words have met; unseen words get the class of other words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight, other, unseen = shared.value
+        for batch in batches:
+            names = batch.schema.names
+            known, base, classed, paths, slots, met = (batch.column(names.index(x)).to_pylist() for x in ("known", "base", "classed", "path", "slots", "met"))
+            for i, spots in enumerate(slots):
+                if not spots:
+                    continue
+                spots = np.array(spots)
+                size = int(spots.max()) + 1
+                count, cls = np.zeros(size, np.int64), np.full(size, other)
+                for m in met[i] or ():
+                    count[m["slot"]], cls[m["slot"]] = m["n"], m["cls"]
+                seen = count > 0
+                emission = np.where(seen, np.log10(np.maximum(count, 1) / weight[cls]), unseen)
+                path = np.frombuffer(paths[i], np.uint8).copy()
+                path[path == OPEN] = (cls + ONCE * (count == 1))[spots]
+                paths[i] = path.tobytes()
+                known[i] += int(seen[spots].sum())
+                base[i] += float(np.log10(count + 1.0)[spots].sum())
+                classed[i] += float(emission[spots].sum())
+            cols = [*batch.columns[: len(schema) - 4], known, base, classed, paths]
+            yield pa.record_batch([(c if isinstance(c, pa.Array) else pa.array(c, f.type)).cast(f.type) for c, f in zip(cols, schema, strict=True)], schema)
+
+    return run
+
+
+def _class_pairs(k: int, other: int):
+    """Counts of neighbouring classes, and from k * k on those that words seen once add for unseen ones: each is
+    what an unseen word would be if its text were left out."""
+    schema = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * k * k, np.int64)
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                path = np.frombuffer(raw, np.uint8).astype(np.int64)
+                once, cls = path >= ONCE, path % ONCE
+                total[: k * k] += np.bincount(cls[:-1] * k + cls[1:], minlength=k * k)
+                if once.any():
+                    unseen = np.where(once, other, cls)
+                    some = once[:-1] | once[1:]
+                    total[k * k :] += np.bincount((unseen[:-1] * k + unseen[1:])[some], minlength=k * k)
+        seen = np.nonzero(total)[0]
+        yield pa.record_batch([pa.array(seen), pa.array(total[seen])], schema)
+
+    return run
+
+
+def _followed(shared, schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        transition = shared.value
+        for batch in batches:
+            paths = [np.frombuffer(raw, np.uint8) % ONCE for raw in batch.column(batch.num_columns - 1).to_pylist()]
+            scores = pa.array([float(transition[p[:-1], p[1:]].sum()) for p in paths], pa.float64())
+            lengths = pa.array([len(p) - 1 for p in paths], pa.int64())
+            cols = [*batch.columns[:-1], lengths, scores]
+            yield pa.record_batch([x.cast(t) for x, t in zip(cols, schema.types, strict=True)], schema)
+
+    return run
+
+
+def score_all_words(df: DataFrame, training: Column, carry: dict[str, Column], text_col: str = "text",
+                    class_words: int = CLASS_WORDS, classes: int = CLASSES, held_words: int = HELD_WORDS) -> DataFrame:
+    """As ``score``, by a model of the rows for which ``training`` holds, with every training word in a class.
+
+    The driver gets what ``train`` gives it and the classes of the held words, transitions and class totals.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    spark, c = df.sparkSession, F.col
+    learnt = df.filter(training).select(F.coalesce(c(text_col).cast("string"), F.lit("")).alias("text"))
+    counts = landed(word_counts(learnt), "words")
+    core = train(learnt, counts, class_words=class_words, classes=classes, held_words=held_words)
+    n, other, end = len(core.cls) - 2, int(core.cls[-2]), int(core.cls[-1])
+    k = end + 1
+    if k > OPEN - ONCE:
+        raise ValueError("a path has room for 125 classes")
+    rest = landed(word_classes(learnt, core), "word-classes")
+
+    weight, once = core.weight.copy(), int((core.counts[:n] == 1).sum())
+    for r in rest.groupBy("cls").agg(F.sum("n").alias("n"), F.count_if(c("n") == 1).alias("once")).collect():
+        weight[r.cls] += r.n
+        once += r.once
+    weight = np.maximum(weight, 1)
+    held, cls = core.held[:n], core.cls[:n]
+    n_held = core.counts[:n]
+    if len(core.held) > n:
+        last, least = core.held[-1].decode(), int(core.counts[-1])
+        top = rest.filter((c("n") > least) | ((c("n") == least) & (c("word") <= F.lit(last)))).toArrow()
+        held = held + top["word"].cast(pa.binary()).to_pylist()
+        n_held, cls = np.append(n_held, top["n"].to_numpy()), np.append(cls, top["cls"].to_numpy())
+
+    source = df.select(*[v.alias(x) for x, v in carry.items()], training.alias("__training"), c(text_col).cast("string").alias("__text"))
+    fixed = StructType(source.schema.fields[:-1])
+    numbers = "known bigint, base double, classed double, path binary"
+    parts_type = StructType(fixed.fields + StructType.fromDDL(f"uid bigint, {numbers}, words array<string>, slots array<int>").fields)
+    shared = spark.sparkContext.broadcast((held, n_held, cls, weight, end))
+    parts = landed(source.mapInArrow(_paths(shared, to_arrow_schema(parts_type)), parts_type), "open-paths")
+    met = parts.select("uid", F.posexplode("words").alias("slot", "word")).join(rest, "word").groupBy("uid").agg(
+        F.collect_list(F.struct("slot", "n", "cls")).alias("met")
+    )
+    joined = parts.drop("words").join(met, "uid", "left").select(*[f"`{f.name}`" for f in fixed], "known", "base", "classed", "path", "slots", "met")
+    paths_type = StructType(fixed.fields + StructType.fromDDL(numbers).fields)
+    # An unseen word is taken for one of as many as were seen once.
+    spared = spark.sparkContext.broadcast((weight, other, -np.log10(once + 1)))
+    paths = landed(joined.mapInArrow(_filled(spared, to_arrow_schema(paths_type)), paths_type), "paths")
+
+    found = paths.filter("__training").select("path").mapInArrow(_class_pairs(k, other), "pair bigint, n bigint")
+    found = found.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    pairs = np.zeros(2 * k * k)
+    pairs[found["pair"].to_numpy()] = found["n"].to_numpy()
+    transition = spark.sparkContext.broadcast(_transitions(pairs.reshape(2, k, k).sum(axis=0)))
+    scored_type = StructType(paths_type.fields[:-1] + StructType.fromDDL("n_tokens bigint, followed double").fields)
+    scored = paths.mapInArrow(_followed(transition, to_arrow_schema(scored_type)), scored_type)
+    seen_end = int(core.documents > 0)
+    base = c("base") + float(np.log10(core.documents + 1.0)) - c("n_tokens") * float(np.log10(core.base_total))
+    whole = c("classed") + c("followed")
+    return scored.select(
+        *[f"`{x}`" for x in carry], "n_tokens", (c("known") + seen_end).alias("n_known"),
+        F.lit(core.tokens).cast("bigint").alias("train_tokens"), base.alias("base_score"),
+        whole.alias("score"), F.pow(F.lit(10.0), -whole / c("n_tokens")).alias("perplexity"),
+    )
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return bucket(F.col(id_col), 7) == 2
 
 
 def op10_brown_lm_scoring(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    training = docs.filter(~held_out())
-    counts = landed(word_counts(training.select(F.col("text").cast("string"))), "words")
-    model = train(training, counts)
-    return score(docs, model, counts, {"doc_id": F.col("doc_id"), "held_out": held_out()})
+    return score_all_words(docs, ~held_out(), {"doc_id": F.col("doc_id"), "held_out": held_out()})

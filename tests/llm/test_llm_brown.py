@@ -103,3 +103,76 @@ def test_nothing_to_learn(spark):
     r = B.score(frame(spark, [(1, "a b", None, None, 0)]), model, counts, {"doc_id": F.col("doc_id")}).first()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0) and math.isfinite(r.score)
     assert B.score(none, model, counts, {"doc_id": F.col("doc_id")}).count() == 0
+
+
+def test_best_class_of_a_word_outside_the_core():
+    rng = np.random.default_rng(3)
+    n, k, extra = 12, 3, 5
+    pairs = rng.integers(0, 9, (n + extra + 1, n + extra + 1)).astype(float)  # core, other words one by one, end
+    cls = np.array([*np.arange(n) % k, *[k] * extra, k + 1])
+    one = np.eye(k + 2)[cls]
+    rest = np.arange(n, n + extra)
+    self_ = pairs[rest, rest]
+    out, into = pairs[rest] @ one, pairs[:, rest].T @ one
+    out[:, k] -= self_
+    into[:, k] -= self_
+    best = B.best_classes(out, into, self_, one.T @ pairs @ one)
+    for w, c in zip(rest, best, strict=True):
+        moved = [likelihood(pairs, np.where(np.arange(len(cls)) == w, g, cls)) for g in range(k)]
+        assert np.isclose(moved[c], max(moved))
+
+
+def test_every_training_word_has_a_class(spark):
+    data = rows(n=90)
+    df = frame(spark, data, extra=True)
+    sizes = {"class_words": 40, "classes": 6, "held_words": 70}
+    core, _ = run(spark, df, **sizes)
+    rest = B.word_classes(df.filter(~B.held_out()).select(F.coalesce("text", F.lit("")).alias("text")), core).collect()
+    count = Counter(w for r in data if training(r[0]) for w in tokens(r[1]))
+    cls = dict(zip(core.held, core.cls[:-2], strict=False)) | {r.word.encode(): r.cls for r in rest}
+    assert set(cls) == set(count) and len(rest) == len(count) - 40 and all(r.n == count[r.word.encode()] for r in rest)
+    other, end = core.cls[-2:]
+    assert len({r.cls for r in rest}) > 1 and all(c < other for c in cls.values())
+
+    path = lambda t, one=-1: [end, *(other if count[w] == one else cls.get(w, other) for w in tokens(t)), end]
+    pair, size = Counter(), Counter()
+    for r in data:
+        if training(r[0]):
+            true, unseen = path(r[1]), path(r[1], 1)
+            pair.update(zip(true, true[1:], strict=False))
+            pair.update(p for p, q in zip(zip(unseen, unseen[1:], strict=False), zip(true, true[1:], strict=False), strict=True) if p != q)
+    before, after = Counter(), Counter()
+    for (g, h), x in pair.items():
+        before[g] += x
+        after[h] += x
+    for w, x in count.items():
+        size[cls[w]] += x
+    k, once = int(end) + 1, sum(x == 1 for x in count.values())
+    prior = lambda h: (after[h] + 1) / (sum(after.values()) + k)
+    brute_base = brute(data, core, 40)
+    carry = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    found = B.score_all_words(df, ~B.held_out(), carry, **sizes).collect()
+    assert len(found) == len(data)
+    for r in found:
+        n, known, total, base, _ = brute_base(r.text)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total) and np.isclose(r.base_score, base, rtol=1e-9)
+        p = path(r.text)
+        s = sum(math.log10((pair[g, h] + B.PRIOR * prior(h)) / (before[g] + B.PRIOR)) for g, h in zip(p, p[1:], strict=False))
+        s += sum(math.log10(count[x] / size[cls[x]]) if x in cls else -math.log10(once + 1) for x in tokens(r.text))
+        assert np.isclose(r.score, s, rtol=1e-9) and np.isclose(r.perplexity, 10 ** (-s / n), rtol=1e-6)
+
+
+def test_words_of_one_kind_of_neighbours_share_a_class(spark):
+    """Rare words, each in place of a frequent one, take its class, and the rare text scores higher for it."""
+    data = [(i, " ".join(["red cat", "runs far", "red dog", "runs far"] * 20), None, None, 0) for i in range(40) if training(i)]
+    data += [(1000 + i, f"red cat runs far red beast{i} runs far red beast{i} runs far", None, None, 0) for i in range(30) if training(1000 + i)]
+    df = frame(spark, data)
+    texts = df.select("text")
+    core = B.train(texts, B.landed(B.word_counts(texts), "words"), class_words=5, classes=3)
+    cls = dict(zip(core.held, core.cls[:5], strict=False))
+    assert {r.cls for r in B.word_classes(texts, core).collect()} == {cls[b"cat"]}
+
+
+def test_nothing_to_learn_in_any_class(spark):
+    r = B.score_all_words(frame(spark, [(1, "a b", None, None, 0)]), F.lit(False), {"doc_id": F.col("doc_id")}).first()
+    assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0) and math.isfinite(r.score)
