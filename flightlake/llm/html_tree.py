@@ -3,6 +3,7 @@
 Pages of a host share templates. Their element paths are merged into one tree per host, kept as one row per host
 and path. Two entropies say how much a path matters: of the child sequences that its pages show (presentation)
 and of the texts that stand there (content). A text that every page repeats tells nothing; texts of their own do.
+Copies of one page are one witness: pages of a host that hold the same text blocks count once in the entropies.
 Paths of low importance are left out of each page, besides the parts that markup itself names as menus, adverts,
 forms and the like.
 """
@@ -11,7 +12,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,7 +24,7 @@ from flightlake.llm.text import table
 
 #: Share of the content in a path's importance; the rest is the presentation of the element around it.
 CONTENT_SHARE = 0.9
-#: Paths less important than this go, where at least so many pages of the host show them.
+#: Paths less important than this go, where at least so many pages of the host, copies aside, show them.
 THRESHOLD, EVIDENCE = 0.3, 10
 FLUSH = 200_000
 
@@ -39,6 +39,7 @@ ASIDE = frozenset("nav footer aside form button select option menu dialog head d
 CLOSED_BY_BLOCK = frozenset(["p"])
 CLOSED_BY_SAME = frozenset("li dt dd tr td th option p thead tbody tfoot".split())
 MAIN = frozenset(["article", "main"])
+HEADING = re.compile(r"/h[1-6](?:\.[^/]*)?\Z")
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 _ATTR = re.compile(r"(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.IGNORECASE)
@@ -168,27 +169,46 @@ def parse(source: str) -> Page:
     return page
 
 
-def main_text(page: Page, low: frozenset[str] = frozenset()) -> str:
-    """The page's main text without the paths in ``low``; these stay if nothing else would be left."""
+def text_blocks(page: Page) -> list[Block]:
+    """The blocks that markup itself does not set aside: those of articles, if there are any."""
     blocks = [b for b in page.blocks if not b.noise]
-    if any(b.main for b in blocks):
-        blocks = [b for b in blocks if b.main]
-    kept = [b for b in blocks if b.path not in low]
-    return " ".join(b.text for b in kept or blocks)
+    return [b for b in blocks if b.main] if any(b.main for b in blocks) else blocks
+
+
+def main_text(page: Page, low: frozenset[str] = frozenset()) -> str:
+    """The page's main text without the paths in ``low``; these stay if nothing else would be left.
+
+    Headings of an article stay beside its text, however often a site reuses their words.
+    """
+    blocks = text_blocks(page)
+    if any(b.path not in low for b in blocks):
+        blocks = [b for b in blocks if b.path not in low or (b.main and HEADING.search(b.path))]
+    return " ".join(b.text for b in blocks)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages of this task that show each child sequence and each text, by host and path."""
+    """Child sequences and texts by path of each content that this task meets on a host, and the pages that hold it.
+
+    Where pages of one content differ in other parts, the one of the lowest hash speaks for them.
+    """
     from xxhash import xxh64_intdigest
 
-    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("is_text", pa.bool_()), ("value", pa.int64()), ("n", pa.int64())])
-    count: Counter = Counter()
+    shown = pa.struct([("path", pa.string()), ("is_text", pa.bool_()), ("value", pa.int64())])
+    schema = pa.schema([("host", pa.string()), ("print", pa.int64()), ("n", pa.int64()), ("order", pa.int64()), ("shown", pa.list_(shown))])
+    kept: dict[tuple, list] = {}
+    size = 0
+
+    def signed(data: str) -> int:
+        return int(np.uint64(xxh64_intdigest(data)).view(np.int64))
 
     def flush() -> pa.RecordBatch:
-        host, path, is_text, value = zip(*count, strict=True)
-        value = np.array(value, np.uint64).view(np.int64)
-        cols = [pa.array(host), pa.array(path), pa.array(is_text), pa.array(value), pa.array(list(count.values()), pa.int64())]
-        return pa.record_batch(cols, schema)
+        host, content = zip(*kept, strict=True)
+        n, order, features = zip(*kept.values(), strict=True)
+        starts = np.cumsum([0, *map(len, features)])
+        path, is_text, value = zip(*[x for f in features for x in f], strict=True) if starts[-1] else ((), (), ())
+        flat = pa.StructArray.from_arrays([pa.array(path, pa.string()), pa.array(is_text, pa.bool_()), pa.array(value, pa.int64())], fields=list(shown))
+        cols = [pa.array(host), pa.array(content, pa.int64()), pa.array(n, pa.int64()), pa.array(order, pa.int64())]
+        return pa.record_batch([*cols, pa.ListArray.from_arrays(pa.array(starts, pa.int32()), flat)], schema)
 
     for batch in batches:
         for url, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -196,49 +216,64 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not host or not source:
                 continue
             page = parse(source)
-            seen = {(host, path, False, xxh64_intdigest(repr(shown))) for path, shown in page.styles.items()}
-            seen |= {(host, b.path, True, xxh64_intdigest(b.text)) for b in page.blocks}
-            count.update(seen)
-            if len(count) > FLUSH:
+            key = host, signed(repr([(b.path, b.text) for b in text_blocks(page)]))
+            seen = {(path, False, signed(repr(shown))) for path, shown in page.styles.items()}
+            seen = sorted(seen | {(b.path, True, signed(b.text)) for b in page.blocks})
+            order = signed(repr(seen))
+            before = kept.get(key)
+            if before is None:
+                kept[key] = [1, order, seen]
+                size += len(seen)
+            else:
+                before[0] += 1
+                if order < before[1]:
+                    before[1:] = order, seen
+            if size > FLUSH:
                 yield flush()
-                count.clear()
-    if count:
+                kept.clear()
+                size = 0
+    if kept:
         yield flush()
 
 
 def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per host and path: pages, presentation, content and importance, each 0 to 1.
+    """One row per host and path: pages, contents (pages without copies), presentation, content and importance, each
+    of the last three 0 to 1.
 
-    With one page there is no evidence and importance is 1. Content is null where no text stands.
+    With one content there is no evidence and importance is 1. Content is null where no text stands.
     """
     c = F.col
     source = pages.select(c(url_col).cast("string").alias("url"), c(html_col).cast("string").alias("html"))
-    found = source.mapInArrow(_features, "host string, path string, is_text boolean, value bigint, n bigint")
-    found = found.groupBy("host", "path", "is_text", "value").agg(F.sum("n").alias("n"))
+    shown = "array<struct<path: string, is_text: boolean, value: bigint>>"
+    found = source.mapInArrow(_features, f"host string, print bigint, n bigint, order bigint, shown {shown}")
+    found = found.groupBy("host", "print").agg(F.sum("n").alias("copies"), F.min(F.struct("order", "shown")).alias("first"))
+    found = found.select("host", "copies", F.inline("first.shown")).groupBy("host", "path", "is_text", "value").agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("n")
+    )
     style, text, log_n = ~c("is_text"), c("is_text"), F.ln("n")
     nodes = found.groupBy("host", "path").agg(
-        F.sum(F.when(style, c("n"))).alias("pages"),
+        F.sum(F.when(style, c("copies"))).alias("pages"),
+        F.sum(F.when(style, c("n"))).alias("contents"),
         F.sum(F.when(style, c("n") * log_n)).alias("spread"),
         F.avg(F.when(text, log_n)).alias("repeated"),
     )
-    scale = F.ln("pages")
-    part = lambda x: F.when(c("pages") > 1, x).otherwise(F.lit(1.0))
+    scale = F.ln("contents")
+    part = lambda x: F.when(c("contents") > 1, x).otherwise(F.lit(1.0))
     nodes = nodes.select(
-        "host", "path", "pages", part((scale - c("spread") / c("pages")) / scale).alias("presentation"),
+        "host", "path", "pages", "contents", part((scale - c("spread") / c("contents")) / scale).alias("presentation"),
         F.when(c("repeated").isNotNull(), part(1 - c("repeated") / scale)).alias("content"),
     )
     nodes = landed(nodes, "style-tree")  # read twice below: without it the pages would be parsed twice
     around = nodes.select("host", c("path").alias("parent"), c("presentation").alias("around"))
     nodes = nodes.withColumn("parent", F.regexp_replace("path", r"/[^/]*$", ""))
     importance = (1 - CONTENT_SHARE) * F.coalesce("around", F.lit(0.0)) + CONTENT_SHARE * F.coalesce("content", c("presentation"))
-    return nodes.join(around, ["host", "parent"], "left").select(
-        "host", "path", "pages", "presentation", "content", F.when(c("pages") > 1, importance).otherwise(F.lit(1.0)).alias("importance")
-    )
+    importance = F.when(c("contents") > 1, importance).otherwise(F.lit(1.0)).alias("importance")
+    return nodes.join(around, ["host", "parent"], "left").select("host", "path", "pages", "contents", "presentation", "content", importance)
 
 
 def low_paths(tree: DataFrame, threshold: float = THRESHOLD, evidence: int = EVIDENCE) -> DataFrame:
     """(host, low): the text paths of each host that matter too little."""
-    few = tree.filter((F.col("importance") < threshold) & (F.col("pages") >= evidence) & F.col("content").isNotNull())
+    few = tree.filter((F.col("importance") < threshold) & (F.col("contents") >= evidence) & F.col("content").isNotNull())
     return few.groupBy("host").agg(F.collect_set("path").alias("low"))
 
 
@@ -265,7 +300,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """page_id, url, text and n_chars (code points) of every page.
 
     Null or empty html gives empty text. Pages without a host are read without a tree. Repeated rows are each
-    extracted and count as pages of their own. Two passes read the pages: one for the tree, one for the texts;
+    extracted. Two passes read the pages: one for the tree, one for the texts;
     hosts meet their few low paths in a join.
     """
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -67,3 +67,21 @@ def test_articles_of_the_given_pages(spark):
     for r in extract(pages).collect():
         article = re.search("<article>(.*?)</article>", source[r.page_id], re.DOTALL)[1]
         assert r.text == " ".join(html.unescape(re.sub("<(?:/?p|/?h1|/?b|br)>", " ", article)).split())
+
+
+def test_copies_are_one_witness(spark):
+    copy = "<body><div>ad {}</div><article><h1>The list</h1><p>All of them:</p><ul><li>one</li><li>two</li></ul></article>"
+    rows = list(site()) + [(100 + i, f"http://site.example/copy{i}", copy.format(i)) for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string").repartition(4)
+    tree = {r.path: r for r in style_tree(pages).collect()}
+    assert (tree["/body/article/ul/li"].pages, tree["/body/article/ul/li"].contents) == (12, 1)
+    assert [r.low for r in low_paths(style_tree(pages)).collect()] == [["/body/article/div.box"]]
+    texts = [r.text for r in extract(pages).collect() if r.page_id >= 100]
+    assert texts == ["The list All of them: one two"] * 12
+
+
+def test_reused_headings_of_articles_stay(spark):
+    page = "<body><article><h2>{}</h2><p>text {}</p><div class=box>Read more</div></article>"
+    rows = [(i, f"http://h.example/{i}", page.format(["Method", "Parts"][i % 2], i)) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    assert {r.page_id: r.text for r in extract(pages).collect()} == {i: f"{['Method', 'Parts'][i % 2]} text {i}" for i in range(40)}
