@@ -50,6 +50,8 @@ _NOISE = re.compile(
     r"newsletter|subscribe|signup|popup|modal|widget|footer|masthead|contentinfo|complementary|search)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+#: Classes of articles that tell their subject or the page around them (category-social, no-sidebar), not their part.
+_SUBJECT = re.compile(r"(?:category|tag|topic|type|format|has|no|with|without|status)[-_]", re.IGNORECASE)
 
 
 @dataclass
@@ -58,6 +60,7 @@ class Block:
     text: str
     noise: bool
     main: bool
+    other: bool = False  # in an article that by its name is not the page's own
 
 
 @dataclass
@@ -73,6 +76,7 @@ class _Open:
     noise: bool
     main: bool
     mute: bool = False  # inline noise: its text is dropped without ending the block
+    other: bool = False
     children: list[str] = field(default_factory=list)
 
 
@@ -94,7 +98,7 @@ def parse(source: str) -> Page:
             buffer.clear()
             if text:
                 top = next(o for o in reversed(stack) if o.tag not in INLINE)
-                page.blocks.append(Block(top.path, text, stack[-1].noise, stack[-1].main))
+                page.blocks.append(Block(top.path, text, stack[-1].noise, stack[-1].main, stack[-1].other))
 
     def close(depth: int) -> None:
         while len(stack) > depth:
@@ -157,9 +161,10 @@ def parse(source: str) -> Page:
         noise = tag in ASIDE or (tag == "header" and not up.main) or "hidden" in names
         if label and tag not in ("html", "body") and tag not in MAIN:
             noise = noise or bool(_NOISE.search(label))
+        other = up.other or (tag == "article" and any(_NOISE.search(x) for x in label.split() if not _SUBJECT.match(x)))
         mute = up.mute or (noise and tag in INLINE)
         main = up.main or tag in MAIN or names.get("role") == "main"
-        stack.append(_Open(tag, path, up.noise or noise, main, mute))
+        stack.append(_Open(tag, path, up.noise or noise, main, mute, other))
         if m[3].endswith("/") and tag in INLINE:
             stack.pop()
     if at < len(source):
@@ -170,8 +175,12 @@ def parse(source: str) -> Page:
 
 
 def text_blocks(page: Page) -> list[Block]:
-    """The blocks that markup itself does not set aside: those of articles, if there are any."""
+    """The blocks that markup itself does not set aside: those of articles, if there are any.
+
+    Articles that are comments, teasers and the like by their name are left out where other text stands.
+    """
     blocks = [b for b in page.blocks if not b.noise]
+    blocks = [b for b in blocks if not b.other] or blocks
     return [b for b in blocks if b.main] if any(b.main for b in blocks) else blocks
 
 

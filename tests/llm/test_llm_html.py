@@ -85,3 +85,13 @@ def test_reused_headings_of_articles_stay(spark):
     rows = [(i, f"http://h.example/{i}", page.format(["Method", "Parts"][i % 2], i)) for i in range(40)]
     pages = spark.createDataFrame(rows, "page_id int, url string, html string")
     assert {r.page_id: r.text for r in extract(pages).collect()} == {i: f"{['Method', 'Parts'][i % 2]} text {i}" for i in range(40)}
+
+
+def test_articles_that_are_not_the_story():
+    comments = '<article class="comment"><p>c1</p></article><article id=comment-2><p>c2</p></article>'
+    assert main_text(parse(f"<div><p>story</p></div>{comments}")) == "story"
+    assert main_text(parse('<div><p>story</p></div><article class="related"><h2>teaser</h2></article>')) == "story"
+    assert main_text(parse(f"<p>around</p><article><p>story</p>{comments}<p>end</p></article>")) == "story end"
+    assert main_text(parse('<p>around</p><article class="post category-social no-sidebar"><p>story</p></article>')) == "story"
+    assert main_text(parse('<main class="search"><p>story</p><article role="complementary">side</article></main>')) == "story"
+    assert main_text(parse('<nav>menu</nav><article class="promo"><p>only</p></article>')) == "only"
