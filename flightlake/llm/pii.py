@@ -4,7 +4,8 @@ Every kind of entity is a sequence of symbols drawn from fixed alphabets: digits
 and vowel or consonant. On the sequences of one shape a keyed Feistel network is a permutation s; the surrogate of
 x is s^-1(s(x) + 1). So the same entity always gets the same surrogate, different entities get different ones, none
 keeps its value, and no table of the corpus's entities is needed. Given names go round a keyed order of the names
-of their gender and script in the same way. A check over the corpus confirms that no surrogate is shared.
+of their gender and script in the same way. Where a text names somebody, the given or family name alone gets the
+same part of the surrogate in the whole text. A check over the corpus confirms that no surrogate is shared.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from flightlake.llm.text import table
 #: The key of the examples and queries; a user passes their own.
 DEMO_KEY = b"not a secret: pass your own key"
 ROUNDS = 8
-KINDS = ("email", "ip", "iban", "card", "ssn", "phone", "name")
+KINDS = ("email", "ip", "iban", "card", "ssn", "phone", "name", "given")
 
 # Given names by script and gender, and titles.
 GIVEN = {
@@ -58,6 +59,12 @@ _PHONE = re.compile(
     r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\d]|[.-]\d)",
     re.ASCII,
 )
+#: National forms with a trunk 0 (French, German, British) and Spanish numbers; dates are none.
+_NATIONAL = re.compile(
+    r"(?<![\w.+/-])(?!\d\d([./-])\d\d\1\d{4}(?!\d))(?:0[1-9]\d{8,9}|(?:\(0[1-9]\d{0,4}\) ?|0[1-9]\d{0,4}[ ./-])\d{2,8}(?:[ .-]\d{2,4}){0,4}|"
+    r"[6-9]\d\d(?:[ -]\d{3}){2}|[6-9]\d\d(?:[ -]\d\d){3}|9\d[ -]\d{3}(?:[ -]\d\d){2})(?![\w]|[.-]\d)",
+    re.ASCII,
+)
 _CAPITALISED = r"[A-ZÀ-ÖØ-ÞА-ЯЁ](?:['’][A-ZÀ-ÖØ-ÞА-ЯЁ])?[a-zß-öø-ÿа-яё]+(?:['’-][A-ZÀ-ÖØ-ÞА-ЯЁ]?[a-zß-öø-ÿа-яё]+)*"
 _NAME = re.compile(rf"(?<!\w)(?P<title>{TITLES})?(?P<given>{_CAPITALISED})[ \t]+(?P<family>{_CAPITALISED})(?!\w)")
 _TITLED = re.compile(rf"(?<!\w){TITLES}(?P<family>{_CAPITALISED})(?!\w)")
@@ -124,6 +131,13 @@ def _refill(text: str, digits: str) -> str:
     return "".join(next(rest) if c.isdigit() else c for c in text)
 
 
+def _form(digits: str) -> int:
+    """What the first digits tell of a phone number's form: trunk 0, Spanish mobile or area number, others."""
+    if digits[0] == "0":
+        return int(digits[1] == "0")
+    return 2 + (digits[0] >= "6") + (digits[0] == "9")
+
+
 def _luhn(digits: str) -> int:
     """What is missing to a multiple of ten when one more digit follows."""
     total = 0
@@ -181,8 +195,12 @@ class Surrogates:
     def _phone(self, value: str) -> tuple[str, str]:
         digits = "".join(c for c in value if c.isdigit())
         keep = max(0, len(digits) - 10)
+        # All sequences lie on one cycle: going on to the next of the same form keeps numbers apart and none fixed.
+        new = self._digits(digits[keep:], "phone")
+        while _form(new) != _form(digits[keep:]):
+            new = self._digits(new, "phone")
         # A number with its country code and the same one without are one entity.
-        return _refill(value, digits[:keep] + self._digits(digits[keep:], "phone")), digits[keep:] if digits[:keep] in ("", "1") else digits
+        return _refill(value, digits[:keep] + new), digits[keep:] if digits[:keep] in ("", "1") else digits
 
     def _ssn(self, value: str) -> tuple[str, str]:
         digits = value.replace("-", "")
@@ -210,6 +228,21 @@ class Surrogates:
         return " ".join([self._next[g] for g in given] + [new]), value.lower()
 
 
+    def _given(self, value: str) -> tuple[str, str]:
+        """A given name alone."""
+        return self._next[value], value.lower()
+
+
+def _alone(text: str, name: str) -> Iterator[int]:
+    """Where the name stands as a word of its own."""
+    at = text.find(name)
+    while at >= 0:
+        end = at + len(name)
+        if not (at and (text[at - 1].isalnum() or text[at - 1] == "_")) and not (text[end : end + 1].isalnum() or text[end : end + 1] == "_"):
+            yield at
+        at = text.find(name, end)
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities, apart from one another, in order. Where two overlap the kind that is
     listed first in KINDS stays."""
@@ -238,17 +271,32 @@ def find(text: str) -> list[tuple[int, int, str]]:
         for m in _PHONE.finditer(text):
             if 7 <= sum(c.isdigit() for c in m[0]) <= 15:
                 add(*m.span(), "phone")
+        for m in _NATIONAL.finditer(text):
+            if 9 <= sum(c.isdigit() for c in m[0]) <= 12:
+                add(*m.span(), "phone")
     if not _HINTS.isdisjoint(_CAPITAL_WORD.findall(text)):
-        at = 0
+        at, given, family = 0, set(), set()
+
+        def named(m: re.Match, start: int) -> None:
+            name = m["family"][:-2] if m["family"].endswith(("'s", "’s")) else m["family"]
+            add(start, m.start("family") + len(name), "name")
+            family.add(name)
+
         while m := _NAME.search(text, at):
             if m["given"] in _GIVEN:
-                add(m.start("given"), m.end("family"), "name")
+                named(m, m.start("given"))
+                given.add(m["given"])
                 at = m.end()
             else:
                 at = m.end("given")
         for m in _TITLED.finditer(text):
             if m["family"] not in _GIVEN:
-                add(*m.span("family"), "name")
+                named(m, m.start("family"))
+        # The same people by one of their names; a word that is both is taken for a given name.
+        for kind, names in (("given", given), ("name", family - given)):
+            for name in sorted(names):
+                for at in _alone(text, name):
+                    add(at, at + len(name), kind)
     return sorted(found)
 
 

@@ -85,3 +85,29 @@ def test_collisions_are_found_and_refused(spark, monkeypatch):
     monkeypatch.setattr(P, "collisions", lambda *a: broken)
     with pytest.raises(ValueError, match="share a surrogate"):
         P.pseudonymise(df)
+
+
+def test_later_mentions_by_one_name():
+    text = "Carter left. James Carter met Dr. Müller; Carter's plan pleased James, not Müller (Carters, MyJames, Jameson). Mary Young's dog; Young."
+    assert spans(text) == [("name", "Carter"), ("name", "James Carter"), ("name", "Müller"), ("name", "Carter"), ("given", "James"),
+                           ("name", "Müller"), ("name", "Mary Young"), ("name", "Young")]
+    new, listed = P.replace(text, S)
+    parts = S.of("name", "James Carter")[0].split()
+    assert [new[a:b] for a, b, _ in listed][:5] == [parts[1], " ".join(parts), S.of("name", "Müller")[0], parts[1], parts[0]]
+    assert spans("Carter and James met nobody") == []
+
+
+def test_later_mentions_in_rows(spark):
+    df = frame(spark, [(1, "Anna rang. Mrs Anna Bauer and Bauer spoke to James Thomas; Thomas left, Thomas Bauer stayed.", None, None, 0)])
+    text = P.pseudonymise(df).first().text
+    assert not {"Anna", "Bauer", "James", "Thomas"} & set(text.replace(".", " ").replace(",", " ").replace(";", " ").split())
+
+
+def test_national_phones():
+    for v in ["06 12 34 56 78", "06.12.34.56.78", "0612345678", "030 1234567", "(030) 1234567", "0171/2345678", "020 7946 0958", "07700 900123",
+              "612 345 678", "612 34 56 78", "91 234 56 78"]:
+        new = S.of("phone", v)[0]
+        assert spans(f"tel {v}, now") == [("phone", v)] and new != v and spans(new) == [("phone", new)], (v, new)
+    assert spans("01.02.2024 10:20, 01/02/2024 12 34, 2020-01-02, 0.12 345 678, 1 234 567, 05 06") == []
+    known = [f"06 {n:02d} 34 56 78" for n in range(100)] + [f"612 345 {n:03d}" for n in range(300)] + [f"555-010-{n:04d}" for n in range(300)]
+    assert len({"".join(S.of("phone", v)[0].split()) for v in known}) == len(known)
