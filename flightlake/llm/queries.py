@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from flightlake.llm.brown_lm import op10_brown_lm_scoring
+from flightlake.llm.centroids import OP13_SQL, op13_centroid_clustering
+from flightlake.llm.chat import OP11_SQL, op11_chat_formatting
 from flightlake.llm.decontam import OP9_SQL, op9_benchmark_decontamination
+from flightlake.llm.fim import OP12_SQL, op12_fill_in_middle
 from flightlake.llm.html_tree import op5_html_extraction
 from flightlake.llm.langid import op2_language_id
 from flightlake.llm.license_scan import OP1_SQL, op1_license_scans
@@ -24,10 +27,16 @@ QUERIES = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_brown_lm_scoring": op10_brown_lm_scoring,
+    "op11_chat_formatting": op11_chat_formatting,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 SQL = {
     "op1_license_scans": OP1_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
     "op7_quality_rules": OP7_SQL,
+    "op11_chat_formatting": OP11_SQL,
+    "op12_fill_in_middle": OP12_SQL,
+    "op13_centroid_clustering": OP13_SQL,
 }
