@@ -17,54 +17,55 @@ def training(i):
     return zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2
 
 
-def run(spark, df, **sizes):
-    train = df.filter(~B.held_out())
-    counts = B.landed(B.word_counts(train.select("text")), "words")
-    model = B.train(train, counts, **sizes)
-    return model, B.score(df, model, counts, {"doc_id": F.col("doc_id"), "held_out": B.held_out(), "text": F.col("text")})
+def run(df, held_words=B.HELD_WORDS, where=None, **sizes):
+    """The core model of ``df``'s training rows, and these rows as numbers."""
+    where = ~B.held_out() if where is None else where
+    learnt = df.filter(where).select(F.coalesce("text", F.lit("")).alias("text"))
+    words = B.vocabulary(B.landed(B.word_counts(learnt), "words"), learnt.count(), held_words)
+    ids = B.landed(B.numbered(learnt, words.held, {}), "numbered")
+    return B.train(ids, words, **sizes), ids
 
 
-def brute(data, model, n_words):
+def base_scores(data):
     count = Counter(w for r in data if training(r[0]) for w in tokens(r[1]))
     docs = sum(training(r[0]) for r in data)
     total, kinds = sum(count.values()) + docs, len(count) + 1
-    top = sorted(count, key=lambda w: (-count[w], w))[:n_words]
-    cls = dict(zip(top, model.cls, strict=False))
-    other, end = model.cls[-2:]
-    path = lambda t: [end, *(cls.get(w, other) for w in tokens(t)), end]
-    pair = Counter(p for r in data if training(r[0]) for p in zip(path(r[1]), path(r[1])[1:], strict=False))
-    before, after = Counter(), Counter()
-    for (g, h), n in pair.items():
-        before[g] += n
-        after[h] += n
-    size = Counter()
-    for w in top:
-        size[cls[w]] += count[w]
-    k = int(model.cls.max()) + 1
-    rest = sum(n for w, n in count.items() if w not in cls) + len(count) - len(top) + 1
 
     def score(text):
-        w, p = tokens(text), path(text)
+        w = tokens(text)
         base = sum(math.log10((count[x] + 1) / (total + kinds + 1)) for x in w) + math.log10((docs + 1) / (total + kinds + 1))
-        prior = lambda h: (after[h] + 1) / (sum(after.values()) + k)
-        s = sum(math.log10((pair[g, h] + B.PRIOR * prior(h)) / (before[g] + B.PRIOR)) for g, h in zip(p, p[1:], strict=False))
-        s += sum(math.log10(count[x] / size[cls[x]]) if x in cls else math.log10((count[x] + 1) / rest) for x in w)
-        return len(w) + 1, sum(count[x] > 0 for x in w) + 1, total, base, s
+        return len(w) + 1, sum(count[x] > 0 for x in w) + 1, total, base
 
     return score
 
 
-def test_scores_match_brute_force(spark):
+def test_texts_as_numbers_read_back(spark):
     data = rows(n=90)
-    model, out = run(spark, frame(spark, data, extra=True), class_words=40, classes=6, held_words=70)
-    score = brute(data, model, 40)
-    found = out.collect()
-    assert len(found) == len(data)
-    for r in found:
-        n, known, total, base, s = score(r.text)
-        assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (n, known, total, not training(r.doc_id))
-        assert np.isclose(r.base_score, base, rtol=1e-9) and np.isclose(r.score, s, rtol=1e-9)
-        assert np.isclose(r.perplexity, 10 ** (-s / n), rtol=1e-6)
+    count = Counter(w for r in data for w in tokens(r[1]))
+    held = sorted(count, key=lambda w: (-count[w], w))[:50]
+    out = B.numbered(frame(spark, data, extra=True), held, {"text": F.col("text")}).collect()
+    assert len(out) == len(data) and len({r.uid for r in out}) == len(data)
+    for r in out:
+        words = held + [w.encode() for w in r.words]
+        assert [words[i] for i in np.frombuffer(r.ids, "<i4")] == tokens(r.text) and not set(held) & set(words[50:])
+
+
+def test_core_counts_match_brute_force(spark):
+    data = rows(n=90)
+    model, _ = run(frame(spark, data, extra=True), class_words=40, classes=6, held_words=70)
+    count = Counter(w for r in data if training(r[0]) for w in tokens(r[1]))
+    top = sorted(count, key=lambda w: (-count[w], w))
+    assert model.words.held == top[:70] and list(model.words.counts) == [count[w] for w in top[:70]]
+    cls, (other, end) = dict(zip(top[:40], model.cls, strict=False)), model.cls[-2:]
+    pair = Counter()
+    for r in data:
+        if training(r[0]):
+            path = [end, *(cls.get(w, other) for w in tokens(r[1])), end]
+            pair.update(zip(path, path[1:], strict=False))
+    k = int(end) + 1
+    # Texts stand between ends: the end before a task's first text belongs to it.
+    assert [[pair[g, h] for h in range(k)] for g in range(k)] == model.between.astype(int).tolist()
+    assert list(model.weight[:6]) == [sum(count[w] for w in cls if cls[w] == g) for g in range(6)]
 
 
 def likelihood(pairs, cls):
@@ -96,15 +97,6 @@ def test_classes_help_on_held_out_text(spark):
     assert r[1] > r[0]
 
 
-def test_nothing_to_learn(spark):
-    none = frame(spark, [])
-    counts = B.landed(B.word_counts(none.select("text")), "words")
-    model = B.train(none, counts)
-    r = B.score(frame(spark, [(1, "a b", None, None, 0)]), model, counts, {"doc_id": F.col("doc_id")}).first()
-    assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0) and math.isfinite(r.score)
-    assert B.score(none, model, counts, {"doc_id": F.col("doc_id")}).count() == 0
-
-
 def test_best_class_of_a_word_outside_the_core():
     rng = np.random.default_rng(3)
     n, k, extra = 12, 3, 5
@@ -126,10 +118,10 @@ def test_every_training_word_has_a_class(spark):
     data = rows(n=90)
     df = frame(spark, data, extra=True)
     sizes = {"class_words": 40, "classes": 6, "held_words": 70}
-    core, _ = run(spark, df, **sizes)
-    rest = B.word_classes(df.filter(~B.held_out()).select(F.coalesce("text", F.lit("")).alias("text")), core).collect()
+    core, ids = run(df, **sizes)
+    rest = B.word_classes(ids, core).collect()
     count = Counter(w for r in data if training(r[0]) for w in tokens(r[1]))
-    cls = dict(zip(core.held, core.cls[:-2], strict=False)) | {r.word.encode(): r.cls for r in rest}
+    cls = dict(zip(core.words.held, core.cls[:-2], strict=False)) | {r.word.encode(): r.cls for r in rest}
     assert set(cls) == set(count) and len(rest) == len(count) - 40 and all(r.n == count[r.word.encode()] for r in rest)
     other, end = core.cls[-2:]
     assert len({r.cls for r in rest}) > 1 and all(c < other for c in cls.values())
@@ -149,12 +141,12 @@ def test_every_training_word_has_a_class(spark):
         size[cls[w]] += x
     k, once = int(end) + 1, sum(x == 1 for x in count.values())
     prior = lambda h: (after[h] + 1) / (sum(after.values()) + k)
-    brute_base = brute(data, core, 40)
+    brute_base = base_scores(data)
     carry = {"doc_id": F.col("doc_id"), "text": F.col("text")}
     found = B.score_all_words(df, ~B.held_out(), carry, **sizes).collect()
     assert len(found) == len(data)
     for r in found:
-        n, known, total, base, _ = brute_base(r.text)
+        n, known, total, base = brute_base(r.text)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total) and np.isclose(r.base_score, base, rtol=1e-9)
         p = path(r.text)
         s = sum(math.log10((pair[g, h] + B.PRIOR * prior(h)) / (before[g] + B.PRIOR)) for g, h in zip(p, p[1:], strict=False))
@@ -167,12 +159,13 @@ def test_words_of_one_kind_of_neighbours_share_a_class(spark):
     data = [(i, " ".join(["red cat", "runs far", "red dog", "runs far"] * 20), None, None, 0) for i in range(40) if training(i)]
     data += [(1000 + i, f"red cat runs far red beast{i} runs far red beast{i} runs far", None, None, 0) for i in range(30) if training(1000 + i)]
     df = frame(spark, data)
-    texts = df.select("text")
-    core = B.train(texts, B.landed(B.word_counts(texts), "words"), class_words=5, classes=3)
-    cls = dict(zip(core.held, core.cls[:5], strict=False))
-    assert {r.cls for r in B.word_classes(texts, core).collect()} == {cls[b"cat"]}
+    core, ids = run(df, where=F.lit(True), class_words=5, classes=3)
+    cls = dict(zip(core.words.held, core.cls[:5], strict=False))
+    assert {r.cls for r in B.word_classes(ids, core).collect()} == {cls[b"cat"]}
 
 
 def test_nothing_to_learn_in_any_class(spark):
+    none = frame(spark, [])
+    assert B.score_all_words(none, ~B.held_out(), {"doc_id": F.col("doc_id")}).count() == 0
     r = B.score_all_words(frame(spark, [(1, "a b", None, None, 0)]), F.lit(False), {"doc_id": F.col("doc_id")}).first()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0) and math.isfinite(r.score)
