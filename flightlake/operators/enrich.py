@@ -8,8 +8,11 @@ Result rows equal the OR join's: a type row reachable through both codes appears
 is skipped, an unmatched observation survives once with nulls, several type rows per designator
 multiply the observation.
 
-No function here runs a job, and every dimension side is a scan or an aggregate of one, so Spark can
-tell its size and broadcasts it when that is small; a large airframe table costs one shuffle on its key.
+A type is a property of the airframe. So when the dimensions are too large to broadcast, the types are looked
+up once for each airframe (:func:`typed_airframes`), and the observations, the far larger table, are shuffled once,
+on their key. Small dimensions are broadcast each by itself and the observations are not shuffled at all.
+
+No function here runs a job; sizes are the planner's own estimates.
 """
 
 from __future__ import annotations
@@ -59,10 +62,35 @@ def join_by_aircraft(observations: DataFrame, dim: DataFrame, row_id: str = "obs
     return left.join(right, ["icao24", "__part"], "left").drop("__part")
 
 
+def broadcastable(*frames: DataFrame) -> bool:
+    """Whether the planner would broadcast each of these: its estimate is within the session's threshold."""
+    conf = frames[0].sparkSession._jsparkSession.sessionState().conf()
+    size = lambda df: int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return all(size(df) <= conf.autoBroadcastJoinThreshold() for df in frames)
+
+
+def typed_airframes(airframes: DataFrame, models: DataFrame) -> DataFrame:
+    """Each airframe row with a key, once for each of its type rows (once with nulls if it has none): the
+    dimension that one join attaches to observations. Repeated airframe rows stay."""
+    known = airframes.select("icao24", "typecode", *ENRICHED_AIRFRAME_COLUMNS).filter(F.col("icao24").isNotNull())
+    return with_types(known, models, ENRICHED_TYPE_COLUMNS).drop("typecode", "Designator")
+
+
+def enrich_typed(states: DataFrame, typed: DataFrame) -> DataFrame:
+    """Enriched observations from :func:`typed_airframes`, lazy or read from where it was written: one join."""
+    return _derived(join_by_aircraft(states.select(*ENRICHED_OBSERVATION_COLUMNS), typed))
+
+
 def enrich(states: DataFrame, airframes: DataFrame, models: DataFrame) -> DataFrame:
     """Enriched observations: 17 observation columns, 5 airframe, 4 type, 2 derived."""
+    if not broadcastable(airframes, models):
+        return enrich_typed(states, typed_airframes(airframes, models))
     dim = airframes.select("icao24", "typecode", *ENRICHED_AIRFRAME_COLUMNS)
     joined = with_types(join_by_aircraft(states.select(*ENRICHED_OBSERVATION_COLUMNS), dim), models, ENRICHED_TYPE_COLUMNS)
+    return _derived(joined)
+
+
+def _derived(joined: DataFrame) -> DataFrame:
     return joined.select(
         *[c for c in ENRICHED_COLUMNS if c not in ("climb_rate_ratio", "altitude_km")],
         climb_rate_ratio().alias("climb_rate_ratio"),

@@ -479,6 +479,8 @@ ORDER BY {STABLE_FRACTION.format(key="obs_id")}, obs_id LIMIT 5000""")
 
 SQL["csv_enrich"] = SQL["enrich"]
 
+SQL["typed_enrichment"] = SQL["enrich"]
+
 SQL["api_snapshots"] = with_roles("""
 SELECT CASE WHEN squawk <> '0007' THEN origin_country END AS origin_country, squawk = '0007' AS malformed, count(*) AS n,
        count(CASE WHEN squawk <> '0007' THEN velocity END) AS n_velocity,
@@ -487,9 +489,10 @@ SELECT CASE WHEN squawk <> '0007' THEN origin_country END AS origin_country, squ
 FROM states GROUP BY 1, 2""")
 
 SQL["window_files"] = with_roles("""
-SELECT obs_id, icao24, velocity, time_position, window_start, window_end, date,
-       (SELECT count(*) FROM states WHERE window_end >= (SELECT max(window_end) - 180 FROM states)) AS rows_in_all_files
-FROM states WHERE window_end = (SELECT max(window_end) FROM states)""")
+, hourly AS (SELECT * REPLACE (snapshot_ts - snapshot_ts % 3600 AS window_start, snapshot_ts - snapshot_ts % 3600 + 3600 AS window_end) FROM states)
+SELECT obs_id, icao24, velocity, time_position, window_start, window_end, CAST(year(make_timestamp(window_end * 1000000)) AS INTEGER) AS date,
+       (SELECT count(DISTINCT window_end) FROM hourly) AS window_files, (SELECT count(*) FROM hourly) AS rows_in_all_files
+FROM hourly WHERE window_end = (SELECT max(window_end) FROM hourly)""")
 
 # A late row is dropped if its window ends at or before the watermark of the batch before its own, which is
 # the greatest time of the batches before that one, less the grace.

@@ -49,6 +49,15 @@ def q_enrich(spark, sf_dir):
     return enriched(spark, sf_dir)
 
 
+@register("typed_enrichment")
+def q_typed_enrichment(spark, sf_dir):
+    """Enrichment from a written dimension that holds every airframe with its types: one join of the events."""
+    st, af, md = _dims(spark, sf_dir)
+    path = shared_path(spark, "typed-airframes")
+    wf.write_table(en.typed_airframes(af, md), path)
+    return en.enrich_typed(st, spark.read.parquet(path))
+
+
 @register("enrich_coverage")
 def q_enrich_coverage(spark, sf_dir):
     return en.coverage_parity(*_dims(spark, sf_dir))
@@ -212,15 +221,19 @@ def q_api_snapshots(spark, sf_dir):
         F.max("snapshot_ts").alias("stamp"), F.max(F.unix_seconds("broker_time")).alias("broker_seconds"))
 
 
+FILE_WINDOW_SECONDS = 3600  # a window file for each hour of the events: a window of 3 minutes holds hardly a row
+
+
 @register("window_files")
 def q_window_files(spark, sf_dir):
-    """The two newest windows written as window files; the newest file found by name and loaded."""
+    """Every window written as window files with one write; the newest file found by name and loaded, and all
+    files scanned for their rows."""
     root = shared_path(spark, "window-files")
-    st = roles.recent_states(spark, sf_dir, 2 * roles.WINDOW_SECONDS)
-    for r in st.select("window_end").distinct().orderBy(F.desc("window_end")).limit(2).collect():
-        wf.write_window(st.filter(F.col("window_end") == r["window_end"]).drop("date"), root, r["window_end"])
+    st = roles.states_from_events(roles.read_table(spark, sf_dir, "events"), FILE_WINDOW_SECONDS)
+    written = wf.write_windows(st.drop("date"), root)
     newest = wf.observations_from_window_files(wf.load_window_file(spark, root, wf.latest_window_path(spark, root)))
     return newest.select("obs_id", "icao24", "velocity", "time_position", "window_start", "window_end", "date",
+                         F.lit(written).cast("long").alias("window_files"),
                          F.lit(wf.scan_window_files(spark, root).count()).cast("long").alias("rows_in_all_files"))
 
 

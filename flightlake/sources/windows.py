@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import fnmatch
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flightlake.functions.scalar import epoch_to_timestamp_ntz
 from flightlake.schemas import AIRCRAFT_TYPE, AIRFRAME
 
 WINDOW_FILE_GLOB = "window_raw_*.parquet"
@@ -40,6 +42,40 @@ def write_window(rows: DataFrame, root: str, window_end: int) -> str:
     return path
 
 
+def write_windows(rows: DataFrame, root: str) -> int:
+    """Write rows of any number of windows (column ``window_end``, epoch seconds) as window files, in one job.
+
+    One partitioned write lands all windows in a staging folder beside the layout; then each window's folder is
+    moved to its place, which moves no data, and replaces the window that stood there. Rows are dealt by window,
+    and Spark splits a window that is much larger than others and joins small ones (a rebalance), so a window has
+    few files and no task a whole large window. Rows without a window end have no file: they are an error.
+    Returns the number of windows written.
+    """
+    spark, root = rows.sparkSession, root.rstrip("/")
+    staging = f"{root}/_staging-{uuid.uuid4().hex}"
+    stamp = F.when(F.col("window_end").isNull(), F.raise_error(F.lit("a row without window_end"))).otherwise(epoch_to_timestamp_ntz("window_end"))
+    keyed = rows.withColumn("__day", F.date_format(stamp, "yyyy-MM-dd")).withColumn("__file", F.date_format(stamp, "yyyyMMdd'T'HHmmss"))
+    keyed.hint("rebalance", "__file").write.partitionBy("__day", "__file").parquet(staging)
+
+    fs, base = _path(spark, staging)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+    def place(day: str, name: str) -> None:
+        to = path(f"{root}/date={day.replace('-', '/')}/window_raw_{name}.parquet")
+        fs.mkdirs(to.getParent())
+        if fs.exists(to):
+            fs.delete(to, True)
+        if not fs.rename(path(f"{staging}/__day={day}/__file={name}"), to):
+            raise OSError(f"could not move window {name} to {to}")
+
+    found = [(d.split("=", 1)[1], f.split("=", 1)[1]) for d in _list(spark, staging) if d.startswith("__day=")
+             for f in _list(spark, f"{staging}/{d}") if f.startswith("__file=")]
+    for day, name in sorted(found):
+        place(day, name)
+    fs.delete(base, True)
+    return len(found)
+
+
 def scan_window_files(spark: SparkSession, root: str, schema=None) -> DataFrame:
     """All window files under ``root`` (``date=YYYY/MM/DD/window_raw_*.parquet`` layout; single files and
     folders of part files alike).
@@ -116,12 +152,13 @@ def observations_from_window_files(df: DataFrame) -> DataFrame:
     return out
 
 
-def read_csv_columns(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_columns(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
     """The columns of ``schema`` from CSV files with a header, found by name: their order and further
     columns do not matter, a missing one is an error. Read as text and cast; quoted fields may hold
-    separators, line ends and doubled quotes. An empty field is null."""
+    separators and doubled quotes. An empty field is null. ``multiline``: quoted fields may hold line ends too;
+    then a file cannot be split and is read by one task."""
     raw = (spark.read.option("header", True).option("inferSchema", False).option("quote", '"').option("escape", '"')
-           .option("multiLine", True).option("ignoreLeadingWhiteSpace", False).csv(path))
+           .option("multiLine", multiline).option("ignoreLeadingWhiteSpace", False).csv(path))
     found = {c.strip().lstrip("\ufeff").lower(): c for c in raw.columns}
     missing = [f.name for f in schema.fields if f.name.lower() not in found]
     if missing:
@@ -129,12 +166,12 @@ def read_csv_columns(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return raw.select(*[F.col(f"`{found[f.name.lower()]}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_airframes_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv_columns(spark, path, AIRFRAME)
+def read_airframes_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    return read_csv_columns(spark, path, AIRFRAME, multiline)
 
 
-def read_models_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv_columns(spark, path, AIRCRAFT_TYPE)
+def read_models_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    return read_csv_columns(spark, path, AIRCRAFT_TYPE, multiline)
 
 
 def write_table(df: DataFrame, path: str, partition_cols=None, spread: bool = False) -> None:

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from flightlake.functions.scalar import age_minutes, epoch_to_timestamp_ntz, is_present_key
 from flightlake.schemas import OBSERVATION
 from flightlake.sources import snapshots
-from flightlake.sources.windows import path_exists, write_window
+from flightlake.sources.windows import path_exists, write_windows
 
 # ---- fixed values (must equal the reference's stream settings) ----
 WINDOW = "3 minutes"      # tumbling window length
@@ -101,8 +101,8 @@ def window_sink(out_root: str, on_closed: Callable[[DataFrame, int], None] | Non
     (no duplicate, no loss). Inside a batch, rows are partitioned by the window's UTC date and sorted by
     its end, so a reader of one window skips the row groups of the others. The summary is made from the written rows.
     ``on_closed(summary, epoch_id)`` runs after both writes, on the written summary (e.g. a log
-    line, or a downstream refresh). With ``files_root`` each closed window is also written there in the
-    window-file layout; a live stream closes a window or two in a batch.
+    line, or a downstream refresh). With ``files_root`` all closed windows are also written there in the
+    window-file layout, with one write for the batch however many windows it closes.
     """
     out_root = out_root.rstrip("/")
 
@@ -115,9 +115,7 @@ def window_sink(out_root: str, on_closed: Callable[[DataFrame, int], None] | Non
         window_summary(rows).write.mode("overwrite").parquet(summary_path)
         summary = spark.read.schema(SUMMARY_SCHEMA).parquet(summary_path)
         if files_root is not None:
-            for r in summary.select("window_date", "window_end").orderBy("window_end").collect():
-                here = (F.col("window_date") == r["window_date"]) & (F.col("window_end") == r["window_end"])
-                write_window(rows.filter(here).drop("window_date"), files_root, r["window_end"])
+            write_windows(rows.drop("window_date"), files_root)
         if on_closed is not None:
             on_closed(summary, epoch_id)
 

@@ -132,3 +132,39 @@ def test_empty_input(spark):
     o = obs(spark, []).filter(F.lit(False))
     e = en.enrich(o, af(spark, [("a", "X", None)]), md(spark, [("X", "x1")]))
     assert e.count() == 0 and e.columns == ENRICHED_COLUMNS
+
+
+def test_large_dimensions_shuffle_the_observations_once(spark):
+    """Beyond the broadcast threshold the types are looked up per airframe, and the events move once."""
+    from conftest import SF001
+    from flightlake.plans import roles
+    st, a, m = roles.states(spark, SF001), roles.airframes(spark, SF001), roles.models(spark, SF001)
+    whole = en.enrich(st, a, m)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = en.enrich(st, a, m)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "FileScan parquet" in line and "event_id" in line)
+        depth = lambda line: len(line) - len(line.lstrip(" :+-|"))
+        above, at = [], depth(lines[scan])
+        for line in reversed(lines[:scan]):  # the operators between the events and the result
+            if depth(line) < at:
+                at = depth(line)
+                above.append(line)
+        assert sum("Exchange" in line for line in above) == 1, plan
+        assert sum("Join" in line for line in above) == 1, plan
+        assert df.exceptAll(whole).count() == 0 and df.count() == whole.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_types_of_airframes_keep_repeats(spark):
+    a = af(spark, [("a", "X", "X"), ("a", "X", "Y"), ("b", None, None), (None, "X", None), ("", "Y", None)])
+    m = md(spark, [("X", "x1"), ("X", "x2"), ("Y", "y1"), (None, "n")])
+    typed = en.typed_airframes(a, m)
+    got = sorted((r.icao24, r.ModelFullName or "") for r in typed.collect())
+    assert got == [("", "y1"), ("a", "x1"), ("a", "x1"), ("a", "x2"), ("a", "x2"), ("a", "y1"), ("b", "")]
+    o = obs(spark, ["a", "b", "", None, "zz"])
+    assert names(en.enrich_typed(o, typed)) == names(direct_or_join(o, a, m))

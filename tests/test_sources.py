@@ -81,7 +81,7 @@ def test_csv_dimensions_by_header_name(spark, tmpdir_path):
     with open(p, "w") as fh:
         fh.write("ICAO24,registration,manufacturer,model,typecode,operatoricao,operator,icaoaircrafttype\n"
                  '00abc1,N1,"Boeing, ""Co""\nInc",M,B738,OPI,,L2J\n')
-    rows = windows.read_airframes_csv(spark, p).collect()
+    rows = windows.read_airframes_csv(spark, p, multiline=True).collect()
     assert len(rows) == 1
     r = rows[0]
     assert (r.icao24, r.registration, r.model, r.typecode, r.icaoaircrafttype, r.operator, r.operatoricao) == (
@@ -165,3 +165,25 @@ def test_malformed_lines_kept_in_corrupt_column(spark, tmpdir_path):
     rows = snapshots.read_snapshots(spark, p).cache()
     bad = rows.filter(F.col("_corrupt_record").isNotNull()).collect()
     assert rows.count() == 2 and len(bad) == 1 and bad[0].icao24 is None
+
+
+def test_all_windows_in_one_write(spark, tmpdir_path):
+    """Each window stands in its own file; a window written again replaces itself and no other."""
+    from pyspark.sql import functions as F
+    from flightlake.plans import roles
+    st = roles.states_from_events(spark.read.parquet(f"{SF001}/events.parquet"), 12 * 3600).drop("date")
+    ends = sorted(r[0] for r in st.select("window_end").distinct().collect())
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("all windows", "")
+    assert windows.write_windows(st, tmpdir_path) == len(ends)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs.getJobIdsForGroup("all windows")) <= 4  # not one for each of the windows
+    back = windows.scan_window_files(spark, tmpdir_path)
+    assert back.drop("date").exceptAll(st).count() == 0 and back.count() == st.count()
+    one = windows.load_window_file(spark, tmpdir_path, windows.latest_window_path(spark, tmpdir_path))
+    assert {r[0] for r in one.select("window_end").distinct().collect()} == {ends[-1]}
+    windows.write_windows(st.filter(F.col("window_end") == ends[0]).limit(1), tmpdir_path)
+    again = windows.scan_window_files(spark, tmpdir_path)
+    assert again.count() == st.filter(F.col("window_end") != ends[0]).count() + 1
+    assert windows.write_windows(st.limit(0), tmpdir_path) == 0
+    assert not [n for n in os.listdir(tmpdir_path) if n.startswith("_staging")]
