@@ -54,9 +54,10 @@ def previous_reading(df: DataFrame, key: str, ts: str, tiebreak: str, cols: list
 
 def flag_anomalies(states: DataFrame, max_acceleration: float = MAX_ACCELERATION,
                    max_altitude_rate: float = MAX_ALTITUDE_RATE, max_vertical_rate: float = MAX_VERTICAL_RATE,
-                   max_climb_ratio: float = MAX_CLIMB_RATIO, chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
-    """Every observation with the three boolean flags (never null)."""
-    base = states.select("obs_id", "icao24", "snapshot_ts", "velocity", "baro_altitude", "vertical_rate")
+                   max_climb_ratio: float = MAX_CLIMB_RATIO, chunk_seconds: int = CHUNK_SECONDS,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every observation with the three boolean flags (never null); ``keep`` names further columns to carry."""
+    base = states.select("obs_id", "icao24", "snapshot_ts", "velocity", "baro_altitude", "vertical_rate", *keep)
     d = previous_reading(base, "icao24", "snapshot_ts", "obs_id", ["velocity", "baro_altitude"], chunk_seconds)
     dt = (F.col("snapshot_ts") - F.col("prev_snapshot_ts")).cast("double")
     ok_dt = dt.isNotNull() & (dt > 0)
@@ -69,7 +70,7 @@ def flag_anomalies(states: DataFrame, max_acceleration: float = MAX_ACCELERATION
         dt.cast("long").alias("dt_seconds"),
         F.coalesce(sudden, F.lit(False)).alias("sudden_velocity_anomaly"),
         F.coalesce(climb, F.lit(False)).alias("unrealistic_climb_anomaly"),
-        F.coalesce(jump, F.lit(False)).alias("altitude_jump_anomaly"),
+        F.coalesce(jump, F.lit(False)).alias("altitude_jump_anomaly"), *keep,
     )
 
 

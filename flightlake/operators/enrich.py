@@ -103,7 +103,11 @@ def _per_key(states: DataFrame, airframes: DataFrame, models: DataFrame) -> Data
     these have an airframe (``m_airframe``) and a type (``m_type``). Only counts are shuffled."""
     n = states.groupBy("icao24").agg(F.count(F.lit(1)).alias("n"))
     known = airframes.select("icao24", "typecode", "icaoaircrafttype").filter(F.col("icao24").isNotNull())
-    dim = (with_types(known, models, []).groupBy("icao24")
+    return _with_multiplicity(n, with_types(known, models, []))
+
+
+def _with_multiplicity(n: DataFrame, typed: DataFrame) -> DataFrame:
+    dim = (typed.groupBy("icao24")
            .agg(F.count(F.lit(1)).alias("m_airframe"), F.count("Designator").alias("m_type")))
     j = n.join(dim, "icao24", "left")
     return j.select("icao24", "n", F.coalesce("m_airframe", F.lit(1)).alias("m"),
@@ -126,7 +130,16 @@ def coverage_parity(states: DataFrame, airframes: DataFrame, models: DataFrame)
 def coverage_distinct(states: DataFrame, airframes: DataFrame, models: DataFrame) -> DataFrame:
     """Corrected coverage on un-multiplied observations [ours]: each observation row counted once.
     Having an airframe or a type is a property of the key, so the fact table is only counted by key."""
-    k = _per_key(states, airframes, models)
+    return _coverage(_per_key(states, airframes, models))
+
+
+def coverage_of_counts(counts: DataFrame, typed: DataFrame) -> DataFrame:
+    """As :func:`coverage_distinct`, from observations counted by key (``icao24``, ``n``) and the airframes with
+    their types (``icao24``, ``Designator``)."""
+    return _coverage(_with_multiplicity(counts, typed))
+
+
+def _coverage(k: DataFrame) -> DataFrame:
     having = lambda c: F.coalesce(F.sum(F.when(F.col(c) > 0, F.col("n"))), F.lit(0))
     agg = k.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),

@@ -153,8 +153,13 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
     A constant column gives one bin holding every row.
     """
+    return weighted_histogram(df.select(col, F.lit(1).cast("long").alias("__one")), col, "__one", bins)
+
+
+def weighted_histogram(df: DataFrame, col: str, weight: str, bins: int = 30) -> DataFrame:
+    """As :func:`histogram`, of values that each stand for ``weight`` rows."""
     spark = df.sparkSession
-    vals = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    vals = df.select(F.col(col).alias("v"), F.col(weight).alias("w")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     row = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
     lo, hi = row["lo"], row["hi"]
     schema = "bin int, bin_lo double, bin_hi double, n long"
@@ -162,10 +167,10 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
         return spark.createDataFrame([], schema)
     if lo == hi:
         return vals.agg(F.lit(0).alias("bin"), F.lit(lo).alias("bin_lo"), F.lit(hi).alias("bin_hi"),
-                        F.count(F.lit(1)).alias("n"))
+                        F.sum("w").alias("n"))
     width = F.lit(hi) - F.lit(lo)
     b = F.least(F.floor((F.col("v") - F.lit(lo)) / width * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
-    counts = vals.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = vals.select(b.alias("bin"), "w").groupBy("bin").agg(F.sum("w").alias("n"))
     dim = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     # at most ``bins`` count rows: broadcast them, keep every bin of the dimension
     return (F.broadcast(counts).join(dim, "bin", "right").select(
@@ -221,7 +226,11 @@ def category_profile(enriched: DataFrame) -> DataFrame:
 def category_radar(enriched: DataFrame, k: int = 4) -> DataFrame:
     """Top-``k`` descriptions by distinct aircraft, each metric min-max scaled across them
     (constant metric -> 0.5), in long form with the angle of each axis and the closing point."""
-    prof = category_profile(enriched).withColumn("aircraft_count", F.col("aircraft_count").cast("double"))
+    return radar_of_profile(category_profile(enriched), k)
+
+
+def radar_of_profile(profile: DataFrame, k: int = 4) -> DataFrame:
+    prof = profile.withColumn("aircraft_count", F.col("aircraft_count").cast("double"))
     top = prof.orderBy(F.desc("aircraft_count"), "Description").limit(k)
     w = Window.partitionBy(F.lit(0))  # at most k rows (k from the limit above)
     scaled = top

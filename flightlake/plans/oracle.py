@@ -550,3 +550,28 @@ SELECT * FROM complete WHERE Description IN (
     "statistical_anomalies": SQL["peer_anomalies"],
     "position_density": SQL["density_grid"],
 })
+
+
+def _totals(sums: dict[str, tuple[str, str]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS output, rows, total FROM (SELECT count(*) AS rows, CAST(sum({what}) AS BIGINT) AS total FROM ({sql}) AS counted)"
+        for name, (sql, what) in sums.items())
+
+
+SQL["incremental_refresh"] = _totals({
+    "enriched_aircraft_states": (SQL["enrich"], "obs_id"),
+    "flagged_anomalies": (SQL["flagged_anomalies"], "obs_id"),
+    "latest_window": (SQL["latest_window"], "obs_id"),
+    "coverage": (SQL["enrich_coverage_distinct"], "n_with_type"),
+    "altitude_band_counts": (SQL["altitude_band_counts"], "n * (alt_band_order + 1)"),
+    "vertical_status": (SQL["vertical_status"], "n_rows * (status_order + 1) + n_aircraft"),
+    "speed_histogram": (SQL["speed_histogram"], "n * (bin + 1)"),
+    "category_profile": (SQL["category_profile"], "aircraft_count"),
+    "category_radar": (SQL["category_radar"], "point"),
+})
+
+SQL["replaced_table"] = with_roles("""
+, early AS (SELECT count(DISTINCT window_end) AS windows, count(*) AS observations FROM states WHERE obs_id % 2 = 0)
+SELECT 'first version' AS step, windows, observations FROM early
+UNION ALL SELECT 'a write that was given up', windows, observations FROM early
+UNION ALL SELECT 'second version', count(DISTINCT window_end), count(*) FROM states""")

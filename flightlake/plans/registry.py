@@ -6,6 +6,7 @@ Every query reads the whole driver tables through the role views (``flightlake.p
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,14 @@ from flightlake.operators import enrich as en
 from flightlake.operators import iforest as isf
 from flightlake.operators import profiles as pf
 from flightlake.operators import quantile as qt
+from flightlake.plans import incremental as inc
 from flightlake.plans import refresh as rf
 from flightlake.plans import roles
 from flightlake.schemas import API_RENAMES
 from flightlake.session import shared_path
 from flightlake.sources import catalog as cat
 from flightlake.sources import snapshots as snap
+from flightlake.sources import versions as vs
 from flightlake.sources import windows as wf
 from flightlake.streaming import windows as sw
 
@@ -365,6 +368,48 @@ def q_full_refresh(spark, sf_dir):
     return rf.refresh(spark, st, af, md, shared_path(spark, "refresh"))
 
 
+REFRESH_RUNS = 3
+
+
+def run_incremental(spark, sf_dir, root, runs=REFRESH_RUNS):
+    """Closed windows taken in ``runs`` refreshes, each of which sees the history up to then."""
+    st, af, md = _dims(spark, sf_dir)
+    lo, hi = st.agg(F.min("window_end"), F.max("window_end")).first()
+    for i in range(1, runs + 1):
+        inc.refresh_new_windows(spark, st.filter(F.col("window_end") <= F.lit(lo + (hi - lo) * i // runs)), af, md, root)
+    return root
+
+
+@register("incremental_refresh")
+def q_incremental_refresh(spark, sf_dir):
+    """Every output of the incremental refresh after several runs: rows and a sum over its numbers."""
+    root = run_incremental(spark, sf_dir, shared_path(spark, "incremental"))
+    total = {"enriched_aircraft_states": "obs_id", "flagged_anomalies": "obs_id", "latest_window": "obs_id", "coverage": "n_with_type",
+             "altitude_band_counts": "n * (alt_band_order + 1)", "vertical_status": "n_rows * (status_order + 1) + n_aircraft",
+             "speed_histogram": "n * (bin + 1)", "category_profile": "aircraft_count", "category_radar": "point"}
+    parts = [inc.read_output(spark, root, name).agg(F.count(F.lit(1)).alias("rows"), F.expr(f"CAST(sum({what}) AS BIGINT)").alias("total"))
+             .select(F.lit(name).alias("output"), "rows", "total") for name, what in total.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("replaced_table")
+def q_replaced_table(spark, sf_dir):
+    """The window summary published twice, with a write between that fails before its commit: what readers saw
+    before, during and after."""
+    root, st = shared_path(spark, "replaced"), roles.states(spark, sf_dir)
+    early = st.filter(F.col("obs_id") % 2 == 0)
+    summary = lambda rows: rows.groupBy("window_end").agg(F.count(F.lit(1)).alias("n_obs"))
+    seen = lambda step: vs.read_table(spark, root).agg(F.count(F.lit(1)).alias("windows"), F.sum("n_obs").alias("observations")).select(
+        F.lit(step).alias("step"), "windows", "observations")
+    vs.replace_table(summary(early), root)
+    before = seen("first version")
+    lost = vs.begin(spark, root)
+    summary(st).limit(1).write.parquet(lost.folder)  # written, never committed
+    during = seen("a write that was given up")
+    vs.replace_table(summary(st), root)
+    return before.unionByName(during).unionByName(seen("second version"))
+
+
 @register("enriched_sample")
 def q_enriched_sample(spark, sf_dir):
     """The analysis sample: first 10,000 enriched rows in a total order (obs_id, type name)."""
