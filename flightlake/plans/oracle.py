@@ -494,24 +494,50 @@ SELECT obs_id, icao24, velocity, time_position, window_start, window_end, CAST(y
        (SELECT count(DISTINCT window_end) FROM hourly) AS window_files, (SELECT count(*) FROM hourly) AS rows_in_all_files
 FROM hourly WHERE window_end = (SELECT max(window_end) FROM hourly)""")
 
-# A late row is dropped if its window ends at or before the watermark of the batch before its own, which is
-# the greatest time of the batches before that one, less the grace.
-SQL["stream_batches"] = with_roles("""
+# Parts of the time range arrive one after another, every 50th row one part too late. A late row is dropped if
+# its window ends at or before the watermark, the greatest time of the parts before its own less the grace.
+def _kept(parts: int, recent: str = "true") -> str:
+    return f"""
 , span AS (SELECT min(snapshot_ts) AS lo, max(snapshot_ts) AS hi FROM states),
 landed AS (
-  SELECT states.*, least((snapshot_ts - lo) * 6 // (hi - lo + 1) + CASE WHEN obs_id % 50 = 0 THEN 1 ELSE 0 END, 6) AS part
-  FROM states, span WHERE CAST(hi - snapshot_ts AS DOUBLE) / 60.0 < CAST(hi - lo AS DOUBLE) * 0.8::DOUBLE / 60.0
+  SELECT states.*, least((snapshot_ts - lo) * {parts} // (hi - lo + 1) + CASE WHEN obs_id % 50 = 0 THEN 1 ELSE 0 END, {parts}) AS part
+  FROM states, span WHERE {recent}
 ), marks AS (
-  SELECT range AS part, (SELECT max(snapshot_ts) - 10 FROM landed WHERE landed.part <= range - 2) AS mark FROM range(7)
+  SELECT range AS part, (SELECT max(snapshot_ts) - 10 FROM landed WHERE landed.part < range) AS mark FROM range({parts + 1})
 ), kept AS (
   SELECT landed.* FROM landed JOIN marks USING (part)
   WHERE (mark IS NULL OR window_end > mark) AND window_end <= (SELECT hi - 10 FROM span)
-)
+)"""
+
+
+SQL["stream_batches"] = with_roles(_kept(6, "CAST(hi - snapshot_ts AS DOUBLE) / 60.0 < CAST(hi - lo AS DOUBLE) * 0.8::DOUBLE / 60.0") + """
 SELECT 'raw' AS output, count(*) AS n FROM kept
 UNION ALL SELECT 'windows', count(DISTINCT window_end) FROM kept
 UNION ALL SELECT 'observations', count(*) FROM kept
 UNION ALL SELECT 'rejects', 7""")
 
+SQL["stream_sealed_windows"] = with_roles(_kept(6) + """
+SELECT obs_id, icao24, snapshot_ts, velocity, window_start, window_end FROM kept""")
+
+SQL["stream_resume"] = with_roles(_kept(2) + """
+SELECT obs_id, icao24, snapshot_ts, window_start, window_end FROM kept""")
+
+SQL["stream_callback"] = with_roles(_kept(2) + """
+SELECT kept.window_end, count(DISTINCT kept.obs_id) AS n_obs,
+       count(DISTINCT CASE WHEN kept.icao24 <> '' THEN kept.icao24 END) AS unique_aircraft, count(*) AS n_enriched, 1 AS n_acted
+FROM kept JOIN enriched USING (obs_id) GROUP BY kept.window_end""", enriched=True)
+
+SQL["stream_arrival_windows"] = with_roles("""
+, came AS (SELECT *, snapshot_ts + (obs_id * 37) % 240 AS arrived FROM states),
+placed AS (SELECT *, arrived - arrived % 180 AS arrival_window FROM came)
+SELECT arrival_window AS window_start, count(*) AS n_obs, count(DISTINCT CASE WHEN icao24 <> '' THEN icao24 END) AS unique_aircraft,
+       count(CASE WHEN window_start < arrival_window THEN 1 END) AS n_polled_before
+FROM placed WHERE arrival_window + 180 <= (SELECT max(arrived) - 10 FROM came) GROUP BY arrival_window""")
+
+SQL["stream_metrics"] = with_roles(_kept(2) + """
+SELECT part, count(landed.obs_id) + 1 AS n_records, 1 AS n_malformed, 0 AS n_unstamped, max(snapshot_ts) AS newest
+FROM marks LEFT JOIN landed USING (part) GROUP BY part""")
+
 
 def _outputs(counts: dict[str, str]) -> str:
     return "\nUNION ALL\n".join(f"SELECT '{name}' AS output, (SELECT count(*) FROM ({sql}) AS counted) AS rows" for name, sql in counts.items())

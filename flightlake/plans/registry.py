@@ -8,7 +8,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flightlake.functions import scalar as fx
@@ -27,6 +28,7 @@ from flightlake.sources import catalog as cat
 from flightlake.sources import snapshots as snap
 from flightlake.sources import versions as vs
 from flightlake.sources import windows as wf
+from flightlake.streaming import sealed as sl
 from flightlake.streaming import windows as sw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -320,25 +322,58 @@ def q_stream_windows(spark, sf_dir):
 STREAM_BATCHES = 6
 
 
-def run_batched_stream(spark, sf_dir):
-    """The window job over several micro-batches. The time range is cut into equal parts, one landed file each;
-    every 50th observation is landed one part too late, and each file holds a malformed line. The recency filter
-    drops the oldest fifth of the range. Returns the written (raw, summary) tables and the rejects."""
-    root = shared_path(spark, "batched-stream")
-    st = roles.states(spark, sf_dir)
+def staged_parts(spark, rows: DataFrame, root: str, parts: int) -> None:
+    """Encoded records staged in one write, a folder of files from every task for each part (column ``part``);
+    each part holds a malformed line too."""
+    text = snap.encode_records(rows, keep=("part",))
+    bad = spark.range(parts).select(F.lit('{"icao24": cut').alias("value"), F.col("id").cast("int").alias("part"))
+    text.unionByName(bad).write.partitionBy("part").text(f"{root}/staged")
+
+
+def arrive(spark, root: str, part: int) -> str:
+    """The part's files are moved to where the stream looks for new ones."""
+    fs, landed = wf._path(spark, f"{root}/landed")
+    fs.mkdirs(landed)
+    fs.rename(wf._path(spark, f"{root}/staged/part={part}")[1], wf._path(spark, f"{root}/landed/part-{part:04d}")[1])
+    return f"{root}/landed"
+
+
+def timed_parts(st: DataFrame, parts: int):
+    """Observations with the part of the time range in which they are landed, every 50th one part too late;
+    the first and last stamp."""
     lo, hi = st.agg(F.min("snapshot_ts"), F.max("snapshot_ts")).first()
-    part = F.floor((F.col("snapshot_ts") - F.lit(lo)) * F.lit(STREAM_BATCHES) / F.lit(hi - lo + 1))
+    part = F.floor((F.col("snapshot_ts") - F.lit(lo)) * F.lit(parts) / F.lit(hi - lo + 1))
     late = F.when(F.col("obs_id") % 50 == 0, 1).otherwise(0)
-    rows = st.withColumn("part", F.least(part + late, F.lit(STREAM_BATCHES)).cast("int")).select("part", *sw.RAW_COLUMNS)
-    for p in range(STREAM_BATCHES + 1):
-        text = snap.encode_records(rows.filter(F.col("part") == p).drop("part"))
-        bad = text.sparkSession.range(1).select(F.lit('{"icao24": cut').alias("value"))
-        text.unionByName(bad).coalesce(1).write.mode("append").text(f"{root}/landed")
-    source = lambda: snap.read_snapshots(spark, f"{root}/landed", stream=True, max_files_per_trigger=1)
-    jobs = [sw.start_window_job(spark, source(), f"{root}/out", f"{root}/checkpoint", max_age_minutes=(hi - lo) * 0.8 / 60.0, now=hi),
-            sw.start_rejects_job(source(), f"{root}/rejects", f"{root}/checkpoint-rejects")]
-    for job in jobs:
-        job.awaitTermination()
+    return st.withColumn("part", F.least(part + late, F.lit(parts)).cast("int")).select("part", *sw.RAW_COLUMNS), lo, hi
+
+
+def run_parts(spark, sf_dir, name, start, parts=STREAM_BATCHES):
+    """Part after part arrives, and ``start(source, root, lo, hi)`` starts a job that takes what is new and ends; one
+    that fails is started again. Each run goes on from the checkpoint of the one before. Returns the folder."""
+    root = shared_path(spark, name)
+    rows, lo, hi = timed_parts(roles.states(spark, sf_dir), parts)
+    staged_parts(spark, rows, root, parts + 1)
+    for part in range(parts + 1):
+        landed = arrive(spark, root, part)
+        for attempt in range(3):
+            job = start(snap.read_snapshots(spark, landed, stream=True, recursive=True), root, lo, hi)
+            try:
+                job.awaitTermination()
+                break
+            except StreamingQueryException:
+                if attempt == 2:
+                    raise
+    return root
+
+
+def run_batched_stream(spark, sf_dir):
+    """The window job over parts that arrive one after another, late rows and malformed lines among them. The
+    recency filter drops the oldest fifth of the range. Returns the written (raw, summary) tables and the rejects."""
+    start = lambda source, root, lo, hi: sw.start_window_job(
+        spark, source, f"{root}/out", f"{root}/checkpoint", max_age_minutes=(hi - lo) * 0.8 / 60.0, now=hi)
+    root = run_parts(spark, sf_dir, "batched-stream", start)
+    landed = snap.read_snapshots(spark, f"{root}/landed", stream=True, recursive=True)
+    sw.start_rejects_job(landed, f"{root}/rejects", f"{root}/checkpoint-rejects").awaitTermination()
     return *sw.read_window_outputs(spark, f"{root}/out"), spark.read.parquet(f"{root}/rejects")
 
 
@@ -352,6 +387,103 @@ def q_stream_batches(spark, sf_dir):
         totals.select(F.lit("rejects").alias("output"), F.col("n_rejected").alias("n")))
 
 
+@register("stream_sealed_windows")
+def q_stream_sealed_windows(spark, sf_dir):
+    """Rows of sealed windows: appended as they arrive, late ones kept apart, no rows in any state."""
+    start = lambda source, root, lo, hi: sl.start_sealing_job(source, f"{root}/out", f"{root}/checkpoint")
+    root = run_parts(spark, sf_dir, "sealed-stream", start)
+    return sl.read_sealed(spark, f"{root}/out").select("obs_id", "icao24", "snapshot_ts", "velocity", "window_start", "window_end")
+
+
+RESUMED_PARTS = 2
+
+
+def failing(action, epochs, failed):
+    """``action``, after which the micro-batch fails, once for each of these epochs: its outputs stand, its commit
+    in the stream's checkpoint does not, so the next start replays it."""
+    def on_closed(summary, epoch):
+        action(summary, epoch)
+        if epoch in epochs and epoch not in failed:
+            failed.add(epoch)
+            raise RuntimeError(f"stopped after the outputs of micro-batch {epoch}")
+    return on_closed
+
+
+@register("stream_resume")
+def q_stream_resume(spark, sf_dir):
+    """The window job stopped within micro-batches and started again from its checkpoint: each row once."""
+    failed: set[int] = set()
+    start = lambda source, root, lo, hi: sw.start_window_job(
+        spark, source, f"{root}/out", f"{root}/checkpoint", on_closed=failing(sw.log_closed_windows, {1, 2}, failed))
+    raw, _ = sw.read_window_outputs(spark, f"{run_parts(spark, sf_dir, 'resumed-stream', start, RESUMED_PARTS)}/out")
+    return raw.select("obs_id", "icao24", "snapshot_ts", "window_start", "window_end")
+
+
+@register("stream_callback")
+def q_stream_callback(spark, sf_dir):
+    """A callback that enriches each closed window, once, though micro-batches fail after it and are replayed:
+    for each window its rows, its enriched rows, and how often it was acted on."""
+    _, af, md = _dims(spark, sf_dir)
+    failed: set[int] = set()
+
+    def start(source, root, lo, hi):
+        def refresh(summary, epoch):
+            rows = spark.read.schema(sw.RAW_SCHEMA).parquet(f"{root}/out/raw/batch_id={epoch}").withColumn("date", F.year("time_position"))
+            done = en.enrich(rows, af, md).select("obs_id").join(rows.select("obs_id", "window_end"), "obs_id")
+            done.groupBy("window_end").agg(F.count(F.lit(1)).alias("n_enriched")).write.mode("append").parquet(f"{root}/acted")
+        act = failing(sw.committed(refresh, f"{root}/ledger"), {1, 2}, failed)
+        return sw.start_window_job(spark, source, f"{root}/out", f"{root}/checkpoint", on_closed=act)
+
+    root = run_parts(spark, sf_dir, "callback-stream", start, RESUMED_PARTS)
+    _, summary = sw.read_window_outputs(spark, f"{root}/out")
+    acted = spark.read.parquet(f"{root}/acted").groupBy("window_end").agg(F.sum("n_enriched").alias("n_enriched"), F.count(F.lit(1)).alias("n_acted"))
+    return summary.join(acted, "window_end").select("window_end", "n_obs", "unique_aircraft", "n_enriched", "n_acted")
+
+
+@register("stream_arrival_windows")
+def q_stream_arrival_windows(spark, sf_dir):
+    """Windows by the time at which the broker took a message, up to four minutes after the poll: observations,
+    aircraft, and how many were polled in an earlier window."""
+    root, st = shared_path(spark, "arrival-stream"), roles.states(spark, sf_dir)
+    came = st.withColumn("came", F.col("snapshot_ts") + (F.col("obs_id") * 37) % 240)
+    lo, hi = came.agg(F.min("came"), F.max("came")).first()
+    part = F.floor((F.col("came") - F.lit(lo)) * F.lit(RESUMED_PARTS) / F.lit(hi - lo + 1)).cast("int")
+    sent = snap.encode_records(came.withColumn("part", part), keep=("part", "came"))
+    message = F.to_json(F.struct("value", F.timestamp_seconds("came").alias("timestamp")))
+    sent.select(message.alias("value"), "part").write.partitionBy("part").text(f"{root}/staged")
+    for p in range(RESUMED_PARTS):
+        messages = spark.readStream.schema("value string, timestamp timestamp").option("recursiveFileLookup", True).json(arrive(spark, root, p))
+        sw.start_window_job(spark, snap.decode_messages(messages), f"{root}/out", f"{root}/checkpoint", event_time="broker_time").awaitTermination()
+    raw, _ = sw.read_window_outputs(spark, f"{root}/out")
+    polled = F.col("snapshot_ts") - F.pmod(F.col("snapshot_ts"), F.lit(roles.WINDOW_SECONDS))
+    return raw.groupBy("window_start").agg(
+        F.count(F.lit(1)).alias("n_obs"), F.countDistinct(F.when(fx.is_present_key("icao24"), F.col("icao24"))).alias("unique_aircraft"),
+        F.count_if(polled < F.col("window_start")).alias("n_polled_before"))
+
+
+@register("stream_metrics")
+def q_stream_metrics(spark, sf_dir):
+    """What Spark observed in each micro-batch: records, malformed ones, the newest stamp."""
+    where = shared_path(spark, "metrics")
+    table = sw.MetricsTable(spark, where)
+    spark.streams.addListener(table)
+
+    def start(source, root, lo, hi):
+        table.ended.clear()
+        job = sl.start_sealing_job(sw.observed(source), f"{root}/out", f"{root}/checkpoint")
+        job.awaitTermination()
+        table.ended.wait(60)  # listeners hear of a query's end, and of its micro-batches before, a little later
+        return job
+
+    try:
+        run_parts(spark, sf_dir, "observed-stream", start, RESUMED_PARTS)
+    finally:
+        spark.streams.removeListener(table)
+    order = Window.orderBy("batch_id")  # a row for each micro-batch
+    return sw.read_metrics(spark, where).select(
+        (F.row_number().over(order) - 1).alias("part"), "n_records", "n_malformed", "n_unstamped", "newest")
+
+
 @register("window_refresh")
 def q_window_refresh(spark, sf_dir):
     """Refresh of the newest closed window that the stream has written."""

@@ -38,8 +38,9 @@ def from_api_frame(api: DataFrame, snapshot_ts=None) -> DataFrame:
     return api.select(*cols, stamp.cast("long").alias("snapshot_ts"))
 
 
-def encode_records(obs: DataFrame) -> DataFrame:
-    """One JSON text value per observation: timestamps as ISO text, NaN as null, no key."""
+def encode_records(obs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One JSON text value per observation: timestamps as ISO text, NaN as null, no key. ``keep`` names further
+    columns to carry beside it."""
     fields = []
     dtypes = dict(obs.dtypes)
     for f in OBSERVATION.fields:
@@ -51,7 +52,7 @@ def encode_records(obs: DataFrame) -> DataFrame:
         elif dtypes[f.name] in ("double", "float"):
             c = nan_to_null(c)
         fields.append(c.alias(f.name))
-    return obs.select(F.to_json(F.struct(*fields)).alias("value"))
+    return obs.select(F.to_json(F.struct(*fields)).alias("value"), *keep)
 
 
 def normalise(records: DataFrame) -> DataFrame:
@@ -95,20 +96,21 @@ def file_stamp() -> Column:
     return F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{9,11})\.[^/]*$", 1).try_cast("long")
 
 
-def read_snapshots(spark: SparkSession, path: str, stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+def read_snapshots(spark: SparkSession, path: str, stream: bool = False, max_files_per_trigger: int | None = None,
+                   recursive: bool = False) -> DataFrame:
     """Landed JSON-lines snapshots (batch or streaming file source) with the explicit schema.
 
     A record without ``snapshot_ts`` takes the poll time that its file is named for, if it is
     (``..._<epoch>.json``). Malformed lines do not fail the job: their text is kept in
     ``_corrupt_record``, all other fields null, the stamp included. :func:`accepted` and
-    :func:`rejected` part the two kinds.
+    :func:`rejected` part the two kinds. ``recursive``: files in folders below ``path`` are read too.
     """
     reader = spark.readStream if stream else spark.read
     schema = T.StructType(list(OBSERVATION.fields) + [T.StructField(CORRUPT, T.StringType())])
     reader = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    df = reader.json(path)
+    df = reader.option("recursiveFileLookup", recursive).json(path)
     stamp = F.when(F.col(CORRUPT).isNull(), F.coalesce(F.col("snapshot_ts"), file_stamp()))
     return normalise(df.withColumn("snapshot_ts", stamp))
 

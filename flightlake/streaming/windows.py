@@ -14,7 +14,9 @@ share the watermark, so they close in the same micro-batch and each window is wr
 
 from __future__ import annotations
 
+import json
 import logging
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,7 @@ from pyspark.sql import types as T
 from flightlake.functions.scalar import age_minutes, epoch_to_timestamp_ntz, is_present_key
 from flightlake.schemas import OBSERVATION
 from flightlake.sources import snapshots
+from flightlake.sources.windows import _path as hadoop_path
 from flightlake.sources.windows import path_exists, write_windows
 
 # ---- fixed values (must equal the reference's stream settings) ----
@@ -122,6 +125,74 @@ def window_sink(out_root: str, on_closed: Callable[[DataFrame, int], None] | Non
     return write
 
 
+def committed(action: Callable[[DataFrame, int], None], ledger: str) -> Callable[[DataFrame, int], None]:
+    """``action`` as a callback that runs once for each closed window, also when a micro-batch is replayed.
+
+    After the action its epoch is entered in the ledger, a folder of one small file for each epoch that appears in
+    one step; an epoch that is entered is not acted on again. A crash between action and entry repeats the action
+    with the same epoch and the same windows, so one that writes should write under its epoch and replace.
+    """
+    def on_closed(summary: DataFrame, epoch_id: int) -> None:
+        spark = summary.sparkSession
+        entry = f"{ledger.rstrip('/')}/{epoch_id:010d}"
+        if path_exists(spark, entry):
+            log.info("batch %s was acted on before", epoch_id)
+            return
+        action(summary, epoch_id)
+        fs, to = hadoop_path(spark, entry)
+        draft = to.suffix("-draft")
+        fs.create(draft, True).close()
+        fs.rename(draft, to)
+
+    return on_closed
+
+
+METRICS = "query string, batch_id bigint, n_records bigint, n_malformed bigint, n_unstamped bigint, newest bigint, watermark string"
+
+
+def observed(source: DataFrame, name: str = "records") -> DataFrame:
+    """``source`` with counts that Spark takes as the records pass, one set for each micro-batch."""
+    malformed = F.col(snapshots.CORRUPT).isNotNull()
+    return source.observe(name, F.count(F.lit(1)).alias("n_records"), F.count_if(malformed).alias("n_malformed"),
+                          F.count_if(~malformed & F.col("snapshot_ts").isNull()).alias("n_unstamped"),
+                          F.max("snapshot_ts").alias("newest"))
+
+
+class MetricsTable(StreamingQueryListener):
+    """Writes the observed counts of every micro-batch as a row of a JSON table under ``root``: a file named for
+    query and micro-batch, so a replay replaces its row. ``ended`` is set when a query ends."""
+
+    def __init__(self, spark: SparkSession, root: str, name: str = "records"):
+        super().__init__()
+        self.spark, self.root, self.name = spark, root.rstrip("/"), name
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        counts = (p.observedMetrics or {}).get(self.name)
+        if counts is None:
+            return
+        row = {"query": str(p.id), "batch_id": p.batchId, **counts.asDict(), "watermark": (p.eventTime or {}).get("watermark")}
+        fs, path = hadoop_path(self.spark, f"{self.root}/{p.id}-{p.batchId:010d}.json")
+        out = fs.create(path, True)
+        out.write((json.dumps(row) + "\n").encode())
+        out.close()
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.set()
+
+
+def read_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """One row for each micro-batch that brought records."""
+    return spark.read.schema(METRICS).json(root).filter("n_records > 0")
+
+
 class ProgressLogger(StreamingQueryListener):
     """Logs a progress line each time another ``every_rows`` input records have been processed."""
 
