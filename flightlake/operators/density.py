@@ -1,7 +1,7 @@
 """Gaussian kernel density on a fixed grid (Scott bandwidth), computed as distributed partial sums.
 
-Each task adds the kernel of its points to every grid cell and emits one partial value per
-cell; cells are then summed. The grid has ``nx * ny`` cells, a parameter, so what each task holds
+Equal points are combined first. Each task adds the kernels of its points to the grid cells in their reach and
+emits one partial value per cell; cells are then summed. The grid has ``nx * ny`` cells, a parameter, so what each task holds
 and emits does not grow with the data. The sample covariance (ddof 1) is one aggregate.
 """
 
@@ -16,7 +16,38 @@ from pyspark.sql import functions as F
 
 ROUND_COORD = 6
 ROUND_DENSITY = 12
-BLOCK = 8  # points at once: their kernels on the whole grid fit in a core's cache
+BLOCK = 4096  # points at once
+CUT = 1e-17  # density that cut kernels may leave out in a cell: far below half a unit of the last digit
+TILE_REACH = 4.0  # half the side of a tile of cells, in standard deviations: keeps every exponent small
+
+
+def add_kernels(acc, gx, gy, x, y, w, inverse, radius) -> None:
+    """Add the kernels of weighted points to the grid ``acc``, each within ``radius`` standard deviations.
+
+    The grid is cut into tiles. Seen from a tile's centre the exponent of point and cell is a term of the point,
+    one of the point and the cell's column, one of the point and its row, and one of the cell alone. So a tile is a
+    product of two matrices, columns by points and points by rows: a point costs an exponential for each row and
+    column of the tiles in its reach, not for each cell.
+    """
+    a, b, c = inverse
+    sides = []
+    for g, k in ((gx, a), (gy, c)):
+        step = abs(g[1] - g[0]) if len(g) > 1 else 0.0
+        n = len(g) if step == 0 else max(1, int(2 * TILE_REACH / math.sqrt(k) / step))
+        sides.append([(i, min(i + n, len(g))) for i in range(0, len(g), n)])
+    for i0, i1 in sides[0]:
+        for j0, j1 in sides[1]:
+            cx, cy = (gx[i0] + gx[i1 - 1]) / 2, (gy[j0] + gy[j1 - 1]) / 2
+            u, v = gx[i0:i1] - cx, gy[j0:j1] - cy
+            dx, dy = x - cx, y - cy
+            square = a * dx * dx + 2 * b * dx * dy + c * dy * dy
+            near = square <= (radius + math.sqrt(a) * abs(u[0]) + math.sqrt(c) * abs(v[0])) ** 2
+            if not near.any():
+                continue
+            dx, dy, q = dx[near], dy[near], square[near]
+            columns = np.exp(np.multiply.outer(a * dx + b * dy, u) - 0.5 * a * u * u)
+            rows = w[near, None] * np.exp(np.multiply.outer(b * dx + c * dy, v) - 0.5 * c * v * v - 0.5 * q[:, None])
+            acc[i0:i1, j0:j1] += (columns.T @ rows) * np.exp(-b * np.multiply.outer(u, v))
 
 
 def kde_2d_grid(df: DataFrame, x_col: str, y_col: str, nx: int = 200, ny: int = 200,
@@ -45,30 +76,26 @@ def kde_2d_grid(df: DataFrame, x_col: str, y_col: str, nx: int = 200, ny: int =
     x0, x1, y0, y1 = bounds if bounds is not None else (st["x0"], st["x1"], st["y0"], st["y1"])
     gx = np.array([x0 + i * (x1 - x0) / (nx - 1) for i in range(nx)])
     gy = np.array([y0 + j * (y1 - y0) / (ny - 1) for j in range(ny)])
-    a, b, c = syy / det, -sxy / det, sxx / det  # inverse covariance entries
-    bgx, bgy = spark.sparkContext.broadcast(gx), spark.sparkContext.broadcast(gy)
+    inverse = syy / det, -sxy / det, sxx / det
+    # Kernels end where all that lies beyond, summed over every point, stays under CUT in any cell's density.
+    radius = math.sqrt(max(2.0 * math.log(1.0 / (CUT * 2.0 * math.pi * math.sqrt(det))), 1.0))
+    shared = spark.sparkContext.broadcast((gx, gy))
 
     def partial(batches):
-        gxv, gyv = bgx.value, bgy.value
-        acc = np.zeros((len(gxv), len(gyv)))
+        grid = shared.value
+        acc = np.zeros((len(grid[0]), len(grid[1])))
         for pdf in batches:
-            # repeated points become weights; the density is the same
-            xy, w = np.unique(pdf[["x", "y"]].to_numpy(), axis=0, return_counts=True)
-            x, y, w = xy[:, 0], xy[:, 1], w.astype(float)
+            x, y, w = (pdf[k].to_numpy(dtype=float) for k in ("x", "y", "w"))
             for s in range(0, len(x), BLOCK):
-                dx = gxv[None, :] - x[s:s + BLOCK, None]
-                dy = gyv[None, :] - y[s:s + BLOCK, None]
-                q = np.multiply((-b * dx)[:, :, None], dy[:, None, :])
-                q += (-0.5 * a * dx * dx)[:, :, None]
-                q += (-0.5 * c * dy * dy)[:, None, :]
-                acc += np.einsum("m,mij->ij", w[s:s + BLOCK], np.exp(q, out=q))
-        ix, iy = np.meshgrid(np.arange(len(gxv)), np.arange(len(gyv)), indexing="ij")
-        yield pd.DataFrame({"ix": ix.ravel().astype("int32"), "iy": iy.ravel().astype("int32"),
-                            "s": acc.ravel()})
-
-    # points are two numbers each: dealing them out evenly costs little beside the kernel work
-    spread = pts.repartition(spark.sparkContext.defaultParallelism)
-    sums = spread.mapInPandas(partial, "ix int, iy int, s double").groupBy("ix", "iy").agg(F.sum("s").alias("s"))
+                add_kernels(acc, grid[0], grid[1], x[s:s + BLOCK], y[s:s + BLOCK], w[s:s + BLOCK], inverse, radius)
+        ix, iy = np.nonzero(acc)
+        yield pd.DataFrame({"ix": ix.astype("int32"), "iy": iy.astype("int32"), "s": acc[ix, iy]})
+
+    # Equal points become one with a weight before any kernel is computed.
+    weighted = pts.groupBy("x", "y").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    cells = spark.range(nx * ny).select((F.col("id") / ny).cast("int").alias("ix"), (F.col("id") % ny).cast("int").alias("iy"))
+    found = weighted.mapInPandas(partial, "ix int, iy int, s double").groupBy("ix", "iy").agg(F.sum("s").alias("s"))
+    sums = cells.join(found, ["ix", "iy"], "left").select("ix", "iy", F.coalesce("s", F.lit(0.0)).alias("s"))
     norm = n * 2.0 * math.pi * math.sqrt(det)
     return sums.select(
         "ix", "iy",

@@ -115,8 +115,15 @@ def rates(n: int, psi: int, n_trees: int) -> tuple[float, float]:
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """Rows dealt out evenly: hashing or scoring one against every tree costs far more than moving its few numbers."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Rows where the scan put them, unless the input is so small that its splits would leave cores idle: hashing or
+    scoring a row against every tree costs more than moving its few numbers, but a large table is not moved."""
+    spark = rows.sparkSession
+    conf = spark._jsparkSession.sessionState().conf()
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = spark.sparkContext.defaultParallelism
+    if size >= cores * conf.filesMaxPartitionBytes():
+        return rows
+    return rows.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def sample(data: DataFrame, n: int, psi: int, n_trees: int, seed: int = SEED, id_col: str = "obs_id") -> DataFrame:

@@ -72,8 +72,9 @@ def decode_records(values: DataFrame, value_col: str = "value", keep: tuple[str,
     broker's time of a message."""
     schema = T.StructType(list(OBSERVATION.fields) + [T.StructField(CORRUPT, T.StringType())])
     text = F.col(value_col).cast("string")
-    parsed = values.select(*keep, text.alias("__text"), F.from_json(
-        text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+    read = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # As the one element of a list a record is read once; a later filter would else read it again for each of its terms.
+    parsed = values.select(*keep, text.alias("__text"), F.explode(F.array(read)).alias("r"))
     # text that is no object at all parses to null
     bad = F.when(F.col("r").isNull(), F.col("__text")).otherwise(F.col(f"r.{CORRUPT}"))
     return normalise(parsed.select(*keep, *[F.col(f"r.{f.name}") for f in OBSERVATION.fields], bad.alias(CORRUPT)))

@@ -75,3 +75,8 @@ def test_time_filter_reaches_the_scan(spark, name):
 def test_sample_takes_observations_before_joining(spark):
     plan = plan_text(QUERIES["enriched_sample"](spark, SF001))
     assert plan.count("TakeOrderedAndProject") == 2
+
+
+def test_records_are_decoded_once(spark):
+    plan = QUERIES["normalised_states"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
