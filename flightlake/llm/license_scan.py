@@ -44,8 +44,10 @@ TEMPLATES = (
 )
 
 CONTAINMENT = 0.8
-#: Blocks end after a sentence or at an empty line.
-BLOCK = r"[.!?:;][\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*\n"
+#: Sentences end after their mark or at an empty line. A block is a sentence with those that follow it, RUN in all:
+#: as many as the wording of a template runs over.
+SENTENCE = r"[.!?][\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*\n"
+RUN = 3
 
 
 def needed(words: int, containment: float) -> int:
@@ -97,9 +99,10 @@ def _frequencies(texts: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 
 def template_matches(
-    texts: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT
+    texts: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT, run: int = RUN
 ) -> DataFrame:
-    """(doc_id, print, block, label, containment) of every block that matches a template.
+    """(doc_id, print, block, label, containment) of every block of ``run`` neighbouring sentences that matches a
+    template; ``block`` is the number of its first sentence.
 
     ``texts`` has doc_id, print and text without nulls.
     """
@@ -120,9 +123,11 @@ def template_matches(
     prefixes = spark.range(1).select(F.inline(F.array(*index)))
 
     c = F.col
-    blocks = texts.select("doc_id", "print", F.posexplode(F.split(ascii_lower(c("text")), BLOCK)).alias("block", "text"))
-    held = blocks.select("doc_id", "print", "block", F.array_intersect(_text_array(order), F.split("text", NOT_WORD)).alias("held"))
-    held = held.filter(F.size("held") >= least)
+    # Each sentence is looked through once; a block joins the few template words that its sentences hold.
+    sentences = F.transform(F.split(ascii_lower(c("text")), SENTENCE), lambda s: F.array_intersect(_text_array(order), F.split(s, NOT_WORD)))
+    blocks = let(sentences, lambda all_: F.transform(all_, lambda _, i: F.flatten(F.slice(all_, i + 1, run))))
+    held = texts.select("doc_id", "print", F.posexplode(blocks).alias("block", "held")).filter(F.size("held") >= least)
+    held = held.select("doc_id", "print", "block", F.array_intersect(_text_array(order), "held").alias("held")).filter(F.size("held") >= least)
     tokens = held.select("doc_id", "print", "block", "held", F.posexplode("held").alias("j", "word"))
     possible = F.least("i", "j") + 1 + F.least(F.size("wanted") - c("i") - 1, F.size("held") - c("j") - 1)
     pairs = tokens.join(F.broadcast(prefixes), "word").filter((F.size("held") >= c("need")) & (possible >= c("need")))
@@ -178,8 +183,8 @@ WITH t AS (
          list_filter(regexp_split_to_array({_LOWER}, '{_SEP}'), lambda x: x <> '') AS w
   FROM documents
 ), b AS (
-  SELECT k, list_distinct(regexp_split_to_array(block, '{_SEP}')) AS held
-  FROM (SELECT k, unnest(regexp_split_to_array(lower_text, '{BLOCK}')) AS block FROM d)
+  SELECT k, list_distinct(regexp_split_to_array(array_to_string(s[i:i + {RUN - 1}], ' '), '{_SEP}')) AS held
+  FROM (SELECT k, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT k, regexp_split_to_array(lower_text, '{SENTENCE}') AS s FROM d))
 ), m AS (
   SELECT k, label, len(list_intersect(wanted, held)) / len(wanted) AS containment
   FROM b, t WHERE len(list_intersect(wanted, held)) >= {CONTAINMENT} * len(wanted) - 1e-9

@@ -14,8 +14,9 @@ def brute(text, templates=L.TEMPLATES, containment=L.CONTAINMENT):
     w = lettered(text)
     places = [(i, label) for p, label in L.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
     best, more = 0.0, set()
-    for block in re.split("[.!?:;][\x20\x09-\x0d]+|\n[\x20\x09-\x0d]*\n", (text or "").translate(LOWER)):
-        held = set(lettered(block))
+    sentences = re.split("[.!?][\x20\x09-\x0d]+|\n[\x20\x09-\x0d]*\n", (text or "").translate(LOWER))
+    for i in range(len(sentences)):
+        held = set(lettered(" ".join(sentences[i : i + 3])))
         for label, words in templates:
             wanted = set(words.split())
             share = len(wanted & held) / len(wanted)
@@ -28,6 +29,10 @@ def brute(text, templates=L.TEMPLATES, containment=L.CONTAINMENT):
             1.0 if places else best)
 
 
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""
 NOTICES = [
     (800, "Intro.\nLicensed under the Apache License, Version 2.0.\nmore", None, None, 0),
     (801, "CC BY cc by CC-BY, General  Public\nLicense. All rights reserved", None, None, 0),
@@ -36,6 +41,8 @@ NOTICES = [
     (804, "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software", None, None, 0),
     (804, "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software", None, None, 0),
     (None, "all rights reserved", None, None, 0),
+    (805, LGPL, None, None, 0),
+    (806, "Copyright X. All rights reserved. No part of this work may be reproduced without written permission", None, None, 0),
 ]
 
 
@@ -43,6 +50,10 @@ def test_matches_brute_force(spark):
     data = rows() + NOTICES
     got = as_set(L.license_scan(frame(spark, data, extra=True)), *COLS)
     assert got == sorted(((r[0], *brute(r[1])) for r in data), key=repr)
+    labels = {r[0]: r[6].split(",") for r in got}
+    assert "lgpl" in labels[805]
+    assert any(label == "reserved" for _, label in [(r.doc_id, r.label) for r in L.template_matches(
+        frame(spark, [NOTICES[-1]]).select("doc_id", "text", F.xxhash64("text").alias("print"))).collect()])
 
 
 @pytest.mark.parametrize("containment", [0.5, 0.8, 1.0])
@@ -53,7 +64,8 @@ def test_filters_lose_no_match(spark, containment):
     data = [(i, ". ".join(" ".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(4)), None, None, 0) for i in range(60)]
     texts = frame(spark, data).select("doc_id", "text", F.xxhash64("text").alias("print"))
     got = {(r.doc_id, r.block, r.label) for r in L.template_matches(texts, templates, containment).collect()}
-    want = {(i, b, label) for i, t, *_ in data for b, x in enumerate(t.split(". ")) for label, words in templates
+    runs = lambda t: [" ".join(t.split(". ")[i : i + 3]) for i in range(len(t.split(". ")))]
+    want = {(i, b, label) for i, t, *_ in data for b, x in enumerate(runs(t)) for label, words in templates
             if len(set(words.split()) & set(x.split())) >= containment * len(set(words.split())) - 1e-9}
     assert got == want
 
