@@ -95,7 +95,9 @@ def hit_spans(rows: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_
     item_windows = items.select(
         "item_id",
         F.explode(F.concat(no_window, *[F.when(whole(n), _windows(c("words"), every(n), n)).otherwise(no_window) for n in lengths])).alias("w"),
-    ).select("item_id", c("w.words").alias("words")).distinct()
+    ).select("item_id", c("w.words").alias("words"))
+    # One row for each window, however many items share it.
+    item_windows = item_windows.groupBy("words").agg(F.collect_set("item_id").alias("items"))
 
     # Join of the kept hashes.
     words = rows.select("doc_id", "print", _words("text").alias("words"))
@@ -109,7 +111,7 @@ def hit_spans(rows: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_
     return (
         windows.join(item_windows, "words")
         .groupBy("doc_id", "print")
-        .agg(F.collect_set(F.struct("at", "length")).alias("spans"), F.collect_set("item_id").alias("items"))
+        .agg(F.collect_set(F.struct("at", "length")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
         .select("doc_id", "print", _covered(c("spans")).alias("n_hit"), F.size("items").alias("n_items"),
                 F.concat_ws(",", F.sort_array("items")).alias("items"))
     )
@@ -143,11 +145,18 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no window of an item."""
+    """The rows of ``docs``, all columns under their own names, that hold no window of an item.
+
+    Null and empty texts hold none and stay; repeated rows go or stay together; null ids are ids like any other.
+    An empty benchmark takes nothing away.
+    """
     spans = hit_spans(_rows(docs, id_col, text_col), benchmark, window, item_col, item_text_col)
-    hit = spans.select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"))
-    here = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__print"))
-    return docs.join(hit, here, "left_anti")
+    hit = spans.select(F.col("doc_id").alias("id"), "print")
+    # Columns go by number inside, so no name of theirs can meet one of ours.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    own, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    here = own.eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("print"))
+    return plain.join(hit, here, "left_anti").toDF(*docs.columns)
 
 
 def op9_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -225,16 +225,20 @@ def keep_one(
     """One row of each group of near-duplicates, with all its columns: the one with the smallest id.
 
     Ids that are null come last; among rows with the same id the text's hash decides, and of rows that agree in
-    both any one stays.
+    both any one stays. Null and empty texts have the fingerprint 0 and are near-duplicates of one another. An empty
+    table gives no row. Columns keep their names, whatever these are.
     """
-    own = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(id_col).isNull().cast("string"),
-                      F.hex(F.xxhash64(F.col(text_col)))).alias("__row")
-    order = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), own.alias("row"))
-    prints = landed(fingerprints(df, {"rank": order}, shingle, text_col), "fingerprints")
+    # Columns go by number inside, so no name of theirs can meet one of ours.
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    id_, text = (f"c{df.columns.index(c)}" for c in (id_col, text_col))
+    own = F.concat_ws(":", F.coalesce(F.col(id_).cast("string"), F.lit("")), F.col(id_).isNull().cast("string"),
+                      F.hex(F.xxhash64(F.col(text)))).alias("row")
+    order = F.struct(F.col(id_).isNull().alias("last"), F.col(id_).alias("id"), own)
+    prints = landed(fingerprints(plain, {"rank": order}, shingle, text), "fingerprints")
     firsts = prints.groupBy("fp").agg(F.min("rank").alias("rank"))
     stay = fingerprint_groups(prints, radius).join(firsts, "fp").groupBy("root").agg(F.min("rank").alias("rank"))
-    kept = df.withColumn("__row", own).join(stay.select(F.col("rank.row").alias("__row")), "__row", "left_semi")
-    return kept.dropDuplicates(["__row"]).select(*df.columns)
+    kept = plain.withColumn("row", own).join(stay.select("rank.row"), "row", "left_semi")
+    return kept.dropDuplicates(["row"]).drop("row").toDF(*df.columns)
 
 
 def op4_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -8,8 +8,9 @@ import re
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Extra columns whose names the operators use inside.
-CLASHING = {"print": "1", "hash": "2", "words": "'x'", "label": "'y'", "uid": "3", "rank": "4", "fp": "5", "score": "0.5",
-            "lang_pred": "'zz'", "entities": "'e'", "length": "6", "n": "7", "key": "8", "low": "9", "__other": "10"}
+CLASHING = {"print": "1", "words": "'x'", "label": "'y'", "uid": "3", "rank": "4", "fp": "5", "score": "0.5",
+            "lang_pred": "'zz'", "entities": "'e'", "length": "6", "n": "7", "key": "8", "low": "9", "__other": "10",
+            "__id": "11", "__print": "12", "__row": "13", "row": "14", "c0": "15", "a.b": "16", "hash": "17", "items": "18"}
 SYLLABLES = "ka re mi to su la ne ho vi da pe ru".split()
 
 

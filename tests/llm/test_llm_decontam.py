@@ -43,7 +43,17 @@ def test_matches_brute_force(spark, seed):
     assert got == want and any(x[-1] for x in want) and not all(x[-1] for x in want)
     kept = decontaminate(frame(spark, data, extra=True), benchmark(spark, items))
     clean = sorted(((r[0], r[1]) for r in data if not brute(r[1], items)[-1]), key=repr)
-    assert as_set(kept, "doc_id", "text") == clean and len(kept.columns) == 20
+    assert as_set(kept, "doc_id", "text") == clean and kept.columns == frame(spark, [], extra=True).columns
+
+
+def test_a_window_that_many_items_share(spark):
+    shared = "one two three four five six seven eight nine ten"
+    items = [(i, f"{shared} item{i}") for i in range(300)]
+    data = [(i, f"doc {i} {shared} end", None, None, 0) for i in range(40)]
+    out = contamination(frame(spark, data), benchmark(spark, items))
+    assert {(r.n_hit, r.n_items) for r in out.collect()} == {(10, 300)}
+    want = hashlib.sha256(",".join(sorted(str(i) for i in range(300))).encode()).hexdigest()
+    assert {r.items_sha256 for r in out.collect()} == {want}
 
 
 def test_empty_tables(spark):
