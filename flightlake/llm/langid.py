@@ -26,8 +26,8 @@ from flightlake.llm.text import bucket, table
 ORDER = 3
 #: Training text per language is a hash sample of whole documents of about this many bytes.
 SAMPLE_BYTES = 1_500_000
-#: Contexts of ORDER bytes that the trees keep, the most frequent first.
-MAX_CONTEXTS = 20_000
+#: Contexts of ORDER bytes that the trees keep for each language, the most frequent first.
+MAX_CONTEXTS = 5_000
 #: Text bytes looked up at once.
 CHUNK = 1 << 19
 UNKNOWN = "und"
@@ -95,9 +95,9 @@ def _tables(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndar
     for order in range(1, ORDER + 1):
         key = key + c[ORDER - order] * a ** (order - 1)
         contexts, place = np.unique(key, return_inverse=True)
-        if order == ORDER and len(contexts) > max_contexts:
+        if order == ORDER and len(contexts) > max_contexts * many:
             weight = np.bincount(place, weights=n)
-            contexts = np.sort(contexts[np.argsort(-weight, kind="stable")[:max_contexts]])
+            contexts = np.sort(contexts[np.argsort(-weight, kind="stable")[: max_contexts * many]])
         before = np.tile(state, a)  # a context falls back to the one without its first byte
         shorter = np.concatenate(tables)[before[contexts]]
         first = sum(map(len, tables))
@@ -114,17 +114,20 @@ def train(
 ) -> Model:
     """Trees of the languages in ``df``. Rows without language or text teach nothing.
 
-    What reaches the driver is bounded by ``sample_bytes`` for each language.
+    Of each language a hash sample of whole rows is taken, of about ``sample_bytes`` and at least one row, so every
+    labelled language is learned. The driver gets the sample's counts of four bytes, never a text. An empty table,
+    or one without labels, gives a model without languages.
     """
     spark = df.sparkSession
     rows = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).collect()
+    rows = rows.withColumn("hash", F.xxhash64("id", "text"))
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size"), F.min("hash").alias("first")).collect()
     languages = sorted(r.lang for r in sizes)
     if not languages:
         return Model([], np.zeros(256, np.uint8), np.zeros(1, np.int32), np.zeros((2, 0), np.float32))
-    share = spark.createDataFrame([(r.lang, min(1.0, sample_bytes / r.size)) for r in sizes], "lang string, share double")
-    drawn = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
+    share = spark.createDataFrame([(r.lang, min(1.0, sample_bytes / r.size), r["first"]) for r in sizes], "lang string, share double, first bigint")
+    drawn = (F.pmod("hash", F.lit(1 << 20)) < F.col("share") * (1 << 20)) | (F.col("hash") == F.col("first"))
     sample = rows.join(F.broadcast(share), "lang").filter(drawn).select("lang", "text")
     counts = sample.mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     found = counts.orderBy("lang", "gram").toArrow()

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +34,7 @@ KINDS = ("assign", "access", "hex", "markov")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: Bits per character by which a run must look more random than written.
 MARGIN = 1.5
-#: Bytes of corpus text, in expectation, that the identifier model learns from, and random strings drawn.
+#: Bytes of corpus text, about, that the identifier model learns from, and random strings drawn.
 SAMPLE_BYTES, RANDOM_STRINGS = 1_000_000, 4000
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -54,13 +55,19 @@ class Models:
         return float(self.ratio[c[:-1], c[1:]].mean())
 
 
-def _transitions(strings: list[str]) -> np.ndarray:
+def _pairs(strings: list[str]) -> np.ndarray:
+    """How often each key character follows each."""
+    n = len(_ALPHABET)
+    count = np.zeros((n + 1) ** 2)
+    # Strings stand apart by a byte that is no key character.
+    c = _CODE[np.frombuffer("\n".join(strings).encode(), np.uint8)].astype(np.int64)
+    if len(c) > 1:
+        count += np.bincount(c[:-1] * (n + 1) + c[1:], minlength=len(count))
+    return count.reshape(n + 1, n + 1)[:n, :n]
+
+
+def _transitions(count: np.ndarray) -> np.ndarray:
     n = len(_ALPHABET)
-    count = np.zeros((n + 1, n + 1))
-    for s in strings:
-        c = _CODE[np.frombuffer(s.encode(), np.uint8)]
-        np.add.at(count, (c[:-1], c[1:]), 1)
-    count = count[:n, :n]
     # A pair never seen falls back on how often its second character occurs.
     single = (count.sum(axis=0) + 1) / (count.sum() + n)
     return np.log2((count + single) / (count.sum(axis=1, keepdims=True) + 1))
@@ -87,13 +94,27 @@ def written_samples(texts: list[str]) -> list[str]:
     return found
 
 
+def _written_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros((len(_ALPHABET),) * 2)
+    for batch in batches:
+        for _, part in slices(batch.column(0).cast(pa.binary()).to_pylist()):
+            total += _pairs(written_samples([t.decode() for t in part]))
+    seen = np.nonzero(total.ravel())[0]
+    yield pa.record_batch([pa.array(seen), pa.array(total.ravel()[seen].astype(np.int64))], names=["pair", "n"])
+
+
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_bytes: int = SAMPLE_BYTES) -> Models:
-    """Both models. The identifier model learns from a hash sample of whole texts of about ``sample_bytes``."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(1))).first()[0]
-    drawn = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 24)) < int(min(1.0, sample_bytes / max(size, 1)) * (1 << 24))
-    texts = sorted(r.text for r in rows.filter(drawn).select("text").collect())
-    return Models(_transitions(random_samples()) - _transitions(written_samples(texts)))
+    """Both models. The identifier model learns from a hash sample of whole texts, of about ``sample_bytes`` and at
+    least one text that is not null. The driver gets counts of character pairs, never a text. With no text at all
+    every pair is as likely as its second character among none."""
+    rows = df.select(F.xxhash64(id_col, text_col).alias("hash"), F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
+    size, first = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(1)), F.min("hash")).first()
+    drawn = F.pmod("hash", F.lit(1 << 24)) < int(min(1.0, sample_bytes / max(size, 1)) * (1 << 24))
+    sample = rows.filter(drawn | F.col("hash").eqNullSafe(F.lit(first).cast("bigint"))).select("text")
+    count = np.zeros(len(_ALPHABET) ** 2)
+    for r in sample.mapInArrow(_written_pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        count[r.pair] = r.n
+    return Models(_transitions(_pairs(random_samples())) - _transitions(count.reshape((len(_ALPHABET),) * 2)))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -108,10 +129,13 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def spans(text: str, models: Models, margin: float = MARGIN) -> list[tuple[int, int, str]]:
     """Base findings plus the ``markov`` runs that touch none of them and look random."""
     found = base_spans(text)
-    taken = list(found)
+    taken = sorted(found)
+    starts, reach = [a for a, _, _ in taken], []
+    for _, b, _ in taken:
+        reach.append(max(b, reach[-1] if reach else 0))
     for m in RUN.finditer(text):
-        apart = all(m.end() <= a or b <= m.start() for a, b, _ in taken)
-        if apart and models.score(m[0]) >= margin:
+        before = bisect_left(starts, m.end())  # findings that start before the run ends
+        if (not before or reach[before - 1] <= m.start()) and models.score(m[0]) >= margin:
             found.append((m.start(), m.end(), "markov"))
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 

@@ -86,3 +86,15 @@ def test_awkward_rows(spark):
     assert as_set(G.identify(df, nothing, {"doc_id": F.col("doc_id")}).select("lang_pred").distinct(), "lang_pred") == [("und",)]
     assert G.identify(frame(spark, []), model, {"doc_id": F.col("doc_id")}).count() == 0
     assert len(CLASHING) + 5 == len(df.columns)
+
+
+def test_every_labelled_language_is_learned(spark):
+    """A language of one huge text, and one whose rows no draw would take."""
+    huge = "wug blick dax " * 60_000
+    data = [(1, huge, "xx", None, None), *[(10 + i, "le la les des", "fr", None, None) for i in range(5)], (30, "qqq zzz", "yy", None, None)]
+    from llm_cases import frame
+    from flightlake.llm import langid
+    for sample in (1, 100):
+        assert langid.train(frame(spark, data), sample_bytes=sample).languages == ["fr", "xx", "yy"]
+    model = langid.train(frame(spark, data), sample_bytes=1)
+    assert langid.code_lengths(model, [b"wug dax", b"les la"]).argmin(axis=1).tolist() == [1, 0]

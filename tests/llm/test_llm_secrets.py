@@ -62,3 +62,14 @@ def test_random_strings_are_told_from_identifiers(spark):
 def test_empty_table(spark):
     none = frame(spark, [])
     assert S.scan(none, S.train(none)).count() == 0
+
+
+def test_many_findings_in_one_text_and_one_huge_text(spark):
+    import time
+    from llm_cases import frame
+    from flightlake.llm import secret_scan as C
+    models = C.train(frame(spark, [(1, "plain words here " * 200_000, None, None, 0)]))
+    assert np.isfinite(models.ratio).all()
+    text = " ".join(f"token=abc{i:06d} x" for i in range(100_000))
+    start = time.time()
+    assert len(C.spans(text, models)) == 100_000 and time.time() - start < 60
