@@ -11,6 +11,7 @@ same part of the surrogate in the whole text. A check over the corpus confirms t
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -25,6 +26,8 @@ from flightlake.llm.text import table
 #: The key of the examples and queries; a user passes their own.
 DEMO_KEY = b"not a secret: pass your own key"
 ROUNDS = 8
+#: Entities whose surrogate may be drawn again.
+REDRAWN = 10_000
 KINDS = ("email", "ip", "iban", "card", "ssn", "phone", "name", "given")
 
 # Given names by script and gender, and titles.
@@ -43,7 +46,8 @@ GIVEN = {
 TITLE_WORDS = "Mr Mrs Ms Dr Prof Herr Frau Monsieur Madame Señor Señora Sr Sra".split()
 # Alphabets whose letters stand for one another.
 LETTERS = ("aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "0123456789",
-           "аеиоуы", "бвгджзклмнпрстфхцчш", "АЕИОУ", "БВГДЖЗКЛМНПРСТФХЦЧШ")
+           "аеиоуы", "бвгджзклмнпрстфхцчш", "АЕИОУ", "БВГДЖЗКЛМНПРСТФХЦЧШ",
+           "àáâãäåæèéêëìíîïòóôõöøùúûüý", "çðñþ", "эюяё", "йщъь")
 RESERVED = ("example.com", "example.net", "example.org")
 
 _ALPHABET = {c: letters for letters in LETTERS for c in letters}
@@ -69,6 +73,7 @@ _CAPITALISED = r"[A-ZÀ-ÖØ-ÞА-ЯЁ](?:['’][A-ZÀ-ÖØ-ÞА-ЯЁ])?[a-zß-
 _NAME = re.compile(rf"(?<!\w)(?P<title>{TITLES})?(?P<given>{_CAPITALISED})[ \t]+(?P<family>{_CAPITALISED})(?!\w)")
 _TITLED = re.compile(rf"(?<!\w){TITLES}(?P<family>{_CAPITALISED})(?!\w)")
 _DIGIT = re.compile(r"[0-9]")
+_WORD = re.compile(r"\w+")
 _CAPITAL_WORD = re.compile("[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+")
 #: One of these words stands in every text that names somebody; most texts are done after looking for them.
 _HINTS = {*_GIVEN, *TITLE_WORDS}
@@ -161,8 +166,8 @@ class Surrogates:
     """The surrogate and the identity of each entity. Values that a person would take for the same entity (other
     case, other grouping of digits, with and without country code) share their identity."""
 
-    def __init__(self, key: bytes):
-        self._p = Permutation(key)
+    def __init__(self, key: bytes, again: dict[str, int] | None = None):
+        self._p, self._again, self._secret = Permutation(key), again or {}, blake2b(key, digest_size=32).digest()
         self._next = {}
         for group in GIVEN:
             names = self._p.order(group)
@@ -173,7 +178,14 @@ class Surrogates:
         return "".join(map(str, self._p.move(list(map(int, digits)), [10] * len(digits), purpose)))
 
     def _of(self, kind: str, value: str) -> tuple[str, str]:
-        return getattr(self, "_" + kind)(value)
+        new, who = getattr(self, "_" + kind)(value)
+        for _ in range(self._again.get(self.digest(who), 0) if self._again else 0):
+            new = getattr(self, "_" + kind)(new)[0]
+        return new, who
+
+    def digest(self, identity: str) -> str:
+        """An entity's keyed digest, by which it is spoken of outside its text."""
+        return blake2b(identity.encode(), key=self._secret, digest_size=16).hexdigest()
 
     def _email(self, value: str) -> tuple[str, str]:
         local, domain = value.rsplit("@", 1)
@@ -222,9 +234,14 @@ class Surrogates:
     def _name(self, value: str) -> tuple[str, str]:
         """A given and a family name, or a family name alone after a title."""
         *given, family = value.split()
-        # Cyrillic family names end by gender, so their endings stay.
-        stem = len(family) - 2 if family[-1] in "авнйя" else len(family)
-        new = self._p.letters(family[:stem], "family/" + family[stem:]) + family[stem:]
+        # Cyrillic family names end by gender, so their endings stay behind a stem of two letters or more.
+        ends = lambda name: len(name) > 3 and name[-1] in "авнйя"
+        if ends(family):
+            new = self._p.letters(family[:-2], "family/" + family[-2:]) + family[-2:]
+        else:
+            new = self._p.letters(family, "family/")
+            while ends(new):  # on to the next that has no such ending: names without stay among themselves
+                new = self._p.letters(new, "family/")
         return " ".join([self._next[g] for g in given] + [new]), value.lower()
 
 
@@ -246,11 +263,12 @@ def _alone(text: str, name: str) -> Iterator[int]:
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities, apart from one another, in order. Where two overlap the kind that is
     listed first in KINDS stays."""
-    found: list[tuple[int, int, str]] = []
+    found: list[tuple[int, int, str]] = []  # apart from one another, in order
 
     def add(start: int, end: int, kind: str) -> None:
-        if all(end <= a or b <= start for a, b, _ in found):
-            found.append((start, end, kind))
+        at = bisect_left(found, (start,))
+        if (at == len(found) or end <= found[at][0]) and (not at or found[at - 1][1] <= start):
+            found.insert(at, (start, end, kind))
 
     if "@" in text:
         for m in _EMAIL.finditer(text):
@@ -294,10 +312,14 @@ def find(text: str) -> list[tuple[int, int, str]]:
                 named(m, m.start("family"))
         # The same people by one of their names; a word that is both is taken for a given name.
         for kind, names in (("given", given), ("name", family - given)):
-            for name in sorted(names):
+            for name in sorted(n for n in names if not n.isalpha()):
                 for at in _alone(text, name):
                     add(at, at + len(name), kind)
-    return sorted(found)
+            if names:
+                for m in _WORD.finditer(text):
+                    if m[0] in names:
+                        add(*m.span(), kind)
+    return found
 
 
 def replace(text: str, surrogates: Surrogates) -> tuple[str, list[tuple[int, int, str]]]:
@@ -312,9 +334,9 @@ def replace(text: str, surrogates: Surrogates) -> tuple[str, list[tuple[int, int
     return "".join([*parts, text[at:]]), spans
 
 
-def _replaced(key: bytes, schema: pa.Schema):
+def _replaced(key: bytes, again: dict[str, int], schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        surrogates = Surrogates(key)
+        surrogates = Surrogates(key, again)
         for batch in batches:
             at = 0
             for _, part in slices(batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()):
@@ -331,11 +353,11 @@ def _replaced(key: bytes, schema: pa.Schema):
     return run
 
 
-def _identified(key: bytes):
+def _identified(key: bytes, again: dict[str, int]):
     schema = pa.schema([("kind", pa.string()), ("surrogate", pa.string()), ("entity", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        surrogates, secret = Surrogates(key), blake2b(key, digest_size=32).digest()
+        surrogates, plain = Surrogates(key, again), Surrogates(key)
         for batch in batches:
             seen = set()
             for _, part in slices(batch.column(0).cast(pa.binary()).to_pylist()):
@@ -343,19 +365,37 @@ def _identified(key: bytes):
                     for start, end, kind in find(t):
                         new, who = surrogates.of(kind, t[start:end])
                         # The surrogate's own identity, so that another way of writing it makes no difference.
-                        seen.add((kind, surrogates.of(kind, new)[1], blake2b(who.encode(), key=secret, digest_size=16).hexdigest()))
+                        seen.add((kind, plain.of(kind, new)[1], plain.digest(who)))
             if seen:
                 yield pa.record_batch([pa.array(c) for c in zip(*sorted(seen), strict=True)], schema)
 
     return run
 
 
-def collisions(df: DataFrame, key: bytes = DEMO_KEY, text_col: str = "text") -> DataFrame:
-    """(kind, surrogate, entities) of every surrogate that stands for more than one entity of the corpus: no rows,
-    as long as distinctness holds. Entities travel as keyed digests only."""
+def collisions(df: DataFrame, key: bytes = DEMO_KEY, text_col: str = "text", again: dict[str, int] | None = None) -> DataFrame:
+    """(kind, surrogate, entities, first, last) of every surrogate that stands for more than one entity of the
+    corpus: no rows, as long as distinctness holds. Entities travel as keyed digests only; ``first`` and ``last``
+    are the least and greatest of them."""
     texts = df.select(F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
-    pairs = texts.mapInArrow(_identified(key), "kind string, surrogate string, entity string").distinct()
-    return pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("entities")).filter("entities > 1")
+    pairs = texts.mapInArrow(_identified(key, again or {}), "kind string, surrogate string, entity string").distinct()
+    return pairs.groupBy("kind", "surrogate").agg(
+        F.count("*").alias("entities"), F.min("entity").alias("first"), F.max("entity").alias("last")).filter("entities > 1")
+
+
+def resolved(df: DataFrame, key: bytes = DEMO_KEY, text_col: str = "text") -> dict[str, int]:
+    """How many further steps the surrogates of which entities (by digest) must take so that none is shared.
+
+    Of the entities that share a surrogate the one with the greatest digest goes on to the next surrogate of its
+    form, and the corpus is searched again until no two share one. The permutations leave collisions to what two
+    kinds of writing have in common, so there are few; more than ``REDRAWN`` are an error.
+    """
+    again: dict[str, int] = {}
+    while rows := collisions(df, key, text_col, again).select("last").distinct().limit(REDRAWN + 1).collect():
+        for r in rows:
+            again[r.last] = again.get(r.last, 0) + 1
+        if len(again) > REDRAWN or max(again.values()) > REDRAWN:
+            raise ValueError(f"more than {REDRAWN} entities share surrogates under this key; choose another key")
+    return again
 
 
 def pseudonymise(df: DataFrame, key: bytes = DEMO_KEY, carry: dict[str, Column] | None = None, text_col: str = "text", check: bool = True) -> DataFrame:
@@ -363,17 +403,17 @@ def pseudonymise(df: DataFrame, key: bytes = DEMO_KEY, carry: dict[str, Column]
     new text, comma-joined).
 
     Null texts stay null; texts without entities stay as they are, to the character. Repeated rows get the same
-    text. With ``check`` the corpus is first searched for surrogates that two entities share, which is an error.
+    text; an empty table gives no row. With ``check`` the corpus is first searched for surrogates that two entities
+    share, and these are drawn again (see :func:`resolved`).
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    if check and not collisions(df, key, text_col).isEmpty():
-        raise ValueError("two entities share a surrogate under this key; choose another key")
+    again = resolved(df, key, text_col) if check else {}
     carry = {"doc_id": F.col("doc_id")} if carry is None else carry
     source = df.select(*[c.alias(k) for k, c in carry.items()], F.col(text_col).cast("string").alias("__text"))
     out = StructType(source.schema.fields[:-1] + StructType.fromDDL("text string, n_entities bigint, entities string").fields)
-    return source.mapInArrow(_replaced(key, to_arrow_schema(out)), out)
+    return source.mapInArrow(_replaced(key, again, to_arrow_schema(out)), out)
 
 
 def op8_pii_surrogates(spark, sf_dir: str) -> DataFrame:

@@ -78,13 +78,44 @@ def test_rows(spark):
     assert P.pseudonymise(frame(spark, [])).count() == 0
 
 
-def test_collisions_are_found_and_refused(spark, monkeypatch):
+def test_shared_surrogates_are_drawn_again(spark, monkeypatch):
     df = frame(spark, [(1, "a1@m.example.com and b2@m.example.com", None, None, 0)])
-    assert P.pseudonymise(df).count() == 1
-    broken = spark.createDataFrame([("email", "x", 2)], "kind string, surrogate string, entities bigint")
-    monkeypatch.setattr(P, "collisions", lambda *a: broken)
-    with pytest.raises(ValueError, match="share a surrogate"):
-        P.pseudonymise(df)
+    assert P.resolved(df) == {} and P.pseudonymise(df).count() == 1
+    one = P.Surrogates(P.DEMO_KEY)
+    greater = max(map(one.digest, ("a1@m.example.com", "b2@m.example.com")))
+    calls = []
+
+    def found(df_, key, text_col, again):
+        calls.append(dict(again))
+        rows = [("email", "x", 2, "0", greater)] if not again else []
+        return spark.createDataFrame(rows, "kind string, surrogate string, entities bigint, first string, last string")
+    monkeypatch.setattr(P, "collisions", found)
+    assert P.resolved(df) == {greater: 1} and calls == [{}, {greater: 1}]
+    # The one drawn again takes the next surrogate of its form, the other keeps its own.
+    twice = P.Surrogates(P.DEMO_KEY, {greater: 1})
+    for value in ("a1@m.example.com", "b2@m.example.com"):
+        first = one.of("email", value)[0]
+        want = one.of("email", first)[0] if one.digest(value) == greater else first
+        assert twice.of("email", value)[0] == want and want in P.pseudonymise(df).first().text
+
+
+def test_no_part_of_a_name_stays():
+    for value in ["Иван Ян", "James Øø", "Íé", "Анна Эюя", "Павел Щю", "Иван Ли", "Мария Ан", "Ирина Во", "Çã", "Íñigo", "Ольга Йо"]:
+        new = S.of("name", value)[0]
+        assert not set(new.split()) & set(value.split()) and [len(p) for p in new.split()][-1] == len(value.split()[-1]), (value, new)
+    families = [a + b + c for a in "БВГ" for b in "аеи" for c in ("", "н", "й", "нов", "на", "ко", "ль", "щий", "эв", "ова", "ь")]
+    made = [S.of("name", f)[0] for f in families]
+    assert len(set(made)) == len(families) and not [f for f, m in zip(families, made, strict=True) if f == m]
+
+
+def test_many_findings_in_one_text():
+    import time
+    text = " ".join(f"u{i}@m{i % 50}.example.com" for i in range(100_000))
+    start = time.time()
+    found = P.find(text)
+    assert len(found) == 100_000 and found == sorted(found) and time.time() - start < 60
+    people = " ".join(f"Mr James Ba{'bcdfg'[i % 5]}{'aeiou'[i // 5 % 5]}{'klmn'[i // 25 % 4]}on met {i}." for i in range(20_000))
+    assert sum(k == "name" for _, _, k in P.find(people)) == 20_000
 
 
 def test_later_mentions_by_one_name():
