@@ -45,13 +45,27 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^<
 _ATTR = re.compile(r"(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.IGNORECASE)
 _HOST = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 _NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adverts?|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|gdpr|sidebar|side-bar|"
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|gdpr|sidebar|"
     r"nav|navbar|navigation|menu|breadcrumbs?|comments?|replies|respond|disqus|share|sharing|social|related|"
-    r"newsletter|subscribe|signup|popup|modal|widget|footer|masthead|contentinfo|complementary|search)(?=$|[\s_-])",
-    re.IGNORECASE,
+    r"newsletter|subscribe|signup|popup|modal|widget|footer|masthead|contentinfo|complementary|search"
 )
-#: Classes of articles that tell their subject or the page around them (category-social, no-sidebar), not their part.
-_SUBJECT = re.compile(r"(?:category|tag|topic|type|format|has|no|with|without|status)[-_]", re.IGNORECASE)
+#: Parts of a name that tell where or in what form something stands. Any other part makes the name that of a state
+#: (no-sidebar, comments-off, share-enabled) or a subject (social-policy), which says nothing of what the part is.
+_PLACE = frozenset(
+    "main site page top bottom left right primary secondary global inner outer upper lower container wrapper wrap box bar "
+    "block area section zone list item items link links group panel header head body form button buttons icon icons "
+    "message text inline mobile desktop sticky fixed reader readers user users post article blog entry side".split()
+)
+
+
+def _is_noise(label: str) -> bool:
+    """Whether one of the names (class tokens, id, role) is that of a part around the text: noise words and places only."""
+    for name in label.lower().split():
+        parts = [p for p in re.split(r"[-_\d]+", name.replace("side-bar", "sidebar")) if p]
+        if any(_NOISE.fullmatch(p) for p in parts) and all(p in _PLACE or _NOISE.fullmatch(p) for p in parts):
+            return True
+    return False
+
 
 
 @dataclass
@@ -61,6 +75,7 @@ class Block:
     noise: bool
     main: bool
     other: bool = False  # in an article that by its name is not the page's own
+    aside: bool = False  # noise by its elements, whatever their names
 
 
 @dataclass
@@ -77,6 +92,7 @@ class _Open:
     main: bool
     mute: bool = False  # inline noise: its text is dropped without ending the block
     other: bool = False
+    aside: bool = False
     children: list[str] = field(default_factory=list)
 
 
@@ -98,7 +114,7 @@ def parse(source: str) -> Page:
             buffer.clear()
             if text:
                 top = next(o for o in reversed(stack) if o.tag not in INLINE)
-                page.blocks.append(Block(top.path, text, stack[-1].noise, stack[-1].main, stack[-1].other))
+                page.blocks.append(Block(top.path, text, stack[-1].noise, stack[-1].main, stack[-1].other, stack[-1].aside))
 
     def close(depth: int) -> None:
         while len(stack) > depth:
@@ -158,13 +174,12 @@ def parse(source: str) -> Page:
             path = f"{up_block.path}/{kind}"
         else:
             path = up.path
-        noise = tag in ASIDE or (tag == "header" and not up.main) or "hidden" in names
-        if label and tag not in ("html", "body") and tag not in MAIN:
-            noise = noise or bool(_NOISE.search(label))
-        other = up.other or (tag == "article" and any(_NOISE.search(x) for x in label.split() if not _SUBJECT.match(x)))
+        aside = tag in ASIDE or (tag == "header" and not up.main) or "hidden" in names
+        noise = aside or bool(label and tag not in ("html", "body") and tag not in MAIN and _is_noise(label))
+        other = up.other or bool(tag == "article" and label and _is_noise(label))
         mute = up.mute or (noise and tag in INLINE)
         main = up.main or tag in MAIN or names.get("role") == "main"
-        stack.append(_Open(tag, path, up.noise or noise, main, mute, other))
+        stack.append(_Open(tag, path, up.noise or noise, main, mute, other, up.aside or aside))
         if m[3].endswith("/") and tag in INLINE:
             stack.pop()
     if at < len(source):
@@ -177,9 +192,10 @@ def parse(source: str) -> Page:
 def text_blocks(page: Page) -> list[Block]:
     """The blocks that markup itself does not set aside: those of articles, if there are any.
 
-    Articles that are comments, teasers and the like by their name are left out where other text stands.
+    Articles that are comments, teasers and the like by their name are left out where other text stands. Where
+    names alone would leave nothing, they are not heeded.
     """
-    blocks = [b for b in page.blocks if not b.noise]
+    blocks = [b for b in page.blocks if not b.noise] or [b for b in page.blocks if not b.aside]
     blocks = [b for b in blocks if not b.other] or blocks
     return [b for b in blocks if b.main] if any(b.main for b in blocks) else blocks
 

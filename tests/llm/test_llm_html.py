@@ -95,3 +95,12 @@ def test_articles_that_are_not_the_story():
     assert main_text(parse('<p>around</p><article class="post category-social no-sidebar"><p>story</p></article>')) == "story"
     assert main_text(parse('<main class="search"><p>story</p><article role="complementary">side</article></main>')) == "story"
     assert main_text(parse('<nav>menu</nav><article class="promo"><p>only</p></article>')) == "only"
+
+
+def test_names_of_states_and_subjects_drop_no_story():
+    for open_, close in [('<div class="page no-sidebar"><article>', "</article></div>"), ('<div class="comments-off"><article>', "</article></div>"),
+                         ('<div class="post share-enabled">', "</div>"), ('<section class="social-policy">', "</section>"),
+                         ('<div class="sidebar"><article>', "</article></div>")]:
+        assert main_text(parse(f"<body><nav>menu</nav>{open_}<p>the story</p>{close}<footer>end</footer>")) == "the story"
+    for name in ["ad", "site-footer", "main-nav", "cookie-banner", "post-comments", "side-bar", "sidebar-2", "Share_Buttons", "reader-comments box"]:
+        assert main_text(parse(f'<p>story</p><div class="{name}">around</div>')) == "story", name
