@@ -1,8 +1,11 @@
 """Main text of web pages by a site style tree.
 
 Pages of a host share templates. Their element paths are merged into one tree per host, kept as one row per host
-and path. Two entropies say how much a path matters: of the child sequences that its pages show (presentation)
-and of the texts that stand there (content). A text that every page repeats tells nothing; texts of their own do.
+and path. Two entropies say how much a path matters: of the shapes that its pages show, child sequences and length
+of text (presentation), and of the texts that stand there (content). A text that every page repeats tells nothing;
+texts of their own do. The elements around all text of a host are its frame; what hangs from the frame is a branch,
+and a branch whose every part has one shape on all pages is a slot of the template, whatever words fill it. The
+importance of a text is its content times the presentation of its branch.
 Copies of one page are one witness: pages of a host that hold the same text blocks count once in the entropies.
 Paths of low importance are left out of each page, besides the parts that markup itself names as menus, adverts,
 forms and the like.
@@ -22,11 +25,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from flightlake.llm.storage import landed
 from flightlake.llm.text import table
 
-#: Share of the content in a path's importance; the rest is the presentation of the element around it.
-CONTENT_SHARE = 0.9
-#: Paths less important than this go, where at least so many pages of the host, copies aside, show them.
-THRESHOLD, EVIDENCE = 0.3, 10
+#: Texts of less importance go, where at least so many pages of the host, copies aside, show them: in a branch that has
+#: fewer than about three shapes in common use.
+THRESHOLD, EVIDENCE = 0.7, 10
+#: Texts of less content than this are repeated by the host's pages and go from articles, too.
+REPEATED = 0.3
+#: The length of a text is taken in steps of so many words.
+LENGTH_STEP = 16
 FLUSH = 200_000
+#: Longer paths keep their first elements, so that deep nesting costs memory in proportion to its depth.
+PATH_CHARS, PATH_HEAD = 1024, 512
 
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -96,6 +104,16 @@ class _Open:
     children: list[str] = field(default_factory=list)
 
 
+def _below(path: str, kind: str) -> str:
+    """The path of an element: the middle of long ones stands as a hash."""
+    if len(path) > PATH_CHARS:
+        from xxhash import xxh64_hexdigest
+
+        head = path[: max(path.rfind("/", 0, PATH_HEAD), 0)]
+        path = f"{head}/~{xxh64_hexdigest(path[len(head) :])}"
+    return f"{path}/{kind}"
+
+
 def host_of(url: str | None) -> str:
     m = _HOST.match(url or "")
     return m[1].lower() if m else ""
@@ -171,7 +189,7 @@ def parse(source: str) -> Page:
         if tag not in INLINE:
             up_block = next(o for o in reversed(stack) if o.tag not in INLINE)
             up_block.children.append(kind)
-            path = f"{up_block.path}/{kind}"
+            path = _below(up_block.path, kind)
         else:
             path = up.path
         aside = tag in ASIDE or (tag == "header" and not up.main) or "hidden" in names
@@ -186,9 +204,18 @@ def parse(source: str) -> Page:
         buffer.append(source[at:])
     flush()
     close(1)
+    page.styles.setdefault("", []).append(tuple(stack[0].children))
     return page
 
 
+def shapes(page: Page) -> dict[str, tuple]:
+    """What each path shows on the page, whatever the words: the child sequences, and the length of its text in steps."""
+    words: dict[str, int] = {}
+    for b in page.blocks:
+        words[b.path] = words.get(b.path, 0) + len(b.text.split())
+    return {path: (shown, words.get(path, 0) // LENGTH_STEP) for path, shown in page.styles.items()}
+
+
 def text_blocks(page: Page) -> list[Block]:
     """The blocks that markup itself does not set aside: those of articles, if there are any.
 
@@ -200,25 +227,41 @@ def text_blocks(page: Page) -> list[Block]:
     return [b for b in blocks if b.main] if any(b.main for b in blocks) else blocks
 
 
-def main_text(page: Page, low: frozenset[str] = frozenset()) -> str:
-    """The page's main text without the paths in ``low``; these stay if nothing else would be left.
+def main_text(page: Page, low: frozenset[str] = frozenset(), fixed: frozenset[str] = frozenset(), names: bool = True) -> str:
+    """The page's main text without the paths in ``low`` (texts that pages repeat) and ``fixed`` (branches of one shape).
 
-    Headings of an article stay beside its text, however often a site reuses their words.
+    In articles the markup itself says that a branch is the page's own: only ``low`` counts there. Headings of an
+    article stay beside its text, however often a site reuses their words, and no heading goes for its shape.
+    Where all would go, ``fixed`` and then ``low`` are not heeded. Without ``names`` the tree alone decides:
+    elements, class names and articles are not looked at.
     """
-    blocks = text_blocks(page)
-    if any(b.path not in low for b in blocks):
-        blocks = [b for b in blocks if b.path not in low or (b.main and HEADING.search(b.path))]
+    blocks = text_blocks(page) if names else page.blocks
+
+    def kept(b: Block, fixed: frozenset[str]) -> bool:
+        heading = names and HEADING.search(b.path)
+        if b.path in low and not (heading and b.main):
+            return False
+        return b.path not in fixed or bool(heading) or (names and b.main)
+
+    for paths in (fixed, frozenset()):
+        if any(b.path not in low and kept(b, paths) for b in blocks):
+            blocks = [b for b in blocks if kept(b, paths)]
+            break
     return " ".join(b.text for b in blocks)
 
 
+#: What a page shows at a path: a shape, a text, or that there is text.
+SHAPE, TEXT, ANY_TEXT = 0, 1, 2
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Child sequences and texts by path of each content that this task meets on a host, and the pages that hold it.
+    """Shapes and texts by path of each content that this task meets on a host, and the pages that hold it.
 
     Where pages of one content differ in other parts, the one of the lowest hash speaks for them.
     """
     from xxhash import xxh64_intdigest
 
-    shown = pa.struct([("path", pa.string()), ("is_text", pa.bool_()), ("value", pa.int64())])
+    shown = pa.struct([("path", pa.string()), ("kind", pa.int8()), ("value", pa.int64())])
     schema = pa.schema([("host", pa.string()), ("print", pa.int64()), ("n", pa.int64()), ("order", pa.int64()), ("shown", pa.list_(shown))])
     kept: dict[tuple, list] = {}
     size = 0
@@ -230,8 +273,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         host, content = zip(*kept, strict=True)
         n, order, features = zip(*kept.values(), strict=True)
         starts = np.cumsum([0, *map(len, features)])
-        path, is_text, value = zip(*[x for f in features for x in f], strict=True) if starts[-1] else ((), (), ())
-        flat = pa.StructArray.from_arrays([pa.array(path, pa.string()), pa.array(is_text, pa.bool_()), pa.array(value, pa.int64())], fields=list(shown))
+        path, kind, value = zip(*[x for f in features for x in f], strict=True) if starts[-1] else ((), (), ())
+        flat = pa.StructArray.from_arrays([pa.array(path, pa.string()), pa.array(kind, pa.int8()), pa.array(value, pa.int64())], fields=list(shown))
         cols = [pa.array(host), pa.array(content, pa.int64()), pa.array(n, pa.int64()), pa.array(order, pa.int64())]
         return pa.record_batch([*cols, pa.ListArray.from_arrays(pa.array(starts, pa.int32()), flat)], schema)
 
@@ -242,8 +285,9 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             page = parse(source)
             key = host, signed(repr([(b.path, b.text) for b in text_blocks(page)]))
-            seen = {(path, False, signed(repr(shown))) for path, shown in page.styles.items()}
-            seen = sorted(seen | {(b.path, True, signed(b.text)) for b in page.blocks})
+            seen = {(path, SHAPE, signed(repr(shown))) for path, shown in shapes(page).items()}
+            seen |= {(b.path, TEXT, signed(b.text)) for b in page.blocks}
+            seen = sorted(seen | {(b.path, ANY_TEXT, 0) for b in page.blocks})
             order = signed(repr(seen))
             before = kept.get(key)
             if before is None:
@@ -262,54 +306,72 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per host and path: pages, contents (pages without copies), presentation, content and importance, each
-    of the last three 0 to 1.
-
-    With one content there is no evidence and importance is 1. Content is null where no text stands.
+    """One row per host and path: pages, contents (pages without copies), presentation, content, branch, shape and
+    importance; the numbers but the counts are 0 to 1.
+
+    presentation: 1 - exp(-H), H the entropy of the path's shapes; e^H is the number of shapes in common use, which does
+    not change with the number of pages. content: 1 minus the mean over the path's distinct texts of ln(contents that
+    hold it) / ln(contents); null where no text stands. The frame: the elements shared by all paths of text that half the
+    host's contents show. branch: the path's first element below the frame; elements of the frame, and a sole such path, are
+    branches of their own. shape: the largest presentation in the branch. importance: content times shape; the shape
+    where no text stands. With one content there is no evidence: all are 1.
     """
     c = F.col
     source = pages.select(c(url_col).cast("string").alias("url"), c(html_col).cast("string").alias("html"))
-    shown = "array<struct<path: string, is_text: boolean, value: bigint>>"
+    shown = "array<struct<path: string, kind: tinyint, value: bigint>>"
     found = source.mapInArrow(_features, f"host string, print bigint, n bigint, order bigint, shown {shown}")
     found = found.groupBy("host", "print").agg(F.sum("n").alias("copies"), F.min(F.struct("order", "shown")).alias("first"))
-    found = found.select("host", "copies", F.inline("first.shown")).groupBy("host", "path", "is_text", "value").agg(
+    found = found.select("host", "copies", F.inline("first.shown")).groupBy("host", "path", "kind", "value").agg(
         F.sum("copies").alias("copies"), F.count("*").alias("n")
     )
-    style, text, log_n = ~c("is_text"), c("is_text"), F.ln("n")
+    style, text, log_n = c("kind") == SHAPE, c("kind") == TEXT, F.ln("n")
     nodes = found.groupBy("host", "path").agg(
         F.sum(F.when(style, c("copies"))).alias("pages"),
         F.sum(F.when(style, c("n"))).alias("contents"),
         F.sum(F.when(style, c("n") * log_n)).alias("spread"),
         F.avg(F.when(text, log_n)).alias("repeated"),
+        F.sum(F.when(c("kind") == ANY_TEXT, c("n"))).alias("with_text"),
     )
     scale = F.ln("contents")
     part = lambda x: F.when(c("contents") > 1, x).otherwise(F.lit(1.0))
     nodes = nodes.select(
-        "host", "path", "pages", "contents", part((scale - c("spread") / c("contents")) / scale).alias("presentation"),
-        F.when(c("repeated").isNotNull(), part(1 - c("repeated") / scale)).alias("content"),
+        "host", "path", "pages", "contents", part(F.greatest(F.lit(0.0), 1 - F.exp(c("spread") / c("contents") - scale))).alias("presentation"),
+        F.when(c("repeated").isNotNull(), part(1 - c("repeated") / scale)).alias("content"), F.split("path", "/").alias("steps"), "with_text",
     )
-    nodes = landed(nodes, "style-tree")  # read twice below: without it the pages would be parsed twice
-    around = nodes.select("host", c("path").alias("parent"), c("presentation").alias("around"))
-    nodes = nodes.withColumn("parent", F.regexp_replace("path", r"/[^/]*$", ""))
-    importance = (1 - CONTENT_SHARE) * F.coalesce("around", F.lit(0.0)) + CONTENT_SHARE * F.coalesce("content", c("presentation"))
-    importance = F.when(c("contents") > 1, importance).otherwise(F.lit(1.0)).alias("importance")
-    return nodes.join(around, ["host", "parent"], "left").select("host", "path", "pages", "contents", "presentation", "content", importance)
-
-
-def low_paths(tree: DataFrame, threshold: float = THRESHOLD, evidence: int = EVIDENCE) -> DataFrame:
-    """(host, low): the text paths of each host that matter too little."""
+    nodes = landed(nodes, "style-tree")  # read several times below: without it the pages would be parsed as often
+    common = nodes.join(nodes.filter(c("path") == "").select("host", c("contents").alias("of_host")), "host")
+    common = common.filter(2 * c("with_text") >= c("of_host"))
+    # The elements that the first and the last of sorted paths share are those that all of them share.
+    frame = common.groupBy("host").agg(F.min("steps").alias("lo"), F.max("steps").alias("hi"))
+    apart = F.expr("array_position(zip_with(lo, hi, (a, b) -> coalesce(a = b, false)), false)")
+    shared = F.when(apart > 0, apart - 1).otherwise(F.size("lo") - 1)
+    nodes = nodes.join(frame.select("host", shared.cast("int").alias("depth")), "host", "left")
+    nodes = nodes.withColumn("branch", F.array_join(F.slice("steps", 1, F.coalesce("depth", F.lit(0)) + 1), "/"))
+    branches = nodes.groupBy("host", "branch").agg(F.max("presentation").alias("shape"))
+    nodes = nodes.join(branches, ["host", "branch"])
+    importance = part(F.coalesce("content", F.lit(1.0)) * c("shape")).alias("importance")
+    return nodes.select("host", "path", "pages", "contents", "presentation", "content", "branch", "shape", importance)
+
+
+def low_paths(tree: DataFrame, threshold: float = THRESHOLD, repeated: float = REPEATED, evidence: int = EVIDENCE) -> DataFrame:
+    """(host, low, fixed): the text paths of each host that matter too little: those whose texts repeat, and those
+    that do for the shape of their branch."""
     few = tree.filter((F.col("importance") < threshold) & (F.col("contents") >= evidence) & F.col("content").isNotNull())
-    return few.groupBy("host").agg(F.collect_set("path").alias("low"))
+    repeats = F.col("content") < repeated
+    few = few.groupBy("host").agg(
+        F.collect_list(F.when(repeats, F.col("path"))).alias("low"), F.collect_list(F.when(~repeats, F.col("path"))).alias("fixed")
+    )
+    return few.select("host", F.array_sort("low").alias("low"), F.array_sort("fixed").alias("fixed"))
 
 
-def _extract(schema: pa.Schema):
+def _extract(schema: pa.Schema, names: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
             sets: dict[tuple, frozenset] = {}
-            for source, low in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                key = tuple(low or ())
-                texts.append(main_text(parse(source or ""), sets.setdefault(key, frozenset(key))))
+            for source, *paths in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                keys = [tuple(p or ()) for p in paths]
+                texts.append(main_text(parse(source or ""), *[sets.setdefault(k, frozenset(k)) for k in keys], names=names))
             sizes = pa.array([len(t) for t in texts], pa.int64())
             cols = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), sizes]
             yield pa.record_batch([x.cast(t) for x, t in zip(cols, schema.types, strict=True)], schema)
@@ -321,8 +383,8 @@ def _host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, text and n_chars (code points) of every page.
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", names: bool = True) -> DataFrame:
+    """page_id, url, text and n_chars (code points) of every page. Without ``names`` the tree alone decides.
 
     Null or empty html gives empty text. Pages without a host are read without a tree. Repeated rows are each
     extracted. Two passes read the pages: one for the tree, one for the texts;
@@ -336,10 +398,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     # so that pages stay where they are; a large one costs a shuffle by host.
     low = landed(low_paths(style_tree(pages, url_col, html_col)), "low-paths")
     source = pages.select(c(id_col).alias("page_id"), c(url_col).cast("string").alias("url"), c(html_col).cast("string").alias("html"))
-    joined = source.withColumn("host", _host(c("url"))).join(low, "host", "left").select("page_id", "url", "html", "low")
+    joined = source.withColumn("host", _host(c("url"))).join(low, "host", "left").select("page_id", "url", "html", "low", "fixed")
     ddl = f"page_id {source.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars bigint"
-    return joined.mapInArrow(_extract(to_arrow_schema(StructType.fromDDL(ddl))), ddl)
+    return joined.mapInArrow(_extract(to_arrow_schema(StructType.fromDDL(ddl)), names), ddl)
 
 
 def op5_html_extraction(spark, sf_dir: str) -> DataFrame:
+    """Main text of all ``pages``. Null html gives empty text, a null or odd url a page without a tree."""
     return extract(table(spark, sf_dir, "pages"))
