@@ -28,8 +28,10 @@ from flightlake.functions.scalar import (
 )
 from flightlake.operators.ranks import with_sum_before
 
+# ---- fixed values: columns that frame preparation reads as numbers, and those without which a row goes ----
 PREPARE_NUMERIC = ["latitude", "longitude", "geo_altitude", "velocity", "vertical_rate"]
 PREPARE_REQUIRED = ["geo_altitude", "velocity", "vertical_rate"]
+# ---- end of fixed values ----
 ROUND = 6
 
 
@@ -208,7 +210,9 @@ def category_codes(enriched: DataFrame) -> DataFrame:
                                                             "desc_code")
 
 
+# ---- fixed values: axes of the category profile, in order ----
 PROFILE_METRICS = ["avg_velocity", "avg_altitude", "avg_climb_rate", "aircraft_count"]
+# ---- end of fixed values ----
 
 
 def category_profile(enriched: DataFrame) -> DataFrame:

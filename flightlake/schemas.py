@@ -59,7 +59,7 @@ AIRCRAFT_TYPE = T.StructType([
     for name in ["Designator", "ModelFullName", "AircraftDescription", "Description", "WTC"]
 ])
 
-# Columns of the enriched table, in output order.
+# ---- fixed values: columns of the enriched table, in output order, and the Isolation Forest features ----
 ENRICHED_OBSERVATION_COLUMNS = [
     "obs_id", "icao24", "origin_country", "time_position", "last_contact", "longitude", "latitude",
     "baro_altitude", "geo_altitude", "on_ground", "velocity", "true_track", "vertical_rate", "squawk",
@@ -71,5 +71,5 @@ ENRICHED_DERIVED_COLUMNS = ["climb_rate_ratio", "altitude_km"]
 ENRICHED_COLUMNS = (ENRICHED_OBSERVATION_COLUMNS + ENRICHED_AIRFRAME_COLUMNS
                     + ENRICHED_TYPE_COLUMNS + ENRICHED_DERIVED_COLUMNS)
 
-# Isolation Forest features.
 FEATURES = ["latitude", "longitude", "baro_altitude", "velocity", "vertical_rate"]
+# ---- end of fixed values ----

@@ -38,9 +38,11 @@ MAX_AGE_MINUTES = 9.0     # records this old or older are dropped before windowi
 # ---- end of fixed values ----
 BUCKETS = None  # default: spark.sql.shuffle.partitions, so one window spreads over every state partition
 log = logging.getLogger("flightlake.streaming")
+# ---- fixed values: columns of a raw window ----
 RAW_COLUMNS = ["obs_id", "icao24", "callsign", "origin_country", "time_position", "last_contact", "longitude",
                "latitude", "baro_altitude", "on_ground", "velocity", "true_track", "vertical_rate", "geo_altitude",
                "squawk", "spi", "position_source", "snapshot_ts"]
+# ---- end of fixed values ----
 
 
 def recent_only(obs: DataFrame, max_age_minutes: float = MAX_AGE_MINUTES, now=None) -> DataFrame:
