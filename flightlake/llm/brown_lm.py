@@ -546,5 +546,6 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def op10_brown_lm_scoring(spark, sf_dir: str) -> DataFrame:
+    """All ``documents`` scored by a model of those not held out; see :func:`score_all_words`."""
     docs = table(spark, sf_dir, "documents")
     return score_all_words(docs, ~held_out(), {"doc_id": F.col("doc_id"), "held_out": held_out()})

@@ -160,6 +160,7 @@ def decontaminate(
 
 
 def op9_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
+    """Windows of ``benchmark`` items in all ``documents``; see :func:`contamination`."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 

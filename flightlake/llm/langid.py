@@ -203,6 +203,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:
+    """Language of every text of ``documents``, learned from rows not held out; see :func:`identify`."""
     docs = table(spark, sf_dir, "documents")
     model = train(docs.filter(~held_out()))
     return identify(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out()})

@@ -145,7 +145,7 @@ def license_scan(
 
     The base columns tell where the phrases stand; ``labels`` adds those of matching templates; ``score`` is the
     best containment, 1 where a phrase stands, else 0. Null texts count as empty. Rows that share id and text get
-    the same labels and stay as many as they are.
+    the same labels and stay as many as they are. An empty table gives no rows.
     """
     c = F.col
     texts = df.select(c(id_col).alias("doc_id"), F.coalesce(c(text_col), F.lit("")).alias("text")).withColumn("print", F.xxhash64("text"))
@@ -166,6 +166,7 @@ def license_scan(
 
 
 def op1_license_scans(spark, sf_dir: str) -> DataFrame:
+    """Licence notices in all ``documents``; see :func:`license_scan`."""
     return license_scan(table(spark, sf_dir, "documents"))
 
 

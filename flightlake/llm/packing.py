@@ -251,4 +251,5 @@ def public_tokenizer() -> str:
 
 
 def op6_best_fit_packing(spark, sf_dir: str) -> DataFrame:
+    """All ``documents`` in sequences of at most 4096 tokens; see :func:`pack`."""
     return pack(table(spark, sf_dir, "documents"), public_tokenizer())

@@ -417,4 +417,5 @@ def pseudonymise(df: DataFrame, key: bytes = DEMO_KEY, carry: dict[str, Column]
 
 
 def op8_pii_surrogates(spark, sf_dir: str) -> DataFrame:
+    """Personal data of all ``documents`` replaced; see :func:`pseudonymise`."""
     return pseudonymise(table(spark, sf_dir, "documents"))

@@ -157,6 +157,7 @@ def quality_rules(
 
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
+    """Base counts and verdict for every text of ``documents``; see :func:`quality_rules`."""
     from flightlake.llm.text import table
 
     out = quality_rules(table(spark, sf_dir, "documents"))

@@ -174,6 +174,7 @@ def scan(df: DataFrame, models: Models, margin: float = MARGIN, id_col: str = "d
 
 
 def op3_secret_scans(spark, sf_dir: str) -> DataFrame:
+    """Secrets in all ``documents``, by models learned from them; see :func:`scan`."""
     docs = table(spark, sf_dir, "documents")
     out = scan(docs, train(docs))
     return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov")

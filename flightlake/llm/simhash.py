@@ -242,4 +242,5 @@ def keep_one(
 
 
 def op4_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of all ``documents``; see :func:`simhash_groups`."""
     return simhash_groups(table(spark, sf_dir, "documents"))
