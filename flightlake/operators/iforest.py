@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightlake.operators.profiles import dropna_any
-from flightlake.operators.quantile import exact_quantile
+from flightlake.operators.selection import selected_quantile
 from flightlake.schemas import FEATURES
 from flightlake.session import shared_root
 
@@ -189,7 +189,7 @@ def score(df: DataFrame, model: IsolationForestModel, id_col: str = "obs_id", ke
 
 def label(scored: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
     """Adds ``anomaly``: -1 when -score is strictly below the contamination quantile, else 1."""
-    offset = exact_quantile(scored.select((-F.col("score")).alias("neg_score")), "neg_score", contamination)
+    offset = selected_quantile(scored.select((-F.col("score")).alias("neg_score")), "neg_score", contamination)
     if offset is None:
         return scored.withColumn("anomaly", F.lit(1))
     return scored.withColumn("anomaly", F.when(-F.col("score") < F.lit(offset), F.lit(-1)).otherwise(F.lit(1)))

@@ -27,6 +27,7 @@ from flightlake.functions.scalar import (
     vertical_status_labels,
 )
 from flightlake.operators.ranks import with_sum_before
+from flightlake.operators.selection import first_rows
 
 # ---- fixed values: columns that frame preparation reads as numbers, and those without which a row goes ----
 PREPARE_NUMERIC = ["latitude", "longitude", "geo_altitude", "velocity", "vertical_rate"]
@@ -261,8 +262,8 @@ def stable_fraction(key_col: str, seed: int = 42):
 
 def stable_head(df: DataFrame, n: int, key_col: str = "obs_id", seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows: those that come first by their stable fraction (ties by key; of
-    equal rows as many as there is room for)."""
-    return df.orderBy(stable_fraction(key_col, seed), key_col).limit(n)
+    equal rows as many as there is room for). The edge is selected, not sorted for; jobs run when this is called."""
+    return first_rows(df, n, stable_fraction(key_col, seed), key_col)
 
 
 def hash_sample(df: DataFrame, fraction: float, key_col: str = "obs_id", seed: int = 42) -> DataFrame:

@@ -18,7 +18,7 @@ from flightlake.operators import density as dn
 from flightlake.operators import enrich as en
 from flightlake.operators import iforest as isf
 from flightlake.operators import profiles as pf
-from flightlake.operators import quantile as qt
+from flightlake.operators import selection as sel
 from flightlake.plans import incremental as inc
 from flightlake.plans import refresh as rf
 from flightlake.plans import roles
@@ -190,6 +190,42 @@ def q_table_profile(spark, sf_dir):
     return cat.frame_profile({"states": st, "airframes": af, "models": md, "enriched_aircraft_states": en.enrich(st, af, md)})
 
 
+def _catalog(spark, sf_dir) -> list[str]:
+    """The role tables under their names in the session's catalog."""
+    tables = dict(zip(("states", "airframes", "models"), _dims(spark, sf_dir)))
+    for name, frame in tables.items():
+        frame.createOrReplaceTempView(name)
+    return list(tables)
+
+
+@register("table_list")
+def q_table_list(spark, sf_dir):
+    return cat.table_list(spark, _catalog(spark, sf_dir))
+
+
+@register("table_preview")
+def q_table_preview(spark, sf_dir):
+    """The first rows of the observations, a limit that is the feature."""
+    _catalog(spark, sf_dir)
+    return cat.preview(spark, "states", 10, ["obs_id"]).select("obs_id", "icao24", "origin_country", "velocity", "snapshot_ts")
+
+
+@register("vertical_status_titled")
+def q_vertical_status_titled(spark, sf_dir):
+    """Vertical movement with the chart's time label, the earliest poll."""
+    frame = prepared(spark, sf_dir)
+    return pf.vertical_status_counts(frame).withColumn("time_label", F.lit(pf.snapshot_time_label(frame)))
+
+
+@register("window_bounds")
+def q_window_bounds(spark, sf_dir):
+    """Window bounds as the stream engine sends them, in epoch milliseconds, read as times."""
+    sent = roles.states(spark, sf_dir).select((F.col("window_start") * 1000).alias("start_ms"), (F.col("window_end") * 1000).alias("end_ms"))
+    return sent.groupBy("start_ms", "end_ms").agg(F.count(F.lit(1)).alias("n")).select(
+        "start_ms", fx.epoch_millis_to_timestamp_ntz("start_ms").alias("window_start"),
+        fx.epoch_millis_to_timestamp_ntz("end_ms").alias("window_end"), "n")
+
+
 @register("prepared_sample")
 def q_prepared_sample(spark, sf_dir):
     """Frame preparation with its row limit: a seeded sample of fixed size."""
@@ -248,11 +284,23 @@ def q_window_files(spark, sf_dir):
 @register("wtc_speed_quartiles")
 def q_wtc_speed_quartiles(spark, sf_dir):
     sup = pf.wtc_supported(prepared(spark, sf_dir))
-    q = qt.exact_quantiles(sup, "velocity", [0.25, 0.5, 0.75], group_cols=["WTC"])
+    q = sel.selected_quantiles(sup, "velocity", [0.25, 0.5, 0.75], group_cols=["WTC"])
     qs = [F.round(F.col("qs")[i], 6).alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
     return q.select("WTC", fx.label_ordinal("WTC", fx.WTC_ORDER).alias("wtc_order"), "n", *qs)
 
 
+@register("country_quantiles")
+def q_country_quantiles(spark, sf_dir):
+    """Quantiles of speed and of barometric altitude for each country of origin, from a sketch and counts."""
+    st, probs = roles.states(spark, sf_dir), {"q01": 0.01, "q50": 0.5, "q99": 0.99}
+    parts = []
+    for metric in ("velocity", "baro_altitude"):
+        q = sel.selected_quantiles(st, metric, list(probs.values()), ["origin_country"])
+        parts.append(q.select("origin_country", F.lit(metric).alias("metric"), "n",
+                              *[F.round(F.col("qs")[i], 6).alias(name) for i, name in enumerate(probs)]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("wtc_speed_density")
 def q_wtc_speed_density(spark, sf_dir):
     return dn.kde_1d_by_group(pf.wtc_supported(prepared(spark, sf_dir)), "WTC", "velocity")
