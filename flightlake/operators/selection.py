@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from flightlake.operators.ranks import with_sum_before
 from flightlake.session import shared_path
 
-GATHER = 10_000  # rows of one bracket that are put in order
+GATHER = 250_000  # rows of one bracket that are put in order, by one task
 SKETCH = 4096  # size of the sketch: its rank error is about 0.1 %
 PIVOTS = 512  # evenly spaced values read from a sketch
 SLACK = 2  # pivots by which a bracket is wider than the rank asks for
@@ -29,12 +29,6 @@ def _landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _inside(i: int) -> Column:
-    """The value lies between the ends of bracket ``i``, which are open; null is no end."""
-    v = F.col("v")
-    return F.coalesce(v > F.col(f"lo{i}"), F.lit(True)) & F.coalesce(v < F.col(f"hi{i}"), F.lit(True))
-
-
 def _join(values: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
     same = F.lit(True)
     for k in keys:
@@ -106,11 +100,12 @@ def _narrow(values: DataFrame, cut: DataFrame, keys: list[str], count: int) -> D
 
 def _ordered(values: DataFrame, state: DataFrame, keys: list[str], count: int) -> DataFrame:
     """The values at the ranks whose brackets are small: rows of a bracket are combined by value and put in order."""
-    cells = F.array_distinct(F.array_compact(F.array(*[
-        F.when(F.col(f"found{i}").isNull() & _inside(i), F.struct(F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi")))
-        for i in range(count)])))
-    rows = _join(values, state, keys).select(*keys, "v", F.explode(cells).alias("cell"))
-    weighted = rows.groupBy(*keys, "cell.lo", "cell.hi", "v").agg(F.count(F.lit(1)).alias("w"))
+    brackets = [F.when(F.col(f"found{i}").isNull(), F.struct(F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi"))) for i in range(count)]
+    cells = state.select(*keys, F.array_distinct(F.array_compact(F.array(*brackets))).alias("cells"))
+    lo, hi, v = F.col("cell.lo"), F.col("cell.hi"), F.col("v")
+    rows = _join(values, cells, keys).select(*keys, "v", F.explode("cells").alias("cell"))
+    rows = rows.filter((lo.isNull() | (v > lo)) & (hi.isNull() | (v < hi)))
+    weighted = rows.groupBy(*keys, lo.alias("lo"), hi.alias("hi"), "v").agg(F.count(F.lit(1)).alias("w"))
     upto = Window.partitionBy(*keys, "lo", "hi").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     placed = weighted.withColumn("before", F.coalesce(F.sum("w").over(upto), F.lit(0)))
     # Every bracket that holds an unfound rank has rows, and so has its group.

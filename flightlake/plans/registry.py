@@ -291,11 +291,12 @@ def q_wtc_speed_quartiles(spark, sf_dir):
 
 @register("country_quantiles")
 def q_country_quantiles(spark, sf_dir):
-    """Quantiles of speed and of barometric altitude for each country of origin, from a sketch and counts."""
+    """Quantiles of speed and of barometric altitude for each country of origin, from a sketch and counts
+    (with brackets so small that they are narrowed on small tables too)."""
     st, probs = roles.states(spark, sf_dir), {"q01": 0.01, "q50": 0.5, "q99": 0.99}
     parts = []
     for metric in ("velocity", "baro_altitude"):
-        q = sel.selected_quantiles(st, metric, list(probs.values()), ["origin_country"])
+        q = sel.selected_quantiles(st, metric, list(probs.values()), ["origin_country"], gather=1000)
         parts.append(q.select("origin_country", F.lit(metric).alias("metric"), "n",
                               *[F.round(F.col("qs")[i], 6).alias(name) for i, name in enumerate(probs)]))
     return reduce(DataFrame.unionByName, parts)

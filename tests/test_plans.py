@@ -16,7 +16,7 @@ EAGER = {"stream_window_summary", "stream_windows", "stream_batches", "window_re
 QUERIES = {k: v for k, v in entry.queries().items() if k not in EAGER and k in REGISTERED}
 # queries that fit a model or materialise a ranking, or whose result depends on collected scalars
 FITTED = {"iforest_scores", "iforest_anomalies", "anomaly_map", "category_codes", "wtc_speed_quartiles", "density_grid",
-          "speed_histogram", "table_profile"}
+          "speed_histogram", "table_profile", "country_quantiles", "prepared_sample", "vertical_status_titled", "table_list"}
 
 
 def plan_text(df):
