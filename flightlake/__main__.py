@@ -30,6 +30,7 @@ def main(argv=None) -> int:
     r.add_argument("--airframes", required=True)
     r.add_argument("--models", required=True)
     r.add_argument("--out", required=True)
+    r.add_argument("--published", action="store_true", help="publish all outputs in one step, as a version under --out")
     i = sub.add_parser("inspect", help="row counts and columns of Parquet tables")
     i.add_argument("--table", action="append", required=True, help="NAME=PATH")
     i.add_argument("--preview", type=int, default=0)
@@ -57,10 +58,13 @@ def main(argv=None) -> int:
         from flightlake.plans import refresh as rf
         from flightlake.sources import windows
         af, md = windows.read_airframes_csv(spark, args.airframes), windows.read_models_csv(spark, args.models)
-        if args.windows:
-            out = rf.refresh_from_windows(spark, args.windows, af, md, args.out)
-        else:
-            out = rf.refresh_from_window_files(spark, args.window_files, af, md, args.out)
+
+        def job(folder):
+            if args.windows:
+                return rf.refresh_from_windows(spark, args.windows, af, md, folder)
+            return rf.refresh_from_window_files(spark, args.window_files, af, md, folder)
+
+        out = rf.published(spark, args.out, job) if args.published else job(args.out)
         for row in out.collect():
             print(f"{row.output}\t{row.rows}")
     else:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from flightlake.operators import density as dn
 from flightlake.operators import enrich as en
 from flightlake.operators import iforest as isf
 from flightlake.operators import profiles as pf
+from flightlake.sources import versions
 from flightlake.sources.windows import write_table
 
 log = logging.getLogger("flightlake.refresh")
@@ -62,6 +64,27 @@ def refresh(spark: SparkSession, states: DataFrame, airframes: DataFrame, models
     return out
 
 
+def published(spark: SparkSession, root: str, job: Callable[[str], DataFrame], keep: int = 2) -> DataFrame:
+    """Run a refresh ``job(folder)`` and publish all it wrote in one step; its ``(output, rows)`` is returned.
+
+    Readers (:func:`read_published`) see the outputs of the run before or of this one, never some of each, and a run
+    that fails changes nothing. The folders of the ``keep`` newest versions stay.
+    """
+    version = versions.begin(spark, root)
+    done = job(version.folder)
+    versions.commit(spark, root, version)
+    versions.vacuum(spark, root, keep)
+    return done
+
+
+def read_published(spark: SparkSession, root: str, output: str) -> DataFrame:
+    """One output of the newest published refresh."""
+    version = versions.current(spark, root)
+    if version is None:
+        raise ValueError(f"no refresh was published at {root}")
+    return spark.read.parquet(f"{version.folder}/{output}")
+
+
 def refresh_window(spark: SparkSession, window: DataFrame, airframes: DataFrame, models: DataFrame,
                    out_root: str) -> DataFrame:
     """Enrichment and anomalies for one window's observations; one row per written output."""

@@ -546,7 +546,7 @@ def q_window_refresh(spark, sf_dir):
 @register("full_refresh")
 def q_full_refresh(spark, sf_dir):
     st, af, md = _dims(spark, sf_dir)
-    return rf.refresh(spark, st, af, md, shared_path(spark, "refresh"))
+    return rf.published(spark, shared_path(spark, "refresh"), lambda folder: rf.refresh(spark, st, af, md, folder))
 
 
 REFRESH_RUNS = 3

@@ -105,3 +105,27 @@ def test_cli_stream_once(tmpdir_path):
     assert out.returncode == 0, out.stderr[-3000:]
     summary = pq.read_table(os.path.join(tmpdir_path, "win", "summary")).to_pandas()
     assert sorted(zip(summary.window_start - base, summary.n_obs)) == [(0, 3), (180, 1)]
+
+
+def test_outputs_are_published_together(spark):
+    import pytest
+
+    st, af, md = roles.states(spark, SF001), roles.airframes(spark, SF001), roles.models(spark, SF001)
+    root = shared_path(spark, "t-published")
+    with pytest.raises(ValueError):
+        refresh.read_published(spark, root, "window_anomalies")
+    early = st.filter("obs_id % 2 = 0")
+    refresh.published(spark, root, lambda folder: refresh.refresh_window(spark, early, af, md, folder))
+    read = lambda: refresh.read_published(spark, root, "window_anomaly_scores")
+    held, n_early = read(), read().count()
+
+    def fails(folder):
+        refresh.refresh_window(spark, st, af, md, folder)
+        raise RuntimeError("stopped before its end")
+
+    with pytest.raises(RuntimeError, match="stopped before its end"):
+        refresh.published(spark, root, fails)
+    assert read().count() == n_early
+    done = {r.output: r.rows for r in refresh.published(spark, root, lambda folder: refresh.refresh_window(spark, st, af, md, folder)).collect()}
+    assert read().count() == done["window_anomaly_scores"] > n_early
+    assert held.count() == n_early  # planned before the switch: its folder is still there
