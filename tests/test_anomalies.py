@@ -44,6 +44,21 @@ def test_peer_anomalies(spark):
     assert [r.obs_id for r in out] == [99] and out[0].z_altitude is None
 
 
+def test_peer_rows_are_not_shuffled(spark):
+    """The table of one row per description is broadcast, however large the planner thinks it."""
+    df = spark.range(200).selectExpr("id AS obs_id", "'x' AS icao24", "concat('D', id % 3) AS Description",
+                                     "CAST(IF(id = 7, 900, id % 5) AS DOUBLE) AS velocity", "CAST(id % 7 AS DOUBLE) AS baro_altitude")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = an.peer_anomalies(df)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, plan
+        assert [r.obs_id for r in out.collect()] == [7]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_hot_aircraft_third_of_rows(spark):
     rnd = random.Random(11)
     rows = [(i, "hot" if i % 3 == 0 else f"a{i % 17}", rnd.randrange(0, 20000), float(rnd.random()))

@@ -168,3 +168,30 @@ def test_types_of_airframes_keep_repeats(spark):
     assert got == [("", "y1"), ("a", "x1"), ("a", "x1"), ("a", "x2"), ("a", "x2"), ("a", "y1"), ("b", "")]
     o = obs(spark, ["a", "b", "", None, "zz"])
     assert names(en.enrich_typed(o, typed)) == names(direct_or_join(o, a, m))
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_refresh_multiplies_observations_after_they_are_shuffled(spark, tmpdir_path, monkeypatch, threshold):
+    """What the refresh writes as its enriched table is shuffled before the types unfold, never after."""
+    from flightlake.plans import refresh
+
+    class Seen(Exception):
+        pass
+
+    def seen(df, path, spread=False):
+        raise Seen((df.hint("rebalance") if spread else df)._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(refresh, "write_table", seen)
+    o = obs(spark, ["1", "2", "2", "", None, "9"])
+    a = af(spark, [("1", "A", "B"), ("2", "B", "B"), ("2", None, "C"), ("3", "A", None), ("", "A", "B"), (None, "A", "A")])
+    m = md(spark, [("A", "a1"), ("A", "a2"), ("B", "b1"), ("B", "b2"), (None, "n")])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        with pytest.raises(Seen) as e:
+            refresh.refresh(spark, o, a, m, tmpdir_path)
+        above = str(e.value).split(" Exchange ")[0]
+        assert "explode(__types" in above, str(e.value)
+        assert names(en.enrich(o, a, m, spread=True)) == names(direct_or_join(o, a, m))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
